@@ -1 +1,238 @@
-"""Recipes: Structured Streaming."""
+"""Recipes: Structured Streaming over the events table.
+
+Each recipe starts a real streaming query (file source -> transformations ->
+sink with a checkpoint in the shared scratch folder), runs it to completion
+and returns the sink's contents read back as a batch DataFrame.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from flumen import schemas
+from flumen.operators import sets
+from flumen.plans.joins_sets import corrupted_props
+from flumen.plans.registry import TS_MICROS, recipe, table, ts_text
+from flumen.session import scratch_path
+from flumen.sources.tables import table_path
+from flumen.streaming import replay as rp
+from flumen.streaming import sinks as ss
+from flumen.streaming import sources as src
+from flumen.streaming import windowed
+
+HOUR_FMT = "yyyy-MM-dd HH:mm:ss"
+
+
+def events_stream(spark, sf, max_files=None):
+    """The events table as an unbounded file stream (NTZ -> TIMESTAMP)."""
+    schema = spark.read.parquet(table_path(sf, "events")).schema
+    s = src.file_stream(spark, sf, schema, glob="events.parquet", max_files=max_files)
+    return s.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _drain(spark, df, label, **kw):
+    out = scratch_path(spark, f"{label}-out")
+    ss.run(ss.start_files(df, out, ss.checkpoint_for(spark, label), **kw))
+    return spark.read.parquet(out)
+
+
+_EVENTS_ORACLE = """
+SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM events
+"""
+
+
+@recipe("stream_source", _EVENTS_ORACLE)
+def stream_source(spark, sf):
+    s = events_stream(spark, sf).select("event_id", "user_id", "event_type", "ts")
+    return _drain(spark, s, "stream-source").withColumn("ts", ts_text("ts", TS_MICROS))
+
+
+@recipe("stream_event_time_attr", """
+SELECT event_id, user_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS event_time FROM events
+""")
+def stream_event_time_attr(spark, sf):
+    s = events_stream(spark, sf)
+    msgs = src.as_messages(s, F.to_json(F.struct("event_id", "user_id")), ts="ts")
+    parsed = src.parse_messages(msgs, schemas.struct(("event_id", schemas.L), ("user_id", schemas.L)))
+    timed = src.with_event_time(parsed, "timestamp", "1 hour")
+    out = _drain(spark, timed.select("event_id", "user_id", "timestamp"), "event-time-attr")
+    return out.select("event_id", "user_id", ts_text("timestamp", TS_MICROS).alias("event_time"))
+
+
+@recipe("stream_raw_append", """
+SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS event_timestamp,
+       TRUE AS has_processing_time
+FROM events
+""")
+def stream_raw_append(spark, sf):
+    s = events_stream(spark, sf).select(
+        "event_id", "user_id", "event_type", ts_text("ts", TS_MICROS).alias("event_timestamp"),
+        F.date_format(F.current_timestamp(), HOUR_FMT).alias("processing_timestamp"))
+    out = _drain(spark, s, "raw-append")
+    return out.select("event_id", "user_id", "event_type", "event_timestamp",
+                      F.col("processing_timestamp").isNotNull().alias("has_processing_time"))
+
+
+@recipe("stream_replay", """
+SELECT event_id, user_id, CAST(event_id // 1000 AS BIGINT) AS micro_batch FROM events
+""")
+def stream_replay(spark, sf):
+    """Rows replayed in event_id order, 1,000 per batch; each row is tagged
+    with the micro-batch that delivered it."""
+    ev = table(spark, sf, "events").select("event_id", "user_id")
+    batches = rp.arrival_batches(ev, "event_id", 1000)
+    out = scratch_path(spark, "replay-out")
+
+    def start(watch):
+        s = rp.watched(spark, watch, ev.schema)
+
+        def write(batch, batch_id):
+            batch.withColumn("micro_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
+                f"{out}/batch_id={batch_id}")
+        return (s.writeStream.option("checkpointLocation", ss.checkpoint_for(spark, "replay"))
+                .foreachBatch(write).start())
+
+    rp.replay(spark, batches, "arrival_batch", start, "replay")
+    return spark.read.parquet(out).select("event_id", "user_id", "micro_batch")
+
+
+def _window_oracle(where: str, keys: str, delay_ms: int, size: str = "hour") -> str:
+    k = f", {keys}" if keys else ""
+    return f"""
+SELECT strftime(date_trunc('{size}', ts), '%Y-%m-%d %H:%M:%S') AS window_start{k}, COUNT(*) AS count
+FROM events {where}
+GROUP BY date_trunc('{size}', ts){k}
+HAVING epoch_ms(date_trunc('{size}', ts) + INTERVAL 1 {size.upper()}) <= (SELECT epoch_ms(max(ts)) FROM events) - {delay_ms}
+"""
+
+
+@recipe("stream_filter", _window_oracle("WHERE event_type = 'click'", "", 600_000))
+def stream_filter(spark, sf):
+    """Filter before the window: click events per hour, watermark 10 min, append."""
+    s = events_stream(spark, sf).withWatermark("ts", "10 minutes").filter(F.col("event_type") == "click")
+    agg = s.groupBy(F.window("ts", "1 hour").alias("window")).agg(F.count(F.lit(1)).alias("count"))
+    out = _drain(spark, agg, "stream-filter")
+    return out.select(F.date_format("window.start", HOUR_FMT).alias("window_start"), "count")
+
+
+@recipe("stream_fixed_append", _window_oracle("", "event_type", 600_000))
+def stream_fixed_append(spark, sf):
+    """Hourly windows per type, one pane each when the watermark passes the end."""
+    agg = windowed.windowed_count(events_stream(spark, sf), "ts", "1 hour", "10 minutes", keys="event_type")
+    out = _drain(spark, agg, "fixed-append")
+    return out.select(F.date_format("window.start", HOUR_FMT).alias("window_start"), "event_type", "count")
+
+
+STREAM_TUMBLE_SQL = """
+SELECT COUNT(*) AS page_views, CAST(window.start AS STRING) AS start_time
+FROM {events}
+GROUP BY window(ts, '1 minute')
+"""
+
+
+@recipe("stream_sql_tumble", """
+SELECT COUNT(*) AS page_views, strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S') AS start_time
+FROM events GROUP BY date_trunc('minute', ts)
+HAVING epoch_ms(date_trunc('minute', ts) + INTERVAL 1 MINUTE) <= (SELECT epoch_ms(max(ts)) FROM events) - 60000
+""")
+def stream_sql_tumble(spark, sf):
+    s = events_stream(spark, sf).withWatermark("ts", "1 minute")
+    agg = spark.sql(STREAM_TUMBLE_SQL, events=s)
+    return _drain(spark, agg, "stream-sql-tumble")
+
+
+# ---- late data: arrival batches with every 7th row delayed -------------------
+
+ROWS_PER_BATCH = 1000
+DELAY_ROWS = 2000
+
+
+def delayed_arrivals(spark, sf):
+    """events in arrival order: ``event_id``, except every 7th row, which
+    arrives 2,000 positions late; cut into batches of 1,000 arrivals."""
+    ev = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts", "value")
+    arrival = F.col("event_id") + F.when(F.col("event_id") % 7 == 0, DELAY_ROWS).otherwise(0)
+    return rp.arrival_batches(ev.withColumn("__arrival", arrival), "__arrival", ROWS_PER_BATCH).drop("__arrival")
+
+
+def _late_oracle(where: str, keys: str, lateness_ms: int) -> str:
+    k = f", {keys}" if keys else ""
+    return f"""
+WITH a AS (SELECT *, (event_id + CASE WHEN event_id % 7 = 0 THEN {DELAY_ROWS} ELSE 0 END) // {ROWS_PER_BATCH} AS b
+           FROM events),
+bm AS (SELECT b, max(epoch_ms(ts)) AS mx FROM a GROUP BY b),
+wm AS (SELECT b, (SELECT max(x.mx) FROM bm x WHERE x.b < bm.b) - {lateness_ms} AS wm FROM bm)
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start{k}, COUNT(*) AS count
+FROM a JOIN wm USING (b)
+WHERE ({where}) AND (wm.wm IS NULL OR epoch_ms(date_trunc('hour', ts) + INTERVAL 1 HOUR) > wm.wm)
+GROUP BY date_trunc('hour', ts){k}
+"""
+
+
+def _late_counts(spark, sf, label, lateness, keys, only=None):
+    arrivals = delayed_arrivals(spark, sf)
+    body_schema = arrivals.drop("arrival_batch").schema
+    out = scratch_path(spark, f"{label}-out")
+
+    def start(watch):
+        s = rp.watched(spark, watch, body_schema)
+        s = s.withWatermark("ts", lateness)   # watermark over every arriving row
+        if only is not None:
+            s = s.filter(only)
+        agg = s.groupBy(F.window("ts", "1 hour").alias("window"), *keys).agg(F.count(F.lit(1)).alias("count"))
+        agg = agg.select(F.date_format("window.start", HOUR_FMT).alias("window_start"), *keys, "count")
+        return ss.start_batches(agg, out, ss.checkpoint_for(spark, label), mode="update", available_now=False)
+
+    rp.replay(spark, arrivals, "arrival_batch", start, label)
+    return ss.latest_per_key(ss.read_batches(spark, out), ["window_start", *keys])
+
+
+@recipe("stream_late_accumulating", _late_oracle("event_type = 'click'", "", 5 * 86_400_000))
+def stream_late_accumulating(spark, sf):
+    """Click counts per hour; late rows re-fire the window with the grown
+    (accumulated) count while within 5 days of lateness; final value kept."""
+    return _late_counts(spark, sf, "late-acc", "5 days", [], F.col("event_type") == "click")
+
+
+@recipe("stream_drop_too_late", _late_oracle("TRUE", "event_type", 86_400_000))
+def stream_drop_too_late(spark, sf):
+    """Allowed lateness 1 day: rows later than that are dropped."""
+    return _late_counts(spark, sf, "late-drop", "1 day", ["event_type"])
+
+
+# ---- message and dead-letter sinks ---------------------------------------------
+
+@recipe("stream_sink_messages", """
+SELECT to_json({'event_id': event_id, 'user_id': user_id, 'event_type': event_type}) AS message FROM events
+""")
+def stream_sink_messages(spark, sf):
+    s = events_stream(spark, sf)
+    msgs = src.as_messages(s, F.to_json(F.struct("event_id", "user_id", "event_type")))
+    out = _drain(spark, msgs, "messages")  # a broker topic in production
+    return out.select(F.decode("value", "UTF-8").alias("message"))
+
+
+@recipe("stream_dead_letter", """
+SELECT CASE WHEN event_id % 30 = 0 THEN '{"k": 1, "x": ' || CAST(event_id AS VARCHAR) || '}'
+            WHEN event_id % 30 = 10 THEN '{"j": 2}' ELSE 'not json' END AS value
+FROM events WHERE event_id % 10 = 0
+""")
+def stream_dead_letter(spark, sf):
+    """Rows that fail the strict parse go, unchanged, to one text file per
+    trigger interval (120 s in production; drained at once here)."""
+    s = events_stream(spark, sf).select("event_id", "props")
+    damaged = corrupted_props_stream(s)
+    _good, bad = sets.split_parsed(damaged, "props", schemas.PROPS)
+    out = scratch_path(spark, "dead-letter")
+    ss.run(ss.start_text_per_batch(bad.select(F.col("props").alias("value")), out,
+                                   ss.checkpoint_for(spark, "dead-letter")))
+    return spark.read.text(out).select("value")
+
+
+def corrupted_props_stream(s):
+    """Same damage as :func:`flumen.plans.joins_sets.corrupted_props`, on a stream."""
+    r = F.col("event_id") % 30
+    bad = (F.when(r == 0, F.concat(F.lit('{"k": 1, "x": '), F.col("event_id").cast("string"), F.lit("}")))
+           .when(r == 10, F.lit('{"j": 2}'))
+           .otherwise(F.lit("not json")))
+    return s.withColumn("props", F.when(F.col("event_id") % 10 == 0, bad).otherwise(F.col("props")))
