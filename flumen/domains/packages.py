@@ -50,7 +50,7 @@ def marker_count(text_col: str, markers=HELP_MARKERS) -> Column:
 def last_keyword_name(text_col: str, keyword: str = PACKAGE_KEYWORD, end: str = ";") -> Column:
     """Name on the *last* line starting with ``keyword`` (NULL when none)."""
     hits = F.filter(strings.lines(text_col), lambda l: l.startswith(keyword))
-    return strings.text_between(F.element_at(hits, -1), keyword, end)
+    return strings.text_between(F.try_element_at(hits, F.lit(-1)), keyword, end)
 
 
 def needs_help(df: DataFrame, text_col: str, name: Column | None = None,

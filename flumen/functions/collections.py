@@ -19,7 +19,7 @@ def longest_gap(months, first: int = 1, last: int = 12) -> Column:
     n = F.size(m)
     inner = F.zip_with(F.slice(m, 2, F.greatest(n - 1, F.lit(0))), F.slice(m, 1, F.greatest(n - 1, F.lit(0))),
                        lambda a, b: a - b - 1)
-    edges = F.array(F.element_at(m, 1) - F.lit(first), F.lit(last) - F.element_at(m, -1))
+    edges = F.array(F.try_element_at(m, F.lit(1)) - F.lit(first), F.lit(last) - F.try_element_at(m, F.lit(-1)))
     return F.array_max(F.concat(edges, inner))
 
 

@@ -83,7 +83,7 @@ def dom_weather(spark, sf):
     li = table(spark, sf, "lineitem")
     records = li.select(F.col("l_suppkey").alias("loc_id"), (F.col("l_discount") * 100).alias("low_temp"),
                         F.col("l_quantity").alias("high_temp"), F.col("l_tax").alias("precip"))
-    stats = weather.statistics(records)
+    stats = weather.compute_statistics(weather.convert_units(records))
     return stats.select("loc_id", *[rnd(c).alias(c) for c in ("record_low", "record_high", "total_precip")])
 
 

@@ -106,9 +106,17 @@ HAVING epoch_ms(date_trunc('{size}', ts) + INTERVAL 1 {size.upper()}) <= (SELECT
 """
 
 
-@recipe("stream_filter", _window_oracle("WHERE event_type = 'click'", "", 600_000))
+@recipe("stream_filter", """
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, COUNT(*) AS count
+FROM events WHERE event_type = 'click'
+GROUP BY date_trunc('hour', ts)
+HAVING epoch_ms(date_trunc('hour', ts) + INTERVAL 1 HOUR)
+       <= (SELECT epoch_ms(max(ts)) FROM events WHERE event_type = 'click') - 600000
+""")
 def stream_filter(spark, sf):
-    """Filter before the window: click events per hour, watermark 10 min, append."""
+    """Filter before the window: click events per hour, watermark 10 min,
+    append. The filter runs before the watermark (Catalyst pushes it there),
+    so the watermark follows the click rows only."""
     s = events_stream(spark, sf).withWatermark("ts", "10 minutes").filter(F.col("event_type") == "click")
     agg = s.groupBy(F.window("ts", "1 hour").alias("window")).agg(F.count(F.lit(1)).alias("count"))
     out = _drain(spark, agg, "stream-filter")
@@ -176,10 +184,9 @@ def _late_counts(spark, sf, label, lateness, keys, only=None):
 
     def start(watch):
         s = rp.watched(spark, watch, body_schema)
-        s = s.withWatermark("ts", lateness)   # watermark over every arriving row
-        if only is not None:
-            s = s.filter(only)
-        agg = s.groupBy(F.window("ts", "1 hour").alias("window"), *keys).agg(F.count(F.lit(1)).alias("count"))
+        # watermark over every arriving row; only matching rows are counted
+        agg = windowed.windowed_count_where(s, "ts", "1 hour", lateness,
+                                            only if only is not None else F.lit(True), keys)
         agg = agg.select(F.date_format("window.start", HOUR_FMT).alias("window_start"), *keys, "count")
         return ss.start_batches(agg, out, ss.checkpoint_for(spark, label), mode="update", available_now=False)
 
