@@ -39,27 +39,37 @@ def card_points(cards: DataFrame, key="customer_id") -> DataFrame:
     return out.filter(F.col("points") > 0)
 
 
-def medical_defaulters(loans: DataFrame, key="customer_id") -> DataFrame:
-    """Medical loans paid after the due date, counted per customer; >= 3 kept."""
-    med = loans.filter(strings.strip("category") == MEDICAL)
-    late = F.when(dates.parse_dmy("payment_date") > dates.parse_dmy("due_date"), 1).otherwise(0)
-    out = med.groupBy(key).agg(F.sum(late).cast("bigint").alias("missed"))
-    return out.filter(F.col("missed") >= MIN_LATE_MEDICAL).withColumn("reason", F.lit("late"))
+def loan_summary(loans: DataFrame, key="customer_id") -> DataFrame:
+    """One pass over the loans: per customer, late medical payments and, for
+    personal loans, the payment count and the 12-bit set of paid months."""
+    cat = strings.strip("category")
+    medical, personal = cat == MEDICAL, cat == PERSONAL
+    late = (dates.parse_dmy("payment_date") > dates.parse_dmy("due_date")
+            if "due_date" in loans.columns else F.lit(False))
+    month_bit = F.pow(F.lit(2), dates.month_of(dates.parse_dmy("payment_date"))).cast("int")
+    return loans.groupBy(key).agg(
+        F.count(F.when(medical & late, 1)).alias("medical_late"),
+        F.count(F.when(personal, 1)).alias("personal_n"),
+        F.bit_or(F.when(personal, month_bit)).alias("personal_mask"),
+    )
 
 
-def personal_defaulters(loans: DataFrame, key="customer_id", max_missed: int = MAX_MISSED_MONTHS,
-                        max_gap: int = MAX_CONSECUTIVE_MISSED) -> DataFrame:
+def medical_from_summary(summary: DataFrame, key="customer_id") -> DataFrame:
+    """Medical loans paid after the due date, per customer; >= 3 kept."""
+    return summary.filter(F.col("medical_late") >= MIN_LATE_MEDICAL).select(
+        key, F.col("medical_late").alias("missed"), F.lit("late").alias("reason"))
+
+
+def personal_from_summary(summary: DataFrame, key="customer_id", max_missed: int = MAX_MISSED_MONTHS,
+                          max_gap: int = MAX_CONSECUTIVE_MISSED) -> DataFrame:
     """Personal loans: missed = 12 - payments (each payment row counts); if
     missed > max_missed report it, else the longest run of unpaid months
     (before the first, between, after the last) if > max_gap, else nothing."""
-    per = loans.filter(strings.strip("category") == PERSONAL)
-    bit = F.pow(F.lit(2), dates.month_of(dates.parse_dmy("payment_date"))).cast("int")
-    sets_ = per.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.bit_or(bit).alias("mask"))
     months = F.filter(F.sequence(F.lit(1), F.lit(12)),
-                      lambda m: F.col("mask").bitwiseAND(F.pow(F.lit(2), m).cast("int")) != 0)
-    missed = F.lit(12) - F.col("n")
+                      lambda m: F.col("personal_mask").bitwiseAND(F.pow(F.lit(2), m).cast("int")) != 0)
+    missed = F.lit(12) - F.col("personal_n")
     gap = coll.longest_gap(months)
-    out = sets_.select(
+    out = summary.filter(F.col("personal_n") > 0).select(
         key,
         F.when(missed > max_missed, missed).when(gap > max_gap, gap).otherwise(0).cast("bigint").alias("missed"),
         F.when(missed > max_missed, F.lit("missed")).when(gap > max_gap, F.lit("gap")).alias("reason"),
@@ -67,8 +77,20 @@ def personal_defaulters(loans: DataFrame, key="customer_id", max_missed: int = M
     return out.filter(F.col("missed") > 0)
 
 
+def medical_defaulters(loans: DataFrame, key="customer_id") -> DataFrame:
+    return medical_from_summary(loan_summary(loans, key), key)
+
+
+def personal_defaulters(loans: DataFrame, key="customer_id", max_missed: int = MAX_MISSED_MONTHS,
+                        max_gap: int = MAX_CONSECUTIVE_MISSED) -> DataFrame:
+    return personal_from_summary(loan_summary(loans, key), key, max_missed, max_gap)
+
+
 def loan_defaulters(loans: DataFrame, key="customer_id") -> DataFrame:
-    return union_all(personal_defaulters(loans, key), medical_defaulters(loans, key))
+    """Personal and medical defaulters from one shared summary (the two
+    branches read the same aggregate; its shuffle is reused)."""
+    summary = loan_summary(loans, key)
+    return union_all(personal_from_summary(summary, key), medical_from_summary(summary, key))
 
 
 def both_defaulters(card: DataFrame, loan: DataFrame, key="customer_id") -> DataFrame:

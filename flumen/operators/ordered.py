@@ -27,6 +27,48 @@ def _keys(keys):
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+_AGG = {"sum": F.sum, "count": F.sum, "max": F.max}
+
+
+def running_many(
+    df: DataFrame,
+    keys,
+    order: list,
+    bucket: str,
+    specs: dict[str, tuple[str, Column | str | None]],
+    exclusive: bool = False,
+) -> DataFrame:
+    """Several running aggregates in one pass: ``specs`` maps an output name to
+    ``(how, value)`` with ``how`` in sum/count/max.
+
+    One window spec over ``(keys, bucket)`` computes every local value, one
+    group-by computes every bucket total, one small window gives the bucket
+    offsets and one join adds them back.
+    """
+    k = _keys(keys)
+    vals, local_cols, tot_cols, off_cols = {}, [], [], []
+    frame = Window.partitionBy(*k, bucket).orderBy(*order)
+    frame = (frame.rowsBetween(Window.unboundedPreceding, -1) if exclusive
+             else frame.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    prior = Window.partitionBy(*k).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    base = df
+    for name, (how, value) in specs.items():
+        v = F.lit(1) if how == "count" else (F.col(value) if isinstance(value, str) else value)
+        base = base.withColumn(f"__{name}_v", v)
+        vals[name] = how
+    local = base.select("*", *[_AGG[h](f"__{n}_v").over(frame).alias(f"__{n}_local") for n, h in vals.items()])
+    totals = base.groupBy(*k, bucket).agg(*[_AGG[h](f"__{n}_v").alias(f"__{n}_tot") for n, h in vals.items()])
+    offsets = totals.select(*k, bucket, *[_AGG[h](f"__{n}_tot").over(prior).alias(f"__{n}_off")
+                                          for n, h in vals.items()])
+    out = local.join(offsets, on=[*k, bucket], how="inner")
+    for name, how in vals.items():
+        off, loc = F.col(f"__{name}_off"), F.col(f"__{name}_local")
+        combined = (F.greatest(off, loc) if how == "max"  # greatest skips NULLs
+                    else F.coalesce(off, F.lit(0)) + F.coalesce(loc, F.lit(0)))
+        out = out.withColumn(name, combined).drop(f"__{name}_v", f"__{name}_local", f"__{name}_off")
+    return out
+
+
 def running(
     df: DataFrame,
     keys,
@@ -43,25 +85,7 @@ def running(
     and ``bucket`` must be monotone in it. ``exclusive`` leaves out the current
     row (NULL for the first row when nothing precedes it, for ``max``).
     """
-    k = _keys(keys)
-    val = F.lit(1) if how == "count" else (F.col(value) if isinstance(value, str) else value)
-    agg = {"sum": F.sum, "count": F.sum, "max": F.max}[how]
-    tmp_v, tmp_local, tmp_off = f"__{name}_v", f"__{name}_local", f"__{name}_off"
-    frame = Window.partitionBy(*k, bucket).orderBy(*order)
-    frame = (frame.rowsBetween(Window.unboundedPreceding, -1) if exclusive
-             else frame.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = df.withColumn(tmp_v, val).withColumn(tmp_local, agg(tmp_v).over(frame))
-
-    totals = df.withColumn(tmp_v, val).groupBy(*k, bucket).agg(agg(tmp_v).alias("__tot"))
-    prior = Window.partitionBy(*k).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*k, bucket, agg("__tot").over(prior).alias(tmp_off))
-
-    out = local.join(offsets, on=[*k, bucket], how="inner")
-    if how == "max":
-        combined = F.greatest(F.col(tmp_off), F.col(tmp_local))  # greatest skips NULLs
-    else:
-        combined = F.coalesce(F.col(tmp_off), F.lit(0)) + F.coalesce(F.col(tmp_local), F.lit(0))
-    return out.withColumn(name, combined).drop(tmp_v, tmp_local, tmp_off)
+    return running_many(df, keys, order, bucket, {name: (how, value)}, exclusive)
 
 
 def previous(
@@ -79,7 +103,10 @@ def previous(
     order = [order] if isinstance(order, str) else list(order)
     w = Window.partitionBy(*k, bucket).orderBy(*order)
     local = df.withColumn("__lag", F.lag(value).over(w))
-    last = df.groupBy(*k, bucket).agg(F.max_by(value, F.struct(*order)).alias("__last"))
+    # last value of each bucket: a plain max when the value is the leading
+    # order column (hash aggregate), else max_by over the whole order
+    last_expr = F.max(value) if value == order[0] else F.max_by(value, F.struct(*order))
+    last = df.groupBy(*k, bucket).agg(last_expr.alias("__last"))
     prior = Window.partitionBy(*k).orderBy(bucket)
     carry = last.select(*k, bucket, F.lag("__last").over(prior).alias("__carry"))
     out = local.join(carry, on=[*k, bucket], how="inner")

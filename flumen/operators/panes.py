@@ -48,8 +48,7 @@ def count_panes(df: DataFrame, keys, arrival: str, value: str, n: int,
     k = _keys(keys)
     b = "__arrival_bucket"
     x = df.select(*k, arrival, value).withColumn(b, ordered.int_bucket(arrival, bucket_width))
-    x = ordered.running(x, k, [arrival], b, value, how="sum", name="__run")
-    x = ordered.running(x, k, [arrival], b, None, how="count", name="__rn")
+    x = ordered.running_many(x, k, [arrival], b, {"__run": ("sum", value), "__rn": ("count", None)})
     x = x.withColumn("pane", F.floor((F.col("__rn") - 1) / n).cast("bigint"))
     if not repeat:
         x = x.filter(F.col("pane") == 0)
@@ -66,22 +65,39 @@ def count_panes(df: DataFrame, keys, arrival: str, value: str, n: int,
 def _segment(pdf_iter, keys, ts_col, n, delay_us):
     """Streaming pass over rows sorted by (keys, arrival): label panes.
 
-    State (current key, pane start time, rows in pane, pane number) is carried
-    across Arrow batches, so memory is one batch whatever the group size."""
+    Within a run of one key, each step jumps over a whole pane with
+    ``searchsorted`` (rows before ``start + delay``, at most ``n - open rows``),
+    so the Python loop turns once per pane, not once per row. State (current
+    key, pane start, rows in the open pane, pane number) is carried across
+    Arrow batches, so memory is one batch whatever the group size."""
     cur_key, start, cnt, pane = None, None, 0, -1
     for pdf in pdf_iter:
         if pdf.empty:
             continue
         t = pdf[ts_col].to_numpy(dtype="int64")
-        kv = list(zip(*[pdf[c].to_numpy() for c in keys])) if len(keys) > 1 else list(pdf[keys[0]].to_numpy())
+        kcols = [pdf[c].to_numpy() for c in keys]
+        change = np.zeros(len(pdf), dtype=bool)
+        for kc in kcols:
+            change[1:] |= kc[1:] != kc[:-1]
+        run_starts = np.concatenate([[0], np.nonzero(change)[0]])
+        run_ends = np.concatenate([run_starts[1:], [len(pdf)]])
         out = np.empty(len(pdf), dtype="int64")
-        for i in range(len(pdf)):
-            if kv[i] != cur_key:
-                cur_key, start, cnt, pane = kv[i], t[i], 0, 0
-            elif (n is not None and cnt >= n) or (delay_us is not None and t[i] - start >= delay_us):
-                start, cnt, pane = t[i], 0, pane + 1
-            cnt += 1
-            out[i] = pane
+        for rs, re_ in zip(run_starts, run_ends):
+            key = tuple(kc[rs] for kc in kcols)
+            if key != cur_key:
+                cur_key, start, cnt, pane = key, t[rs], 0, 0
+            i = rs
+            while i < re_:
+                j = re_
+                if n is not None:
+                    j = min(j, i + (n - cnt))
+                if delay_us is not None:
+                    j = min(j, i + int(np.searchsorted(t[i:re_], start + delay_us, side="left")))
+                out[i:j] = pane
+                cnt += j - i
+                i = j
+                if i < re_:  # the pane closed by count or time: the next row opens one
+                    pane, start, cnt = pane + 1, t[i], 0
         yield pdf.assign(pane=out)
 
 

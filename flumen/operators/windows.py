@@ -7,7 +7,7 @@ other column.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flumen.functions import dates
@@ -55,29 +55,48 @@ def sessions_builtin(df: DataFrame, ts: str, gap_s: int, keys=None, aggs=None) -
 
 
 def session_ids(df: DataFrame, ts: str, gap_s: int, keys, tie_break: str,
-                bucket_s: int = 86_400, name: str = "session") -> DataFrame:
+                bucket_s: int = 3600, name: str = "session") -> DataFrame:
     """Label each row with its session number inside its key, skew-safe.
 
-    new session when ``ts - previous_ts > gap`` (rows exactly one gap apart
-    stay together, as in ``session_window``); the session number is the
-    running count of those starts. Both steps are the two-step bucketed scans
-    of :mod:`flumen.operators.ordered`, so a hot key is split by time bucket.
+    A new session starts when ``ts - previous_ts > gap`` (rows exactly one gap
+    apart stay together, as in ``session_window``). Rows are cut into
+    ``(key, time bucket)`` partitions so a hot key is spread over many tasks:
+
+    1. one window pass per ``(key, bucket)`` (one shuffle, one sort) gives the
+       in-bucket previous time, the in-bucket session starts and their running
+       count;
+    2. a per-bucket summary (first/last time, number of in-bucket starts) is
+       aggregated on the same partitioning;
+    3. a window over the summary -- one row per non-empty bucket -- decides
+       whether each bucket's first row opens a session (against the last time
+       of the previous bucket) and gives each bucket its session offset;
+    4. the offsets are joined back on ``(key, bucket)``.
     """
     k = _keys(keys)
     b = "__bucket"
+    gap = F.make_interval(secs=F.lit(gap_s))
     x = df.withColumn(b, ordered.time_bucket(ts, bucket_s))
-    x = ordered.previous(x, k, [ts, tie_break], b, ts, name="__prev_ts")
-    x = x.withColumn(
-        "__start",
-        F.when(F.col("__prev_ts").isNull()
-               | (F.col(ts) > F.col("__prev_ts") + F.make_interval(secs=F.lit(gap_s))), 1).otherwise(0),
-    )
-    x = ordered.running(x, k, [ts, tie_break], b, "__start", how="sum", name=name)
-    return x.drop("__prev_ts", "__start", b)
+    w = Window.partitionBy(*k, b).orderBy(ts, tie_break)
+    prev = F.lag(ts).over(w)
+    x = x.withColumn("__in_start", F.when(prev.isNotNull() & (F.col(ts) > prev + gap), 1).otherwise(0))
+    x = x.withColumn("__in_sid", F.sum("__in_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    summary = x.groupBy(*k, b).agg(F.min(ts).alias("__first"), F.max(ts).alias("__last"),
+                                   F.sum("__in_start").alias("__n_in"))
+    per_key = Window.partitionBy(*k).orderBy(b)
+    prev_last = F.lag("__last").over(per_key)
+    summary = summary.withColumn(
+        "__opens", F.when(prev_last.isNull() | (F.col("__first") > prev_last + gap), 1).otherwise(0))
+    summary = summary.withColumn(
+        "__offset",
+        F.sum(F.col("__opens") + F.col("__n_in")).over(per_key.rowsBetween(Window.unboundedPreceding, 0))
+        - F.col("__n_in"))
+    out = x.join(summary.select(*k, b, "__offset"), on=[*k, b], how="inner")
+    return out.withColumn(name, F.col("__offset") + F.col("__in_sid")).drop(
+        "__in_start", "__in_sid", "__offset", b)
 
 
 def sessions(df: DataFrame, ts: str, gap_s: int, keys, tie_break: str, aggs=None,
-             bucket_s: int = 86_400) -> DataFrame:
+             bucket_s: int = 3600) -> DataFrame:
     """Session windows per key with a ``window`` struct like ``session_window``:
     start = first row, end = last row + gap. Aggregation per session is a
     partial + final group-by, so even one huge session is combined map-side."""

@@ -232,7 +232,8 @@ def dom_battle_points(spark, sf):
         game.battle_points(F.col("l_quantity"), F.round(F.col("l_tax") * 100).cast("bigint"),
                            F.round(F.col("l_discount") * 100).cast("bigint"),
                            F.col("l_linestatus"), F.lit("F")).alias("points"))
-    out = game.mean_points_per_session(fights, ["player", "weapon"], "ts", "points", "tie", BATTLE_GAP_S)
+    out = game.mean_points_per_session(fights, ["player", "weapon"], "ts", "points", "tie", BATTLE_GAP_S,
+                                       bucket_s=90 * 86_400)  # fights are dated by day
     return out.select("player", "weapon", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                       F.date_format("window.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
                       "battles", rnd("mean_points").alias("mean_points"))
