@@ -67,9 +67,10 @@ def personal_from_summary(summary: DataFrame, key="customer_id", max_missed: int
     (before the first, between, after the last) if > max_gap, else nothing."""
     months = F.filter(F.sequence(F.lit(1), F.lit(12)),
                       lambda m: F.col("personal_mask").bitwiseAND(F.pow(F.lit(2), m).cast("int")) != 0)
-    missed = F.lit(12) - F.col("personal_n")
-    gap = coll.longest_gap(months)
-    out = summary.filter(F.col("personal_n") > 0).select(
+    base = summary.filter(F.col("personal_n") > 0).select(
+        key, "personal_n", coll.longest_gap(months).alias("gap"))  # computed once per customer
+    missed, gap = F.lit(12) - F.col("personal_n"), F.col("gap")
+    out = base.select(
         key,
         F.when(missed > max_missed, missed).when(gap > max_gap, gap).otherwise(0).cast("bigint").alias("missed"),
         F.when(missed > max_missed, F.lit("missed")).when(gap > max_gap, F.lit("gap")).alias("reason"),

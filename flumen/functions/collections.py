@@ -12,15 +12,20 @@ def _c(c) -> Column:
 
 
 def longest_gap(months, first: int = 1, last: int = 12) -> Column:
-    """Longest run of missing values in a sorted array of month numbers,
-    counting the gap before the first (``m0 - first``), after the last
-    (``last - mN``) and between neighbours (``m[i] - m[i-1] - 1``)."""
+    """Longest run of missing values in an array of month numbers, counting
+    the gap before the first (``m0 - first``), after the last (``last - mN``)
+    and between sorted neighbours (``m[i] - m[i-1] - 1``).
+
+    One fold over the sorted array (accumulator: previous month, best gap),
+    so the array expression is evaluated once. NULL for an empty array."""
     m = F.array_sort(_c(months))
-    n = F.size(m)
-    inner = F.zip_with(F.slice(m, 2, F.greatest(n - 1, F.lit(0))), F.slice(m, 1, F.greatest(n - 1, F.lit(0))),
-                       lambda a, b: a - b - 1)
-    edges = F.array(F.try_element_at(m, F.lit(1)) - F.lit(first), F.lit(last) - F.try_element_at(m, F.lit(-1)))
-    return F.array_max(F.concat(edges, inner))
+    init = F.struct(F.lit(first - 1).alias("prev"), F.lit(None).cast("int").alias("best"))
+    folded = F.aggregate(
+        m, init,
+        lambda acc, x: F.struct(x.alias("prev"), F.greatest(acc["best"], x - acc["prev"] - 1).alias("best")),
+        lambda acc: F.when(acc["best"].isNotNull(), F.greatest(acc["best"], F.lit(last) - acc["prev"])),
+    )
+    return folded
 
 
 def map_get(m, key, missing=None) -> Column:
