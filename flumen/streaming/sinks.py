@@ -9,7 +9,7 @@ replaces its own output instead of duplicating it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -53,6 +53,17 @@ def start_text_per_batch(df: DataFrame, path: str, checkpoint: str, col: str = "
     return _writer(df, checkpoint, "append", available_now, processing_time).foreachBatch(write).start()
 
 
+def start_kafka(messages: DataFrame, servers: str, topic: str, checkpoint: str,
+                processing_time: str | None = None) -> StreamingQuery:
+    """Message sink: rows with ``value`` (and optionally ``key``) bytes to a
+    topic (needs the Kafka connector on the classpath)."""
+    w = messages.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+    w = w.option("topic", topic).option("checkpointLocation", checkpoint)
+    if processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()
+
+
 def run(query: StreamingQuery) -> None:
     """Block until an ``availableNow`` query has drained its input."""
     query.awaitTermination()
