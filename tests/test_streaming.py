@@ -63,3 +63,26 @@ def test_count_panes_stream_equals_batch(spark):
     got = sorted((r.user_id, r.pane, r.pane_rows, round(r.pane_value, 6)) for r in spark.read.parquet(out).collect())
     want = panes.count_panes(ev, "user_id", "event_id", "value", 3, mode=panes.ACCUMULATING).collect()
     assert got == sorted((r.user_id, r.pane, r.pane_rows, round(r.pane_value, 6)) for r in want)
+
+
+def test_any_trigger_stream_equals_batch(spark):
+    ev = (spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+          .select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "value"))
+    # a sentinel row far in the future, for a key of its own, moves the
+    # watermark past every open pane at the end of the input
+    sentinel = spark.createDataFrame([(10**9, -1, None, 0.0)], ev.schema).withColumn(
+        "ts", F.timestamp_seconds(F.lit(1_800_000_000)))
+    batches = rp.arrival_batches(ev.unionByName(sentinel).withColumn(
+        "__a", F.when(F.col("user_id") == -1, 10**6).otherwise(F.col("event_id"))), "__a", 250).drop("__a")
+    out = scratch_path(spark, "any-out")
+
+    def start(watch):
+        s = rp.watched(spark, watch, ev.schema)
+        p = spanes.segment_panes_stream(s, "user_id", "ts", "event_id", "value", n=5, delay_s=6 * 3600)
+        return ss.start_files(p, out, ss.checkpoint_for(spark, "any"), available_now=False)
+
+    rp.replay(spark, batches, "arrival_batch", start, "any")
+    got = sorted((r.user_id, r.pane, r.pane_start, r.pane_rows, round(r.pane_value, 6))
+                 for r in spark.read.parquet(out).filter("user_id >= 0").collect())
+    want = panes.segment_panes(ev, "user_id", "ts", "event_id", "value", n=5, delay_s=6 * 3600).collect()
+    assert got == sorted((r.user_id, r.pane, r.pane_start, r.pane_rows, round(r.pane_value, 6)) for r in want)
