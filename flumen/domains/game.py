@@ -27,9 +27,9 @@ def battle_points(battle_time: Column, my_rank: Column, opp_rank: Column,
 
 
 def mean_points_per_session(df: DataFrame, keys, ts: str, points: str, tie_break: str,
-                            gap_s: int = SESSION_GAP_S, bucket_s: int = 3600) -> DataFrame:
+                            gap_s: int = SESSION_GAP_S, bucket_s: int | None = None) -> DataFrame:
     """Average points per key and session window (mean = sum / count, the
-    combine function's accumulator). ``bucket_s`` is the time slice used to
-    spread one key over tasks; pick it so a slice holds many rows."""
+    combine function's accumulator). Buckets that spread one key over tasks
+    are sized per key unless ``bucket_s`` fixes them."""
     return windows.sessions(df, ts, gap_s, keys, tie_break, bucket_s=bucket_s,
                             aggs=[F.count(F.lit(1)).alias("battles"), F.avg(points).alias("mean_points")])

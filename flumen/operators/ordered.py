@@ -128,3 +128,34 @@ def time_bucket(c, width_seconds: int) -> Column:
 def int_bucket(c, width: int) -> Column:
     col = F.col(c) if isinstance(c, str) else c
     return F.floor(col / F.lit(width)).cast("bigint")
+
+
+# Rows per bucket the adaptive buckets aim at: large enough that a cold key
+# is one bucket, small enough that one bucket of a hot key sorts in one task.
+TARGET_BUCKET_ROWS = 2_000_000
+
+
+def adaptive_bucket(df: DataFrame, keys, order_value: Column | str, target_rows: int = TARGET_BUCKET_ROWS,
+                    name: str = "__bucket") -> DataFrame:
+    """Add a bucket column monotone in ``order_value`` (a long) inside each key,
+    sized per key so a bucket holds about ``target_rows`` rows.
+
+    One partial aggregate gives each key's row count and value range; the
+    bucket width is ``range * target_rows / count``. A key with fewer rows than
+    the target is a single bucket; a key holding a third of all rows is cut
+    into ``count / target_rows`` buckets. The per-key table is joined back
+    through :func:`flumen.operators.joins.lookup` (broadcast only when its
+    size is proven small)."""
+    from flumen.operators.joins import lookup
+
+    k = _keys(keys)
+    v = F.col(order_value) if isinstance(order_value, str) else order_value
+    x = df.withColumn("__ov", v)
+    stats = x.groupBy(*k).agg(F.count(F.lit(1)).alias("__n"), F.min("__ov").alias("__lo"),
+                              F.max("__ov").alias("__hi"))
+    span = (F.col("__hi") - F.col("__lo") + 1).cast("double")  # double: span x target overflows a long
+    width = F.greatest(F.lit(1), F.ceil(span * F.lit(float(target_rows)) / F.col("__n")))
+    stats = stats.select(*k, "__lo", width.cast("bigint").alias("__w"))
+    out = lookup(x, stats, k)
+    return out.withColumn(name, F.floor((F.col("__ov") - F.col("__lo")) / F.col("__w")).cast("bigint")).drop(
+        "__ov", "__lo", "__w")

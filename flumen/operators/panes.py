@@ -38,16 +38,16 @@ def _keys(keys):
 
 def count_panes(df: DataFrame, keys, arrival: str, value: str, n: int,
                 mode: str = DISCARDING, repeat: bool = True,
-                bucket_width: int = 65_536) -> DataFrame:
+                target_rows: int = ordered.TARGET_BUCKET_ROWS) -> DataFrame:
     """Panes of a repeated (or one-shot) count trigger in a global window.
 
     Output: keys, ``pane`` (0-based), ``pane_rows``, ``pane_value``.
     ``arrival`` is an integer arrival position (unique within the key);
-    ``bucket_width`` arrival positions share one bucket of the two-step scan.
+    each key's arrivals are cut into buckets of about ``target_rows`` rows.
     """
     k = _keys(keys)
     b = "__arrival_bucket"
-    x = df.select(*k, arrival, value).withColumn(b, ordered.int_bucket(arrival, bucket_width))
+    x = ordered.adaptive_bucket(df.select(*k, arrival, value), k, arrival, target_rows, b)
     x = ordered.running_many(x, k, [arrival], b, {"__run": ("sum", value), "__rn": ("count", None)})
     x = x.withColumn("pane", F.floor((F.col("__rn") - 1) / n).cast("bigint"))
     if not repeat:

@@ -55,7 +55,8 @@ def sessions_builtin(df: DataFrame, ts: str, gap_s: int, keys=None, aggs=None) -
 
 
 def session_ids(df: DataFrame, ts: str, gap_s: int, keys, tie_break: str,
-                bucket_s: int = 3600, name: str = "session") -> DataFrame:
+                bucket_s: int | None = None, name: str = "session",
+                target_rows: int = ordered.TARGET_BUCKET_ROWS) -> DataFrame:
     """Label each row with its session number inside its key, skew-safe.
 
     A new session starts when ``ts - previous_ts > gap`` (rows exactly one gap
@@ -71,11 +72,17 @@ def session_ids(df: DataFrame, ts: str, gap_s: int, keys, tie_break: str,
        whether each bucket's first row opens a session (against the last time
        of the previous bucket) and gives each bucket its session offset;
     4. the offsets are joined back on ``(key, bucket)``.
+
+    Buckets are sized per key (:func:`ordered.adaptive_bucket`, about
+    ``target_rows`` rows each) unless a fixed ``bucket_s`` is given.
     """
     k = _keys(keys)
     b = "__bucket"
     gap = F.make_interval(secs=F.lit(gap_s))
-    x = df.withColumn(b, ordered.time_bucket(ts, bucket_s))
+    if bucket_s is None:
+        x = ordered.adaptive_bucket(df, k, F.unix_micros(ts), target_rows, b)
+    else:
+        x = df.withColumn(b, ordered.time_bucket(ts, bucket_s))
     w = Window.partitionBy(*k, b).orderBy(ts, tie_break)
     prev = F.lag(ts).over(w)
     x = x.withColumn("__in_start", F.when(prev.isNotNull() & (F.col(ts) > prev + gap), 1).otherwise(0))
@@ -96,13 +103,13 @@ def session_ids(df: DataFrame, ts: str, gap_s: int, keys, tie_break: str,
 
 
 def sessions(df: DataFrame, ts: str, gap_s: int, keys, tie_break: str, aggs=None,
-             bucket_s: int = 3600) -> DataFrame:
+             bucket_s: int | None = None, target_rows: int = ordered.TARGET_BUCKET_ROWS) -> DataFrame:
     """Session windows per key with a ``window`` struct like ``session_window``:
     start = first row, end = last row + gap. Aggregation per session is a
     partial + final group-by, so even one huge session is combined map-side."""
     aggs = aggs or [F.count(F.lit(1)).alias("count")]
     k = _keys(keys)
-    labelled = session_ids(df, ts, gap_s, k, tie_break, bucket_s)
+    labelled = session_ids(df, ts, gap_s, k, tie_break, bucket_s, target_rows=target_rows)
     out = labelled.groupBy(*k, "session").agg(
         F.min(ts).alias("__s"), F.max(ts).alias("__e"), *aggs)
     return out.withColumn(

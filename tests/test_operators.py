@@ -52,6 +52,23 @@ def test_sessions_match_session_window(spark, skewed):
     assert sorted(mine.select(*cols).collect()) == sorted(theirs.select(*cols).collect())
 
 
+@pytest.mark.parametrize("target", [40, 10_000])
+def test_adaptive_sessions_match_session_window(spark, skewed, target):
+    mine = windows.sessions(skewed, "ts", 600, "k", "id", target_rows=target,
+                            aggs=[F.count(F.lit(1)).alias("n"), F.sum("v").alias("s")])
+    theirs = windows.sessions_builtin(skewed, "ts", 600, "k",
+                                      aggs=[F.count(F.lit(1)).alias("n"), F.sum("v").alias("s")])
+    cols = ["k", F.col("window.start").alias("a"), F.col("window.end").alias("z"), "n", "s"]
+    assert sorted(mine.select(*cols).collect()) == sorted(theirs.select(*cols).collect())
+
+
+def test_adaptive_bucket_splits_hot_key(spark, skewed):
+    b = ordered.adaptive_bucket(skewed, "k", F.col("id"), target_rows=100)
+    per = {r.k: r.nb for r in b.groupBy("k").agg(F.countDistinct("__bucket").alias("nb")).collect()}
+    assert per[0] >= 8          # the hot key (1,000 rows) is cut into many buckets
+    assert max(v for k, v in per.items() if k != 0) <= 2
+
+
 def test_salted_sum_equals_plain(spark, skewed):
     got = skew.salted_sum(skewed, "k", "v", n=16, by="id")
     want = skewed.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("total"))
@@ -63,8 +80,9 @@ def test_spread_keeps_every_row(spark, skewed):
     assert sorted(out.collect()) == sorted(skewed.select("k", "id").collect())
 
 
-def test_count_panes_match_row_number(spark, skewed):
-    got = panes.count_panes(skewed, "k", "id", "v", 7)
+@pytest.mark.parametrize("target", [25, 10_000])
+def test_count_panes_match_row_number(spark, skewed, target):
+    got = panes.count_panes(skewed, "k", "id", "v", 7, target_rows=target)
     w = Window.partitionBy("k").orderBy("id")
     rn = skewed.withColumn("rn", F.row_number().over(w)).withColumn("pane", F.floor((F.col("rn") - 1) / 7))
     want = (rn.groupBy("k", "pane").agg(F.count(F.lit(1)).alias("pane_rows"), F.sum("v").alias("pane_value"))
