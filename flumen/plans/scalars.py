@@ -6,10 +6,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flumen.domains.game import BATTLE_TIME_TIERS
 from flumen.functions import collections as coll
 from flumen.functions import dates, numeric, strings
 from flumen.operators import rows, udfs
-from flumen.plans.registry import big, recipe, rnd, table, ts_text
+from flumen.plans.registry import big, recipe, rnd, table
 
 _LINES_SQL = """SELECT doc_id, CAST(unnest(range(len(string_split(text, chr(10))))) AS BIGINT) AS line_no,
        unnest(string_split(text, chr(10))) AS line FROM documents"""
@@ -164,8 +165,6 @@ def fn_cast(spark, sf):
                      rnd(numeric.to_double(F.col("value").cast("string"))).alias("value"))
 
 
-# Battle-time tiers (inclusive ranges) and their points.
-BATTLE_TIME_TIERS = [(10, 20, 4), (21, 30, 3), (31, 40, 2), (41, None, 1)]
 
 
 @recipe("fn_tiers", """

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from flumen import schemas
 from flumen.operators import sets
-from flumen.plans.joins_sets import corrupted_props
 from flumen.plans.registry import TS_MICROS, recipe, table, ts_text
 from flumen.session import scratch_path
 from flumen.sources.tables import table_path

@@ -1,7 +1,6 @@
 """Stream behaviour: the reference's taxi window and late-data cases, and the
 stream form of the count trigger against its batch form."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from flumen.domains import taxi
