@@ -153,9 +153,11 @@ def adaptive_bucket(df: DataFrame, keys, order_value: Column | str, target_rows:
     x = df.withColumn("__ov", v)
     stats = x.groupBy(*k).agg(F.count(F.lit(1)).alias("__n"), F.min("__ov").alias("__lo"),
                               F.max("__ov").alias("__hi"))
-    span = (F.col("__hi") - F.col("__lo") + 1).cast("double")  # double: span x target overflows a long
-    width = F.greatest(F.lit(1), F.ceil(span * F.lit(float(target_rows)) / F.col("__n")))
-    stats = stats.select(*k, "__lo", width.cast("bigint").alias("__w"))
+    # double arithmetic: a span (times the target) can exceed a long for hash
+    # values; rounding keeps the bucket non-decreasing in the value
+    span = F.col("__hi").cast("double") - F.col("__lo").cast("double") + 1
+    width = F.greatest(F.lit(1.0), F.ceil(span * F.lit(float(target_rows)) / F.col("__n")).cast("double"))
+    stats = stats.select(*k, "__lo", width.alias("__w"))
     out = lookup(x, stats, k)
-    return out.withColumn(name, F.floor((F.col("__ov") - F.col("__lo")) / F.col("__w")).cast("bigint")).drop(
-        "__ov", "__lo", "__w")
+    offset = F.col("__ov").cast("double") - F.col("__lo").cast("double")
+    return out.withColumn(name, F.floor(offset / F.col("__w")).cast("bigint")).drop("__ov", "__lo", "__w")

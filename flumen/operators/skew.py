@@ -37,12 +37,16 @@ def salted_sum(df: DataFrame, keys, value: str, n: int = DEFAULT_SALTS, by: str
     return part.groupBy(*k).agg(F.sum("__n").alias(count_name), F.sum("__s").alias(sum_name))
 
 
-def spread_by_key(df: DataFrame, keys, n: int = DEFAULT_SALTS, by: str | None = None,
+def spread_by_key(df: DataFrame, keys, by: str, target_rows: int = 2_000_000,
                   partitions: int | None = None) -> DataFrame:
     """Group-by-key-then-flatten without building lists: rows are clustered by
-    ``(key, salt)`` so every key's rows sit together in at most ``n`` tasks,
-    and a hot key is split ``n`` ways instead of landing in one task."""
+    ``(key, part)`` where ``part`` cuts each key into pieces of about
+    ``target_rows`` rows (ranges of the unique column ``by``). Every key's rows
+    sit together, and a hot key is split into ``count / target_rows`` tasks
+    instead of one. Deterministic, so a retried task rebuilds the same split."""
+    from flumen.operators.ordered import adaptive_bucket
+
     k = _keys(keys)
-    salted = salt(df, n, by)
+    parted = adaptive_bucket(df, k, F.xxhash64(by), target_rows, "__part")
     parts = [partitions] if partitions else []
-    return salted.repartition(*parts, *k, "salt").sortWithinPartitions(*k, "salt").drop("salt")
+    return parted.repartition(*parts, *k, "__part").sortWithinPartitions(*k, "__part").drop("__part")

@@ -126,7 +126,7 @@ SELECT o_orderstatus, o_orderkey, COUNT(*) OVER (PARTITION BY o_orderstatus) AS
 def agg_group_list(spark, sf):
     o = table(spark, sf, "orders").select("o_orderstatus", "o_orderkey")
     # group by key, then flatten back: rows clustered by (key, salt), never a list
-    grouped = skew.spread_by_key(o, "o_orderstatus", by="o_orderkey")
+    grouped = skew.spread_by_key(o, "o_orderstatus", by="o_orderkey")  # hot statuses split by key ranges
     sizes = agg.count_per_key(o, "o_orderstatus", "group_size")
     return lookup(grouped, sizes, "o_orderstatus")  # broadcast only if the key table is small
 

@@ -119,10 +119,14 @@ WITH c AS (
               WHEN event_id % 30 = 0 THEN '{"k": 1, "x": ' || CAST(event_id AS VARCHAR) || '}'
               WHEN event_id % 30 = 10 THEN '{"j": 2}'
               ELSE 'not json' END AS props
-  FROM events)
-SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN 'parsed' ELSE 'dead_letter' END AS outcome,
-       CASE WHEN event_id % 10 <> 0 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k, props AS raw
-FROM c
+  FROM events),
+p AS (SELECT event_id, props,
+             coalesce(json_valid(props) AND json_keys(CASE WHEN json_valid(props) THEN props END) = ['k'],
+                      FALSE) AS ok
+      FROM c)
+SELECT event_id, CASE WHEN ok THEN 'parsed' ELSE 'dead_letter' END AS outcome,
+       CASE WHEN ok THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k, props AS raw
+FROM p
 """)
 def split_parse_dead_letter(spark, sf):
     labelled = sets.parse_outcome(corrupted_props(spark, sf), "props", schemas.PROPS)

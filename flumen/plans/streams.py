@@ -219,9 +219,14 @@ def stream_sink_messages(spark, sf):
 
 
 @recipe("stream_dead_letter", """
-SELECT CASE WHEN event_id % 30 = 0 THEN '{"k": 1, "x": ' || CAST(event_id AS VARCHAR) || '}'
-            WHEN event_id % 30 = 10 THEN '{"j": 2}' ELSE 'not json' END AS value
-FROM events WHERE event_id % 10 = 0
+WITH c AS (
+  SELECT CASE WHEN event_id % 10 <> 0 THEN props
+              WHEN event_id % 30 = 0 THEN '{"k": 1, "x": ' || CAST(event_id AS VARCHAR) || '}'
+              WHEN event_id % 30 = 10 THEN '{"j": 2}'
+              ELSE 'not json' END AS value
+  FROM events)
+SELECT value FROM c
+WHERE NOT coalesce(json_valid(value) AND json_keys(CASE WHEN json_valid(value) THEN value END) = ['k'], FALSE)
 """)
 def stream_dead_letter(spark, sf):
     """Rows that fail the strict parse go, unchanged, to one text file per

@@ -76,7 +76,7 @@ def test_salted_sum_equals_plain(spark, skewed):
 
 
 def test_spread_keeps_every_row(spark, skewed):
-    out = skew.spread_by_key(skewed.select("k", "id"), "k", n=8, by="id")
+    out = skew.spread_by_key(skewed.select("k", "id"), "k", by="id", target_rows=50)
     assert sorted(out.collect()) == sorted(skewed.select("k", "id").collect())
 
 
