@@ -147,6 +147,7 @@ def adaptive_bucket(df: DataFrame, keys, order_value: Column | str, target_rows:
     through :func:`flumen.operators.joins.lookup` (broadcast only when its
     size is proven small)."""
     from flumen.operators.joins import lookup
+    from flumen.session import materialize
 
     k = _keys(keys)
     v = F.col(order_value) if isinstance(order_value, str) else order_value
@@ -157,7 +158,7 @@ def adaptive_bucket(df: DataFrame, keys, order_value: Column | str, target_rows:
     # values; rounding keeps the bucket non-decreasing in the value
     span = F.col("__hi").cast("double") - F.col("__lo").cast("double") + 1
     width = F.greatest(F.lit(1.0), F.ceil(span * F.lit(float(target_rows)) / F.col("__n")).cast("double"))
-    stats = stats.select(*k, "__lo", width.alias("__w"))
+    stats = materialize(stats.select(*k, "__lo", width.alias("__w")), "bucket-stats")  # scanned once
     out = lookup(x, stats, k)
     offset = F.col("__ov").cast("double") - F.col("__lo").cast("double")
     return out.withColumn(name, F.floor(offset / F.col("__w")).cast("bigint")).drop("__ov", "__lo", "__w")

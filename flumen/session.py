@@ -94,3 +94,14 @@ def local_dir(path: str) -> str:
     p = path[len("file:"):] if path.startswith("file:") else path
     os.makedirs(p, exist_ok=True)
     return p
+
+
+def materialize(df, label: str):
+    """Write ``df`` once to the shared scratch folder and read it back.
+
+    For small derived tables (per-key statistics, offsets) that are used more
+    than once -- a size check and a join -- so their input is scanned once,
+    and the lineage is cut at a reliable, shared copy."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
