@@ -56,7 +56,7 @@ def map_processing_time(spark, sf):
 
 
 @recipe("map_to_json", """
-SELECT event_id, to_json({'event_id': event_id, 'user_id': user_id, 'event_type': event_type}) AS json
+SELECT event_id, CAST(to_json({'event_id': event_id, 'user_id': user_id, 'event_type': event_type}) AS VARCHAR) AS json
 FROM events
 """)
 def map_to_json(spark, sf):

@@ -220,7 +220,7 @@ def fn_map_get(spark, sf):
 
 @recipe("fn_json", """
 SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
-       to_json({'k': CAST(json_extract(props, '$.k') AS BIGINT)}) AS json
+       CAST(to_json({'k': CAST(json_extract(props, '$.k') AS BIGINT)}) AS VARCHAR) AS json
 FROM events
 """)
 def fn_json(spark, sf):

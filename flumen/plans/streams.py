@@ -209,7 +209,7 @@ def stream_drop_too_late(spark, sf):
 # ---- message and dead-letter sinks ---------------------------------------------
 
 @recipe("stream_sink_messages", """
-SELECT to_json({'event_id': event_id, 'user_id': user_id, 'event_type': event_type}) AS message FROM events
+SELECT CAST(to_json({'event_id': event_id, 'user_id': user_id, 'event_type': event_type}) AS VARCHAR) AS message FROM events
 """)
 def stream_sink_messages(spark, sf):
     s = events_stream(spark, sf)
