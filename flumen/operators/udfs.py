@@ -32,14 +32,50 @@ def flat_map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
 
 
 def mean_udaf() -> Callable[..., Column]:
-    """Custom combine as a grouped-aggregate ``pandas_udf``: mean, NaN on
-    empty input. Spark feeds each group's values as a Series."""
+    """Mean as one grouped-aggregate ``pandas_udf`` (NaN on empty input).
+    Spark hands each group to Python whole, so use it on bounded groups only;
+    :func:`combine_mean` is the form for open-ended groups."""
     @F.pandas_udf(T.DoubleType())
     def mean(v: pd.Series) -> float:
         return float(v.sum() / len(v)) if len(v) else float("nan")
     return mean
 
 
+def _partial_sum() -> Callable[..., Column]:
+    @F.pandas_udf(T.DoubleType())
+    def add_inputs(v: pd.Series) -> float:        # accumulator part 1: sum
+        return float(v.sum())
+    return add_inputs
+
+
+def _partial_count() -> Callable[..., Column]:
+    @F.pandas_udf(T.LongType())
+    def count_inputs(v: pd.Series) -> int:        # accumulator part 2: count
+        return int(len(v))
+    return count_inputs
+
+
+def combine_mean(df: DataFrame, keys, value: str, name: str = "mean",
+                 target_rows: int = 2_000_000) -> DataFrame:
+    """A custom combine function with its four steps made explicit:
+
+    * create/add -- a grouped-aggregate pandas UDF builds the (sum, count)
+      accumulator of one *part* of a key (parts of about ``target_rows`` rows,
+      cut per key by :func:`flumen.operators.ordered.adaptive_bucket`), so one
+      Python call never holds more than a part;
+    * merge -- built-in sums of the accumulators per key (partial + final);
+    * extract -- ``sum / count``, NaN when the count is 0.
+    """
+    from flumen.operators.ordered import adaptive_bucket
+
+    k = [keys] if isinstance(keys, str) else list(keys)
+    parts = adaptive_bucket(df.select(*k, value), k, F.xxhash64(*k, value), target_rows, "__part")
+    acc = parts.groupBy(*k, "__part").agg(_partial_sum()(value).alias("__s"), _partial_count()(value).alias("__n"))
+    merged = acc.groupBy(*k).agg(F.sum("__s").alias("__s"), F.sum("__n").alias("__n"))
+    return merged.select(*k, F.when(F.col("__n") > 0, F.col("__s") / F.col("__n"))
+                         .otherwise(F.lit(float("nan"))).alias(name))
+
+
 # ---- helpers used by the registered checks ---------------------------------
 
 def first_word_lower(s: pd.Series) -> pd.Series:

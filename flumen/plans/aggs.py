@@ -115,8 +115,9 @@ def agg_mean_per_key(spark, sf):
 SELECT event_type, round(avg(value), 4) + 0.0 AS mean FROM events GROUP BY event_type
 """)
 def udaf_mean(spark, sf):
-    mean = udfs.mean_udaf()
-    out = table(spark, sf, "events").groupBy("event_type").agg(mean("value").alias("mean"))
+    """Custom combine (create/add/merge/extract) per event type: pandas
+    accumulators over bounded parts, merged with built-in sums."""
+    out = udfs.combine_mean(table(spark, sf, "events"), "event_type", "value")
     return out.withColumn("mean", rnd("mean"))
 
 

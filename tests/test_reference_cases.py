@@ -54,6 +54,8 @@ def test_mean_combiner(spark):
     assert math.isnan(agg.mean_or_nan(df.filter("v < 0"), "v").first()["mean"])
     mean = udfs.mean_udaf()
     assert df.agg(mean("v").alias("m")).first().m == 10.5
+    keyed = df.withColumn("k", F.lit("all"))
+    assert udfs.combine_mean(keyed, "k", "v", target_rows=3).first()["mean"] == pytest.approx(10.5)
 
 
 def test_package_prefixes(spark):
