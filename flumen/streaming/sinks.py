@@ -53,6 +53,22 @@ def start_text_per_batch(df: DataFrame, path: str, checkpoint: str, col: str = "
     return _writer(df, checkpoint, "append", available_now, processing_time).foreachBatch(write).start()
 
 
+def start_fan_out(df: DataFrame, root: str, checkpoint: str, branches: dict,
+                  available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+    """One stream, several outputs: each micro-batch is persisted once and
+    every branch ``name -> fn(batch) -> DataFrame`` writes ``root/name/batch_id=N``
+    (overwrite, so a re-run batch replaces its own files). One source read and
+    one checkpoint serve all branches."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for name, fn in branches.items():
+                fn(batch).write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+    return _writer(df, checkpoint, "append", available_now, processing_time).foreachBatch(write).start()
+
+
 def start_kafka(messages: DataFrame, servers: str, topic: str, checkpoint: str,
                 processing_time: str | None = None) -> StreamingQuery:
     """Message sink: rows with ``value`` (and optionally ``key``) bytes to a

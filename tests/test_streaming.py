@@ -85,3 +85,17 @@ def test_any_trigger_stream_equals_batch(spark):
                  for r in spark.read.parquet(out).filter("user_id >= 0").collect())
     want = panes.segment_panes(ev, "user_id", "ts", "event_id", "value", n=5, delay_s=6 * 3600).collect()
     assert got == sorted((r.user_id, r.pane, r.pane_start, r.pane_rows, round(r.pane_value, 6)) for r in want)
+
+
+def test_fan_out_two_branches(spark):
+    from flumen.plans.streams import events_stream
+    s = events_stream(spark, "/root/testdata/sf0.001").select("event_id", "event_type", "value")
+    root = scratch_path(spark, "fan-out")
+    q = ss.start_fan_out(s, root, ss.checkpoint_for(spark, "fan-out"), {
+        "raw": lambda b: b,
+        "clicks": lambda b: b.filter(F.col("event_type") == "click").drop("value"),
+    })
+    ss.run(q)
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    assert spark.read.parquet(f"{root}/raw").count() == ev.count()
+    assert spark.read.parquet(f"{root}/clicks").count() == ev.filter("event_type = 'click'").count()
