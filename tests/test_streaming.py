@@ -99,3 +99,24 @@ def test_fan_out_two_branches(spark):
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     assert spark.read.parquet(f"{root}/raw").count() == ev.count()
     assert spark.read.parquet(f"{root}/clicks").count() == ev.filter("event_type = 'click'").count()
+
+
+def test_stream_sessions_equal_batch_sessions(spark):
+    from flumen.operators import windows
+    from flumen.plans.streams import events_stream
+    from flumen.streaming import windowed
+
+    sf = "/root/testdata/sf0.001"
+    s = events_stream(spark, sf)
+    agg = windowed.session_count(s, "ts", "25 minutes", "1 hour", keys="user_id")
+    out = scratch_path(spark, "stream-sessions")
+    ss.run(ss.start_files(agg, out, ss.checkpoint_for(spark, "stream-sessions")))
+    got = sorted((r.user_id, r.window.start, r.window.end, r["count"]) for r in spark.read.parquet(out).collect())
+
+    ev = spark.read.parquet(f"{sf}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    wm = ev.agg(F.max("ts")).first()[0]
+    import datetime as dt
+    batch = windows.sessions(ev, "ts", 25 * 60, "user_id", "event_id").collect()
+    want = sorted((r.user_id, r.window.start, r.window.end, r["count"]) for r in batch
+                  if r.window.end <= wm - dt.timedelta(hours=1))
+    assert got == want and len(got) > 0
