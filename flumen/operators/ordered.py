@@ -136,14 +136,16 @@ TARGET_BUCKET_ROWS = 2_000_000
 
 
 def adaptive_bucket(df: DataFrame, keys, order_value: Column | str, target_rows: int = TARGET_BUCKET_ROWS,
-                    name: str = "__bucket") -> DataFrame:
+                    name: str = "__bucket", multi_flag: str | None = None) -> DataFrame:
     """Add a bucket column monotone in ``order_value`` (a long) inside each key,
     sized per key so a bucket holds about ``target_rows`` rows.
 
     One partial aggregate gives each key's row count and value range; the
     bucket width is ``range * target_rows / count``. A key with fewer rows than
     the target is a single bucket; a key holding a third of all rows is cut
-    into ``count / target_rows`` buckets. The per-key table is joined back
+    into ``count / target_rows`` buckets. ``multi_flag`` names an optional
+    boolean column: true for keys with more than ``target_rows`` rows. The
+    per-key table is joined back
     through :func:`flumen.operators.joins.lookup` (broadcast only when its
     size is proven small)."""
     from flumen.operators.joins import lookup
@@ -158,7 +160,8 @@ def adaptive_bucket(df: DataFrame, keys, order_value: Column | str, target_rows:
     # values; rounding keeps the bucket non-decreasing in the value
     span = F.col("__hi").cast("double") - F.col("__lo").cast("double") + 1
     width = F.greatest(F.lit(1.0), F.ceil(span * F.lit(float(target_rows)) / F.col("__n")).cast("double"))
-    stats = materialize(stats.select(*k, "__lo", width.alias("__w")), "bucket-stats")  # scanned once
+    flag = [(F.col("__n") > F.lit(target_rows)).alias(multi_flag)] if multi_flag else []
+    stats = materialize(stats.select(*k, "__lo", width.alias("__w"), *flag), "bucket-stats")  # scanned once
     out = lookup(x, stats, k)
     offset = F.col("__ov").cast("double") - F.col("__lo").cast("double")
     return out.withColumn(name, F.floor(offset / F.col("__w")).cast("bigint")).drop("__ov", "__lo", "__w")

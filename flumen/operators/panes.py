@@ -21,6 +21,7 @@ Positions and running totals come from the two-step bucketed scans in
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -100,6 +101,27 @@ def _segment(pdf_iter, keys, ts_col, n, delay_us):
         yield pdf.assign(pane=out)
 
 
+def _sequential_labels(base: DataFrame, k, n, delay_us) -> DataFrame:
+    """Rows (``keys, __t, __tb, __v``) -> ``keys, __t, __v, pane`` by one
+    streaming pass over each partition sorted by (keys, arrival)."""
+    sorted_rows = base.select(*k, "__t", "__tb", "__v").repartition(*k).sortWithinPartitions(*k, "__t", "__tb")
+    schema = T.StructType(sorted_rows.schema.fields + [T.StructField("pane", T.LongType(), False)])
+    return sorted_rows.mapInPandas(lambda it: _segment(it, k, "__t", n, delay_us), schema).drop("__tb")
+
+
+def _pane_table(labelled: DataFrame, k) -> DataFrame:
+    return labelled.groupBy(*k, "pane").agg(
+        F.timestamp_micros(F.min("__t")).alias("pane_start"),
+        F.count(F.lit(1)).alias("pane_rows"),
+        F.sum("__v").alias("pane_value"),
+    )
+
+
+def _pane_base(df: DataFrame, k, arrival_ts: str, tie_break: str, value: str) -> DataFrame:
+    return df.select(*k, F.unix_micros(arrival_ts).alias("__t"), F.col(tie_break).alias("__tb"),
+                     F.col(value).cast("double").alias("__v"))
+
+
 def segment_panes(df: DataFrame, keys, arrival_ts: str, tie_break: str, value: str,
                   n: int | None = None, delay_s: float | None = None) -> DataFrame:
     """Panes of ``Repeatedly(AfterAny(AfterCount(n), AfterProcessingTime(delay)))``
@@ -109,20 +131,29 @@ def segment_panes(df: DataFrame, keys, arrival_ts: str, tie_break: str, value: s
 
     Rows are hash-partitioned by key and sorted inside each partition; one
     streaming pass over Arrow batches labels them. A key's rows are ordered as one
-    sequence because each pane depends on where the previous one closed.
+    sequence because each pane depends on where the previous one closed; for a
+    count-bounded trigger :func:`segment_panes_split` spreads hot keys instead.
     """
     k = _keys(keys)
     delay_us = None if delay_s is None else int(delay_s * 1_000_000)
-    base = df.select(*k, F.unix_micros(arrival_ts).alias("__t"), F.col(tie_break).alias("__tb"),
-                     F.col(value).alias("__v"))
-    sorted_rows = base.repartition(*k).sortWithinPartitions(*k, "__t", "__tb")
-    schema = T.StructType(base.schema.fields + [T.StructField("pane", T.LongType(), False)])
-    labelled = sorted_rows.mapInPandas(lambda it: _segment(it, k, "__t", n, delay_us), schema)
-    return labelled.groupBy(*k, "pane").agg(
-        F.timestamp_micros(F.min("__t")).alias("pane_start"),
-        F.count(F.lit(1)).alias("pane_rows"),
-        F.sum("__v").alias("pane_value"),
-    )
+    return _pane_table(_sequential_labels(_pane_base(df, k, arrival_ts, tie_break, value), k, n, delay_us), k)
+
+
+def first_pane(df: DataFrame, keys, arrival_ts: str, value: str, delay_s: float) -> DataFrame:
+    """``AfterProcessingTime(delay)`` fired once: per key, the rows arriving
+    less than ``delay`` after the key's first row. Needs no sequential pass:
+    the first arrival is a partial ``min`` per key, then a filter and a grouped
+    sum, so a hot key stays spread over tasks.
+    Output: keys, ``pane`` (0), ``pane_start``, ``pane_rows``, ``pane_value``."""
+    from flumen.operators.joins import lookup
+
+    k = _keys(keys)
+    firsts = df.groupBy(*k).agg(F.min(arrival_ts).alias("pane_start"))
+    within = lookup(df.select(*k, arrival_ts, value), firsts, k).filter(
+        F.col(arrival_ts) < F.col("pane_start") + F.make_interval(secs=F.lit(delay_s)))
+    return within.groupBy(*k, "pane_start").agg(
+        F.count(F.lit(1)).alias("pane_rows"), F.sum(value).alias("pane_value")
+    ).select(*k, F.lit(0).cast("bigint").alias("pane"), "pane_start", "pane_rows", "pane_value")
 
 
 def watermark_status(df: DataFrame, event_ts: str, arrival: str, window_end: str,
@@ -143,3 +174,141 @@ def watermark_status(df: DataFrame, event_ts: str, arrival: str, window_end: str
               .when(wm < late_limit, F.lit("late"))
               .otherwise(F.lit("dropped")))
     return x.withColumn("watermark", wm).withColumn("status", status).drop("__wm", b)
+
+
+# ---- count-bounded "any of" panes, split by slices of a key's sequence -------
+
+def _chain(t: np.ndarray, e: int, n: int, delay_us: int | None) -> np.ndarray:
+    """Pane starts (local indices) of the greedy chain that opens a pane at row e."""
+    starts, i, size = [], e, len(t)
+    while i < size:
+        starts.append(i)
+        j = i + n
+        if delay_us is not None:
+            j = min(j, int(np.searchsorted(t, t[i] + delay_us, side="left")))
+        i = min(j, size) if j > i else i + 1
+    return np.asarray(starts, dtype="int64")
+
+
+def _slice_summary(pdf, keys, n, delay_us):
+    """For one slice: every possible entry row e < n -> pane count, exit
+    state (start time and rows of the pane still open at the slice's end)."""
+    pdf = pdf.sort_values(["__t", "__tb"])
+    t = pdf["__t"].to_numpy(dtype="int64")
+    size = len(t)
+    s0 = _chain(t, 0, n, delay_us)
+    out = []
+    for e in range(min(n, size)):
+        if e == 0:
+            starts = s0
+        else:
+            own, i = [], e
+            while i < size:
+                pos = np.searchsorted(s0, i)
+                if pos < len(s0) and s0[pos] == i:          # merged into the chain from 0
+                    own.extend(s0[pos:].tolist())
+                    break
+                own.append(i)
+                j = i + n
+                if delay_us is not None:
+                    j = min(j, int(np.searchsorted(t, t[i] + delay_us, side="left")))
+                i = j
+            starts = np.asarray(own, dtype="int64")
+        last = int(starts[-1])
+        out.append((e, len(starts), int(t[last]), size - last))
+    head = t[:n].tolist()
+    first = {c: pdf[c].iloc[0] for c in keys + ["__chunk"]}
+    return pd.DataFrame([{**first, "e": e, "panes": p, "exit_t": xt, "exit_rows": xr, "size": size,
+                          "head": head} for e, p, xt, xr in out])
+
+
+def _fix_up(pdf, keys, n, delay_us):
+    """Per key, walk its slices in order: pick each slice's true entry row from
+    the previous slice's exit state, and give each slice its first pane id."""
+    pdf = pdf.sort_values(["__chunk", "e"])
+    rows, carry_t, carry_rows, panes_before = [], None, 0, 0
+    for chunk, g in pdf.groupby("__chunk", sort=True):
+        size = int(g["size"].iloc[0])
+        head = list(g["head"].iloc[0])
+        if carry_t is None or carry_rows >= n:
+            entry = 0
+        else:
+            entry = min(n - carry_rows, size)
+            if delay_us is not None:
+                late = [j for j, tj in enumerate(head) if tj >= carry_t + delay_us]
+                if late:
+                    entry = min(entry, late[0])
+        rows.append({**{c: g[c].iloc[0] for c in keys}, "__chunk": chunk, "entry": entry,
+                     "base": panes_before, "carry_t": carry_t if carry_t is not None else 0})
+        if entry < size:
+            pick = g[g["e"] == entry].iloc[0]
+            panes_before += int(pick["panes"])
+            carry_t, carry_rows = int(pick["exit_t"]), int(pick["exit_rows"])
+        else:                                                 # the whole slice continues the open pane
+            carry_rows += size
+    return pd.DataFrame(rows)
+
+
+def _label_slice(pdf, keys, n, delay_us):
+    pdf = pdf.sort_values(["__t", "__tb"])
+    t = pdf["__t"].to_numpy(dtype="int64")
+    entry, base = int(pdf["entry"].iloc[0]), int(pdf["base"].iloc[0])
+    pane = np.full(len(t), base - 1, dtype="int64")          # rows before entry: the open pane
+    if entry < len(t):
+        starts = _chain(t, entry, n, delay_us)
+        idx = np.searchsorted(starts, np.arange(entry, len(t)), side="right") - 1
+        pane[entry:] = base + idx
+    return pdf.assign(pane=pane)[keys + ["__t", "__v", "pane"]]
+
+
+def segment_panes_split(df: DataFrame, keys, arrival_ts: str, tie_break: str, value: str,
+                        n: int, delay_s: float | None = None, chunk_rows: int = 1_000_000) -> DataFrame:
+    """Same panes as :func:`segment_panes` for a count-bounded trigger
+    (``AfterAny(AfterCount(n), AfterProcessingTime(delay))``), without giving
+    any task a whole key.
+
+    A key's rows, in arrival order, are cut into contiguous slices of about
+    ``chunk_rows`` rows (per-key time ranges, :func:`ordered.adaptive_bucket`).
+    Because a pane holds at most ``n`` rows, the first pane that opens inside a slice opens within its first
+    ``n`` rows. So:
+
+    1. each slice is summarised in parallel for every possible entry row
+       ``e < n`` (pane count and the pane still open at its end);
+    2. one small pass per key over those summaries (``#slices x n`` rows)
+       picks each slice's true entry from the previous slice's open pane;
+    3. each slice is labelled in parallel from its true entry.
+
+    Groups handed to pandas are one slice (about ``chunk_rows`` rows) or
+    one key's slice summaries (``n`` rows per slice). Keys with at most
+    ``chunk_rows`` rows skip all this and take the sorted streaming pass of
+    :func:`segment_panes`, so the per-group cost is paid only by hot keys.
+    """
+    k = _keys(keys)
+    delay_us = None if delay_s is None else int(delay_s * 1_000_000)
+    base = _pane_base(df, k, arrival_ts, tie_break, value)
+    # slices: contiguous arrival-time ranges of about chunk_rows rows per key;
+    # keys that fit in one slice take the plain sorted pass (no per-group cost)
+    base = ordered.adaptive_bucket(base, k, F.col("__t"), target_rows=chunk_rows, name="__chunk",
+                                   multi_flag="__multi")
+    single = _sequential_labels(base.filter(~F.col("__multi")), k, n, delay_us)
+    hot = base.filter(F.col("__multi")).drop("__multi")
+
+    key_fields = [base.schema[c] for c in k]
+    summary_schema = T.StructType(key_fields + [
+        T.StructField("__chunk", T.LongType()), T.StructField("e", T.LongType()),
+        T.StructField("panes", T.LongType()), T.StructField("exit_t", T.LongType()),
+        T.StructField("exit_rows", T.LongType()), T.StructField("size", T.LongType()),
+        T.StructField("head", T.ArrayType(T.LongType()))])
+    summary = hot.groupBy(*k, "__chunk").applyInPandas(
+        lambda pdf: _slice_summary(pdf, k, n, delay_us), summary_schema)
+    decision_schema = T.StructType(key_fields + [
+        T.StructField("__chunk", T.LongType()), T.StructField("entry", T.LongType()),
+        T.StructField("base", T.LongType()), T.StructField("carry_t", T.LongType())])
+    decisions = summary.groupBy(*k).applyInPandas(lambda pdf: _fix_up(pdf, k, n, delay_us), decision_schema)
+    labelled_schema = T.StructType(key_fields + [
+        T.StructField("__t", T.LongType()), T.StructField("__v", T.DoubleType()),
+        T.StructField("pane", T.LongType())])
+    split = (hot.join(decisions.drop("carry_t"), [*k, "__chunk"])
+             .groupBy(*k, "__chunk")
+             .applyInPandas(lambda pdf: _label_slice(pdf, k, n, delay_us), labelled_schema))
+    return _pane_table(single.unionByName(split), k)

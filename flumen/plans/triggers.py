@@ -61,8 +61,7 @@ FROM events JOIN f USING (user_id) WHERE ts < t0 + INTERVAL 6 HOUR GROUP BY user
 """)
 def trigger_processing_time(spark, sf):
     """AfterProcessingTime(6 h), once: the rows arriving within 6 h of a key's first row."""
-    p = panes.segment_panes(_events(spark, sf), "user_id", "ts", "event_id", "value", delay_s=6 * 3600)
-    p = p.filter(F.col("pane") == 0)
+    p = panes.first_pane(_events(spark, sf), "user_id", "ts", "value", delay_s=6 * 3600)
     return _out(p.withColumn("pane_start", ts_text("pane_start", TS_MICROS)))
 
 
@@ -100,7 +99,9 @@ GROUP BY r.{keys_sql}{w_grp}, r.pane
 @recipe("trigger_any", _recursive("user_id", "", 5, "6 HOUR"))
 def trigger_any(spark, sf):
     """Repeatedly(AfterAny(AfterCount(5), AfterProcessingTime(6 h))), DISCARDING."""
-    p = panes.segment_panes(_events(spark, sf), "user_id", "ts", "event_id", "value", n=5, delay_s=6 * 3600)
+    # count-bounded, so slices of a key's sequence are labelled in parallel
+    p = panes.segment_panes_split(_events(spark, sf), "user_id", "ts", "event_id", "value", n=5,
+                                  delay_s=6 * 3600)
     return _out(p.withColumn("pane_start", ts_text("pane_start", TS_MICROS)))
 
 

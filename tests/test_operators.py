@@ -111,3 +111,18 @@ def test_exclude_is_null_safe(spark):
     df = spark.createDataFrame([(1,), (2,), (None,)], "id long")
     ids = spark.createDataFrame([(2,), (None,)], "id long")
     assert sorted(r.id for r in joins.exclude(df, ids, "id").collect() if r.id is not None) == [1]
+
+
+@pytest.mark.parametrize("chunk", [7, 50, 100_000])
+def test_split_segment_panes_match_sequential(spark, skewed, chunk):
+    seq = panes.segment_panes(skewed, "k", "ts", "id", "v", n=5, delay_s=1800)
+    split = panes.segment_panes_split(skewed, "k", "ts", "id", "v", n=5, delay_s=1800, chunk_rows=chunk)
+    cols = ["k", "pane", "pane_start", "pane_rows", "pane_value"]
+    assert sorted(split.select(*cols).collect()) == sorted(seq.select(*cols).collect())
+
+
+def test_first_pane_matches_sequential(spark, skewed):
+    seq = panes.segment_panes(skewed, "k", "ts", "id", "v", delay_s=1800).filter("pane = 0")
+    first = panes.first_pane(skewed, "k", "ts", "v", 1800)
+    cols = ["k", "pane", "pane_start", "pane_rows", "pane_value"]
+    assert sorted(first.select(*cols).collect()) == sorted(seq.select(*cols).collect())
