@@ -25,10 +25,13 @@ def fits_broadcast(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
 
 
 def lookup(left: DataFrame, right: DataFrame, on, how: str = "inner",
-           max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+           max_rows: int = BROADCAST_MAX_ROWS, right_rows: int | None = None) -> DataFrame:
     """Side-input style look-up: broadcast ``right`` when its size is proven
-    small, else a normal shuffled join (AQE may still switch at runtime)."""
-    side = F.broadcast(right) if fits_broadcast(right, max_rows) else right
+    small, else a normal shuffled join (AQE may still switch at runtime).
+    ``right_rows``, when already known (for example observed while the table
+    was written), replaces the counting job."""
+    small = right_rows <= max_rows if right_rows is not None else fits_broadcast(right, max_rows)
+    side = F.broadcast(right) if small else right
     return left.join(side, on=on, how=how)
 
 

@@ -161,7 +161,8 @@ def adaptive_bucket(df: DataFrame, keys, order_value: Column | str, target_rows:
     span = F.col("__hi").cast("double") - F.col("__lo").cast("double") + 1
     width = F.greatest(F.lit(1.0), F.ceil(span * F.lit(float(target_rows)) / F.col("__n")).cast("double"))
     flag = [(F.col("__n") > F.lit(target_rows)).alias(multi_flag)] if multi_flag else []
-    stats = materialize(stats.select(*k, "__lo", width.alias("__w"), *flag), "bucket-stats")  # scanned once
-    out = lookup(x, stats, k)
+    stats, n_keys = materialize(stats.select(*k, "__lo", width.alias("__w"), *flag), "bucket-stats",
+                                with_count=True)  # input scanned once; row count observed on write
+    out = lookup(x, stats, k, right_rows=n_keys)
     offset = F.col("__ov").cast("double") - F.col("__lo").cast("double")
     return out.withColumn(name, F.floor(offset / F.col("__w")).cast("bigint")).drop("__ov", "__lo", "__w")

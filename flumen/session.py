@@ -96,12 +96,18 @@ def local_dir(path: str) -> str:
     return p
 
 
-def materialize(df, label: str):
+def materialize(df, label: str, with_count: bool = False):
     """Write ``df`` once to the shared scratch folder and read it back.
 
     For small derived tables (per-key statistics, offsets) that are used more
     than once -- a size check and a join -- so their input is scanned once,
-    and the lineage is cut at a reliable, shared copy."""
+    and the lineage is cut at a reliable, shared copy. ``with_count`` also
+    returns the row count, observed while writing (no extra job)."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
     path = scratch_path(df.sparkSession, label)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    obs = Observation(f"rows-{label}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    back = df.sparkSession.read.parquet(path)
+    return (back, int(obs.get["rows"])) if with_count else back
