@@ -58,9 +58,10 @@ def with_constant(df: DataFrame, name: str = "new_col", value="1") -> DataFrame:
 
 def csv_to_struct(df: DataFrame, line_col: str, names, sep: str = ",", keep_line: bool = False) -> DataFrame:
     """Positional CSV text -> named string columns (``from_csv`` would need a schema
-    string; ``split`` keeps it literal and lets extra fields be ignored)."""
+    string; ``split`` keeps it literal). Extra fields are ignored; missing
+    trailing fields are NULL."""
     parts = strings.split_fields(line_col, sep)
-    cols = [F.element_at(parts, i + 1).alias(n) for i, n in enumerate(names)]
+    cols = [F.try_element_at(parts, F.lit(i + 1)).alias(n) for i, n in enumerate(names)]
     extra = [F.col(line_col)] if keep_line else []
     return df.select(*[c for c in df.columns if c != line_col], *extra, *cols)
 
