@@ -96,3 +96,24 @@ def test_cogroup_flat_multi_column_items_are_json(spark):
     b = spark.createDataFrame([(1, "y")], "k long, t string")
     items = {r.tag: r.item for r in joins.cogroup_flat({"a": a, "b": b}, "k").collect()}
     assert items == {"a": '{"s":"x","n":2}', "b": "y"}
+
+
+def test_operators_on_empty_input(spark):
+    from flumen.operators import panes, udfs, windows
+    empty = spark.createDataFrame([], "id long, k long, ts timestamp, v double")
+    assert windows.sessions(empty, "ts", 600, "k", "id").count() == 0
+    assert panes.count_panes(empty, "k", "id", "v", 3).count() == 0
+    assert panes.segment_panes(empty, "k", "ts", "id", "v", n=3, delay_s=60).count() == 0
+    assert panes.segment_panes_split(empty, "k", "ts", "id", "v", n=3, delay_s=60).count() == 0
+    assert panes.first_pane(empty, "k", "ts", "v", 60).count() == 0
+    assert udfs.combine_mean(empty, "k", "v").count() == 0
+    assert skew.spread_by_key(empty, "k", by="id").count() == 0
+    assert joins.cogroup_sizes({"a": empty, "b": empty}, "k").count() == 0
+    assert joins.cogroup({"a": empty.select("k", "v"), "b": empty.select("k", "id")}, "k").count() == 0
+
+
+def test_nulls_in_keys_and_values(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), (1, None), (1, 3.0)], "k long, v double")
+    got = {r.k: (r.n, r.total) for r in skew.salted_sum(df, "k", "v").collect()}  # salt = hash of the row
+    assert got == {None: (2, 3.0), 1: (2, 3.0)}
+    assert {r.k: r.mean for r in agg.mean_per_key(df, "k", "v").collect()} == {None: 1.5, 1: 3.0}
