@@ -261,6 +261,11 @@ def _label_slice(pdf, keys, n, delay_us):
     return pdf.assign(pane=pane)[keys + ["__t", "__v", "pane"]]
 
 
+# Count bounds above this make per-slice summaries (one per possible entry
+# row) too large; such triggers use the sequential pass instead.
+MAX_SPLIT_COUNT = 1024
+
+
 def segment_panes_split(df: DataFrame, keys, arrival_ts: str, tie_break: str, value: str,
                         n: int, delay_s: float | None = None, chunk_rows: int = 1_000_000) -> DataFrame:
     """Same panes as :func:`segment_panes` for a count-bounded trigger
@@ -286,6 +291,9 @@ def segment_panes_split(df: DataFrame, keys, arrival_ts: str, tie_break: str, va
     k = _keys(keys)
     delay_us = None if delay_s is None else int(delay_s * 1_000_000)
     base = _pane_base(df, k, arrival_ts, tie_break, value)
+    if n is None or n > MAX_SPLIT_COUNT:
+        # each slice would need n entry candidates: take the exact sequential pass
+        return _pane_table(_sequential_labels(base, k, n, delay_us), k)
     # slices: contiguous arrival-time ranges of about chunk_rows rows per key;
     # keys that fit in one slice take the plain sorted pass (no per-group cost)
     base = ordered.adaptive_bucket(base, k, F.col("__t"), target_rows=chunk_rows, name="__chunk",
