@@ -120,3 +120,23 @@ def test_stream_sessions_equal_batch_sessions(spark):
     want = sorted((r.user_id, r.window.start, r.window.end, r["count"]) for r in batch
                   if r.window.end <= wm - dt.timedelta(hours=1))
     assert got == want and len(got) > 0
+
+
+def test_stream_sliding_windows_equal_batch(spark):
+    import datetime as dt
+
+    from flumen.operators import windows
+    from flumen.plans.streams import events_stream
+    from flumen.streaming import windowed
+
+    sf = "/root/testdata/sf0.001"
+    agg = windowed.windowed_count(events_stream(spark, sf), "ts", "30 minutes", "10 minutes", slide="10 minutes")
+    out = scratch_path(spark, "stream-sliding")
+    ss.run(ss.start_files(agg, out, ss.checkpoint_for(spark, "stream-sliding")))
+    got = sorted((r.window.start, r["count"]) for r in spark.read.parquet(out).collect())
+
+    ev = spark.read.parquet(f"{sf}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    wm = ev.agg(F.max("ts")).first()[0] - dt.timedelta(minutes=10)
+    want = sorted((r.window.start, r["count"]) for r in windows.sliding(ev, "ts", 1800, 600).collect()
+                  if r.window.end <= wm)
+    assert got == want and len(got) > 0
