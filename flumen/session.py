@@ -11,7 +11,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -85,17 +84,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_dir(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can create the folder (local tests)."""
-    p = path[len("file:"):] if path.startswith("file:") else path
-    os.makedirs(p, exist_ok=True)
-    return p
-
-
 def materialize(df, label: str, with_count: bool = False):
     """Write ``df`` once to the shared scratch folder and read it back.
 
