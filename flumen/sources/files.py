@@ -17,6 +17,19 @@ def text_lines(spark: SparkSession, pattern: str, line_sep: str = "\n") -> DataF
     return spark.read.option("lineSep", line_sep).text(pattern)
 
 
+def text_skip_header(spark: SparkSession, pattern: str) -> DataFrame:
+    """Text lines with the first line of *each file* skipped (a header), as
+    ``value``. Read as one-column CSV whose delimiter and quote are a control
+    character that text does not contain, so lines come through unchanged and
+    the reader drops one header line per file -- still split and parallel.
+    Unlike :func:`text_lines`, blank lines are skipped (the CSV reader's rule);
+    use :func:`csv_with_header` for typed CSV."""
+    return (spark.read.schema("value string").option("header", True).option("enforceSchema", True)
+            .option("delimiter", "\u0001").option("quote", "\u0000").option("escape", "\u0000")
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            .option("lineSep", "\n").csv(pattern))
+
+
 def csv_with_header(spark: SparkSession, pattern: str, schema: T.StructType) -> DataFrame:
     """CSV whose first line per file is a header (skipped); typed by ``schema``."""
     return (spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")

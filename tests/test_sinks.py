@@ -58,3 +58,12 @@ def test_text_round_trip_keeps_lines(spark):
     lines = files.text_lines(spark, f"{path}/part-*").count()
     want = docs.select(F.explode(F.split("text", "\n"))).count()
     assert lines == want
+
+
+def test_text_skip_header_per_file(spark, tmp_path):
+    d = tmp_path / "t"
+    d.mkdir()
+    (d / "a.txt").write_text("HEADER a\n  one, \"x\"\ntwo\n")
+    (d / "b.txt").write_text("HEADER b\nthree\n")
+    got = sorted(r.value for r in files.text_skip_header(spark, str(d)).collect())
+    assert got == ['  one, "x"', "three", "two"]
