@@ -35,10 +35,11 @@ def test_taxi_windows(spark):
 
 
 def test_taxi_late_data(spark):
-    # Beam's watermark moves are played by non-pickup rows: a Spark watermark is
-    # max(event time) - lateness, so Beam watermark W is a row at W + lateness - lateness = W... shifted:
-    # allowed lateness 60 s -> Beam W=60 (window 0 closes, late rows still taken) is Spark max 60,
-    # Beam W=300 (window 0 expired) is Spark max 300.
+    # The original test advances the watermark explicitly (to 60 s, then 300 s)
+    # with 60 s of allowed lateness. Spark's watermark is max(event time) -
+    # lateness and drops rows whose window ended before it, so the same states
+    # are reached by non-pickup rows at 60 s (window 0 closed but still taking
+    # late rows) and at 300 s (window 0 expired).
     rows = [("pickup", 0, 0), ("pickup", 0, 0),
             ("enroute", 60, 1),
             ("pickup", 0, 2),
