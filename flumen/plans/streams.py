@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from flumen import schemas
 from flumen.operators import sets
 from flumen.plans.registry import TS_MICROS, recipe, table, ts_text
-from flumen.session import scratch_path
+from flumen.session import ensure_utc, scratch_path
 from flumen.sources.tables import table_path
 from flumen.streaming import replay as rp
 from flumen.streaming import sinks as ss
@@ -23,7 +23,8 @@ HOUR_FMT = "yyyy-MM-dd HH:mm:ss"
 
 
 def events_stream(spark, sf, max_files=None):
-    """The events table as an unbounded file stream (NTZ -> TIMESTAMP)."""
+    """The events table as an unbounded file stream (NTZ -> TIMESTAMP, UTC)."""
+    ensure_utc(spark)
     schema = spark.read.parquet(table_path(sf, "events")).schema
     s = src.file_stream(spark, sf, schema, glob="events.parquet", max_files=max_files)
     return s.withColumn("ts", F.col("ts").cast("timestamp"))
