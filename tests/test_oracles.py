@@ -55,3 +55,14 @@ def test_every_survey_key_registered():
         if line.startswith("|"):
             keys |= set(re.findall(r"`([a-z_0-9]+)`", line.strip("|").split("|")[-1]))
     assert keys - set(QUERIES) == set()
+
+
+@pytest.mark.parametrize("key", ["win_fixed_global", "stream_fixed_append", "trigger_early_late"])
+def test_recipes_pin_utc(spark, duck, key):
+    """A caller's session in another zone (here +05:30) gives the same windows."""
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    df = QUERIES[key](spark, SF_SMALL)
+    rows = [tuple(r) for r in df.collect()]
+    cur = duck.execute(ORACLES[key])
+    assert digest(df.columns, rows)[0] == digest([d[0] for d in cur.description], cur.fetchall())[0]
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
