@@ -9,19 +9,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default bound for broadcasting a look-up side (rows). At ~100 bytes a row
-# this stays far below executor memory; beyond it the join is shuffled.
+# Default bounds for broadcasting a look-up side: rows and (approximate,
+# serialized) bytes. Beyond either, the join is shuffled.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
 
 def _keys(keys):
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def fits_broadcast(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``side`` has at most ``max_rows`` rows. Counts at most
-    ``max_rows + 1`` rows (the limit stops the scan early)."""
-    return side.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                   max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``side`` has at most ``max_rows`` rows *and* about
+    ``max_bytes`` bytes (the JSON length of its rows, a stand-in for their
+    serialized size). One job over at most ``max_rows + 1`` rows (the limit
+    stops the scan early) computes both."""
+    probe = side.limit(max_rows + 1).select(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*side.columns)))), F.lit(0)).alias("b"))
+    n, b = probe.first()
+    return n <= max_rows and b <= max_bytes
 
 
 def lookup(left: DataFrame, right: DataFrame, on, how: str = "inner",

@@ -126,3 +126,9 @@ def test_first_pane_matches_sequential(spark, skewed):
     first = panes.first_pane(skewed, "k", "ts", "v", 1800)
     cols = ["k", "pane", "pane_start", "pane_rows", "pane_value"]
     assert sorted(first.select(*cols).collect()) == sorted(seq.select(*cols).collect())
+
+
+def test_broadcast_check_bounds_bytes(spark):
+    wide = spark.range(100).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 10_000).alias("text"))
+    assert joins.fits_broadcast(wide, max_rows=1000)                       # ~1 MB
+    assert not joins.fits_broadcast(wide, max_rows=1000, max_bytes=100_000)  # too many bytes
