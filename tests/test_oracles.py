@@ -66,3 +66,9 @@ def test_recipes_pin_utc(spark, duck, key):
     cur = duck.execute(ORACLES[key])
     assert digest(df.columns, rows)[0] == digest([d[0] for d in cur.description], cur.fetchall())[0]
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_bench_and_oracle_keys_are_registered():
+    import bench
+    assert set(bench.HEADLINE) <= set(QUERIES)
+    assert set(ORACLES) <= set(QUERIES)
