@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from flumen.llm import simhash
+from flumen.llm import bpe, simhash
 
 QUERIES = {
     "op6_simhash_near_dedup": simhash.query,
+    "op8_bpe_encode_decode": bpe.query,
 }
 
 ORACLES: dict[str, str] = {}
