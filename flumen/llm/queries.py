@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from flumen.llm import bpe, simhash
+from flumen.llm import bpe, langid, simhash
 
 QUERIES = {
     "op6_simhash_near_dedup": simhash.query,
     "op8_bpe_encode_decode": bpe.query,
+    "op10_language_id": langid.query,
 }
 
 ORACLES: dict[str, str] = {}
