@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from flumen.llm import bpe, langid, simhash, tokencount, urlfilter
+from flumen.llm import bpe, langid, ngramlm, simhash, tokencount, urlfilter
 
 QUERIES = {
     "op6_simhash_near_dedup": simhash.query,
     "op8_bpe_encode_decode": bpe.query,
     "op3_url_filters": urlfilter.query,
     "op4_token_counts": tokencount.query,
+    "op9_lm_scoring": ngramlm.query,
     "op10_language_id": langid.query,
 }
 
