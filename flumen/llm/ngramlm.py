@@ -29,11 +29,8 @@ training text every probability is 1 / (V + 1) = 1. Repeated rows count repeated
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
-from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flumen.llm.common import LOWER, SPACE, doc_of, fold, mix, prefix_hash, replaced, span_hash, text_buffer
-from flumen.session import scratch_path
+from flumen.llm.hasharrays import by_shard, dealt, find, held, mapped, mounted, planes, save, summed, unplaned
 from flumen.sources.tables import load
 
 BEGIN, END = np.uint64(1), np.uint64(2)     # word hashes are mixed; these two are marks
@@ -115,77 +112,6 @@ def pair_hash(prev: np.ndarray, token: np.ndarray) -> np.ndarray:
     return mix(prev * _FACTOR + token)
 
 
-# ---- sorted hash arrays -----------------------------------------------------------
-
-def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
-    """Shards are ranges of the hash, so sorted keys come shard by shard."""
-    return ((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
-
-
-def by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, slice]]:
-    """(shard, its slice) of sorted keys."""
-    if len(keys):
-        shard = shard_of(keys, shards)
-        edges = np.concatenate(([0], np.flatnonzero(np.diff(shard)) + 1, [len(keys)]))
-        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            yield int(shard[a]), slice(a, b)
-
-
-def planes(a: np.ndarray) -> bytes:
-    """The array byte by byte of its elements: high bytes of sorted keys and of small
-    counts then stand together, which the shuffle's compression removes."""
-    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.dtype.itemsize).T).tobytes()
-
-
-def unplaned(raw: bytes, kind: str) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
-
-
-def summed(keys: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
-    """Sorted distinct keys and the sums of their values."""
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    first = np.concatenate(([True], keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, dtype=bool)
-    at = np.flatnonzero(first)
-    return [keys[at], *(np.add.reduceat(v[order], at) if len(at) else v[:0] for v in values)]
-
-
-def save(path: str, array: np.ndarray) -> None:
-    part = f"{path}.{uuid.uuid4().hex}"
-    with open(part, "wb") as f:
-        np.save(f, array)
-    os.replace(part, path)
-
-
-@lru_cache(maxsize=65_536)
-def mapped(path: str) -> np.ndarray | None:
-    """The array in a file, memory-mapped once per worker; None where there is none."""
-    if not os.path.exists(path):
-        return None
-    array = np.load(path, mmap_mode="r")
-    return array if len(array) else None
-
-
-def find(folder: str, name: str, keys: np.ndarray, shards: int) -> Iterator[tuple[slice, str, np.ndarray, np.ndarray]]:
-    """For sorted keys, shard by shard: their slice, the shard's file stem, the
-    position in its sorted keys, and whether the key is there."""
-    for shard, part in by_shard(keys, shards):
-        stem = f"{folder}/{name}-{shard}"
-        held = mapped(stem + ".key.npy")
-        if held is not None:
-            at = np.minimum(np.searchsorted(held, keys[part]), len(held) - 1)
-            yield part, stem, at, held[at] == keys[part]
-
-
-def _folder(spark, label: str) -> str:
-    path = scratch_path(spark, label)
-    scheme = urlparse(path).scheme
-    if scheme not in ("", "file"):
-        raise ValueError(f"the scratch folder {path} must be mounted as a file system where workers run")
-    return urlparse(path).path
-
-
 # ---- learning ---------------------------------------------------------------------
 
 def discounts(n: list[int]) -> np.ndarray:
@@ -249,26 +175,11 @@ class Model:
         return out
 
 
-def _blocks(rows: DataFrame, shards: int, merge, schema: str) -> list:
-    """Deal blocks to their shards, merge and write each shard, return its figures
-    (one short row per shard)."""
-    return rows.repartition(shards, "shard").mapInArrow(merge, schema).collect()
-
-
-def _by_key(batches) -> dict[int, list[tuple]]:
-    held: dict[int, list[tuple]] = {}
-    for b in batches:
-        columns = [c.to_pylist() for c in b.columns]
-        for shard, *blobs in zip(*columns):
-            held.setdefault(shard, []).append(tuple(blobs))
-    return held
-
-
 def learn(texts: DataFrame, text_col: str = "text") -> Model:
     """Count all rows of ``texts`` into a model in the shared folder."""
     spark = texts.sparkSession
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    folder = _folder(spark, "ngram")
+    folder = mounted(spark, "ngram")
     column = texts.select(F.col(text_col).cast("string").alias("text"))
 
     def pairs(batches):
@@ -285,7 +196,7 @@ def learn(texts: DataFrame, text_col: str = "text") -> Model:
 
     def write_pairs(batches):
         os.makedirs(folder, exist_ok=True)
-        for shard, blobs in _by_key(batches).items():
+        for shard, blobs in held(batches).items():
             keys, n = summed(np.concatenate([unplaned(k, "<u8") for k, _ in blobs]), np.concatenate([unplaned(v, "<u4").astype(np.int64) for _, v in blobs]))
             save(f"{folder}/pair-{shard}.count.npy", n.astype("<u4") if n.max() < 1 << 32 else n)
             save(f"{folder}/pair-{shard}.key.npy", keys)
@@ -293,7 +204,7 @@ def learn(texts: DataFrame, text_col: str = "text") -> Model:
             yield pa.RecordBatch.from_arrays([pa.array([len(keys)])] + [pa.array([int(few[i])]) for i in range(1, 5)], names=["size", "n1", "n2", "n3", "n4"])
 
     figures = "size long, n1 long, n2 long, n3 long, n4 long"
-    got = _blocks(column.mapInArrow(pairs, "shard int, keys binary, counts binary"), shards, write_pairs, figures)
+    got = dealt(column.mapInArrow(pairs, "shard int, keys binary, counts binary"), shards, write_pairs, figures)
     model = Model(folder, shards, discounts([sum(r[f"n{i}"] for r in got) for i in range(1, 5)]), pairs=sum(r["size"] for r in got))
 
     def words(batches):
@@ -319,7 +230,7 @@ def learn(texts: DataFrame, text_col: str = "text") -> Model:
 
     def write_words(batches):
         os.makedirs(folder, exist_ok=True)
-        for shard, blobs in _by_key(batches).items():
+        for shard, blobs in held(batches).items():
             join = lambda i, kind: np.concatenate([unplaned(b[i], kind) for b in blobs])
             keys, count, contexts, mass = summed(join(0, "<u8"), join(1, "<u4").astype(np.int64), join(2, "<f8"), join(3, "<f8"))
             rows = np.zeros(len(keys), dtype=WORD)
@@ -330,7 +241,7 @@ def learn(texts: DataFrame, text_col: str = "text") -> Model:
             few = np.bincount(np.minimum(rows["contexts"][said], 5), minlength=6)
             yield pa.RecordBatch.from_arrays([pa.array([int(said.sum())])] + [pa.array([int(few[i])]) for i in range(1, 5)] + [pa.array([int(count[said].sum())])], names=["size", "n1", "n2", "n3", "n4", "tokens"])
 
-    got = _blocks(column.mapInArrow(words, "shard int, keys binary, counts binary, contexts binary, mass binary"), shards, write_words, figures + ", tokens long")
+    got = dealt(column.mapInArrow(words, "shard int, keys binary, counts binary, contexts binary, mass binary"), shards, write_words, figures + ", tokens long")
     few = [sum(r[f"n{i}"] for r in got) for i in range(1, 5)]
     model.word_cuts = discounts(few)
     model.vocabulary, model.train_tokens = sum(r["size"] for r in got), sum(r["tokens"] for r in got)
