@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from flumen.llm import bpe, langid, ngramlm, simhash, tokencount, urlfilter
+from flumen.llm import bpe, langid, ngramlm, simhash, suffixdedup, tokencount, urlfilter
 
 QUERIES = {
+    "op1_suffix_array_dedup": suffixdedup.query,
     "op6_simhash_near_dedup": simhash.query,
     "op8_bpe_encode_decode": bpe.query,
     "op3_url_filters": urlfilter.query,
