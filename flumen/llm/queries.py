@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from flumen.llm import bpe, langid, ngramlm, simhash, suffixdedup, tokencount, urlfilter
+from flumen.llm import bpe, decontaminate, langid, licences, ngramlm, simhash, suffixdedup, tokencount, urlfilter
 
 QUERIES = {
     "op1_suffix_array_dedup": suffixdedup.query,
+    "op2_benchmark_decontamination": decontaminate.query,
+    "op7_license_scan": licences.query,
     "op6_simhash_near_dedup": simhash.query,
     "op8_bpe_encode_decode": bpe.query,
     "op3_url_filters": urlfilter.query,
@@ -15,5 +17,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_benchmark_decontamination": decontaminate.ORACLE,
+    "op7_license_scan": licences.ORACLE,
     "op3_url_filters": urlfilter.ORACLE,
 }
