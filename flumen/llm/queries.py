@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from flumen.llm import bpe, decontaminate, langid, licences, ngramlm, simhash, suffixdedup, tokencount, urlfilter
+from flumen.llm import ann, bpe, decontaminate, langid, licences, ngramlm, simhash, suffixdedup, tokencount, urlfilter
 
 QUERIES = {
     "op1_suffix_array_dedup": suffixdedup.query,
     "op2_benchmark_decontamination": decontaminate.query,
     "op7_license_scan": licences.query,
+    "op5_nearest_neighbours": ann.query,
     "op6_simhash_near_dedup": simhash.query,
     "op8_bpe_encode_decode": bpe.query,
     "op3_url_filters": urlfilter.query,
