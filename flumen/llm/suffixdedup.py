@@ -49,18 +49,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flumen.llm.common import PIECE, doc_of, mix, prefix_hash, span_hash, text_buffer
+from flumen.llm.common import doc_of, mix, powers, prefix_hash, span_hash, text_buffer
 from flumen.llm.hasharrays import by_shard, dealt, find, held, mapped, mounted, planes, save, unplaned
 from flumen.sources.tables import load
 
 _FACTOR = np.uint64(0x9FB21C651E98DF25)
 _LOW = np.uint64((1 << 22) - 1)
 U32 = np.uint64(32)
+STEP = 1 << 18                      # windows handled by one round of array operations, under 2 ** 22
 
 
 @dataclass(frozen=True)
 class Settings:
-    length: int = 400
+    length: int = 400               # 2 at least
     anchor: int = 200
     batches: int = 4
 
@@ -88,22 +89,51 @@ class Spans:
     hashes: np.ndarray          # prefix hashes of the piece
 
 
+def _inside(offsets: np.ndarray, at: int, n: int, length: int) -> np.ndarray:
+    """Which of n window starts from ``at`` on keep their window in one document."""
+    low = np.clip(offsets[:-1] - at, 0, n)
+    high = np.maximum(np.clip(offsets[1:] - length + 1 - at, 0, n), low)
+    change = np.bincount(low, minlength=n + 1) - np.bincount(high, minlength=n + 1)
+    return np.cumsum(change[:n], dtype=np.int32) > 0
+
+
 def spans(data: np.ndarray, offsets: np.ndarray, s: Settings) -> Iterator[Spans]:
-    for at in range(0, max(0, len(data) - s.length + 1), PIECE):
-        part = data[at:at + PIECE + s.length - 1]
+    inverse = powers(STEP + s.length)[1]
+    for at in range(0, max(0, len(data) - s.length + 1), STEP):
+        part = data[at:at + STEP + s.length - 1]
         n = len(part) - s.length + 1
-        h, i = prefix_hash(part), np.arange(len(part) - s.anchor + 1)
-        prints = span_hash(h, i, i + s.anchor)
+        h = prefix_hash(part)
+        order = h[s.anchor:] - h[:-s.anchor]
+        order *= inverse[:len(order)]
+        order ^= order >> U32
+        order *= _FACTOR
         # the low bits give way to the position: of equal fingerprints the first wins
-        own = (sliding_min((prints & ~_LOW) | i.astype(np.uint64), s.length - s.anchor + 1)[:n] & _LOW).astype(np.int64)
-        start = np.arange(n)
-        doc = doc_of(offsets, start + at)
-        whole = start + at + s.length <= offsets[doc + 1]
-        start, own, doc = start[whole], own[whole], doc[whole]
-        if len(start):
-            new = np.flatnonzero(np.concatenate(([True], (np.diff(own) != 0) | (np.diff(doc) != 0) | (np.diff(start) != 1))))
-            first, last = start[new], start[np.append(new[1:], len(start)) - 1]
-            yield Spans(at, doc[new], first, last, prints[own[new]], span_hash(h, first, last + s.length), h)
+        order &= ~_LOW
+        order |= np.arange(len(order), dtype=np.uint64)
+        own = (sliding_min(order, s.length - s.anchor + 1)[:n] & _LOW).astype(np.int32)
+        whole = _inside(offsets, at, n, s.length)
+        # documents' windows never stand side by side: the last of one lies `length` before the next
+        new = whole.copy()
+        new[1:] &= (own[1:] != own[:-1]) | ~whole[:-1]
+        end = whole.copy()
+        end[:-1] &= (own[1:] != own[:-1]) | ~whole[1:]
+        first, last = np.flatnonzero(new), np.flatnonzero(end)
+        if len(first):
+            anchor = own[first].astype(np.int64)
+            yield Spans(at, doc_of(offsets, first + at), first, last, mix(span_hash(h, anchor, anchor + s.anchor)),
+                        span_hash(h, first, last + s.length), h)
+
+
+def chunks(data: np.ndarray, offsets: np.ndarray, s: Settings, at_once: int = 16) -> Iterator[list[Spans]]:
+    """Pieces in groups, so that a group's entries are looked up together."""
+    found = []
+    for p in spans(data, offsets, s):
+        found.append(p)
+        if len(found) == at_once:
+            yield found
+            found = []
+    if found:
+        yield found
 
 
 def windows(p: Spans, which: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -145,7 +175,7 @@ ENTRY = ("key", "n", "low", "high")
 class Family:
     """The levels of one index: [(rank, number)], the newest last. Arrays are files
     ``level-<number>-<shard>``; ``met-<batch>-<shard>`` are the prefixes that a batch
-    met again, with all that was known of them by then."""
+    met again, with all that was known of them by then; ``met-<shard>`` is their sum."""
 
     def __init__(self, spark, settings: Settings = Settings()):
         self.settings, self.shards = settings, int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -216,42 +246,59 @@ class Family:
         self.made = number + 1
         self.levels = [x for x in self.levels if x[1] not in numbers] + [(rank, number)]
 
+    def settle(self, spark) -> None:
+        """Put what the scans met together, one array a shard."""
+        folder, batches = self.folder, range(self.added)
+
+        def merge(rows):
+            for b in rows:
+                for shard in b.column(0).to_pylist():
+                    parts = [p for p in (_load(f"{folder}/met-{x}-{shard}", *ENTRY) for x in batches) if p is not None]
+                    if parts:
+                        key, n, low, high = [np.concatenate([p[i] for p in parts]) for i in range(4)]
+                        # a scan's sums hold those of the scans before it: the greatest is the last
+                        order = np.lexsort((n, key))
+                        last = np.concatenate((key[order][1:] != key[order][:-1], [True]))
+                        _, _, low, high = gathered(key, n, low, high)
+                        _save(f"{folder}/met-{shard}", key=key[order][last], n=n[order][last], low=low, high=high)
+                    yield pa.RecordBatch.from_arrays([pa.array([shard])], names=["shard"])
+        spark.range(0, self.shards, 1, self.shards).mapInArrow(merge, "shard long").count()
+
     def lookup(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(n, low, high) of sorted prefixes as the scans met them; n is 0 for those
         that occur once."""
-        n = np.zeros(len(keys), dtype=np.int64)
-        low, high = np.full(len(keys), np.uint64(2**64 - 1)), np.zeros(len(keys), dtype=np.uint64)
-        for batch in range(self.added):
-            for part, stem, at, there in find(self.folder, f"met-{batch}", keys, self.shards):
-                a, hit = at[there], np.flatnonzero(there) + part.start
-                n[hit] = np.maximum(n[hit], mapped(stem + ".n.npy")[a])
-                low[hit] = np.minimum(low[hit], mapped(stem + ".low.npy")[a])
-                high[hit] = np.maximum(high[hit], mapped(stem + ".high.npy")[a])
+        n, low, high = (np.zeros(len(keys), dtype=k) for k in (np.int64, np.uint64, np.uint64))
+        for part, stem, at, there in find(self.folder, "met", keys, self.shards):
+            for out, name in ((n, "n"), (low, "low"), (high, "high")):
+                out[part] = np.where(there, mapped(f"{stem}.{name}.npy")[at], 0)
         return n, low, high
 
 
 # ---- matches -----------------------------------------------------------------------
 
-def _unsorted(keys: np.ndarray, look) -> list[np.ndarray]:
-    """``look`` asked for the distinct sorted keys, its answers in the keys' order."""
-    found, back = np.unique(keys, return_inverse=True)
-    return [a[back] for a in look(found)]
+def _asked(parts: list[np.ndarray], look) -> list[list[np.ndarray]]:
+    """``look`` asked once for the distinct sorted keys of several arrays; its answers
+    for each of them, in their order."""
+    found, back = np.unique(np.concatenate(parts), return_inverse=True)
+    cuts = np.cumsum([len(p) for p in parts])[:-1]
+    return list(zip(*[np.split(answer[back], cuts) for answer in look(found)]))
 
 
 @dataclass
 class Matches:
-    """What the passes found, for looking a text's spans and windows up."""
+    """What the passes found, for looking spans and windows of texts up."""
     family: Family
 
-    def spans(self, p: Spans) -> tuple[np.ndarray, np.ndarray]:
-        """Of each span: whether its prefix repeats with this string alone, and whether
-        it repeats with several."""
-        n, low, high = _unsorted(p.key, self.family.lookup)
-        return (n >= 2) & (low == high), (n >= 2) & (low != high)
+    def spans(self, group: list[Spans]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per piece, of each span: whether its prefix repeats with this string alone,
+        and whether it repeats with several."""
+        return [((n >= 2) & (low == high), (n >= 2) & (low != high))
+                for n, low, high in _asked([p.key for p in group], self.family.lookup)]
 
-    def counts(self, p: Spans, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(occurrences, origin of the representative) of spans of mixed prefixes."""
-        f, name = self.family, mix(p.key[which] * _FACTOR + p.print[which])
+    def counts(self, group: list[Spans], which: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per piece: (occurrences, origin of the representative) of spans of mixed
+        prefixes."""
+        f = self.family
 
         def look(keys):
             n, origin = np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=np.uint64)
@@ -259,33 +306,40 @@ class Matches:
                 n[part] = np.where(there, mapped(stem + ".n.npy")[at], 0)
                 origin[part] = np.where(there, mapped(stem + ".origin.npy")[at], 0)
             return n, origin
-        return tuple(_unsorted(name, look))
+        return _asked([mix(p.key[w] * _FACTOR + p.print[w]) for p, w in zip(group, which)], look)
 
     def repeated(self, hashes: np.ndarray, checks: np.ndarray) -> np.ndarray:
         """Whether windows, given by hash and check, occur twice or more."""
         f = self.family
-        keys, back = np.unique(hashes, return_inverse=True)
-        check, many = np.zeros(len(keys), dtype=np.uint64), np.zeros(len(keys), dtype=bool)
-        for part, stem, at, there in find(f.folder, "window", keys, f.shards):
-            check[part] = mapped(stem + ".check.npy")[at]
-            many[part] = there
-        return many[back] & (check[back] == checks)
+
+        def look(keys):
+            check, many = np.zeros(len(keys), dtype=np.uint64), np.zeros(len(keys), dtype=bool)
+            for part, stem, at, there in find(f.folder, "window", keys, f.shards):
+                check[part] = mapped(stem + ".check.npy")[at]
+                many[part] = there
+            return check, many
+        (check, many), = _asked([hashes], look)
+        return many & (check == checks)
 
     def ranges(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Maximal removed runs of the buffer, as sorted starts and ends; a run is cut
         where a document ends."""
         s, starts, ends = self.family.settings, [], []
-        for p in spans(data, offsets, s):
-            sole, mixed = self.spans(p)
-            which = np.flatnonzero(mixed)
-            n, _ = self.counts(p, which)
-            all_of = np.concatenate((np.flatnonzero(sole), which[n >= 2]))
-            starts.append(p.first[all_of] + p.at)
-            ends.append(p.last[all_of] + p.at + s.length)
-            start, _, h, check = windows(p, which[n < 2], s)
-            start = np.unique(start[self.repeated(h, check)]) + p.at
-            starts.append(start)
-            ends.append(start + s.length)
+        for group in chunks(data, offsets, s):
+            found = self.spans(group)
+            which = [np.flatnonzero(mixed) for _, mixed in found]
+            open_at, h, check = [], [], []
+            for p, (sole, _), w, (n, _) in zip(group, found, which, self.counts(group, which)):
+                whole = np.concatenate((np.flatnonzero(sole), w[n >= 2]))
+                starts.append(p.first[whole] + p.at)
+                ends.append(p.last[whole] + p.at + s.length)
+                at, _, own, sign = windows(p, w[n < 2], s)
+                open_at.append(at + p.at)
+                h.append(own)
+                check.append(sign)
+            again = np.concatenate(open_at)[self.repeated(np.concatenate(h), np.concatenate(check))]
+            starts.append(again)
+            ends.append(again + s.length)
         if not starts:
             return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         start, end = np.concatenate(starts), np.concatenate(ends)
@@ -298,6 +352,12 @@ class Matches:
         return start[new], end[np.append(np.flatnonzero(new)[1:], len(start)) - 1]
 
 
+def origin_of(p: Spans, which: np.ndarray, names: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where a span stands, by its document's name: the least one is the representative."""
+    doc = p.doc[which]
+    return mix(names[doc] + (p.first[which] + p.at - offsets[doc]).astype(np.uint64) * _FACTOR)
+
+
 def _identity(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
 
@@ -309,16 +369,17 @@ def match(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", setti
     rows = docs.select(F.col(text_col).cast("string").alias("text"), _identity(id_col, text_col).alias("name"))
     for i in range(settings.batches):
         family.add(rows.where(F.pmod("name", F.lit(settings.batches)) == i).select("text"))
+    family.settle(docs.sparkSession)
 
     def mixed_spans(batches):
         for b in batches:
             data, offsets = text_buffer(b.column(0))
             names, parts = b.column(1).to_numpy().view(np.uint64), []
-            for p in spans(data, offsets, settings):
-                _, mixed = matches.spans(p)
-                w = np.flatnonzero(mixed)
-                origin = mix(names[p.doc[w]] + (p.first[w] + p.at - offsets[p.doc[w]]).astype(np.uint64) * _FACTOR)
-                parts.append(gathered(mix(p.key[w] * _FACTOR + p.print[w]), np.ones(len(w), dtype=np.int64), origin, origin))
+            for group in chunks(data, offsets, settings):
+                for p, (_, mixed) in zip(group, matches.spans(group)):
+                    w = np.flatnonzero(mixed)
+                    origin = origin_of(p, w, names, offsets)
+                    parts.append(gathered(mix(p.key[w] * _FACTOR + p.print[w]), np.ones(len(w), dtype=np.int64), origin, origin))
             if parts:
                 key, n, origin, _ = gathered(*[np.concatenate([x[i] for x in parts]) for i in range(4)])
                 out = [(sh, planes(key[c]), planes(n[c].astype("<u4")), planes(origin[c])) for sh, c in by_shard(key, shards)]
@@ -339,19 +400,17 @@ def match(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", setti
         for b in batches:
             data, offsets = text_buffer(b.column(0))
             names, parts = b.column(1).to_numpy().view(np.uint64), []
-            for p in spans(data, offsets, settings):
-                _, mixed = matches.spans(p)
-                w = np.flatnonzero(mixed)
-                n, chosen = matches.counts(p, w)
-                origin = mix(names[p.doc[w]] + (p.first[w] + p.at - offsets[p.doc[w]]).astype(np.uint64) * _FACTOR)
-                asked = (n < 2) | (origin == chosen)
-                _, row, h, check = windows(p, w[asked], settings)
-                # the representative speaks for all its copies
-                parts.append((h, check, np.where(n[asked] >= 2, 2, 1)[row]))
+            for group in chunks(data, offsets, settings):
+                which = [np.flatnonzero(mixed) for _, mixed in matches.spans(group)]
+                for p, w, (n, chosen) in zip(group, which, matches.counts(group, which)):
+                    asked = (n < 2) | (origin_of(p, w, names, offsets) == chosen)
+                    _, row, h, check = windows(p, w[asked], settings)
+                    # the representative speaks for all its copies
+                    parts.append((h, check.astype("<u4"), np.where(n[asked] >= 2, 2, 1).astype(np.uint8)[row]))
             if parts:
                 h, check, n = [np.concatenate([x[i] for x in parts]) for i in range(3)]
                 order = np.argsort(h, kind="stable")
-                h, check, n = h[order], check[order].astype("<u4"), n[order].astype(np.uint8)
+                h, check, n = h[order], check[order], n[order]
                 out = [(sh, planes(h[c]), planes(check[c]), n[c].tobytes()) for sh, c in by_shard(h, shards)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], type=pa.int32())] + [pa.array([r[i] for r in out], type=pa.binary()) for i in range(1, 4)], names=["shard", "hash", "check", "n"])
 
