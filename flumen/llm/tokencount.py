@@ -124,5 +124,5 @@ def query(spark, sf_dir: str) -> DataFrame:
     """op4: tokens of every line of every document, crossing tokens to the line of
     their first character."""
     docs = with_sections(load(spark, sf_dir, "documents").select("doc_id", "text"))
-    rows = docs.select("doc_id", F.inline("sections"))
+    rows = docs.select("doc_id", F.inline_outer("sections"))
     return rows.select("doc_id", "section", "start_char", "end_char", F.col("n_tokens").cast("long").alias("n_tokens"), "n_crossing")
