@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flumen.llm.common import written
+from flumen.llm.common import arrow_udf, written
 from flumen.sources.tables import load
 
 
@@ -106,7 +106,7 @@ class Index:
         self.books = books = (fit(x[:, :half], s.centroids, s.rounds), fit(x[:, half:], s.centroids, s.rounds)) if len(x) else (np.zeros((1, half)), np.zeros((1, width - half)))
         count = len(books[1])
 
-        @F.arrow_udf("int")
+        @arrow_udf("int")
         def cell(column: pa.Array) -> pa.Array:
             v = matrix(column, width)
             return pa.array((distances(v[:, :half], books[0]).argmin(axis=1) * count + distances(v[:, half:], books[1]).argmin(axis=1)).astype(np.int32))
@@ -122,7 +122,7 @@ class Index:
         that of a hash of their id, and are cut in equal parts."""
         sizes, start, total, blocks = self.sizes.ravel(), np.cumsum(self.sizes.ravel()) - self.sizes.ravel(), max(1, self.total), self.blocks
 
-        @F.arrow_udf("int")
+        @arrow_udf("int")
         def run(cell: pa.Array, mixed: pa.Array) -> pa.Array:
             c = cell.to_numpy()
             part = (mixed.to_numpy().view(np.uint64) >> np.uint64(11)) * 2.0**-53
@@ -136,7 +136,7 @@ class Index:
         need = max(int(np.ceil(self.total * s.share)), s.least, k + 1)
         count = len(books[1])
 
-        @F.arrow_udf("double")
+        @arrow_udf("double")
         def far(column: pa.Array) -> pa.Array:
             v = matrix(column, width)
             one, two = distances(v[:, :half], books[0]), distances(v[:, half:], books[1])

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 from functools import lru_cache
 
 import ahocorasick
@@ -31,12 +32,12 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flumen.llm.common import replaced
+from flumen.llm.common import arrow_udf, replaced
 from flumen.sources.tables import load
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
-MEMO_WORDS = 200_000            # words whose ids a worker remembers; then it starts afresh
-MEMO_PAIRS = 400_000            # likewise, pairs of the compatibility table
+MEMO_WORDS = 120_000            # words whose ids a worker remembers, twice as many at most
+MEMO_PAIRS = 200_000            # pairs of the compatibility table; then it starts afresh
 MEMO_BYTES = 64                 # longer words are not remembered
 
 
@@ -96,7 +97,9 @@ class Codec:
         np.cumsum([len(t) for t in texts], out=self.offsets[1:])
         self.blob = np.frombuffer(b"".join(texts), dtype=np.uint8)
         self.pattern = regex.compile(public_tokenizers.PATTERN)
-        self.memo: dict[str, tuple[str, int, bytes]] = {}
+        self.shown = [str(i) for i in range(size)]
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _fits(self, left: int, right: int, below: float = float("inf")) -> bool:
         """Whether no merge of rank under ``below`` joins anything across the border
@@ -157,33 +160,36 @@ class Codec:
                 at -= length[token]
                 token = shorter[token]
 
-    def _remember(self, word: str) -> tuple[str, int, bytes]:
-        ids = self.encode_word(word.encode("utf-8"))
-        entry = (",".join(map(str, ids)), len(ids), np.array(ids, dtype="<i4").tobytes())
+    def _entry(self, word: str) -> bytes:
+        """The word's ids as 32-bit integers, remembered in two generations: when the
+        younger one is full it becomes the older one, so usual words stay."""
+        entry = self.older.get(word)
+        if entry is None:
+            entry = struct.pack(f"<{len(ids := self.encode_word(word.encode('utf-8')))}i", *ids)
         if len(word) <= MEMO_BYTES:
             if len(self.memo) >= MEMO_WORDS:
-                self.memo.clear()
+                self.older = self.memo
+                self.memo = {}
             self.memo[word] = entry
         return entry
 
-    def _words(self, text: str):
-        """Word entries in order; added tokens stand for themselves."""
+    def encode_raw(self, text: str) -> bytes:
+        """The ids as little-endian 32-bit integers; added tokens stand for themselves."""
         pieces = [text]
         if any(t in text for t in self.added):
             pieces = regex.split("(" + "|".join(map(regex.escape, self.added)) + ")", text)
-        memo, make = self.memo, self._remember
+        out, make = [], self._entry
         for n, piece in enumerate(pieces):
             if n % 2:
-                i = self.added_id[piece]
-                yield (str(i), 1, np.array([i], dtype="<i4").tobytes())
+                out.append(struct.pack("<i", self.added_id[piece]))
             else:
-                for w in self.pattern.findall(piece):
-                    yield memo.get(w) or make(w)
+                out += [self.memo.get(w) or make(w) for w in self.pattern.findall(piece)]
+        return b"".join(out)
 
     def encode(self, text: str) -> tuple[np.ndarray, str]:
         """The ids, and the same as decimal text joined by commas."""
-        found = list(self._words(text))
-        return np.frombuffer(b"".join([x[2] for x in found]), dtype="<i4"), ",".join([x[0] for x in found])
+        ids = np.frombuffer(self.encode_raw(text), dtype="<i4")
+        return ids, ",".join(map(self.shown.__getitem__, ids.tolist()))
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of the ids; bytes that are no UTF-8 become replacement characters."""
@@ -201,19 +207,20 @@ def codec(path: str) -> Codec:
 
 def encode(text: str | Column, path: str = TOKENIZER) -> Column:
     """Token ids of a text column as array<int>; null gives an empty array."""
-    @F.arrow_udf("array<int>")
+    @arrow_udf("array<int>")
     def run(column: pa.Array) -> pa.Array:
-        c = codec(path)
-        ids = [c.encode(x.as_py() or "")[0] for x in column]
-        offsets = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
-        flat = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
+        c, raw, ends = codec(path), bytearray(), [0]
+        for x in column:
+            raw += c.encode_raw(x.as_py() or "")
+            ends.append(len(raw) // 4)
+        ids = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(raw)])
+        return pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), ids)
     return run(text)
 
 
 def decode(ids: str | Column, path: str = TOKENIZER) -> Column:
     """Text of an array<int> column of ids; null gives an empty text."""
-    @F.arrow_udf("string")
+    @arrow_udf("string")
     def run(column: pa.Array) -> pa.Array:
         c = codec(path)
         return pa.array([c.decode(np.array(x.as_py() or [], dtype=np.int64)) for x in column], type=pa.string())
@@ -223,7 +230,7 @@ def decode(ids: str | Column, path: str = TOKENIZER) -> Column:
 def digests(text: str | Column, path: str = TOKENIZER) -> Column:
     """struct(n_tokens, ids_sha256, decoded_sha256): each text is encoded, its ids are
     decoded, and both sides are hashed without leaving the task."""
-    @F.arrow_udf("struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>")
+    @arrow_udf("struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>")
     def run(column: pa.Array) -> pa.Array:
         c = codec(path)
         n, a, b = [], [], []

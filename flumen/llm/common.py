@@ -7,16 +7,18 @@ offsets (a null text is an empty one), so per-byte work is numpy, not Python.
 
 from __future__ import annotations
 
+import ctypes
+import inspect
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flumen.session import scratch_path
 
-PIECE = 1 << 20          # bytes handled by one round of array operations
+BATCH_BYTES = 8 << 20    # of an Arrow batch
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -27,6 +29,42 @@ SPACE = np.zeros(256, dtype=bool)               # \x20 and \x09-\x0D
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Let no Arrow batch that is sent to a worker hold more than ``BATCH_BYTES`` (or one
+    row): a batch of long texts would else be as many times larger as its texts are. A
+    smaller limit of the session stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).lower().rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def arrow_udf(kind: str):
+    """``functions.arrow_udf`` over batches of bounded size. It is declared not
+    deterministic, though it is: else a filter on its result, asked for or inferred from
+    a join, is pushed below it and runs it a second time, in a second worker. After each
+    batch, memory that is free goes back to the system, as idle workers stay."""
+    bounded_batches(SparkSession.active())
+
+    def made(f):
+        def run(*columns):
+            out = f(*columns)
+            released()
+            return out
+        run.__annotations__ = f.__annotations__
+        run.__signature__ = inspect.signature(f)
+        return F.arrow_udf(kind)(run).asNondeterministic()
+    return made
+
+
+def released() -> None:
+    """Give free memory of Arrow and of the C library back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # the GNU library's
+    if trim:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser, so that any bits of a polynomial hash may be compared."""
     x = x ^ (x >> np.uint64(33))

@@ -18,6 +18,7 @@ from urllib.parse import urlparse
 import numpy as np
 from pyspark.sql import DataFrame
 
+from flumen.llm.common import bounded_batches, released
 from flumen.session import scratch_path
 
 
@@ -93,7 +94,12 @@ def mounted(spark, label: str) -> str:
 def dealt(rows: DataFrame, shards: int, merge, schema: str) -> list:
     """Deal blocks to their shards, merge and write each shard, return its figures
     (one short row per shard)."""
-    return rows.repartition(shards, "shard").mapInArrow(merge, schema).collect()
+    bounded_batches(rows.sparkSession)
+
+    def merged(batches):
+        yield from merge(batches)
+        released()
+    return rows.repartition(shards, "shard").mapInArrow(merged, schema).collect()
 
 
 def held(batches) -> dict[int, list[tuple]]:

@@ -33,10 +33,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flumen.llm.common import LOWER, PIECE, doc_of, fold, mix, replaced, text_buffer
+from flumen.llm.common import LOWER, arrow_udf, bounded_batches, doc_of, fold, mix, released, replaced, text_buffer, written
 from flumen.sources.tables import load
 
 UNKNOWN = "und"
+PIECE = 1 << 18                     # bytes handled by one round of array operations
 
 
 @dataclass(frozen=True)
@@ -82,12 +83,16 @@ def gram_counts(labelled: DataFrame, text: str, lang: str, s: Settings) -> DataF
             langs = pc.dictionary_encode(b.column(1))
             codes, names = langs.indices.to_numpy(zero_copy_only=False), langs.dictionary.to_pylist()
             data, offsets = text_buffer(b.column(0))
-            for grams, doc in pieces(data, offsets, s.n):
-                for i, name in enumerate(names):
-                    found, n = np.unique(grams[codes[doc] == i], return_counts=True)
+            parts = [[np.unique(grams[codes[doc] == i], return_counts=True) for i in range(len(names))] for grams, doc in pieces(data, offsets, s.n)]
+            for i, name in enumerate(names):
+                if parts:
+                    found, back = np.unique(np.concatenate([p[i][0] for p in parts]), return_inverse=True)
+                    n = np.bincount(back, weights=np.concatenate([p[i][1] for p in parts]), minlength=len(found))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([name] * len(found), type=pa.string()), pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))],
                         names=["lang", "gram", "n"])
+            released()
+    bounded_batches(labelled.sparkSession)
     rows = labelled.where(F.col(lang).isNotNull()).select(F.col(text).cast("string"), F.col(lang).cast("string"))
     return (rows.mapInArrow(count, "lang string, gram long, n long")
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
@@ -129,7 +134,7 @@ class Model:
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", settings: Settings = Settings()) -> Model:
     """The model of all rows of ``labelled`` whose label is not null."""
     s = settings
-    counts = gram_counts(labelled, text, lang, s).persist()
+    counts = written(gram_counts(labelled, text, lang, s), "grams")
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(totals)
     width = max(1, -(-len(langs) // 8))
@@ -150,7 +155,6 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", settings:
                 .groupBy("slot", "byte").agg(F.expr("bit_or(bits)").alias("bits")).toArrow())
         slot, byte = rows["slot"].to_numpy(), rows["byte"].to_numpy()
         table[slot, byte] = rows["bits"].to_numpy().astype(np.uint8)
-    counts.unpersist()
     return Model(langs, langs.index(max(langs, key=totals.get)) if langs else 0, table, s)
 
 
@@ -160,7 +164,7 @@ def predict(text: str | Column, spark, model: Model) -> Column:
     column = F.col(text) if isinstance(text, str) else text
     shared = spark.sparkContext.broadcast(model)
 
-    @F.arrow_udf("struct<lang_pred:string,score:double>")
+    @arrow_udf("struct<lang_pred:string,score:double>")
     def run(texts: pa.Array) -> pa.Array:
         m = shared.value
         langs, score = m.predict(texts) if m.langs else ([UNKNOWN] * len(texts), np.zeros(len(texts)))

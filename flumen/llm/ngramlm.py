@@ -37,12 +37,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flumen.llm.common import LOWER, SPACE, doc_of, fold, mix, prefix_hash, replaced, span_hash, text_buffer
+from flumen.llm.common import LOWER, SPACE, arrow_udf, doc_of, fold, mix, prefix_hash, replaced, span_hash, text_buffer
 from flumen.llm.hasharrays import by_shard, dealt, find, held, mapped, mounted, planes, save, summed, unplaned
 from flumen.sources.tables import load
 
 BEGIN, END = np.uint64(1), np.uint64(2)     # word hashes are mixed; these two are marks
-PIECE = 1 << 21
+PIECE = 1 << 20
+BLOCK = 2_000_000                           # entries that a task gathers before it sends them
 _FACTOR = np.uint64(0x9FB21C651E98DF25)
 WORD = np.dtype([("key", "<u8"), ("count", "<i8"), ("contexts", "<i8"), ("mass", "<f8")])
 
@@ -183,16 +184,20 @@ def learn(texts: DataFrame, text_col: str = "text") -> Model:
     column = texts.select(F.col(text_col).cast("string").alias("text"))
 
     def pairs(batches):
+        def block(parts):
+            keys, n = summed(np.concatenate([k for k, _ in parts]), np.concatenate([v for _, v in parts]))
+            found = [(s, planes(keys[part]), planes(n[part].astype("<u4"))) for s, part in by_shard(keys, shards)]
+            return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], type=pa.int32()), pa.array([f[1] for f in found], type=pa.binary()), pa.array([f[2] for f in found], type=pa.binary())], names=["shard", "keys", "counts"])
+        parts, size = [], 0
         for b in batches:
-            parts = []
             for _, token, prev in tokens(b.column(0)):
                 parts.append(np.unique(pair_hash(prev, token), return_counts=True))
-            if not parts:
-                continue
-            keys, n = summed(np.concatenate([k for k, _ in parts]), np.concatenate([v for _, v in parts]))
-            del parts
-            found = [(s, planes(keys[part]), planes(n[part].astype("<u4"))) for s, part in by_shard(keys, shards)]
-            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], type=pa.int32()), pa.array([f[1] for f in found], type=pa.binary()), pa.array([f[2] for f in found], type=pa.binary())], names=["shard", "keys", "counts"])
+                size += len(parts[-1][0])
+                if size >= BLOCK:
+                    yield block(parts)
+                    parts, size = [], 0
+        if parts:
+            yield block(parts)
 
     def write_pairs(batches):
         os.makedirs(folder, exist_ok=True)
@@ -208,25 +213,27 @@ def learn(texts: DataFrame, text_col: str = "text") -> Model:
     model = Model(folder, shards, discounts([sum(r[f"n{i}"] for r in got) for i in range(1, 5)]), pairs=sum(r["size"] for r in got))
 
     def words(batches):
+        def block(parts):
+            keys, *values = summed(*[np.concatenate([p[i] for p in parts]) for i in range(4)])
+            found = [(s, planes(keys[part]), planes(values[0][part].astype("<u4")), planes(values[1][part]), planes(values[2][part])) for s, part in by_shard(keys, shards)]
+            return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], type=pa.int32())] + [pa.array([f[i] for f in found], type=pa.binary()) for i in range(1, 5)], names=["shard", "keys", "counts", "contexts", "mass"])
+        parts, size = [], 0
         for b in batches:
-            parts = []
             for _, token, prev in tokens(b.column(0)):
                 pair, at, n = np.unique(pair_hash(prev, token), return_index=True, return_counts=True)
                 c = model.pair_counts(pair)
                 share = n / c
                 # words with their counts; contexts with their mass, a begin mark counting as one
-                parts.append((token, np.ones(len(token), dtype=np.int64), np.zeros(len(token)), np.zeros(len(token))))
-                begun = prev[prev == BEGIN]
-                parts.append((begun, np.ones(len(begun), dtype=np.int64), np.zeros(len(begun)), np.zeros(len(begun))))
-                none = np.zeros(len(pair), dtype=np.int64)
-                parts.append((token[at], none, share, np.zeros(len(pair))))
-                parts.append((prev[at], none, np.zeros(len(pair)), share * model.pair_cuts[np.minimum(c, 3)]))
-                parts = [tuple(summed(*[np.concatenate([p[i] for p in parts]) for i in range(4)]))]
-            if not parts:
-                continue
-            keys, *values = parts[0]
-            found = [(s, planes(keys[part]), planes(values[0][part].astype("<u4")), planes(values[1][part]), planes(values[2][part])) for s, part in by_shard(keys, shards)]
-            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], type=pa.int32())] + [pa.array([f[i] for f in found], type=pa.binary()) for i in range(1, 5)], names=["shard", "keys", "counts", "contexts", "mass"])
+                said = np.concatenate((token, prev[prev == BEGIN]))
+                none, nought, some = np.zeros(len(pair), dtype=np.int64), np.zeros(len(said)), np.zeros(len(pair))
+                parts.append(tuple(summed(np.concatenate((said, token[at], prev[at])), np.concatenate((np.ones(len(said), dtype=np.int64), none, none)),
+                                          np.concatenate((nought, share, some)), np.concatenate((nought, some, share * model.pair_cuts[np.minimum(c, 3)])))))
+                size += len(parts[-1][0])
+                if size >= BLOCK:
+                    yield block(parts)
+                    parts, size = [], 0
+        if parts:
+            yield block(parts)
 
     def write_words(batches):
         os.makedirs(folder, exist_ok=True)
@@ -255,7 +262,7 @@ def learn(texts: DataFrame, text_col: str = "text") -> Model:
 
 def scores(text: str | Column, model: Model) -> Column:
     """struct(n_tokens, n_known, base_score, score) of a text column."""
-    @F.arrow_udf("struct<n_tokens:bigint,n_known:bigint,base_score:double,score:double>")
+    @arrow_udf("struct<n_tokens:bigint,n_known:bigint,base_score:double,score:double>")
     def run(column: pa.Array) -> pa.Array:
         found = model.score(column)
         return pa.StructArray.from_arrays([pa.array(v) for v in found.values()], names=list(found))

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flumen.llm.common import written
+from flumen.llm.common import arrow_udf, written
 from flumen.llm.graph import components
 from flumen.sources.tables import load
 
@@ -51,7 +51,7 @@ def fingerprint_of(text: bytes, words: int = 4) -> int:
 
 def fingerprint(text: str | Column, words: int = 4) -> Column:
     """Fingerprint of a text column as a long (its bits, in two's complement)."""
-    @F.arrow_udf("long")
+    @arrow_udf("long")
     def run(column: pa.Array) -> pa.Array:
         out = [fingerprint_of(x.as_buffer().to_pybytes() if x.is_valid else b"", words) for x in column]
         return pa.array(np.array(out, dtype=np.uint64).view(np.int64))

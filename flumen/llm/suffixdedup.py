@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flumen.llm.common import doc_of, mix, powers, prefix_hash, span_hash, text_buffer
+from flumen.llm.common import arrow_udf, doc_of, mix, powers, prefix_hash, span_hash, text_buffer
 from flumen.llm.hasharrays import by_shard, dealt, find, held, mapped, mounted, planes, save, unplaned
 from flumen.sources.tables import load
 
@@ -124,7 +124,7 @@ def spans(data: np.ndarray, offsets: np.ndarray, s: Settings) -> Iterator[Spans]
                         span_hash(h, first, last + s.length), h)
 
 
-def chunks(data: np.ndarray, offsets: np.ndarray, s: Settings, at_once: int = 16) -> Iterator[list[Spans]]:
+def chunks(data: np.ndarray, offsets: np.ndarray, s: Settings, at_once: int = 8) -> Iterator[list[Spans]]:
     """Pieces in groups, so that a group's entries are looked up together."""
     found = []
     for p in spans(data, offsets, s):
@@ -445,7 +445,7 @@ def _kept(column: pa.Array, matches: Matches):
 
 def digests(text: str | Column, matches: Matches) -> Column:
     """struct(n_bytes, n_removed, n_spans, kept_sha256) of a text column."""
-    @F.arrow_udf("struct<n_bytes:bigint,n_removed:bigint,n_spans:bigint,kept_sha256:string>")
+    @arrow_udf("struct<n_bytes:bigint,n_removed:bigint,n_spans:bigint,kept_sha256:string>")
     def run(column: pa.Array) -> pa.Array:
         size, removed, runs, sha = [], [], [], []
         for raw, starts, ends in _kept(column, matches):
@@ -466,7 +466,7 @@ def digests(text: str | Column, matches: Matches) -> Column:
 def kept_text(text: str | Column, matches: Matches) -> Column:
     """The remaining text. Runs are byte strings: of a character that is cut in two, the
     part that is left goes, too."""
-    @F.arrow_udf("string")
+    @arrow_udf("string")
     def run(column: pa.Array) -> pa.Array:
         out = []
         for raw, starts, ends in _kept(column, matches):

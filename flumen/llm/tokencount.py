@@ -30,7 +30,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flumen.llm.common import replaced
+from flumen.llm.common import arrow_udf, replaced
 from flumen.sources.tables import load
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -100,7 +100,7 @@ def section_tokens(text: str | Column, cut: str = r"\n", rule: str = "first", pa
         raise ValueError(f"rule is one of {', '.join(RULES)}")
     pattern = regex.compile(cut.encode("utf-8"))
 
-    @F.arrow_udf(SECTIONS)
+    @arrow_udf(SECTIONS)
     def run(column: pa.Array) -> pa.Array:
         found = [sections_of(x.as_py() or "", path, pattern, rule) for x in column]
         offsets = np.concatenate(([0], np.cumsum([len(f[0]) for f in found]))).astype(np.int32)

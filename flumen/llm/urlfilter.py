@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flumen.llm.common import replaced, text_buffer
+from flumen.llm.common import arrow_udf, replaced, text_buffer
 from flumen.sources.tables import load
 
 ALLOW, BLOCK = "allow", "block"
@@ -158,7 +158,7 @@ def glob_matches(text: str | Column, globs: list[str]) -> Column:
     """array<int>: indices of the globs that match the whole text."""
     automaton = Automaton(globs)
 
-    @F.arrow_udf("array<int>")
+    @arrow_udf("array<int>")
     def run(column: pa.Array) -> pa.Array:
         found = automaton.matches(column)
         ends = np.concatenate(([0], np.cumsum(found.sum(axis=1)))).astype(np.int32)
