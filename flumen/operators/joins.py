@@ -1,7 +1,6 @@
 """Joins: co-group, dictionary look-up, exclusion list.
 
-Physical strategy is left to Catalyst/AQE. The one explicit broadcast is behind
-a row-count check with a bound, and falls back to a shuffled join beyond it.
+Physical strategy is left to Catalyst/AQE: no hints, and no job while a plan is built.
 """
 
 from __future__ import annotations
@@ -9,52 +8,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default bounds for broadcasting a look-up side: rows and (approximate,
-# serialized) bytes. Beyond either, the join is shuffled.
-BROADCAST_MAX_ROWS = 2_000_000
-BROADCAST_MAX_BYTES = 256 * 1024 * 1024
-
-
 def _keys(keys):
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def fits_broadcast(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                   max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """True when ``side`` has at most ``max_rows`` rows *and* about
-    ``max_bytes`` bytes (the JSON length of its rows, a stand-in for their
-    serialized size). One job over at most ``max_rows + 1`` rows (the limit
-    stops the scan early) computes both."""
-    probe = side.limit(max_rows + 1).select(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*side.columns)))), F.lit(0)).alias("b"))
-    n, b = probe.first()
-    return n <= max_rows and b <= max_bytes
-
-
-def lookup(left: DataFrame, right: DataFrame, on, how: str = "inner",
-           max_rows: int = BROADCAST_MAX_ROWS, right_rows: int | None = None) -> DataFrame:
-    """Side-input style look-up: broadcast ``right`` when its size is proven
-    small, else a normal shuffled join (AQE may still switch at runtime).
-    ``right_rows``, when already known (for example observed while the table
-    was written), replaces the counting job."""
-    small = right_rows <= max_rows if right_rows is not None else fits_broadcast(right, max_rows)
-    side = F.broadcast(right) if small else right
-    return left.join(side, on=on, how=how)
-
-
-def lookup_nonzero(left: DataFrame, right: DataFrame, on, value: str,
-                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def lookup(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Side-input style look-up. Spark broadcasts ``right`` if its size, as estimated or
+    as measured at run time, is under the session's threshold, and shuffles else."""
+    return left.join(right, on=on, how=how)
+
+
+def lookup_nonzero(left: DataFrame, right: DataFrame, on, value: str) -> DataFrame:
     """``if d.get(k): ...`` -- inner join, and a looked-up 0 counts as missing."""
-    return lookup(left, right, on, "inner", max_rows).filter(
-        F.col(value).isNotNull() & (F.col(value) != 0)
-    )
+    return lookup(left, right, on).filter(F.col(value).isNotNull() & (F.col(value) != 0))
 
 
-def exclude(df: DataFrame, ids: DataFrame, on, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def exclude(df: DataFrame, ids: DataFrame, on) -> DataFrame:
     """``x not in id_list`` as a left-anti join (NULL-safe, unlike ``NOT IN``)."""
-    side = F.broadcast(ids) if fits_broadcast(ids, max_rows) else ids
-    return df.join(side, on=on, how="left_anti")
+    return df.join(ids, on=on, how="left_anti")
 
 
 def cogroup_flat(sides: dict[str, DataFrame], key, value_cols: dict[str, list] | None = None) -> DataFrame:

@@ -27,6 +27,15 @@ def _keys(keys):
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def join_back(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+    """Inner join on ``keys`` in which a NULL key meets a NULL key: a per-key table
+    made from ``left`` goes back to all of its rows."""
+    k = _keys(keys)
+    side = right.select(*[F.col(c).alias(f"__r_{c}") if c in k else F.col(c) for c in right.columns])
+    on = [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in k]
+    return left.join(side, on=on, how="inner").drop(*[f"__r_{c}" for c in k])
+
+
 _AGG = {"sum": F.sum, "count": F.sum, "max": F.max}
 
 
@@ -60,7 +69,7 @@ def running_many(
     totals = base.groupBy(*k, bucket).agg(*[_AGG[h](f"__{n}_v").alias(f"__{n}_tot") for n, h in vals.items()])
     offsets = totals.select(*k, bucket, *[_AGG[h](f"__{n}_tot").over(prior).alias(f"__{n}_off")
                                           for n, h in vals.items()])
-    out = local.join(offsets, on=[*k, bucket], how="inner")
+    out = join_back(local, offsets, [*k, bucket])
     for name, how in vals.items():
         off, loc = F.col(f"__{name}_off"), F.col(f"__{name}_local")
         combined = (F.greatest(off, loc) if how == "max"  # greatest skips NULLs
@@ -109,7 +118,7 @@ def previous(
     last = df.groupBy(*k, bucket).agg(last_expr.alias("__last"))
     prior = Window.partitionBy(*k).orderBy(bucket)
     carry = last.select(*k, bucket, F.lag("__last").over(prior).alias("__carry"))
-    out = local.join(carry, on=[*k, bucket], how="inner")
+    out = join_back(local, carry, [*k, bucket])
     # a NULL lag means "first in its bucket" (the value column itself is never NULL here)
     return out.withColumn(name, F.coalesce(F.col("__lag"), F.col("__carry"))).drop("__lag", "__carry")
 
@@ -145,10 +154,9 @@ def adaptive_bucket(df: DataFrame, keys, order_value: Column | str, target_rows:
     the target is a single bucket; a key holding a third of all rows is cut
     into ``count / target_rows`` buckets. ``multi_flag`` names an optional
     boolean column: true for keys with more than ``target_rows`` rows. The
-    per-key table is joined back
-    through :func:`flumen.operators.joins.lookup` (broadcast only when its
-    size is proven small)."""
-    from flumen.operators.joins import lookup
+    per-key table is written once (the input is scanned once for it) and joined
+    back; a NULL key is a key like any other. Rows whose order value is NULL
+    form one bucket of their own, before all others."""
     from flumen.session import materialize
 
     k = _keys(keys)
@@ -161,8 +169,7 @@ def adaptive_bucket(df: DataFrame, keys, order_value: Column | str, target_rows:
     span = F.col("__hi").cast("double") - F.col("__lo").cast("double") + 1
     width = F.greatest(F.lit(1.0), F.ceil(span * F.lit(float(target_rows)) / F.col("__n")).cast("double"))
     flag = [(F.col("__n") > F.lit(target_rows)).alias(multi_flag)] if multi_flag else []
-    stats, n_keys = materialize(stats.select(*k, "__lo", width.alias("__w"), *flag), "bucket-stats",
-                                with_count=True)  # input scanned once; row count observed on write
-    out = lookup(x, stats, k, right_rows=n_keys)
+    stats = materialize(stats.select(*k, "__lo", width.alias("__w"), *flag), "bucket-stats")
+    out = join_back(x, stats, k)
     offset = F.col("__ov").cast("double") - F.col("__lo").cast("double")
-    return out.withColumn(name, F.floor(offset / F.col("__w")).cast("bigint")).drop("__ov", "__lo", "__w")
+    return out.withColumn(name, F.coalesce(F.floor(offset / F.col("__w")).cast("bigint"), F.lit(-1))).drop("__ov", "__lo", "__w")

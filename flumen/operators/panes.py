@@ -10,9 +10,6 @@ over an *arrival order* (the order rows reached the pipeline):
 * processing-time / "any of" triggers -- sequential: a pane opens with its
   first row and closes after ``N`` rows or once a row arrives ``delay`` or more
   after the opening row. Labelled by a sorted, streaming pass per key.
-* watermark status -- the watermark a row sees is the highest event time of
-  all rows that arrived before it; on time while it is below the window end,
-  late while below end + allowed lateness, else dropped.
 
 Positions and running totals come from the two-step bucketed scans in
 :mod:`flumen.operators.ordered`, so a hot key is split by arrival bucket.
@@ -22,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,12 +43,17 @@ def count_panes(df: DataFrame, keys, arrival: str, value: str, n: int,
     each key's arrivals are cut into buckets of about ``target_rows`` rows.
     """
     k = _keys(keys)
+    if not repeat:
+        # only the first n rows of a key matter: the rank limit applies before the shuffle
+        place = F.row_number().over(Window.partitionBy(*k).orderBy(arrival))
+        first = df.select(*k, arrival, value).withColumn("__rn", place).where(F.col("__rn") <= n)
+        grouped = first.groupBy(*k).agg(F.count(F.lit(1)).alias("pane_rows"), F.sum(value).alias("pane_value"))
+        return grouped.where(F.col("pane_rows") == n).select(
+            *k, F.lit(0).cast("bigint").alias("pane"), "pane_rows", "pane_value")
     b = "__arrival_bucket"
     x = ordered.adaptive_bucket(df.select(*k, arrival, value), k, arrival, target_rows, b)
     x = ordered.running_many(x, k, [arrival], b, {"__run": ("sum", value), "__rn": ("count", None)})
     x = x.withColumn("pane", F.floor((F.col("__rn") - 1) / n).cast("bigint"))
-    if not repeat:
-        x = x.filter(F.col("pane") == 0)
     if mode == ACCUMULATING:
         # the pane fires at its n-th row; the running total there is the pane
         ends = x.filter(F.col("__rn") % n == 0)
@@ -122,6 +124,20 @@ def _pane_base(df: DataFrame, k, arrival_ts: str, tie_break: str, value: str) ->
                      F.col(value).cast("double").alias("__v"))
 
 
+_KEY_TEXT = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
+def _packed(df: DataFrame, k) -> DataFrame:
+    """The keys as one text that is never NULL: pandas would turn a long column that
+    holds a NULL into doubles, and take different keys for one."""
+    return df.withColumn("__key", F.to_json(F.struct(*k), _KEY_TEXT))
+
+
+def _unpacked(panes: DataFrame, df: DataFrame, k) -> DataFrame:
+    keys = F.from_json("__key", df.select(*k).schema, _KEY_TEXT)
+    return panes.withColumn("__key", keys).select("__key.*", *[c for c in panes.columns if c != "__key"])
+
+
 def segment_panes(df: DataFrame, keys, arrival_ts: str, tie_break: str, value: str,
                   n: int | None = None, delay_s: float | None = None) -> DataFrame:
     """Panes of ``Repeatedly(AfterAny(AfterCount(n), AfterProcessingTime(delay)))``
@@ -136,7 +152,8 @@ def segment_panes(df: DataFrame, keys, arrival_ts: str, tie_break: str, value: s
     """
     k = _keys(keys)
     delay_us = None if delay_s is None else int(delay_s * 1_000_000)
-    return _pane_table(_sequential_labels(_pane_base(df, k, arrival_ts, tie_break, value), k, n, delay_us), k)
+    base = _pane_base(_packed(df, k), ["__key"], arrival_ts, tie_break, value)
+    return _unpacked(_pane_table(_sequential_labels(base, ["__key"], n, delay_us), ["__key"]), df, k)
 
 
 def first_pane(df: DataFrame, keys, arrival_ts: str, value: str, delay_s: float) -> DataFrame:
@@ -145,39 +162,15 @@ def first_pane(df: DataFrame, keys, arrival_ts: str, value: str, delay_s: float)
     the first arrival is a partial ``min`` per key, then a filter and a grouped
     sum, so a hot key stays spread over tasks.
     Output: keys, ``pane`` (0), ``pane_start``, ``pane_rows``, ``pane_value``."""
-    from flumen.operators.joins import lookup
-
     k = _keys(keys)
     firsts = df.groupBy(*k).agg(F.min(arrival_ts).alias("pane_start"))
-    within = lookup(df.select(*k, arrival_ts, value), firsts, k).filter(
+    within = ordered.join_back(df.select(*k, arrival_ts, value), firsts, k).filter(
         F.col(arrival_ts) < F.col("pane_start") + F.make_interval(secs=F.lit(delay_s)))
     return within.groupBy(*k, "pane_start").agg(
         F.count(F.lit(1)).alias("pane_rows"), F.sum(value).alias("pane_value")
     ).select(*k, F.lit(0).cast("bigint").alias("pane"), "pane_start", "pane_rows", "pane_value")
 
 
-def watermark_status(df: DataFrame, event_ts: str, arrival: str, window_end: str,
-                     lateness_s: int, bucket_width: int = 65_536) -> DataFrame:
-    """Add ``watermark`` (max event time over rows that arrived earlier) and
-    ``status`` in {on_time, late, dropped} for each row's window.
-
-    The running max over the whole input would be one task; it is done in two
-    steps over arrival buckets (see :mod:`flumen.operators.ordered`)."""
-    b = "__arrival_bucket"
-    x = df.withColumn(b, ordered.int_bucket(arrival, bucket_width))
-    x = ordered.running(x, [], [arrival], b, F.unix_micros(event_ts), how="max",
-                        name="__wm", exclusive=True)
-    wm = F.timestamp_micros(F.col("__wm"))
-    end = F.col(window_end)
-    late_limit = end + F.make_interval(secs=F.lit(lateness_s))
-    status = (F.when(F.col("__wm").isNull() | (wm < end), F.lit("on_time"))
-              .when(wm < late_limit, F.lit("late"))
-              .otherwise(F.lit("dropped")))
-    return x.withColumn("watermark", wm).withColumn("status", status).drop("__wm", b)
-
-
-# ---- count-bounded "any of" panes, split by slices of a key's sequence -------
-
 def _chain(t: np.ndarray, e: int, n: int, delay_us: int | None) -> np.ndarray:
     """Pane starts (local indices) of the greedy chain that opens a pane at row e."""
     starts, i, size = [], e, len(t)
@@ -288,12 +281,18 @@ def segment_panes_split(df: DataFrame, keys, arrival_ts: str, tie_break: str, va
     ``chunk_rows`` rows skip all this and take the sorted streaming pass of
     :func:`segment_panes`, so the per-group cost is paid only by hot keys.
     """
-    k = _keys(keys)
+    own = _keys(keys)
+    labelled = _split_labels(_packed(df, own), ["__key"], arrival_ts, tie_break, value, n, delay_s, chunk_rows)
+    return _unpacked(_pane_table(labelled, ["__key"]), df, own)
+
+
+def _split_labels(df: DataFrame, k, arrival_ts: str, tie_break: str, value: str, n: int, delay_s: float | None,
+                  chunk_rows: int) -> DataFrame:
     delay_us = None if delay_s is None else int(delay_s * 1_000_000)
     base = _pane_base(df, k, arrival_ts, tie_break, value)
     if n is None or n > MAX_SPLIT_COUNT:
         # each slice would need n entry candidates: take the exact sequential pass
-        return _pane_table(_sequential_labels(base, k, n, delay_us), k)
+        return _sequential_labels(base, k, n, delay_us)
     # slices: contiguous arrival-time ranges of about chunk_rows rows per key;
     # keys that fit in one slice take the plain sorted pass (no per-group cost)
     base = ordered.adaptive_bucket(base, k, F.col("__t"), target_rows=chunk_rows, name="__chunk",
@@ -319,4 +318,4 @@ def segment_panes_split(df: DataFrame, keys, arrival_ts: str, tie_break: str, va
     split = (hot.join(decisions.drop("carry_t"), [*k, "__chunk"])
              .groupBy(*k, "__chunk")
              .applyInPandas(lambda pdf: _label_slice(pdf, k, n, delay_us), labelled_schema))
-    return _pane_table(single.unionByName(split), k)
+    return single.unionByName(split)

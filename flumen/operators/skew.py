@@ -1,11 +1,8 @@
-"""Hot keys: aggregates and groupings that stay spread when one key holds a
-large share of the rows.
+"""Hot keys: groupings that stay spread when one key holds a large share of the rows.
 
-Built-in combinable aggregates (count/sum/min/max/avg) already pre-combine per
-input partition, so they are safe as they are. What is not safe is moving every
-row of a key to one task -- grouping into lists, or a per-key ordered scan.
-The salted form first groups by ``(key, salt)`` with ``salt`` spreading one
-key over ``n`` buckets, then merges at most ``n`` partial rows per key.
+Combinable aggregates (count/sum/min/max/avg) already combine in each task before
+the shuffle, so they are safe as they are. What is not safe is moving every row of a
+key to one task; :func:`spread_by_key` cuts such a key into parts.
 """
 
 from __future__ import annotations
@@ -13,30 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_SALTS = 64
-
-
 def _keys(keys):
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def salt(df: DataFrame, n: int = DEFAULT_SALTS, by: str | None = None, name: str = "salt") -> DataFrame:
-    """Deterministic salt: a hash of ``by`` (a unique column) when given --
-    recomputed identically if a task is retried -- else of the whole row."""
-    src = F.col(by) if by else F.struct(*df.columns)
-    return df.withColumn(name, F.pmod(F.xxhash64(src), F.lit(n)))
-
-
-def salted_sum(df: DataFrame, keys, value: str, n: int = DEFAULT_SALTS, by: str | None = None,
-               count_name: str = "n", sum_name: str = "total") -> DataFrame:
-    """Two-step count + sum per key through ``(key, salt)`` partials."""
-    k = _keys(keys)
-    part = (salt(df, n, by)
-            .groupBy(*k, "salt")
-            .agg(F.count(F.lit(1)).alias("__n"), F.sum(value).alias("__s")))
-    return part.groupBy(*k).agg(F.sum("__n").alias(count_name), F.sum("__s").alias(sum_name))
-
-
 def spread_by_key(df: DataFrame, keys, by: str, target_rows: int = 2_000_000,
                   partitions: int | None = None) -> DataFrame:
     """Group-by-key-then-flatten without building lists: rows are clustered by

@@ -97,7 +97,7 @@ def session_ids(df: DataFrame, ts: str, gap_s: int, keys, tie_break: str,
         "__offset",
         F.sum(F.col("__opens") + F.col("__n_in")).over(per_key.rowsBetween(Window.unboundedPreceding, 0))
         - F.col("__n_in"))
-    out = x.join(summary.select(*k, b, "__offset"), on=[*k, b], how="inner")
+    out = ordered.join_back(x, summary.select(*k, b, "__offset"), [*k, b])
     return out.withColumn(name, F.col("__offset") + F.col("__in_sid")).drop(
         "__in_start", "__in_sid", "__offset", b)
 

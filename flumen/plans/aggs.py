@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flumen.operators import aggregates as agg
-from flumen.operators import skew, udfs, windows
-from flumen.operators.joins import lookup
+from flumen.operators import ordered, udfs, windows
 from flumen.plans.registry import big, recipe, rnd, table
 from flumen.sources import sql as sqlsrc
 
@@ -126,10 +125,8 @@ SELECT o_orderstatus, o_orderkey, COUNT(*) OVER (PARTITION BY o_orderstatus) AS
 """)
 def agg_group_list(spark, sf):
     o = table(spark, sf, "orders").select("o_orderstatus", "o_orderkey")
-    # group by key, then flatten back: rows clustered by (key, salt), never a list
-    grouped = skew.spread_by_key(o, "o_orderstatus", by="o_orderkey")  # hot statuses split by key ranges
-    sizes = agg.count_per_key(o, "o_orderstatus", "group_size")
-    return lookup(grouped, sizes, "o_orderstatus")  # broadcast only if the key table is small
+    # grouped and flattened again, a row has its group's size: no list, no shuffle of the rows
+    return ordered.join_back(o, agg.count_per_key(o, "o_orderstatus", "group_size"), "o_orderstatus")
 
 
 @recipe("agg_group_then_sum", """
@@ -184,7 +181,7 @@ FROM (SELECT o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F'
 GROUP BY o_orderstatus
 """)
 def agg_hot_key(spark, sf):
-    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    both = o.filter(F.col("o_orderstatus") == "F").unionByName(o.filter(F.col("o_orderstatus") != "F"))
-    out = skew.salted_sum(both, "o_orderstatus", "o_totalprice", by="o_orderkey")
+    # a hot status combines in each task before the shuffle, so it needs no salt
+    o = table(spark, sf, "orders").where(F.col("o_orderstatus").isNotNull())
+    out = o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total"))
     return out.withColumn("total", rnd("total", 2))

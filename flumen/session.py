@@ -62,19 +62,17 @@ def scratch_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Reads ``spark.checkpoint.dir`` from the session. Only when it is unset (local
-    tests) is a private temporary folder created and registered.
+    tests) is a private temporary folder created; any other master without the setting
+    is an error, as executors do not see a folder of the driver's machine.
     """
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc._conf.get("spark.checkpoint.dir")
-    if not configured:
-        existing = sc._jsc.sc().getCheckpointDir()
-        if existing.isDefined():
-            configured = existing.get()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="flumen-scratch-")
-        sc.setCheckpointDir(configured)
         spark.conf.set("spark.checkpoint.dir", configured)
-    elif not sc._jsc.sc().getCheckpointDir().isDefined():
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(configured)
     return configured.rstrip("/")
 
@@ -84,18 +82,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df, label: str, with_count: bool = False):
+def materialize(df, label: str):
     """Write ``df`` once to the shared scratch folder and read it back.
 
     For small derived tables (per-key statistics, offsets) that are used more
-    than once -- a size check and a join -- so their input is scanned once,
-    and the lineage is cut at a reliable, shared copy. ``with_count`` also
-    returns the row count, observed while writing (no extra job)."""
-    from pyspark.sql import Observation
-    from pyspark.sql import functions as F
-
+    than once, so their input is scanned once, and the lineage is cut at a
+    reliable, shared copy."""
     path = scratch_path(df.sparkSession, label)
-    obs = Observation(f"rows-{label}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    back = df.sparkSession.read.parquet(path)
-    return (back, int(obs.get["rows"])) if with_count else back
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

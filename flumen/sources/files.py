@@ -18,16 +18,15 @@ def text_lines(spark: SparkSession, pattern: str, line_sep: str = "\n") -> DataF
 
 
 def text_skip_header(spark: SparkSession, pattern: str) -> DataFrame:
-    """Text lines with the first line of *each file* skipped (a header), as
-    ``value``. Read as one-column CSV whose delimiter and quote are a control
-    character that text does not contain, so lines come through unchanged and
-    the reader drops one header line per file -- still split and parallel.
-    Unlike :func:`text_lines`, blank lines are skipped (the CSV reader's rule);
-    use :func:`csv_with_header` for typed CSV."""
-    return (spark.read.schema("value string").option("header", True).option("enforceSchema", True)
-            .option("delimiter", "\u0001").option("quote", "\u0000").option("escape", "\u0000")
-            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-            .option("lineSep", "\n").csv(pattern))
+    """Text lines with the first line of *each file* skipped (a header), as ``value``;
+    all other lines come through unchanged, blank ones included. The header is the first
+    row of the split at the file's start; files are read in splits, in parallel, twice
+    (the first time for one row a file)."""
+    rows = spark.read.option("lineSep", "\n").text(pattern).select(
+        "value", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"),
+        F.monotonically_increasing_id().alias("__row"))
+    header = rows.groupBy("__file").agg(F.min(F.struct("__start", "__row")).alias("h")).select("__file", "h.__row")
+    return rows.join(header, ["__file", "__row"], "left_anti").select("value")
 
 
 def csv_with_header(spark: SparkSession, pattern: str, schema: T.StructType) -> DataFrame:

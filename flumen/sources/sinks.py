@@ -51,12 +51,10 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def write_day_partitioned(df: DataFrame, path: str, day: Column | None = None,
-                          name: str = "ingest_date", mode: str = "append", spread: int = 8) -> None:
+                          name: str = "ingest_date", mode: str = "append") -> None:
     """Append into day partitions (``name=yyyy-MM-dd`` folders). Without a day
-    expression the load day is used. Rows are clustered by (day, hash bucket)
-    so each task writes one folder and a busy day is still split ``spread``
-    ways; readers prune by ``name``."""
+    expression the load day is used. Rows are rebalanced by day: small days share a
+    task, a busy day is split by its bytes (AQE); readers prune by ``name``."""
     day = day if day is not None else F.current_date()
     out = df.withColumn(name, F.date_format(day, "yyyy-MM-dd"))
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
-    out.repartition(name, bucket).write.mode(mode).partitionBy(name).parquet(path)
+    out.hint("rebalance", name).write.mode(mode).partitionBy(name).parquet(path)

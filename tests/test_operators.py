@@ -69,12 +69,6 @@ def test_adaptive_bucket_splits_hot_key(spark, skewed):
     assert max(v for k, v in per.items() if k != 0) <= 2
 
 
-def test_salted_sum_equals_plain(spark, skewed):
-    got = skew.salted_sum(skewed, "k", "v", n=16, by="id")
-    want = skewed.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("total"))
-    assert sorted(got.collect()) == sorted(want.collect())
-
-
 def test_spread_keeps_every_row(spark, skewed):
     out = skew.spread_by_key(skewed.select("k", "id"), "k", by="id", target_rows=50)
     assert sorted(out.collect()) == sorted(skewed.select("k", "id").collect())
@@ -90,21 +84,10 @@ def test_count_panes_match_row_number(spark, skewed, target):
     assert sorted(got.collect()) == sorted(want.select("k", F.col("pane").cast("bigint"), "pane_rows", "pane_value").collect())
 
 
-def test_watermark_status(spark):
-    df = spark.createDataFrame([(0, 0), (1, 70), (2, 10), (3, 400), (4, 20)], "a long, s long").withColumn(
-        "ts", F.timestamp_seconds("s")).withColumn("w_end", F.timestamp_seconds(F.floor(F.col("s") / 60) * 60 + 60))
-    out = {r.a: r.status for r in panes.watermark_status(df, "ts", "a", "w_end", 60).collect()}
-    # row 2 (t=10) sees watermark 70 < 60+60 -> late; row 4 (t=20) sees 400 -> dropped
-    assert out == {0: "on_time", 1: "on_time", 2: "late", 3: "on_time", 4: "dropped"}
-
-
-def test_lookup_falls_back_beyond_bound(spark):
+def test_lookup_nonzero(spark):
     left = spark.range(100).withColumnRenamed("id", "k")
     right = spark.range(50).select(F.col("id").alias("k"), (F.col("id") % 3).alias("v"))
-    assert joins.fits_broadcast(right, 50) and not joins.fits_broadcast(right, 49)
-    a = joins.lookup_nonzero(left, right, "k", "v", max_rows=10).collect()
-    b = joins.lookup_nonzero(left, right, "k", "v").collect()
-    assert sorted(a) == sorted(b) and len(a) == 33
+    assert joins.lookup_nonzero(left, right, "k", "v").count() == 33
 
 
 def test_exclude_is_null_safe(spark):
@@ -128,7 +111,43 @@ def test_first_pane_matches_sequential(spark, skewed):
     assert sorted(first.select(*cols).collect()) == sorted(seq.select(*cols).collect())
 
 
-def test_broadcast_check_bounds_bytes(spark):
-    wide = spark.range(100).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 10_000).alias("text"))
-    assert joins.fits_broadcast(wide, max_rows=1000)                       # ~1 MB
-    assert not joins.fits_broadcast(wide, max_rows=1000, max_bytes=100_000)  # too many bytes
+NULLS = "(NULL, 1, 0, 1.0), (NULL, 2, 60, 2.0), (NULL, 3, 9000, 4.0), (9007199254740992, 4, 0, 1.0), (9007199254740993, 5, 10, 1.0), (9007199254740993, 6, 20, 1.0)"
+
+
+@pytest.fixture(scope="module")
+def null_keys(spark):
+    rows = spark.sql(f"SELECT * FROM VALUES {NULLS} AS t(k, id, s, v)")
+    return rows.select(F.col("k").cast("long"), F.col("id").cast("long"), F.timestamp_seconds("s").alias("ts"), F.col("v").cast("double"))
+
+
+def test_null_and_long_keys_keep_their_sessions(spark, null_keys):
+    aggs = [F.count(F.lit(1)).alias("n")]
+    cols = ["k", F.col("window.start").alias("a"), F.col("window.end").alias("z"), "n"]
+    key = lambda r: str(r)
+    for target in (1, 10_000):
+        mine = windows.sessions(null_keys, "ts", 600, "k", "id", aggs=aggs, target_rows=target).select(*cols).collect()
+        theirs = windows.sessions_builtin(null_keys, "ts", 600, "k", aggs=aggs).select(*cols).collect()
+        assert sorted(mine, key=key) == sorted(theirs, key=key) and len(mine) == 4
+
+
+def test_null_and_long_keys_keep_their_panes(spark, null_keys):
+    big = 9007199254740992
+    rows = lambda df: {(r.k, r.pane, r.pane_rows, r.pane_value) for r in df.collect()}
+    assert rows(panes.count_panes(null_keys, "k", "id", "v", 2)) == {(None, 0, 2, 3.0), (big + 1, 0, 2, 2.0)}
+    assert rows(panes.count_panes(null_keys, "k", "id", "v", 2, repeat=False)) == {(None, 0, 2, 3.0), (big + 1, 0, 2, 2.0)}
+    assert rows(panes.first_pane(null_keys, "k", "ts", "v", 100)) == {(None, 0, 2, 3.0), (big, 0, 1, 1.0), (big + 1, 0, 2, 2.0)}
+    want = {(None, 0, 2, 3.0), (None, 1, 1, 4.0), (big, 0, 1, 1.0), (big + 1, 0, 2, 2.0)}
+    assert rows(panes.segment_panes(null_keys, "k", "ts", "id", "v", n=5, delay_s=100)) == want
+    for chunk in (1, 100):
+        assert rows(panes.segment_panes_split(null_keys, "k", "ts", "id", "v", n=5, delay_s=100, chunk_rows=chunk)) == want
+
+
+def test_null_keys_keep_their_mean(spark, null_keys):
+    from flumen.operators import udfs
+    for target in (1, 100):
+        assert {r.k: r.mean for r in udfs.combine_mean(null_keys, "k", "v", target_rows=target).collect()}[None] == pytest.approx(7 / 3)
+
+
+def test_null_order_values_keep_their_rows(spark, null_keys):
+    held = null_keys.withColumn("id", F.when(F.col("id") != 2, F.col("id")))
+    assert ordered.adaptive_bucket(held, "k", "id", target_rows=1).count() == held.count()
