@@ -99,8 +99,7 @@ class Index:
         clean = (vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("vector"))
                  .where(F.col("vec_id").isNotNull() & usable(F.col("vector"))).groupBy("vec_id").agg(F.min("vector").alias("vector")))
         found = clean.orderBy(F.xxhash64("vec_id"), "vec_id").limit(s.sample).toArrow()["vector"].to_pylist()
-        sizes = np.bincount([len(v) for v in found]) if found else np.zeros(1, dtype=int)
-        self.width = width = int(sizes.argmax())
+        self.width = width = int(np.bincount([len(v) for v in found]).argmax()) if found else 2
         half = self.half = width // 2
         x = np.array([v for v in found if len(v) == width], dtype=np.float64).reshape(-1, width)
         self.books = books = (fit(x[:, :half], s.centroids, s.rounds), fit(x[:, half:], s.centroids, s.rounds)) if len(x) else (np.zeros((1, half)), np.zeros((1, width - half)))

@@ -40,7 +40,6 @@ SENTENCES = {
     13: "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     14: "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation;",
     15: "either version 2 of the License, or (at your option) any later version.",
-    16: "This program is free software;",
     17: "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;",
     18: "without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
     19: "Licensed under CC BY-NC 4.0.",
@@ -61,7 +60,7 @@ RULES = [
     ("MIT", (1, 2, 3)), ("MIT", (1, 2)), ("MIT", (4,)), ("MIT", (5,)),
     ("Apache-2.0", (7, 8, 9, 10)), ("Apache-2.0", (7, 8)), ("Apache-2.0", (6,)),
     ("GPL-3.0-or-later", (12, 13, 17, 18)), ("GPL-3.0-or-later", (12, 13)), ("GPL-3.0-only", (11,)),
-    ("GPL-2.0-or-later", (16, 14, 15)),
+    ("GPL-2.0-or-later", (12, 14, 15)),
     ("CC-BY-NC-4.0", (19,)), ("CC-BY-4.0", (20,)), ("CC-BY-4.0", (22,)), ("CC-BY-SA-4.0", (21,)),
     ("BSD-3-Clause", (23, 24, 25, 26)), ("BSD-2-Clause", (23, 24, 25)),
     ("ISC", (27,)), ("MPL-2.0", (28,)), ("Unlicense", (29,)), ("Proprietary", (30,)),

@@ -124,7 +124,7 @@ def near_texts(rng, n):
     return [*out, "", None, "   ", "Ünï A", out[0], out[0].upper()]
 
 
-@pytest.mark.parametrize("distance,segments", [(4, 3), (7, 2)])
+@pytest.mark.parametrize("distance,segments", [(4, 3), (5, 2)])
 def test_components_equal_brute_force(spark, distance, segments):
     texts = near_texts(random.Random(7), 60)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
