@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import json
 import struct
+from array import array
 from functools import lru_cache
 
 import ahocorasick
@@ -36,8 +37,8 @@ from flumen.llm.common import arrow_udf, replaced
 from flumen.sources.tables import load
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
-MEMO_WORDS = 120_000            # words whose ids a worker remembers, twice as many at most
-MEMO_PAIRS = 200_000            # pairs of the compatibility table; then it starts afresh
+MEMO_WORDS = 150_000            # words whose ids a worker remembers, twice as many at most
+MEMO_PAIRS = 250_000            # pairs of the compatibility table; then it starts afresh
 MEMO_BYTES = 64                 # longer words are not remembered
 
 
@@ -97,7 +98,7 @@ class Codec:
         np.cumsum([len(t) for t in texts], out=self.offsets[1:])
         self.blob = np.frombuffer(b"".join(texts), dtype=np.uint8)
         self.pattern = regex.compile(public_tokenizers.PATTERN)
-        self.shown = [str(i) for i in range(size)]
+        self.shown: dict[bytes, str] = {}
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -137,10 +138,19 @@ class Codec:
             return whole
         text, size = word.decode("latin-1"), len(word)
         longest, length, shorter, fits = self.automaton.iter_long, self.length, self.shorter, self.fits
+        ahead, known = longest(text), self.compatible
+        last = next(ahead)[1]
+        ids, at = [last], length[last]
+        for _, token in ahead:              # as long as the longest token fits
+            fit = known.get(last << 32 | token)
+            if not (fits(last, token) if fit is None else fit):
+                break
+            ids.append(token)
+            at += length[token]
+            last = token
+        else:
+            return tuple(ids)
         dead = bytearray(size + 1)          # positions from which nothing worked
-        ids: list[int] = []
-        at, ahead = 0, longest(text)
-        token = next(ahead)[1]
         while True:
             end = at + length[token]
             if not dead[end] and (not ids or fits(ids[-1], token)):
@@ -165,7 +175,7 @@ class Codec:
         younger one is full it becomes the older one, so usual words stay."""
         entry = self.older.get(word)
         if entry is None:
-            entry = struct.pack(f"<{len(ids := self.encode_word(word.encode('utf-8')))}i", *ids)
+            entry = array("i", self.encode_word(word.encode("utf-8"))).tobytes()
         if len(word) <= MEMO_BYTES:
             if len(self.memo) >= MEMO_WORDS:
                 self.older = self.memo
@@ -173,23 +183,41 @@ class Codec:
             self.memo[word] = entry
         return entry
 
-    def encode_raw(self, text: str) -> bytes:
-        """The ids as little-endian 32-bit integers; added tokens stand for themselves."""
-        pieces = [text]
-        if any(t in text for t in self.added):
-            pieces = regex.split("(" + "|".join(map(regex.escape, self.added)) + ")", text)
+    def _pieces(self, text: str) -> list[bytes]:
+        """The words' ids, in order; added tokens stand for themselves."""
+        if not any(t in text for t in self.added):
+            parts = [text]
+        else:
+            parts = regex.split("(" + "|".join(map(regex.escape, self.added)) + ")", text)
         out, make = [], self._entry
-        for n, piece in enumerate(pieces):
+        for n, part in enumerate(parts):
             if n % 2:
-                out.append(struct.pack("<i", self.added_id[piece]))
+                out.append(struct.pack("<i", self.added_id[part]))
             else:
-                out += [self.memo.get(w) or make(w) for w in self.pattern.findall(piece)]
-        return b"".join(out)
+                words = self.pattern.findall(part)
+                found = list(map(self.memo.get, words))
+                if None in found:
+                    found = [f or make(w) for f, w in zip(found, words)]
+                out += found
+        return out
+
+    def encode_raw(self, text: str) -> bytes:
+        """The ids as little-endian 32-bit integers."""
+        return b"".join(self._pieces(text))
 
     def encode(self, text: str) -> tuple[np.ndarray, str]:
         """The ids, and the same as decimal text joined by commas."""
-        ids = np.frombuffer(self.encode_raw(text), dtype="<i4")
-        return ids, ",".join(map(self.shown.__getitem__, ids.tolist()))
+        found = self._pieces(text)
+        shown = list(map(self.shown.get, found))
+        if None in shown:
+            shown = [s or self._show(f) for s, f in zip(shown, found)]
+        return np.frombuffer(b"".join(found), dtype="<i4"), ",".join(shown)
+
+    def _show(self, ids: bytes) -> str:
+        if len(self.shown) >= 2 * MEMO_WORDS:
+            self.shown.clear()
+        text = self.shown[ids] = ",".join(map(str, struct.unpack(f"<{len(ids) // 4}i", ids)))
+        return text
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of the ids; bytes that are no UTF-8 become replacement characters."""
