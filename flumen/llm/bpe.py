@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import struct
 from array import array
 from functools import lru_cache
 
@@ -37,8 +36,8 @@ from flumen.llm.common import arrow_udf, replaced
 from flumen.sources.tables import load
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
-MEMO_WORDS = 150_000            # words whose ids a worker remembers, twice as many at most
-MEMO_PAIRS = 250_000            # pairs of the compatibility table; then it starts afresh
+MEMO_WORDS = 150_000            # words whose ids a worker remembers; then it starts afresh
+MEMO_PAIRS = 400_000            # pairs of the compatibility table; then it starts afresh
 MEMO_BYTES = 64                 # longer words are not remembered
 
 
@@ -98,9 +97,7 @@ class Codec:
         np.cumsum([len(t) for t in texts], out=self.offsets[1:])
         self.blob = np.frombuffer(b"".join(texts), dtype=np.uint8)
         self.pattern = regex.compile(public_tokenizers.PATTERN)
-        self.shown: dict[bytes, str] = {}
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.memo: dict[str, tuple[str, bytes]] = {}
 
     def _fits(self, left: int, right: int, below: float = float("inf")) -> bool:
         """Whether no merge of rank under ``below`` joins anything across the border
@@ -170,54 +167,37 @@ class Codec:
                 at -= length[token]
                 token = shorter[token]
 
-    def _entry(self, word: str) -> bytes:
-        """The word's ids as 32-bit integers, remembered in two generations: when the
-        younger one is full it becomes the older one, so usual words stay."""
-        entry = self.older.get(word)
-        if entry is None:
-            entry = array("i", self.encode_word(word.encode("utf-8"))).tobytes()
+    def _remember(self, word: str) -> tuple[str, bytes]:
+        ids = self.encode_word(word.encode("utf-8"))
+        entry = (",".join(map(str, ids)), array("i", ids).tobytes())
         if len(word) <= MEMO_BYTES:
             if len(self.memo) >= MEMO_WORDS:
-                self.older = self.memo
-                self.memo = {}
+                self.memo.clear()
             self.memo[word] = entry
         return entry
 
-    def _pieces(self, text: str) -> list[bytes]:
-        """The words' ids, in order; added tokens stand for themselves."""
-        if not any(t in text for t in self.added):
-            parts = [text]
-        else:
-            parts = regex.split("(" + "|".join(map(regex.escape, self.added)) + ")", text)
-        out, make = [], self._entry
-        for n, part in enumerate(parts):
+    def _words(self, text: str):
+        """Word entries in order; added tokens stand for themselves."""
+        pieces = [text]
+        if any(t in text for t in self.added):
+            pieces = regex.split("(" + "|".join(map(regex.escape, self.added)) + ")", text)
+        memo, make = self.memo, self._remember
+        for n, piece in enumerate(pieces):
             if n % 2:
-                out.append(struct.pack("<i", self.added_id[part]))
+                i = self.added_id[piece]
+                yield (str(i), array("i", [i]).tobytes())
             else:
-                words = self.pattern.findall(part)
-                found = list(map(self.memo.get, words))
-                if None in found:
-                    found = [f or make(w) for f, w in zip(found, words)]
-                out += found
-        return out
+                for w in self.pattern.findall(piece):
+                    yield memo.get(w) or make(w)
 
     def encode_raw(self, text: str) -> bytes:
-        """The ids as little-endian 32-bit integers."""
-        return b"".join(self._pieces(text))
+        """The ids as 32-bit integers."""
+        return b"".join([x[1] for x in self._words(text)])
 
     def encode(self, text: str) -> tuple[np.ndarray, str]:
         """The ids, and the same as decimal text joined by commas."""
-        found = self._pieces(text)
-        shown = list(map(self.shown.get, found))
-        if None in shown:
-            shown = [s or self._show(f) for s, f in zip(shown, found)]
-        return np.frombuffer(b"".join(found), dtype="<i4"), ",".join(shown)
-
-    def _show(self, ids: bytes) -> str:
-        if len(self.shown) >= 2 * MEMO_WORDS:
-            self.shown.clear()
-        text = self.shown[ids] = ",".join(map(str, struct.unpack(f"<{len(ids) // 4}i", ids)))
-        return text
+        found = list(self._words(text))
+        return np.frombuffer(b"".join([x[1] for x in found]), dtype="<i4"), ",".join([x[0] for x in found])
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of the ids; bytes that are no UTF-8 become replacement characters."""
