@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from flumen.functions import collections as coll
 from flumen.functions import dates, strings
 from flumen.operators import joins
-from flumen.operators.sets import union_all
 
 # Rule constants of the bank requirements (as the code applies them).
 PAID_SHARE = 0.7
@@ -54,44 +53,47 @@ def loan_summary(loans: DataFrame, key="customer_id") -> DataFrame:
     )
 
 
-def medical_from_summary(summary: DataFrame, key="customer_id") -> DataFrame:
-    """Medical loans paid after the due date, per customer; >= 3 kept."""
-    return summary.filter(F.col("medical_late") >= MIN_LATE_MEDICAL).select(
-        key, F.col("medical_late").alias("missed"), F.lit("late").alias("reason"))
+def _medical_rule():
+    """Medical loans paid after the due date; >= 3 kept."""
+    return F.when(F.col("medical_late") >= MIN_LATE_MEDICAL,
+                  F.struct(F.col("medical_late").cast("bigint").alias("missed"), F.lit("late").alias("reason")))
 
 
-def personal_from_summary(summary: DataFrame, key="customer_id", max_missed: int = MAX_MISSED_MONTHS,
-                          max_gap: int = MAX_CONSECUTIVE_MISSED) -> DataFrame:
-    """Personal loans: missed = 12 - payments (each payment row counts); if
-    missed > max_missed report it, else the longest run of unpaid months
-    (before the first, between, after the last) if > max_gap, else nothing."""
+def _with_gap(summary: DataFrame) -> DataFrame:
+    """``gap``: the longest run of unpaid months (before the first, between, after the last)."""
     months = F.filter(F.sequence(F.lit(1), F.lit(12)),
                       lambda m: F.col("personal_mask").bitwiseAND(F.pow(F.lit(2), m).cast("int")) != 0)
-    base = summary.filter(F.col("personal_n") > 0).select(
-        key, "personal_n", coll.longest_gap(months).alias("gap"))  # computed once per customer
+    return summary.withColumn("gap", coll.longest_gap(months))
+
+
+def _personal_rule(max_missed: int, max_gap: int):
+    """Personal loans: missed = 12 - payments (each payment row counts); if
+    missed > max_missed report it, else the longest gap if > max_gap, else nothing."""
     missed, gap = F.lit(12) - F.col("personal_n"), F.col("gap")
-    out = base.select(
-        key,
-        F.when(missed > max_missed, missed).when(gap > max_gap, gap).otherwise(0).cast("bigint").alias("missed"),
-        F.when(missed > max_missed, F.lit("missed")).when(gap > max_gap, F.lit("gap")).alias("reason"),
-    )
-    return out.filter(F.col("missed") > 0)
+    rule = (F.when(missed > max_missed, F.struct(missed.cast("bigint").alias("missed"), F.lit("missed").alias("reason")))
+            .when(gap > max_gap, F.struct(gap.cast("bigint").alias("missed"), F.lit("gap").alias("reason"))))
+    return F.when(F.col("personal_n") > 0, rule)
+
+
+def _reported(summary: DataFrame, key, *rules) -> DataFrame:
+    """One row per customer and rule that reports something, all from one summary row."""
+    found = F.filter(F.array(*rules), lambda r: r.isNotNull() & (r["missed"] > 0))
+    return summary.select(key, F.explode(found).alias("r")).select(key, "r.missed", "r.reason")
 
 
 def medical_defaulters(loans: DataFrame, key="customer_id") -> DataFrame:
-    return medical_from_summary(loan_summary(loans, key), key)
+    return _reported(loan_summary(loans, key), key, _medical_rule())
 
 
 def personal_defaulters(loans: DataFrame, key="customer_id", max_missed: int = MAX_MISSED_MONTHS,
                         max_gap: int = MAX_CONSECUTIVE_MISSED) -> DataFrame:
-    return personal_from_summary(loan_summary(loans, key), key, max_missed, max_gap)
+    return _reported(_with_gap(loan_summary(loans, key)), key, _personal_rule(max_missed, max_gap))
 
 
 def loan_defaulters(loans: DataFrame, key="customer_id") -> DataFrame:
-    """Personal and medical defaulters from one shared summary (the two
-    branches read the same aggregate; its shuffle is reused)."""
-    summary = loan_summary(loans, key)
-    return union_all(personal_from_summary(summary, key), medical_from_summary(summary, key))
+    """Personal and medical defaulters; the loans are read and aggregated once."""
+    return _reported(_with_gap(loan_summary(loans, key)), key,
+                     _personal_rule(MAX_MISSED_MONTHS, MAX_CONSECUTIVE_MISSED), _medical_rule())
 
 
 def both_defaulters(card: DataFrame, loan: DataFrame, key="customer_id") -> DataFrame:

@@ -144,32 +144,28 @@ def int_bucket(c, width: int) -> Column:
 TARGET_BUCKET_ROWS = 2_000_000
 
 
-def adaptive_bucket(df: DataFrame, keys, order_value: Column | str, target_rows: int = TARGET_BUCKET_ROWS,
+def adaptive_bucket(df: DataFrame, keys, order, target_rows: int = TARGET_BUCKET_ROWS,
                     name: str = "__bucket", multi_flag: str | None = None) -> DataFrame:
-    """Add a bucket column monotone in ``order_value`` (a long) inside each key,
-    sized per key so a bucket holds about ``target_rows`` rows.
-
-    One partial aggregate gives each key's row count and value range; the
-    bucket width is ``range * target_rows / count``. A key with fewer rows than
-    the target is a single bucket; a key holding a third of all rows is cut
-    into ``count / target_rows`` buckets. ``multi_flag`` names an optional
-    boolean column: true for keys with more than ``target_rows`` rows. The
-    per-key table is written once (the input is scanned once for it) and joined
-    back; a NULL key is a key like any other. Rows whose order value is NULL
-    form one bucket of their own, before all others."""
+    """Add a bucket column monotone in ``order`` (a column or a list of them) inside
+    each key; buckets hold about ``target_rows`` rows or fewer.
+
+    Rows are range-partitioned by (keys, order): Spark samples them and cuts the
+    whole sequence in parts of about equal numbers of rows, whatever the spread of
+    the values, and the part is the bucket. A cold key lies in one bucket, or in two
+    if a cut falls into it; a key holding a third of all rows takes a third of them.
+    Rows that tie in ``order`` stay in one bucket, so end it with a unique column.
+    The rows are written once, as the cuts are those of one sampling; every reader
+    then sees the same buckets, a task that runs again too. NULL is a key like any
+    other, and as an order value it comes first. ``multi_flag`` names an optional
+    boolean column: whether the key lies in more than one bucket."""
     from flumen.session import materialize
 
-    k = _keys(keys)
-    v = F.col(order_value) if isinstance(order_value, str) else order_value
-    x = df.withColumn("__ov", v)
-    stats = x.groupBy(*k).agg(F.count(F.lit(1)).alias("__n"), F.min("__ov").alias("__lo"),
-                              F.max("__ov").alias("__hi"))
-    # double arithmetic: a span (times the target) can exceed a long for hash
-    # values; rounding keeps the bucket non-decreasing in the value
-    span = F.col("__hi").cast("double") - F.col("__lo").cast("double") + 1
-    width = F.greatest(F.lit(1.0), F.ceil(span * F.lit(float(target_rows)) / F.col("__n")).cast("double"))
-    flag = [(F.col("__n") > F.lit(target_rows)).alias(multi_flag)] if multi_flag else []
-    stats = materialize(stats.select(*k, "__lo", width.alias("__w"), *flag), "bucket-stats")
-    out = join_back(x, stats, k)
-    offset = F.col("__ov").cast("double") - F.col("__lo").cast("double")
-    return out.withColumn(name, F.coalesce(F.floor(offset / F.col("__w")).cast("bigint"), F.lit(-1))).drop("__ov", "__lo", "__w")
+    k, o = _keys(keys), list(order) if isinstance(order, list | tuple) else [order]
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, -(-df.count() // target_rows))
+    cut = df.repartitionByRange(parts, *k, *o).withColumn(name, F.spark_partition_id().cast("bigint"))
+    out = materialize(cut, "buckets")
+    if multi_flag is None:
+        return out
+    spread = out.groupBy(*k).agg((F.min(name) != F.max(name)).alias(multi_flag))
+    return join_back(out, spread, k)

@@ -266,7 +266,7 @@ def segment_panes_split(df: DataFrame, keys, arrival_ts: str, tie_break: str, va
     any task a whole key.
 
     A key's rows, in arrival order, are cut into contiguous slices of about
-    ``chunk_rows`` rows (per-key time ranges, :func:`ordered.adaptive_bucket`).
+    ``chunk_rows`` rows (:func:`ordered.adaptive_bucket`).
     Because a pane holds at most ``n`` rows, the first pane that opens inside a slice opens within its first
     ``n`` rows. So:
 
@@ -277,9 +277,9 @@ def segment_panes_split(df: DataFrame, keys, arrival_ts: str, tie_break: str, va
     3. each slice is labelled in parallel from its true entry.
 
     Groups handed to pandas are one slice (about ``chunk_rows`` rows) or
-    one key's slice summaries (``n`` rows per slice). Keys with at most
-    ``chunk_rows`` rows skip all this and take the sorted streaming pass of
-    :func:`segment_panes`, so the per-group cost is paid only by hot keys.
+    one key's slice summaries (``n`` rows per slice). Keys that lie in one
+    slice skip all this and take the sorted streaming pass of
+    :func:`segment_panes`, so the per-group cost is paid only by keys that are cut.
     """
     own = _keys(keys)
     labelled = _split_labels(_packed(df, own), ["__key"], arrival_ts, tie_break, value, n, delay_s, chunk_rows)
@@ -293,9 +293,9 @@ def _split_labels(df: DataFrame, k, arrival_ts: str, tie_break: str, value: str,
     if n is None or n > MAX_SPLIT_COUNT:
         # each slice would need n entry candidates: take the exact sequential pass
         return _sequential_labels(base, k, n, delay_us)
-    # slices: contiguous arrival-time ranges of about chunk_rows rows per key;
-    # keys that fit in one slice take the plain sorted pass (no per-group cost)
-    base = ordered.adaptive_bucket(base, k, F.col("__t"), target_rows=chunk_rows, name="__chunk",
+    # slices: contiguous ranges of about chunk_rows rows in arrival order; keys that
+    # lie in one slice take the plain sorted pass (no per-group cost)
+    base = ordered.adaptive_bucket(base, k, ["__t", "__tb"], target_rows=chunk_rows, name="__chunk",
                                    multi_flag="__multi")
     single = _sequential_labels(base.filter(~F.col("__multi")), k, n, delay_us)
     hot = base.filter(F.col("__multi")).drop("__multi")

@@ -8,7 +8,7 @@ key to one task; :func:`spread_by_key` cuts such a key into parts.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
 
 def _keys(keys):
     return [keys] if isinstance(keys, str) else list(keys)
@@ -24,6 +24,6 @@ def spread_by_key(df: DataFrame, keys, by: str, target_rows: int = 2_000_000,
     from flumen.operators.ordered import adaptive_bucket
 
     k = _keys(keys)
-    parted = adaptive_bucket(df, k, F.xxhash64(by), target_rows, "__part")
+    parted = adaptive_bucket(df, k, by, target_rows, "__part")
     parts = [partitions] if partitions else []
     return parted.repartition(*parts, *k, "__part").sortWithinPartitions(*k, "__part").drop("__part")

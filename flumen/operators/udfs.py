@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,37 +42,28 @@ def mean_udaf() -> Callable[..., Column]:
     return mean
 
 
-def _partial_sum() -> Callable[..., Column]:
-    @F.pandas_udf(T.DoubleType())
-    def add_inputs(v: pd.Series) -> float:        # accumulator part 1: sum
-        return float(v.sum())
-    return add_inputs
-
-
-def _partial_count() -> Callable[..., Column]:
-    @F.pandas_udf(T.LongType())
-    def count_inputs(v: pd.Series) -> int:        # accumulator part 2: count
-        return int(len(v))
-    return count_inputs
-
-
 def combine_mean(df: DataFrame, keys, value: str, name: str = "mean",
                  target_rows: int = 2_000_000) -> DataFrame:
     """A custom combine function with its four steps made explicit:
 
-    * create/add -- a grouped-aggregate pandas UDF builds the (sum, count)
-      accumulator of one *part* of a key (parts of about ``target_rows`` rows,
-      cut per key by :func:`flumen.operators.ordered.adaptive_bucket`), so one
-      Python call never holds more than a part;
+    * create/add -- each task builds the (sum, count) accumulators of the keys in
+      one Arrow batch at a time, of ``target_rows`` rows at most; rows are neither
+      shuffled nor grouped before it, so a hot key is as spread as its input;
     * merge -- built-in sums of the accumulators per key (partial + final);
-    * extract -- ``sum / count``, NaN when the count is 0.
+    * extract -- ``sum / count``, NaN when the count is 0. NULL values do not count.
     """
-    from flumen.operators.ordered import adaptive_bucket
-
     k = [keys] if isinstance(keys, str) else list(keys)
-    parts = adaptive_bucket(df.select(*k, value), k, F.xxhash64(*k, value), target_rows, "__part")
-    acc = parts.groupBy(*k, "__part").agg(_partial_sum()(value).alias("__s"), _partial_count()(value).alias("__n"))
-    merged = acc.groupBy(*k).agg(F.sum("__s").alias("__s"), F.sum("__n").alias("__n"))
+    rows = df.select(*k, F.col(value).cast("double").alias("__v"))
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("__s", T.DoubleType()), T.StructField("__n", T.LongType())])
+
+    def accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, target_rows):
+                part = pa.Table.from_batches([b.slice(at, target_rows)])
+                acc = part.group_by(k, use_threads=False).aggregate([("__v", "sum"), ("__v", "count")])
+                yield from acc.select([*k, "__v_sum", "__v_count"]).rename_columns([*k, "__s", "__n"]).to_batches()
+
+    merged = rows.mapInArrow(accumulate, schema).groupBy(*k).agg(F.sum("__s").alias("__s"), F.sum("__n").alias("__n"))
     return merged.select(*k, F.when(F.col("__n") > 0, F.col("__s") / F.col("__n"))
                          .otherwise(F.lit(float("nan"))).alias(name))
 

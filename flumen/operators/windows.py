@@ -73,26 +73,31 @@ def session_ids(df: DataFrame, ts: str, gap_s: int, keys, tie_break: str,
        of the previous bucket) and gives each bucket its session offset;
     4. the offsets are joined back on ``(key, bucket)``.
 
-    Buckets are sized per key (:func:`ordered.adaptive_bucket`, about
-    ``target_rows`` rows each) unless a fixed ``bucket_s`` is given.
+    Buckets hold about ``target_rows`` rows each (:func:`ordered.adaptive_bucket`)
+    unless a fixed ``bucket_s`` is given.
     """
     k = _keys(keys)
     b = "__bucket"
     gap = F.make_interval(secs=F.lit(gap_s))
     if bucket_s is None:
-        x = ordered.adaptive_bucket(df, k, F.unix_micros(ts), target_rows, b)
+        x = ordered.adaptive_bucket(df, k, [ts, tie_break], target_rows, b)
     else:
         x = df.withColumn(b, ordered.time_bucket(ts, bucket_s))
     w = Window.partitionBy(*k, b).orderBy(ts, tie_break)
     prev = F.lag(ts).over(w)
-    x = x.withColumn("__in_start", F.when(prev.isNotNull() & (F.col(ts) > prev + gap), 1).otherwise(0))
+    # rows without a time come first and are one session
+    timed = F.col(ts).isNotNull() & F.lag(F.col(ts).isNull()).over(w)
+    starts = F.coalesce(F.col(ts) > prev + gap, F.lit(False)) | F.coalesce(timed, F.lit(False))
+    x = x.withColumn("__in_start", F.when(starts, 1).otherwise(0))
     x = x.withColumn("__in_sid", F.sum("__in_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     summary = x.groupBy(*k, b).agg(F.min(ts).alias("__first"), F.max(ts).alias("__last"),
-                                   F.sum("__in_start").alias("__n_in"))
+                                   F.sum("__in_start").alias("__n_in"),
+                                   F.count(F.when(F.col(ts).isNull(), 1)).alias("__untimed"))
     per_key = Window.partitionBy(*k).orderBy(b)
     prev_last = F.lag("__last").over(per_key)
     summary = summary.withColumn(
-        "__opens", F.when(prev_last.isNull() | (F.col("__first") > prev_last + gap), 1).otherwise(0))
+        "__opens", F.when(F.lag(b).over(per_key).isNull(), 1).when(F.col("__untimed") > 0, 0)
+        .when(prev_last.isNull() | (F.col("__first") > prev_last + gap), 1).otherwise(0))
     summary = summary.withColumn(
         "__offset",
         F.sum(F.col("__opens") + F.col("__n_in")).over(per_key.rowsBetween(Window.unboundedPreceding, 0))

@@ -85,9 +85,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def materialize(df, label: str):
     """Write ``df`` once to the shared scratch folder and read it back.
 
-    For small derived tables (per-key statistics, offsets) that are used more
-    than once, so their input is scanned once, and the lineage is cut at a
-    reliable, shared copy."""
+    For tables that are used more than once and must be the same each time (rows
+    with the bucket that one sampling gave them): their input is scanned once, and
+    the lineage is cut at a reliable, shared copy."""
     path = scratch_path(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)

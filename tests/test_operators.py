@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from flumen.operators import joins, ordered, panes, skew, windows
+from flumen.operators import joins, ordered, panes, skew, udfs, windows
 
 
 @pytest.fixture(scope="module")
@@ -151,3 +151,34 @@ def test_null_keys_keep_their_mean(spark, null_keys):
 def test_null_order_values_keep_their_rows(spark, null_keys):
     held = null_keys.withColumn("id", F.when(F.col("id") != 2, F.col("id")))
     assert ordered.adaptive_bucket(held, "k", "id", target_rows=1).count() == held.count()
+
+
+@pytest.mark.parametrize("shape", ["one far-off value", "95 % equal values", "one hot key"])
+def test_buckets_stay_near_their_target(spark, shape):
+    n, target = 20_000, 1000
+    t = {"one far-off value": F.when(F.col("id") == 7, 10**15).otherwise(F.col("id")),
+         "95 % equal values": F.when(F.col("id") % 20 == 0, F.col("id")).otherwise(5),
+         "one hot key": F.col("id")}[shape]
+    key = F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(-1) if shape == "one hot key" else F.lit(1)
+    rows = spark.range(n).select(key.alias("k"), t.alias("t"), "id")
+    b = ordered.adaptive_bucket(rows, "k", ["t", "id"], target_rows=target)
+    assert b.count() == n
+    assert b.groupBy("__bucket").count().agg(F.max("count")).first()[0] <= 2 * target
+    # buckets follow the order inside a key
+    ends = b.groupBy("k", "__bucket").agg(F.min(F.struct("t", "id")).alias("lo"), F.max(F.struct("t", "id")).alias("hi"))
+    w = Window.partitionBy("k").orderBy("__bucket")
+    assert ends.withColumn("before", F.lag("hi").over(w)).where("before >= lo").count() == 0
+
+
+def test_sessions_without_a_time_are_one_session(spark):
+    rows = spark.range(60).select(F.lit(1).alias("k"), "id", F.when(F.col("id") >= 30, F.timestamp_seconds(F.col("id") * 10)).alias("ts"))
+    for target in (1, 7, 1000):
+        out = windows.session_ids(rows, "ts", 600, "k", "id", target_rows=target)
+        got = out.groupBy("session").agg(F.count("ts").alias("timed"), F.count(F.lit(1)).alias("n")).collect()
+        assert sorted((r.timed, r.n) for r in got) == [(0, 30), (30, 30)]
+
+
+def test_combine_mean_ignores_nulls_and_keeps_keys(spark):
+    rows = spark.sql("SELECT * FROM VALUES (1L, 2.0D), (1L, NULL), (1L, 4.0D), (2L, NULL), (NULL, 8.0D) AS t(k, v)")
+    got = {r.k: r["mean"] for r in udfs.combine_mean(rows, "k", "v", target_rows=1).collect()}
+    assert got[1] == 3.0 and got[None] == 8.0 and got[2] != got[2]
