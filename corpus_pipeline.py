@@ -17,6 +17,10 @@ from flumen.llm.common import written  # noqa: E402
 from flumen.sources.tables import load  # noqa: E402
 
 
+#: A repeated passage in words: 400 bytes alone would leave most of 51 to 62 words.
+PASSAGE = suffixdedup.Settings(length=51, anchor=12, unit="words")
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a recognisable language (``und``) go. The others stay, with the
     predicted language where they had none."""
@@ -30,9 +34,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes that repeat among these documents leave their texts; every
-    document stays, and n_chars follows its text."""
-    return suffixdedup.deduplicated(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    """Strings of 400 bytes, and runs of more than 50 words however short, that repeat among
+    these documents leave their texts; every document stays, and n_chars follows its text."""
+    found = suffixdedup.deduplicated(docs, "doc_id", "text", suffixdedup.Settings(), PASSAGE)
+    return found.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -92,9 +92,9 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """``H[i]`` covers the first ``i`` bytes; see :func:`span_hash`."""
+    """``H[i]`` covers the first ``i`` bytes (or 64-bit codes); see :func:`span_hash`."""
     h = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(BYTE_CODES[data] * powers(len(data))[0][:len(data)], dtype=np.uint64, out=h[1:])
+    np.cumsum((BYTE_CODES[data] if data.dtype == np.uint8 else data) * powers(len(data))[0][:len(data)], dtype=np.uint64, out=h[1:])
     return h
 
 

@@ -32,6 +32,10 @@ of all documents hold is one entry per task. Arrays are files in the shared fold
 memory-mapped by workers; the texts themselves are never shuffled. The number of shards
 is the session's ``spark.sql.shuffle.partitions``.
 
+Units. ``unit="words"`` judges runs of ``length`` whole words (parted by ASCII white space,
+whatever its amount) in the same way: a word is a 64-bit code, and what is removed goes
+from the first byte of a run's first word to the last byte of its last.
+
 Nulls: a null text is empty; a null id takes part like any other. Texts shorter than
 ``length`` stay whole. Texts are handled in pieces of bounded size. Repeated rows are
 documents like any other: each repeats the other.
@@ -49,7 +53,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flumen.llm.common import arrow_udf, doc_of, mix, powers, prefix_hash, span_hash, text_buffer
+from flumen.llm.common import BYTE_CODES, SPACE, arrow_udf, doc_of, mix, powers, prefix_hash, span_hash, text_buffer
 from flumen.llm.hasharrays import by_shard, dealt, find, held, mapped, mounted, planes, save, unplaned
 from flumen.sources.tables import load
 
@@ -64,6 +68,36 @@ class Settings:
     length: int = 400               # 2 at least
     anchor: int = 200
     batches: int = 4
+    unit: str = "bytes"             # or "words": of length and anchor
+
+
+# ---- units of a text ---------------------------------------------------------------
+
+def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(code of each word, the documents' offsets in words, first byte, end) of a buffer."""
+    blank = SPACE[data]
+    apart = np.ones(len(data) + 1, dtype=bool)          # no word goes on from byte i - 1 to byte i
+    apart[1:-1] = blank[:-1] | blank[1:]
+    apart[offsets] = True
+    first, end = np.flatnonzero(~blank & apart[:-1]), np.flatnonzero(~blank & apart[1:]) + 1
+    code = np.zeros(len(first), dtype=np.uint64)
+    for at in range(0, len(data), STEP):                # a word may go over several pieces
+        stop = min(len(data), at + STEP)
+        which = np.arange(np.searchsorted(end, at, side="right"), np.searchsorted(first, stop, side="left"))
+        if len(which):
+            low = np.maximum(first[which], at)
+            size = np.minimum(end[which], stop) - low
+            row = np.cumsum(size) - size
+            byte = np.arange(size.sum()) + np.repeat(low - row, size)
+            place = (byte - np.repeat(first[which], size) + 1).astype(np.uint64)
+            code[which] += np.add.reduceat(mix(BYTE_CODES[data[byte]] + place * _FACTOR), row)
+    return mix(code), np.searchsorted(first, offsets), first, end
+
+
+def units(column: pa.Array, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes or the words' codes of a text column, and the documents' offsets in them."""
+    data, offsets = text_buffer(column)
+    return (data, offsets) if s.unit == "bytes" else words_of(data, offsets)[:2]
 
 
 # ---- spans of a text ---------------------------------------------------------------
@@ -196,7 +230,7 @@ class Family:
 
         def entries(batches):
             for b in batches:
-                data, offsets = text_buffer(b.column(0))
+                data, offsets = units(b.column(0), s)
                 parts = [gathered(p.key, np.ones(len(p.key), dtype=np.int64), p.print, p.print) for p in spans(data, offsets, s)]
                 if not parts:
                     continue
@@ -322,8 +356,16 @@ class Matches:
         return many & (check == checks)
 
     def ranges(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Maximal removed runs of the buffer, as sorted starts and ends; a run is cut
-        where a document ends."""
+        """Maximal removed runs of a buffer of bytes, as sorted starts and ends; a run is
+        cut where a document ends."""
+        if self.family.settings.unit == "bytes":
+            return joined(*self._runs(data, offsets), offsets)
+        code, places, first, end = words_of(data, offsets)
+        a, z = self._runs(code, places)
+        return joined(first[a], end[z - 1], offsets)
+
+    def _runs(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends in units, in any order; they may overlap."""
         s, starts, ends = self.family.settings, [], []
         for group in chunks(data, offsets, s):
             found = self.spans(group)
@@ -342,14 +384,18 @@ class Matches:
             ends.append(again + s.length)
         if not starts:
             return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        start, end = np.concatenate(starts), np.concatenate(ends)
-        order = np.argsort(start, kind="stable")
-        start, end = start[order], np.maximum.accumulate(end[order]) if len(order) else end
-        if not len(start):
-            return start, end
-        doc = doc_of(offsets, start)
-        new = np.concatenate(([True], (start[1:] > end[:-1]) | (doc[1:] != doc[:-1])))
-        return start[new], end[np.append(np.flatnonzero(new)[1:], len(start)) - 1]
+        return np.concatenate(starts), np.concatenate(ends)
+
+
+def joined(start: np.ndarray, end: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs that overlap or touch as one; a run is cut where a document ends."""
+    order = np.argsort(start, kind="stable")
+    start, end = start[order], np.maximum.accumulate(end[order]) if len(order) else end
+    if not len(start):
+        return start, end
+    doc = doc_of(offsets, start)
+    new = np.concatenate(([True], (start[1:] > end[:-1]) | (doc[1:] != doc[:-1])))
+    return start[new], end[np.append(np.flatnonzero(new)[1:], len(start)) - 1]
 
 
 def origin_of(p: Spans, which: np.ndarray, names: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -373,7 +419,7 @@ def match(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", setti
 
     def mixed_spans(batches):
         for b in batches:
-            data, offsets = text_buffer(b.column(0))
+            data, offsets = units(b.column(0), settings)
             names, parts = b.column(1).to_numpy().view(np.uint64), []
             for group in chunks(data, offsets, settings):
                 for p, (_, mixed) in zip(group, matches.spans(group)):
@@ -398,7 +444,7 @@ def match(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", setti
 
     def open_windows(batches):
         for b in batches:
-            data, offsets = text_buffer(b.column(0))
+            data, offsets = units(b.column(0), settings)
             names, parts = b.column(1).to_numpy().view(np.uint64), []
             for group in chunks(data, offsets, settings):
                 which = [np.flatnonzero(mixed) for _, mixed in matches.spans(group)]
@@ -432,10 +478,12 @@ def match(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", setti
 
 # ---- results -----------------------------------------------------------------------
 
-def _kept(column: pa.Array, matches: Matches):
-    """Per document: its bytes, its removed runs as (start, end) in it."""
+def _kept(column: pa.Array, *matches: Matches):
+    """Per document: its bytes, its removed runs (of any of the matches) as (start, end)
+    in it."""
     data, offsets = text_buffer(column)
-    start, end = matches.ranges(data, offsets)
+    found = [m.ranges(data, offsets) for m in matches]
+    start, end = joined(*map(np.concatenate, zip(*found)), offsets) if len(found) > 1 else found[0]
     doc = doc_of(offsets, start)
     edges = np.searchsorted(doc, np.arange(len(offsets)))
     for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
@@ -463,23 +511,24 @@ def digests(text: str | Column, matches: Matches) -> Column:
     return run(text)
 
 
-def kept_text(text: str | Column, matches: Matches) -> Column:
-    """The remaining text. Runs are byte strings: of a character that is cut in two, the
+def kept_text(text: str | Column, *matches: Matches) -> Column:
+    """The remaining text, without the runs of any of the matches. Runs are byte strings: of a character that is cut in two, the
     part that is left goes, too."""
     @arrow_udf("string")
     def run(column: pa.Array) -> pa.Array:
         out = []
-        for raw, starts, ends in _kept(column, matches):
+        for raw, starts, ends in _kept(column, *matches):
             # each kept part is decoded on its own, so that two halves do not join
             out.append("".join(raw[a:b].tobytes().decode("utf-8", errors="ignore") for a, b in zip([0, *ends], [*starts, len(raw)])))
         return pa.array(out, type=pa.string())
     return run(text)
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """``docs`` with the repeated strings taken out of their texts (null: empty)."""
-    matches = match(docs, id_col, text_col, settings)
-    return docs.withColumn(text_col, kept_text(F.col(text_col), matches))
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings(), *more: Settings) -> DataFrame:
+    """``docs`` with the repeated strings taken out of their texts (null: empty). Those of
+    several settings are all judged on the input."""
+    matches = [match(docs, id_col, text_col, s) for s in (settings, *more)]
+    return docs.withColumn(text_col, kept_text(F.col(text_col), *matches))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -80,6 +81,44 @@ def test_kept_text_drops_halves_of_characters(spark):
     assert out == {1: "ab", 2: "cd"}
 
 
+def kept_by_words(texts: list[str], length: int) -> list[str]:
+    spots = [list(re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())) for t in texts]
+    runs = [[tuple(m.group() for m in w[i:i + length]) for i in range(len(w) - length + 1)] for w in spots]
+    seen = Counter(r for own in runs for r in own)
+    out = []
+    for t, w, own in zip(texts, spots, runs):
+        raw = bytearray((t or "").encode())
+        gone = bytearray(len(raw))
+        for i, r in enumerate(own):
+            if seen[r] > 1:
+                a, z = w[i].start(), w[i + length - 1].end()
+                gone[a:z] = b"\1" * (z - a)
+        out.append(bytes(b for b, g in zip(raw, gone) if not g).decode())
+    return out
+
+
+@pytest.mark.parametrize("length,anchor", [(7, 3), (12, 4)])
+def test_repeated_runs_of_words_equal_brute_force(spark, length, anchor):
+    rng = random.Random(length)
+    vocabulary = ["".join(rng.choice("abé") for _ in range(rng.randrange(1, 9))) for _ in range(30)]
+    base = [[rng.choice(vocabulary) for _ in range(rng.randrange(40))] for _ in range(6)]
+    texts = [rng.choice(["", " "]) + rng.choice([" ", "\n", " \t"]).join(rng.choice(base)[:rng.randrange(40)] + [rng.choice(vocabulary) for _ in range(rng.randrange(25))] + rng.choice(base))
+             for _ in range(40)]
+    texts += ["", None, "  ", "z", "same " * 30, texts[0]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.text for r in suffixdedup.deduplicated(df, settings=suffixdedup.Settings(length, anchor, 3, "words")).collect()}
+    assert got == dict(enumerate(kept_by_words(texts, length)))
+
+
+def test_words_do_not_depend_on_pieces(monkeypatch):
+    data = np.frombuffer(("ab " + "c" * 500 + "  ab" + "ab ab\n" * 60).encode(), dtype=np.uint8)
+    big = suffixdedup.words_of(data, np.array([0, 507, len(data)]))
+    monkeypatch.setattr(suffixdedup, "STEP", 64)
+    small = suffixdedup.words_of(data, np.array([0, 507, len(data)]))
+    assert all((a == b).all() for a, b in zip(big, small))
+    assert big[1].tolist() == [0, 3, 123] and len(set(big[0].tolist())) == 2
+
+
 def test_empty_table_and_extra_columns(spark):
     df = spark.createDataFrame([], "doc_id long, text string, n_bytes string")
     assert suffixdedup.deduplicated(df).columns == df.columns

@@ -1,6 +1,7 @@
 """The registered corpus queries: oracles, contract columns, and the pipeline's stages."""
 
 import os
+import re
 import sys
 import zlib
 from collections import Counter
@@ -123,6 +124,38 @@ def test_pipeline_equals_stages_by_hand(spark, documents):
     assert got == want
 
 
+def test_repeated_text_equals_both_rules_by_hand(spark, documents):
+    """400 bytes or 51 words, both judged on the input."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    raw = [(d.text or "").encode() for d in documents]
+    spots = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", t)] for t in raw]
+    runs = [[b" ".join(t[a:z] for a, z in w[i:i + 51]) for i in range(len(w) - 50)] for t, w in zip(raw, spots)]
+    strings, passages = Counter(t[i:i + 400] for t in raw for i in range(len(t) - 399)), Counter(r for own in runs for r in own)
+    want = {}
+    for d, t, w, own in zip(documents, raw, spots, runs):
+        gone = bytearray(len(t))
+        spans = [(i, i + 400) for i in range(len(t) - 399) if strings[t[i:i + 400]] > 1]
+        for a, z in spans + [(w[i][0], w[i + 50][1]) for i, r in enumerate(own) if passages[r] > 1]:
+            gone[a:z] = b"\1" * (z - a)
+        # each kept part is decoded on its own
+        cuts = [i for i in range(len(t) + 1) if i in (0, len(t)) or gone[i] != gone[i - 1]]
+        want[d.doc_id] = "".join(t[a:z].decode("utf-8", errors="ignore") for a, z in zip(cuts, cuts[1:]) if not gone[a])
+    assert {r.doc_id: r.text for r in corpus_pipeline.repeated_text(spark, docs, SF_SMALL).collect()} == want
+
+
+def test_pipeline_removes_passages_of_51_short_words(spark):
+    """Over 50 words in fewer than 300 bytes; 50 words stay."""
+    passage = [f"w{i:02d}" for i in range(51)]
+    assert len(" ".join(passage)) < 300
+    fifty = [f"v{i:02d}" for i in range(50)]
+    docs = spark.createDataFrame([(1, "first " + " ".join(passage) + " one"), (2, "second " + "\n".join(passage) + " two"),
+                                  (3, " ".join(fifty) + " three"), (4, " ".join(fifty) + " four")], "doc_id long, text string")
+    docs = docs.selectExpr("doc_id", "text", "'en' AS lang", "'x' AS source", "length(text) AS n_chars")
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.repeated_text(spark, docs, SF_SMALL).collect()}
+    assert got[1] == ("first  one", 10) and got[2] == ("second  two", 11)
+    assert got[3][0] == " ".join(fifty) + " three" and got[4][0] == " ".join(fifty) + " four"
+
+
 def test_stages_keep_the_columns_of_documents(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
