@@ -3,11 +3,14 @@
 Vectors are cut in two halves; each half has its own codebook of ``centroids``, fitted
 by k-means on a bounded sample (the ``sample`` rows with the smallest hash of their id,
 so every size is sampled alike). A row's cell is its pair of nearest centroids; every
-row is indexed. A query walks the cells in the order of their summed squared distances:
-a heap holds the next pair of each started row of centroids, and the walk ends when the
-cells it has met hold a ``share`` of all rows (and ``least``, and more than ``k``). It gives the query
-its reach, the summed distance of its last cell. The entries of all cells within reach
-are reranked by their inner product in double precision.
+row is indexed. A query walks the cells in the order of the inner product that their
+entries may have with it: that of the centroids, and ``slack`` standard deviations of
+what the entries' distance from their centroid adds to it. So cells of long vectors, wide
+apart, come early, whatever their distance from the query. A heap holds the next pair of
+each started row of centroids, and the walk ends when the cells it has met hold a
+``share`` of all rows (and ``least``, and more than ``k``). It gives the query its reach,
+the bound of its last cell. The entries of all cells within reach are reranked by their
+inner product in double precision.
 
 Entries are dealt in blocks of equal size, in the order of their cells; a cell with a
 third of all rows is spread over many blocks. Queries are dealt in chunks. A task holds
@@ -41,6 +44,7 @@ class Settings:
     rounds: int = 12
     share: float = 0.5              # of all rows: the entries that a query reranks
     least: int = 2000               # entries that it reranks in any case
+    slack: float = 2.0              # standard deviations that a cell's bound allows for
     block: int = 4096               # entries of a task
     least_blocks: int = 8
     chunk: int = 4096               # queries of a task
@@ -75,9 +79,25 @@ def distances(half: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     return (centroids * centroids).sum(axis=1) - 2 * np.einsum("qd,kd->qk", half, centroids)
 
 
+def spread(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """Root mean square, per dimension, of the distance of each centroid's vectors from
+    it; that of all vectors where it has none."""
+    near = distances(x, centroids).argmin(axis=1)
+    off = ((x - centroids[near]) ** 2).sum(axis=1) / max(1, x.shape[1])
+    n = np.bincount(near, minlength=len(centroids))
+    mean = np.bincount(near, weights=off, minlength=len(centroids)) / np.maximum(n, 1)
+    return np.sqrt(np.where(n > 0, mean, off.mean()))
+
+
+def bounds(half: np.ndarray, centroids: np.ndarray, slack: np.ndarray) -> np.ndarray:
+    """The inner product that a centroid's vectors may have with each query, negated: the
+    best is the least. slack: what a query of length one is allowed for each centroid."""
+    return -np.einsum("qd,kd->qk", half, centroids) - np.sqrt((half * half).sum(axis=1))[:, None] * slack
+
+
 def reach(one: np.ndarray, two: np.ndarray, sizes: np.ndarray, need: int) -> float:
-    """Summed distance of the last cell of the walk that gathers ``need`` entries; one
-    and two: the query's distances to the centroids of its halves."""
+    """Sum of the last cell of the walk that gathers ``need`` entries; one and two: the
+    query's bounds of the centroids of its halves."""
     a, b = np.argsort(one, kind="stable"), np.argsort(two, kind="stable")
     x, y, held = one[a].tolist(), two[b].tolist(), sizes[np.ix_(a, b)].tolist()
     heap, got, last = [(x[0] + y[0], 0, 0)], 0, -np.inf
@@ -103,6 +123,8 @@ class Index:
         half = self.half = width // 2
         x = np.array([v for v in found if len(v) == width], dtype=np.float64).reshape(-1, width)
         self.books = books = (fit(x[:, :half], s.centroids, s.rounds), fit(x[:, half:], s.centroids, s.rounds)) if len(x) else (np.zeros((1, half)), np.zeros((1, width - half)))
+        parts = (x[:, :half], x[:, half:])
+        self.slack = tuple(s.slack * spread(p, b) if len(x) else np.zeros(1) for p, b in zip(parts, books))
         count = len(books[1])
 
         @arrow_udf("int")
@@ -133,12 +155,12 @@ class Index:
         itself. queries: rows of ``entries``."""
         s, width, half, books, sizes = self.settings, self.width, self.half, self.books, self.sizes
         need = max(int(np.ceil(self.total * s.share)), s.least, k + 1)
-        count = len(books[1])
+        count, slack = len(books[1]), self.slack
 
         @arrow_udf("double")
         def far(column: pa.Array) -> pa.Array:
             v = matrix(column, width)
-            one, two = distances(v[:, :half], books[0]), distances(v[:, half:], books[1])
+            one, two = bounds(v[:, :half], books[0], slack[0]), bounds(v[:, half:], books[1], slack[1])
             return pa.array([reach(a, b, sizes, need) for a, b in zip(one, two)], type=pa.float64())
 
         chunks = max(1, -(-queries.count() // s.chunk))
@@ -152,7 +174,7 @@ class Index:
             if entries.num_rows and chunk.num_rows:
                 v, q = matrix(entries["vector"], width), matrix(chunk["vector"], width)
                 ids, asking = entries["vec_id"].to_numpy(), chunk["vec_id"].to_numpy()
-                one, two = distances(q[:, :half], books[0]), distances(q[:, half:], books[1])
+                one, two = bounds(q[:, :half], books[0], slack[0]), bounds(q[:, half:], books[1], slack[1])
                 limit, cells = chunk["reach"].to_numpy(), entries["cell"].to_numpy()
                 order = np.argsort(cells, kind="stable")
                 edges = np.concatenate(([0], np.flatnonzero(np.diff(cells[order])) + 1, [len(order)]))

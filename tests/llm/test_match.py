@@ -158,6 +158,22 @@ def test_recall_and_blocks(spark):
     assert hit >= .9 * total
 
 
+@pytest.mark.parametrize("sigma", [0.3, 0.7])
+def test_recall_with_norms_that_differ(spark, sigma):
+    """Largest inner products are those of long vectors, far from the query."""
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(4000, 32))
+    v *= np.exp(rng.normal(scale=sigma, size=(4000, 1))) / np.linalg.norm(v, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    hit = total = 0
+    for q, rows in _by_query(ann.neighbours(df, settings=ann.Settings(least=0))):
+        score = v @ v[q]
+        score[q] = -np.inf
+        hit += len(set(np.argsort(-score)[:20]) & set(rows))
+        total += 20
+    assert total == 4000 and hit >= .9 * total
+
+
 def _by_query(df):
     found = {}
     for r in df.collect():
