@@ -1,8 +1,12 @@
 """License scans by sentence-rule recognition (operator 7). DataFrame operations only.
 
-A text is cut into sentences (at line ends, and at white space after ``. ! ? ; :``);
-each is normalised to lower-case words and looked up in a table of known licence
-sentences. The identifiers of the known ones, in text order, form the text's sequence.
+A text is cut into sentences at line ends, and at white space after ``. ! ? ; :``; each
+is normalised to lower-case words and looked up in a table of known licence sentences. A
+known sentence may also be wrapped over several lines, as published texts and comment
+blocks have it: lines that stand next to each other are tried joined, unless one ends
+in ``. ! ? ; :`` or a blank line (or one without a letter or digit) parts them; of known
+sentences that begin at the same place the longest counts. The oracle's SQL cuts at every
+line end, so it agrees on texts where no known sentence is wrapped. The identifiers of the known ones, in text order, form the text's sequence.
 Rules are tried in their order: a rule is a run of identifiers that stand next to each
 other in the sequence (unknown sentences between them do not matter); where it matches
 it reports its licence and uses these sentences up, so a more specific rule that stands
@@ -69,10 +73,14 @@ RULES = [
 _ENDS, _OTHER = r"([.!?;:])[ \t\r\f\x0B]+", r"[^\p{L}\p{N}\n]+"
 
 
-def normal_sentences(text: Column) -> Column:
-    """array<string> of normalised sentences, blank ones included."""
-    lines = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _ENDS, "$1\n")
-    return F.transform(F.split(F.regexp_replace(lines, _OTHER, " "), "\n"), lambda s: F.trim(s))
+_BREAKS = r"([.!?;:])(?:[ \t\r\f\x0B]+|(?=\n))"
+
+
+def normal_text(text: Column) -> Column:
+    """Lower-case words; a line end is one newline, the end of a sentence two or more."""
+    lines = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _BREAKS, "$1\n\n")
+    words = F.regexp_replace(lines, _OTHER, " ")
+    return F.trim(F.replace(F.replace(words, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n")))
 
 
 def normalised(sentence: str) -> list[str]:
@@ -86,8 +94,9 @@ def sentence_ids(text: Column, sentences: dict[int, str] = SENTENCES) -> Column:
     table that is cut in several is known by its longest part."""
     known = {max(normalised(s), key=len): i for i, s in sentences.items()}
     pairs = [x for k, i in known.items() for x in (F.lit(k), F.lit(i))]
-    hits = F.filter(normal_sentences(text), lambda s: s.isin(*known))
-    return F.transform(hits, lambda s: F.element_at(F.create_map(*pairs), s))
+    either = "|".join(k.replace(" ", "[ \\n]") for k in sorted(known, key=len, reverse=True))
+    hits = F.regexp_extract_all(normal_text(text), F.lit(f"(?<![^\\n])(?:{either})(?![^\\n])"), F.lit(0))
+    return F.transform(hits, lambda s: F.element_at(F.create_map(*pairs), F.replace(s, F.lit("\n"), F.lit(" "))))
 
 
 def scan(docs: DataFrame, text_col: str = "text", sentences: dict[int, str] = SENTENCES, rules=RULES) -> DataFrame:

@@ -217,6 +217,28 @@ def test_licences_by_ordered_rules(spark):
     assert licences.scan(df.limit(0)).count() == 0
 
 
+def test_wrapped_licences(spark):
+    """As published: wrapped at 78 columns, indented, or in comments."""
+    import textwrap
+    s = licences.SENTENCES
+    full = {"MIT": (1, 2, 3), "BSD-3-Clause": (23, 24, 25, 26), "GPL-3.0-or-later": (12, 13, 17, 18), "ISC": (27,), "Apache-2.0": (7, 8, 9, 10)}
+    texts, want = [], []
+    for name, run in full.items():
+        wrapped = "\n".join(textwrap.wrap(" ".join(s[i] for i in run), 78))
+        if 9 in run:                        # the address stands in a paragraph of its own
+            wrapped = "\n".join([*textwrap.wrap(" ".join(s[i] for i in run[:3]), 78), "", "http://www.apache.org/licenses/LICENSE-2.0", "", *textwrap.wrap(s[10], 78)])
+        for mark, end in [("", "\n"), ("    ", "\n"), ("# ", "\n"), (" * ", "\n"), ("// ", "\r\n")]:
+            texts.append(f"A Title\n{mark}\n" + end.join(mark + x for x in wrapped.split("\n")) + "\n\nProse.")
+            want.append(([name], list(run)))
+    # a blank line or the end of a sentence parts lines; lines of one sentence each still count
+    cut = s[27].replace("any purpose", "any\n\npurpose"), s[6] + "\nthe License", "All rights\nreserved.", "All rights.\nreserved."
+    texts += cut
+    want += [([], []), (["Apache-2.0"], [6]), (["Proprietary"], [30]), ([], [])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = licences.scan(df).orderBy("doc_id").collect()
+    assert [(r.licences, r.sentence_ids) for r in rows] == want
+
+
 def test_known_sentences_are_distinct():
     names = [max(licences.normalised(s), key=len) for s in licences.SENTENCES.values()]
     assert len(set(names)) == len(names) and all(len(n.split()) >= 3 for n in names)
