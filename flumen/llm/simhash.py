@@ -107,27 +107,36 @@ def parts_of(fps: DataFrame, distance: int, segments: int) -> DataFrame:
     return nodes
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4,
-                    distance: int = 4, segments: int = 3) -> DataFrame:
-    """(id, fp, component_id) per row: component_id is the smallest id reachable over
-    links of ``distance`` bits or fewer, the row's own included. Only the id and the
-    eight bytes of the fingerprint are shuffled, never the text."""
+def _named(docs: DataFrame, id_col: str, text_col: str, words: int, distance: int, segments: int) -> DataFrame:
+    """(id, fp, part, component_id) per row. part is the component's own key, a
+    fingerprint of it; component_id is null where no row of it has an id, and two
+    components share it where an id is repeated."""
     light = written(docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), words).alias("fp")), "simhash")
     parts = parts_of(light, distance, segments)
     least = light.groupBy("fp").agg(F.min("id").alias("id")).join(parts, "fp")
     # a part's smallest id goes to its fingerprints first, so the last join is on fp alone
     ids = least.groupBy("part").agg(F.min("id").alias("component_id"))
-    named = parts.join(ids, "part").select(F.col("fp").alias("f"), "component_id")
-    return light.join(named, light["fp"] == named["f"]).select(F.col("id"), "fp", "component_id")
+    named = parts.join(ids, "part").select(F.col("fp").alias("f"), "part", "component_id")
+    return light.join(named, light["fp"] == named["f"]).select(F.col("id"), "fp", "part", "component_id")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4,
+                    distance: int = 4, segments: int = 3) -> DataFrame:
+    """(id, fp, component_id) per row: component_id is the smallest id reachable over
+    links of ``distance`` bits or fewer, the row's own included. Only the id and the
+    eight bytes of the fingerprint are shuffled, never the text."""
+    return _named(docs, id_col, text_col, words, distance, segments).select("id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4,
+             distance: int = 4, segments: int = 3) -> DataFrame:
     """One whole row of each component: that with the smallest id (a null id comes
-    last), of equal ids the smallest text."""
-    found = near_duplicates(docs, id_col, text_col, **options)
-    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("n"), F.col("id"), F.col("fp"))).alias("k"))
+    last), of equal ids the smallest text. Components are told apart by their
+    fingerprints, so null or repeated ids join none."""
+    found = _named(docs, id_col, text_col, words, distance, segments)
+    first = found.groupBy("part").agg(F.min(F.struct(F.col("id").isNull().alias("n"), F.col("id"), F.col("fp"))).alias("k"))
     kept = first.select(F.col("k.id").alias("__id"), F.col("k.fp").alias("__fp"))
-    marked = docs.withColumn("__f", fingerprint(F.col(text_col), options.get("words", 4)))
+    marked = docs.withColumn("__f", fingerprint(F.col(text_col), words))
     one = marked.join(kept, marked[id_col].eqNullSafe(kept["__id"]) & (marked["__f"] == kept["__fp"]))
     order = Window.partitionBy("__id", "__fp").orderBy(F.col(text_col))
     return one.withColumn("__n", F.row_number().over(order)).where("__n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])

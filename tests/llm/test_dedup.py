@@ -189,6 +189,12 @@ def test_keep_one_with_null_ids_ties_and_clashing_columns(spark):
     assert simhash.keep_one(empty).columns == df.columns and simhash.keep_one(empty).count() == 0
 
 
+def test_keep_one_of_unlike_texts_without_or_with_one_id(spark):
+    rows = [(None, "one two three four five"), (None, "six seven eight nine ten"), (7, "red green blue black white"), (7, "north south east west up"), (7, "north south east west up")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, simhash.keep_one(df).collect()), key=str) == sorted(set(rows), key=str)
+
+
 def test_chain_of_links_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "a long, b long")
     assert {(r.node, r.part) for r in components(edges).collect()} == {(i, 0) for i in range(61)} | {(100, 100), (101, 100)}
