@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from flumen.llm import ann, bpe, decontaminate, langid, licences, ngramlm, simhash, suffixdedup, tokencount, urlfilter
+from flumen.llm import (ann, bpe, decontaminate, divergence, langid, licences, ngramlm, rankbpe, simhash, suffixdedup, tokencount,
+                        urlfilter, wordruns)
 
 QUERIES = {
     "op1_suffix_array_dedup": suffixdedup.query,
@@ -15,10 +16,14 @@ QUERIES = {
     "op4_token_counts": tokencount.query,
     "op9_lm_scoring": ngramlm.query,
     "op10_language_id": langid.query,
+    "op11_periodic_runs": wordruns.query,
+    "op12_source_divergence": divergence.query,
+    "op13_rank_queue_bpe": rankbpe.query,
 }
 
 ORACLES: dict[str, str] = {
     "op2_benchmark_decontamination": decontaminate.ORACLE,
     "op7_license_scan": licences.ORACLE,
     "op3_url_filters": urlfilter.ORACLE,
+    "op12_source_divergence": divergence.ORACLE,
 }

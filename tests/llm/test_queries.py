@@ -29,6 +29,9 @@ COLUMNS = {
     "op8_bpe_encode_decode": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op9_lm_scoring": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
     "op10_language_id": ["doc_id", "held_out", "lang_pred", "score"],
+    "op11_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
+    "op12_source_divergence": ["lang", "source", "part", "item", "value", "rank"],
+    "op13_rank_queue_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
 }
 
 
@@ -47,7 +50,7 @@ def documents(spark):
 
 def test_one_query_per_operator():
     names = [k.split("_")[0] for k in queries.QUERIES]
-    assert sorted(names) == sorted(f"op{n}" for n in range(1, 11))
+    assert sorted(names) == sorted(f"op{n}" for n in range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
 
 
