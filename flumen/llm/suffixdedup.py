@@ -71,6 +71,10 @@ class Settings:
     unit: str = "bytes"             # or "words": of length and anchor
 
 
+#: Passages of over 50 words; 400 bytes alone would leave most of 51 to 62 words.
+PASSAGE = Settings(length=51, anchor=12, unit="words")
+
+
 # ---- units of a text ---------------------------------------------------------------
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -511,6 +515,15 @@ def digests(text: str | Column, matches: Matches) -> Column:
     return run(text)
 
 
+def covered(text: str | Column, matches: Matches) -> Column:
+    """struct(n_bytes, n_runs): how much of a text column repeats, and in how many runs."""
+    @arrow_udf("struct<n_bytes:bigint,n_runs:bigint>")
+    def run(column: pa.Array) -> pa.Array:
+        found = [(sum(ends) - sum(starts), len(starts)) for _, starts, ends in _kept(column, matches)]
+        return pa.StructArray.from_arrays([pa.array([x[i] for x in found], type=pa.int64()) for i in (0, 1)], names=["n_bytes", "n_runs"])
+    return run(text)
+
+
 def kept_text(text: str | Column, *matches: Matches) -> Column:
     """The remaining text, without the runs of any of the matches. Runs are byte strings: of a character that is cut in two, the
     part that is left goes, too."""
@@ -532,7 +545,11 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    """op1: what is removed from every document, and the digest of what is kept."""
+    """op1: what is removed from every document, and the digest of what is kept; behind
+    that, the bytes and the number of its runs of over 50 words that repeat, however few
+    their bytes."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    matches = match(docs)
-    return docs.select("doc_id", digests(F.col("text"), matches).alias("d")).select("doc_id", "d.n_bytes", "d.n_removed", "d.n_spans", "d.kept_sha256")
+    matches, passages = match(docs), match(docs, settings=PASSAGE)
+    found = docs.select("doc_id", digests(F.col("text"), matches).alias("d"), covered(F.col("text"), passages).alias("p"))
+    return found.select("doc_id", "d.n_bytes", "d.n_removed", "d.n_spans", "d.kept_sha256",
+                        F.col("p.n_bytes").alias("n_passage_bytes"), F.col("p.n_runs").alias("n_passages"))

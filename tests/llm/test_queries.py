@@ -68,10 +68,35 @@ def test_contract_columns_come_first(spark, key):
     assert queries.QUERIES[key](spark, SF_SMALL).columns[:len(COLUMNS[key])] == COLUMNS[key]
 
 
+def repeats_by_hand(texts):
+    """Per text: what is left without strings of 400 bytes and runs of 51 words that repeat;
+    and the bytes and the number of the runs of 51 words."""
+    raw = [(t or "").encode() for t in texts]
+    spots = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", t)] for t in raw]
+    runs = [[b" ".join(t[a:z] for a, z in w[i:i + 51]) for i in range(len(w) - 50)] for t, w in zip(raw, spots)]
+    strings, passages = Counter(t[i:i + 400] for t in raw for i in range(len(t) - 399)), Counter(r for own in runs for r in own)
+    left, long = [], []
+    for t, w, own in zip(raw, spots, runs):
+        words = bytearray(len(t))
+        for a, z in [(w[i][0], w[i + 50][1]) for i, r in enumerate(own) if passages[r] > 1]:
+            words[a:z] = b"\1" * (z - a)
+        gone = bytearray(words)
+        for i in range(len(t) - 399):
+            if strings[t[i:i + 400]] > 1:
+                gone[i:i + 400] = b"\1" * 400
+        # each kept part is decoded on its own
+        cuts = [i for i in range(len(t) + 1) if i in (0, len(t)) or gone[i] != gone[i - 1]]
+        left.append("".join(t[a:z].decode("utf-8", errors="ignore") for a, z in zip(cuts, cuts[1:]) if not gone[a]))
+        long.append((sum(words), len(re.findall(rb"\x01+", words))))
+    return left, long
+
+
 def test_op1_equals_brute_force(spark, documents):
     want = removed_by_hand([(d.text or "").encode() for d in documents], 400)
+    _, passages = repeats_by_hand([d.text for d in documents])
     got = {r.doc_id: tuple(r)[1:] for r in queries.QUERIES["op1_suffix_array_dedup"](spark, SF_SMALL).collect()}
-    assert got == {d.doc_id: w for d, w in zip(documents, want)}
+    assert got == {d.doc_id: (*w, *p) for d, w, p in zip(documents, want, passages)}
+    assert any(p[0] for p in passages)
 
 
 def test_op6_equals_brute_force(spark, documents):
@@ -102,22 +127,7 @@ def test_pipeline_equals_stages_by_hand(spark, documents):
     docs = [(d.doc_id, d.text) for d in documents if any(c.isalpha() for c in d.text or "")]
     parts = parts_by_hand([fingerprint_by_hand(t) for _, t in docs], 4)
     docs = [d for i, d in enumerate(docs) if parts[i] == i]
-    texts = []
-    raw = [t.encode() for _, t in docs]
-    seen = Counter(t[i:i + 400] for t in raw for i in range(len(t) - 399))
-    for t in raw:
-        gone = bytearray(len(t))
-        for i in range(len(t) - 399):
-            if seen[t[i:i + 400]] > 1:
-                gone[i:i + 400] = b"\1" * 400
-        parts, part = [], bytearray()
-        for b, g in zip(t, gone):
-            if g and part:
-                parts.append(part)
-                part = bytearray()
-            elif not g:
-                part.append(b)
-        texts.append("".join(bytes(p).decode("utf-8", errors="ignore") for p in [*parts, part]))
+    texts, _ = repeats_by_hand([t for _, t in docs])
     docs = [(i, t) for (i, _), t in zip(docs, texts)]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
     leaking = {d for d, *_ in contained_by_hand(docs, items)}
@@ -130,20 +140,9 @@ def test_pipeline_equals_stages_by_hand(spark, documents):
 def test_repeated_text_equals_both_rules_by_hand(spark, documents):
     """400 bytes or 51 words, both judged on the input."""
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
-    raw = [(d.text or "").encode() for d in documents]
-    spots = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", t)] for t in raw]
-    runs = [[b" ".join(t[a:z] for a, z in w[i:i + 51]) for i in range(len(w) - 50)] for t, w in zip(raw, spots)]
-    strings, passages = Counter(t[i:i + 400] for t in raw for i in range(len(t) - 399)), Counter(r for own in runs for r in own)
-    want = {}
-    for d, t, w, own in zip(documents, raw, spots, runs):
-        gone = bytearray(len(t))
-        spans = [(i, i + 400) for i in range(len(t) - 399) if strings[t[i:i + 400]] > 1]
-        for a, z in spans + [(w[i][0], w[i + 50][1]) for i, r in enumerate(own) if passages[r] > 1]:
-            gone[a:z] = b"\1" * (z - a)
-        # each kept part is decoded on its own
-        cuts = [i for i in range(len(t) + 1) if i in (0, len(t)) or gone[i] != gone[i - 1]]
-        want[d.doc_id] = "".join(t[a:z].decode("utf-8", errors="ignore") for a, z in zip(cuts, cuts[1:]) if not gone[a])
-    assert {r.doc_id: r.text for r in corpus_pipeline.repeated_text(spark, docs, SF_SMALL).collect()} == want
+    want, _ = repeats_by_hand([d.text for d in documents])
+    got = {r.doc_id: r.text for r in corpus_pipeline.repeated_text(spark, docs, SF_SMALL).collect()}
+    assert got == {d.doc_id: w for d, w in zip(documents, want)}
 
 
 def test_pipeline_removes_passages_of_51_short_words(spark):
