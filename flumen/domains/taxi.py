@@ -1,5 +1,5 @@
-"""Taxi pickups per window: filter, fixed window, allowed lateness, running
-(accumulating) counts re-emitted in update mode."""
+"""Taxi pickups per window: filter, fixed window, one pane when the watermark passes, then
+one per late row with the grown (accumulated) count."""
 
 from __future__ import annotations
 
@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flumen import schemas
-from flumen.streaming.windowed import windowed_count_where
+from flumen.operators.panes import ACCUMULATING
+from flumen.streaming.fired import window_panes
 
 
 def parse(messages: DataFrame, text_col: str = "value") -> DataFrame:
@@ -17,7 +18,7 @@ def parse(messages: DataFrame, text_col: str = "value") -> DataFrame:
 
 
 def pickups_per_window(rides: DataFrame, ts: str, size: str = "60 seconds",
-                       lateness: str = "60 seconds", status: str = "pickup") -> DataFrame:
+                       lateness_s: int = 60, status: str = "pickup") -> DataFrame:
     """Pickups per event-time window; the watermark is taken over every ride
     (as a message source's watermark would be), not only over pickups."""
-    return windowed_count_where(rides, ts, size, lateness, F.col("ride_status") == status)
+    return window_panes(rides, ts, size, lateness_s, mode=ACCUMULATING, only=F.col("ride_status") == status)

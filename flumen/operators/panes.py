@@ -7,12 +7,13 @@ over an *arrival order* (the order rows reached the pipeline):
 * count trigger ``N`` -- pane = ``(position - 1) div N`` inside the key (only
   full panes fire); DISCARDING sums each pane, ACCUMULATING the running total
   up to the pane's last row; ``repeat=False`` keeps the first pane only.
-* processing-time / "any of" triggers -- sequential: a pane opens with its
-  first row and closes after ``N`` rows or once a row arrives ``delay`` or more
-  after the opening row. Labelled by a sorted, streaming pass per key.
+* processing-time / "any of" triggers -- a pane opens with its first row and
+  closes after ``N`` rows or once a row arrives ``delay`` or more after the
+  opening row. Slices of the keys' rows in arrival order are worked on side by
+  side and composed as functions of the pane that is open at their entry.
 
-Positions and running totals come from the two-step bucketed scans in
-:mod:`flumen.operators.ordered`, so a hot key is split by arrival bucket.
+Positions and running totals of count triggers come from the two-step bucketed
+scans in :mod:`flumen.operators.ordered`, so a hot key is split there, too.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flumen.operators import ordered
+from flumen.session import materialize
 
 DISCARDING = "discarding"
 ACCUMULATING = "accumulating"
@@ -64,96 +66,230 @@ def count_panes(df: DataFrame, keys, arrival: str, value: str, n: int,
     return grouped.filter(F.col("pane_rows") == n)
 
 
-def _segment(pdf_iter, keys, ts_col, n, delay_us):
-    """Streaming pass over rows sorted by (keys, arrival): label panes.
-
-    Within a run of one key, each step jumps over a whole pane with
-    ``searchsorted`` (rows before ``start + delay``, at most ``n - open rows``),
-    so the Python loop turns once per pane, not once per row. State (current
-    key, pane start, rows in the open pane, pane number) is carried across
-    Arrow batches, so memory is one batch whatever the group size."""
-    cur_key, start, cnt, pane = None, None, 0, -1
-    for pdf in pdf_iter:
-        if pdf.empty:
-            continue
-        t = pdf[ts_col].to_numpy(dtype="int64")
-        kcols = [pdf[c].to_numpy() for c in keys]
-        change = np.zeros(len(pdf), dtype=bool)
-        for kc in kcols:
-            change[1:] |= kc[1:] != kc[:-1]
-        run_starts = np.concatenate([[0], np.nonzero(change)[0]])
-        run_ends = np.concatenate([run_starts[1:], [len(pdf)]])
-        out = np.empty(len(pdf), dtype="int64")
-        for rs, re_ in zip(run_starts, run_ends):
-            key = tuple(kc[rs] for kc in kcols)
-            if key != cur_key:
-                cur_key, start, cnt, pane = key, t[rs], 0, 0
-            i = rs
-            while i < re_:
-                j = re_
-                if n is not None:
-                    j = min(j, i + (n - cnt))
-                if delay_us is not None:
-                    j = min(j, i + int(np.searchsorted(t[i:re_], start + delay_us, side="left")))
-                out[i:j] = pane
-                cnt += j - i
-                i = j
-                if i < re_:  # the pane closed by count or time: the next row opens one
-                    pane, start, cnt = pane + 1, t[i], 0
-        yield pdf.assign(pane=out)
-
-
-def _sequential_labels(base: DataFrame, k, n, delay_us) -> DataFrame:
-    """Rows (``keys, __t, __tb, __v``) -> ``keys, __t, __v, pane`` by one
-    streaming pass over each partition sorted by (keys, arrival)."""
-    sorted_rows = base.select(*k, "__t", "__tb", "__v").repartition(*k).sortWithinPartitions(*k, "__t", "__tb")
-    schema = T.StructType(sorted_rows.schema.fields + [T.StructField("pane", T.LongType(), False)])
-    return sorted_rows.mapInPandas(lambda it: _segment(it, k, "__t", n, delay_us), schema).drop("__tb")
-
-
-def _pane_table(labelled: DataFrame, k) -> DataFrame:
-    return labelled.groupBy(*k, "pane").agg(
-        F.timestamp_micros(F.min("__t")).alias("pane_start"),
-        F.count(F.lit(1)).alias("pane_rows"),
-        F.sum("__v").alias("pane_value"),
-    )
-
-
 def _pane_base(df: DataFrame, k, arrival_ts: str, tie_break: str, value: str) -> DataFrame:
     return df.select(*k, F.unix_micros(arrival_ts).alias("__t"), F.col(tie_break).alias("__tb"),
                      F.col(value).cast("double").alias("__v"))
 
 
-_KEY_TEXT = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+KEY_TEXT = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 def _packed(df: DataFrame, k) -> DataFrame:
     """The keys as one text that is never NULL: pandas would turn a long column that
     holds a NULL into doubles, and take different keys for one."""
-    return df.withColumn("__key", F.to_json(F.struct(*k), _KEY_TEXT))
+    return df.withColumn("__key", F.to_json(F.struct(*k), KEY_TEXT))
 
 
 def _unpacked(panes: DataFrame, df: DataFrame, k) -> DataFrame:
-    keys = F.from_json("__key", df.select(*k).schema, _KEY_TEXT)
+    keys = F.from_json("__key", df.select(*k).schema, KEY_TEXT)
     return panes.withColumn("__key", keys).select("__key.*", *[c for c in panes.columns if c != "__key"])
 
 
 def segment_panes(df: DataFrame, keys, arrival_ts: str, tie_break: str, value: str,
-                  n: int | None = None, delay_s: float | None = None) -> DataFrame:
+                  n: int | None = None, delay_s: float | None = None, slices: int | None = None) -> DataFrame:
     """Panes of ``Repeatedly(AfterAny(AfterCount(n), AfterProcessingTime(delay)))``
     (either part may be None). Every pane fires: when full, when its delay has
     passed, or at the end of the input / window. Output: keys, ``pane``,
     ``pane_start``, ``pane_rows``, ``pane_value`` (DISCARDING sums).
 
-    Rows are hash-partitioned by key and sorted inside each partition; one
-    streaming pass over Arrow batches labels them. A key's rows are ordered as one
-    sequence because each pane depends on where the previous one closed; for a
-    count-bounded trigger :func:`segment_panes_split` spreads hot keys instead.
+    A pane depends on where the one before it closed. All rows are cut, by key and
+    arrival, into slices of one range partitioning, so a key of any size is spread over
+    slices, and every slice is worked on alike, whatever the count bound or the delay:
+
+    1. within a slice each row points to the row that would open the next pane, had one
+       opened with it. Keys that begin in the slice follow the pointers from their first
+       row. The rest of a key that began in an earlier slice cannot know its first pane
+       start yet: pointer doubling gives, for every row that may be it, the number of
+       panes up to the slice's end and the pane still open there. Neighbouring rows with
+       the same outcome are one piece, and chains meet soon, so a slice has few pieces.
+    2. a slice is then a function of the pane that is open at its entry. At most one key
+       crosses each border, so these functions are few; they are composed key by key, in
+       slice order, which gives every slice's entry.
+    3. slices that continue a key are labelled from their entries. Panes leave the
+       slices as partial sums; only those that cross a border have several.
+
+    A slice is held in memory by its task; they are as many as ``slices``, else as
+    ``spark.sql.shuffle.partitions`` (AQE joins small ones). Rows without an arrival time
+    belong to no pane. NULL is a key like any other.
     """
     k = _keys(keys)
     delay_us = None if delay_s is None else int(delay_s * 1_000_000)
-    base = _pane_base(_packed(df, k), ["__key"], arrival_ts, tie_break, value)
-    return _unpacked(_pane_table(_sequential_labels(base, ["__key"], n, delay_us), ["__key"]), df, k)
+    rows = _pane_base(_packed(df, k), ["__key"], arrival_ts, tie_break, value).where(F.col("__t").isNotNull())
+    # one shuffle of the rows; what the slices give is written once, so that all readers see
+    # the cuts of one sampling, a task that runs again too
+    order = ["__key", "__t", "__tb"]
+    cut = rows.repartitionByRange(slices, *order) if slices else rows.repartitionByRange(*order)
+    slices = (cut.sortWithinPartitions(*order)
+              .withColumn("__slice", F.spark_partition_id().cast("bigint"))
+              .mapInPandas(lambda it: _slice(it, n, delay_us), _OUT))
+    out = materialize(slices, "pane-slices")
+    panes, pieces, heads = (out.where(F.col("kind") == kind) for kind in ("pane", "piece", "row"))
+    # small tables, a row or a few per slice: the key that each slice ends with, and the
+    # slices that begin with a key which an earlier one ends with
+    tails = panes.where("open").selectExpr("__key", "__slice", *_AS_PIECE)
+    began = tails.groupBy("__key").agg(F.min("__slice").alias("__began"))
+    tails = tails.join(began, "__key").where("__slice = __began").drop("__began")
+    goes_on = (pieces.select("__key", "__slice").distinct().join(began, "__key").where("__slice > __began")
+               .select("__key", "__slice", F.lit(True).alias("__goes_on")))
+    own = panes.join(goes_on, ["__key", "__slice"], "left").where(~F.coalesce(F.col("head") & F.col("__goes_on"), F.lit(False)))
+    entries = (pieces.join(goes_on, ["__key", "__slice"]).select("__key", "__slice", *_PIECE).unionByName(tails)
+               .groupBy("__key").applyInPandas(lambda pdf: _composed(pdf, n, delay_us), _ENTRY))
+    rest = (heads.join(entries, ["__key", "__slice"])
+            .select("__key", "__slice", F.col("t").alias("__t"), F.col("pane").alias("__nth"), F.col("value").alias("__v"), *_STATE)
+            .repartition("__slice").sortWithinPartitions("__slice", "__nth"))
+    more = rest.mapInPandas(lambda it: _rest_panes(it, n, delay_us), _PARTIAL)
+    panes = own.select("__key", "pane", "t", "rows", "value").unionByName(more).groupBy("__key", "pane").agg(
+        F.timestamp_micros(F.min("t")).alias("pane_start"), F.sum("rows").alias("pane_rows"), F.sum("value").alias("pane_value"))
+    return _unpacked(panes, df, k)
+
+
+_PARTIAL = "__key string, pane long, t long, rows long, value double"
+#: What a slice gives: partial panes (open: of the key that it ends with; head: of the key
+#: that it begins with), the pieces of its head, and the rows of its head (pane: the row's
+#: place), in case that key began earlier.
+_OUT = ("kind string, __key string, __slice long, pane long, t long, rows long, value double, open boolean, head boolean, "
+        "last_row long, last_t long, panes long, exit_t long, exit_rows long, size long")
+_PIECE = ["last_row", "last_t", "panes", "exit_t", "exit_rows", "size"]
+#: The open pane at the end of a key's first slice, as a piece that any entry leads to.
+_AS_PIECE = ["-1L AS last_row", "0L AS last_t", "pane + 1 AS panes", "t AS exit_t", "rows AS exit_rows", "0L AS size"]
+_ENTRY = "__key string, __slice long, entry_t long, entry_rows long, entry_pane long"
+_STATE = ["entry_t", "entry_rows", "entry_pane"]
+
+
+def _next(t: np.ndarray, ends: np.ndarray, n: int | None, delay_us: int | None) -> np.ndarray:
+    """For each row, the row that opens the next pane if one opens with it, or its key's
+    end. ``t`` rises within a key; ``ends``: the end of each row's key."""
+    at = np.arange(len(t))
+    nxt = ends.copy()
+    if n is not None:
+        nxt = np.minimum(nxt, at + n)
+    if delay_us is not None and len(t):
+        # one search for all keys: times are laid out one key behind the other
+        start = np.flatnonzero(np.concatenate(([True], ends[1:] != ends[:-1])))
+        size = np.diff(np.append(start, len(t)))
+        span = t[start + size - 1] - t[start] + delay_us + 1
+        shift = np.repeat(np.concatenate(([0], np.cumsum(span)[:-1])) - t[start], size)
+        line = t + shift
+        nxt = np.minimum(nxt, np.maximum(np.searchsorted(line, line + delay_us, side="left"), at + 1))
+    return nxt
+
+
+def _key_ends(keys: np.ndarray) -> np.ndarray:
+    start = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    size = np.diff(np.append(start, len(keys)))
+    return np.repeat(start + size, size)
+
+
+def _followed(nxt: np.ndarray, at: int) -> np.ndarray:
+    """Pane starts from row ``at`` on; a key's end is where the next key's first pane opens."""
+    out, step, size = [], nxt.tolist(), len(nxt)
+    while at < size:
+        out.append(at)
+        at = step[at]
+    return np.asarray(out, dtype=np.int64)
+
+
+def _sums(t: np.ndarray, v: np.ndarray, starts: np.ndarray, number: np.ndarray) -> dict:
+    """Panes that open at the given rows; ``number``: theirs within their key."""
+    return {"pane": number, "t": t[starts], "rows": np.diff(np.append(starts, len(t))),
+            "value": np.add.reduceat(v, starts) if len(starts) else v[:0]}
+
+
+def _slice(batches, n, delay_us):
+    """One slice: panes of its keys as if all began in it, and its head as a function."""
+    held = [pdf for pdf in batches if len(pdf)]
+    if not held:
+        return
+    pdf = pd.concat(held, ignore_index=True)
+    keys, t, v = pdf["__key"].to_numpy(), pdf["__t"].to_numpy(), np.nan_to_num(pdf["__v"].to_numpy(dtype=np.float64))
+    ends = _key_ends(keys)
+    nxt = _next(t, ends, n, delay_us)
+    starts = _followed(nxt, 0)
+    key = ends[starts]
+    begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    number = np.arange(len(starts)) - np.repeat(begin, np.diff(np.append(begin, len(starts))))
+    size, where = int(ends[0]), {"__slice": int(pdf["__slice"].iat[0])}
+
+    def given(kind: str, columns: dict) -> pd.DataFrame:
+        return pd.DataFrame({"kind": kind, **where, **columns}).reindex(columns=[c.split()[0] for c in _OUT.split(", ")])
+
+    yield given("pane", {"__key": keys[starts], **_sums(t, v, starts, number),
+                         "open": np.arange(len(starts)) == len(starts) - 1, "head": key == size})
+    yield given("row", {"__key": keys[:size], "pane": np.arange(size), "t": t[:size], "value": v[:size]})
+    yield given("piece", {"__key": keys[0], **_head_pieces(t[:size], nxt[:size])})
+
+
+def _head_pieces(t: np.ndarray, nxt: np.ndarray) -> dict:
+    """The first key's rows as a function of the row that opens its first pane there, by
+    pointer doubling: panes that open up to the end, and the last one's start and rows."""
+    size = len(t)
+    row = np.arange(size)
+    step = nxt < size
+    pointer, panes = np.where(step, nxt, row), np.ones(size, dtype=np.int64)
+    while step.any():
+        panes += np.where(step, panes[pointer], 0)
+        step, pointer = step & step[pointer], pointer[pointer]
+    exit_rows = size - pointer
+    # any pane that is open at the border began before it, so it is over by nxt[0]
+    row = row[:min(int(nxt[0]) + 1, size)]
+    cut = np.ones(len(row), dtype=bool)
+    cut[:-1] = (panes[row[1:]] != panes[row[:-1]]) | (exit_rows[row[1:]] != exit_rows[row[:-1]])
+    row = row[cut]
+    return {"last_row": row, "last_t": t[row], "panes": panes[row], "exit_t": t[pointer[row]], "exit_rows": exit_rows[row], "size": size}
+
+
+def _composed(pdf: pd.DataFrame, n, delay_us) -> pd.DataFrame:
+    """A key's slices in order: the pane open at each one's entry (start, rows, number)."""
+    pdf = pdf.sort_values(["__slice", "last_row"])
+    out, t, rows, pane = [], 0, 0, -1
+    for slot, g in pdf.groupby("__slice", sort=True):
+        if g["last_row"].iat[0] < 0:                    # the key's first slice
+            t, rows, pane = int(g["exit_t"].iat[0]), int(g["exit_rows"].iat[0]), int(g["panes"].iat[0]) - 1
+            continue
+        out.append((g["__key"].iat[0], slot, t, rows, pane))
+        size = int(g["size"].iat[0])
+        at = len(g)                                     # the piece that holds the first start
+        if delay_us is not None:
+            at = min(at, int(np.searchsorted(g["last_t"].to_numpy(), t + delay_us, side="left")))
+        if n is not None:
+            at = min(at, int(np.searchsorted(g["last_row"].to_numpy(), n - rows, side="left")))
+        if at == len(g):                                # none: the pane stays open throughout
+            rows += size
+        else:
+            t, rows, pane = int(g["exit_t"].iat[at]), int(g["exit_rows"].iat[at]), pane + int(g["panes"].iat[at])
+    return pd.DataFrame(out, columns=["__key", "__slice", "entry_t", "entry_rows", "entry_pane"])
+
+
+def _whole_heads(batches):
+    """The rows of one slice's head at a time; batches cut them anywhere."""
+    held = []
+    for pdf in batches:
+        while len(pdf):
+            same = pdf["__slice"].to_numpy() == pdf["__slice"].iat[0]
+            upto = len(pdf) if same.all() else int(np.argmin(same))
+            if held and held[0]["__slice"].iat[0] != pdf["__slice"].iat[0]:
+                yield pd.concat(held, ignore_index=True)
+                held = []
+            held.append(pdf.iloc[:upto])
+            pdf = pdf.iloc[upto:]
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _rest_panes(batches, n, delay_us):
+    for pdf in _whole_heads(batches):
+        t, v, size = pdf["__t"].to_numpy(), pdf["__v"].to_numpy(), len(pdf)
+        entry_t, entry_rows, entry_pane = (int(pdf[c].iat[0]) for c in _STATE)
+        first = size if n is None else min(size, n - entry_rows)
+        if delay_us is not None:
+            first = min(first, int(np.searchsorted(t, entry_t + delay_us, side="left")))
+        starts = _followed(_next(t, np.full(size, size), n, delay_us), first)
+        if first:                                       # rows of the pane that is open at the entry
+            starts = np.concatenate(([0], starts))
+        out = _sums(t, v, starts, entry_pane + np.arange(len(starts)) + (0 if first else 1))
+        if first:
+            out["t"][0] = entry_t
+        yield pd.DataFrame({"__key": pdf["__key"].iat[0], **out})
 
 
 def first_pane(df: DataFrame, keys, arrival_ts: str, value: str, delay_s: float) -> DataFrame:
@@ -169,153 +305,3 @@ def first_pane(df: DataFrame, keys, arrival_ts: str, value: str, delay_s: float)
     return within.groupBy(*k, "pane_start").agg(
         F.count(F.lit(1)).alias("pane_rows"), F.sum(value).alias("pane_value")
     ).select(*k, F.lit(0).cast("bigint").alias("pane"), "pane_start", "pane_rows", "pane_value")
-
-
-def _chain(t: np.ndarray, e: int, n: int, delay_us: int | None) -> np.ndarray:
-    """Pane starts (local indices) of the greedy chain that opens a pane at row e."""
-    starts, i, size = [], e, len(t)
-    while i < size:
-        starts.append(i)
-        j = i + n
-        if delay_us is not None:
-            j = min(j, int(np.searchsorted(t, t[i] + delay_us, side="left")))
-        i = min(j, size) if j > i else i + 1
-    return np.asarray(starts, dtype="int64")
-
-
-def _slice_summary(pdf, keys, n, delay_us):
-    """For one slice: every possible entry row e < n -> pane count, exit
-    state (start time and rows of the pane still open at the slice's end)."""
-    pdf = pdf.sort_values(["__t", "__tb"])
-    t = pdf["__t"].to_numpy(dtype="int64")
-    size = len(t)
-    s0 = _chain(t, 0, n, delay_us)
-    out = []
-    for e in range(min(n, size)):
-        if e == 0:
-            starts = s0
-        else:
-            own, i = [], e
-            while i < size:
-                pos = np.searchsorted(s0, i)
-                if pos < len(s0) and s0[pos] == i:          # merged into the chain from 0
-                    own.extend(s0[pos:].tolist())
-                    break
-                own.append(i)
-                j = i + n
-                if delay_us is not None:
-                    j = min(j, int(np.searchsorted(t, t[i] + delay_us, side="left")))
-                i = j
-            starts = np.asarray(own, dtype="int64")
-        last = int(starts[-1])
-        out.append((e, len(starts), int(t[last]), size - last))
-    head = t[:n].tolist()
-    first = {c: pdf[c].iloc[0] for c in keys + ["__chunk"]}
-    return pd.DataFrame([{**first, "e": e, "panes": p, "exit_t": xt, "exit_rows": xr, "size": size,
-                          "head": head} for e, p, xt, xr in out])
-
-
-def _fix_up(pdf, keys, n, delay_us):
-    """Per key, walk its slices in order: pick each slice's true entry row from
-    the previous slice's exit state, and give each slice its first pane id."""
-    pdf = pdf.sort_values(["__chunk", "e"])
-    rows, carry_t, carry_rows, panes_before = [], None, 0, 0
-    for chunk, g in pdf.groupby("__chunk", sort=True):
-        size = int(g["size"].iloc[0])
-        head = list(g["head"].iloc[0])
-        if carry_t is None or carry_rows >= n:
-            entry = 0
-        else:
-            entry = min(n - carry_rows, size)
-            if delay_us is not None:
-                late = [j for j, tj in enumerate(head) if tj >= carry_t + delay_us]
-                if late:
-                    entry = min(entry, late[0])
-        rows.append({**{c: g[c].iloc[0] for c in keys}, "__chunk": chunk, "entry": entry,
-                     "base": panes_before, "carry_t": carry_t if carry_t is not None else 0})
-        if entry < size:
-            pick = g[g["e"] == entry].iloc[0]
-            panes_before += int(pick["panes"])
-            carry_t, carry_rows = int(pick["exit_t"]), int(pick["exit_rows"])
-        else:                                                 # the whole slice continues the open pane
-            carry_rows += size
-    return pd.DataFrame(rows)
-
-
-def _label_slice(pdf, keys, n, delay_us):
-    pdf = pdf.sort_values(["__t", "__tb"])
-    t = pdf["__t"].to_numpy(dtype="int64")
-    entry, base = int(pdf["entry"].iloc[0]), int(pdf["base"].iloc[0])
-    pane = np.full(len(t), base - 1, dtype="int64")          # rows before entry: the open pane
-    if entry < len(t):
-        starts = _chain(t, entry, n, delay_us)
-        idx = np.searchsorted(starts, np.arange(entry, len(t)), side="right") - 1
-        pane[entry:] = base + idx
-    return pdf.assign(pane=pane)[keys + ["__t", "__v", "pane"]]
-
-
-# Count bounds above this make per-slice summaries (one per possible entry
-# row) too large; such triggers use the sequential pass instead.
-MAX_SPLIT_COUNT = 1024
-
-
-def segment_panes_split(df: DataFrame, keys, arrival_ts: str, tie_break: str, value: str,
-                        n: int, delay_s: float | None = None, chunk_rows: int = 1_000_000) -> DataFrame:
-    """Same panes as :func:`segment_panes` for a count-bounded trigger
-    (``AfterAny(AfterCount(n), AfterProcessingTime(delay))``), without giving
-    any task a whole key.
-
-    A key's rows, in arrival order, are cut into contiguous slices of about
-    ``chunk_rows`` rows (:func:`ordered.adaptive_bucket`).
-    Because a pane holds at most ``n`` rows, the first pane that opens inside a slice opens within its first
-    ``n`` rows. So:
-
-    1. each slice is summarised in parallel for every possible entry row
-       ``e < n`` (pane count and the pane still open at its end);
-    2. one small pass per key over those summaries (``#slices x n`` rows)
-       picks each slice's true entry from the previous slice's open pane;
-    3. each slice is labelled in parallel from its true entry.
-
-    Groups handed to pandas are one slice (about ``chunk_rows`` rows) or
-    one key's slice summaries (``n`` rows per slice). Keys that lie in one
-    slice skip all this and take the sorted streaming pass of
-    :func:`segment_panes`, so the per-group cost is paid only by keys that are cut.
-    """
-    own = _keys(keys)
-    labelled = _split_labels(_packed(df, own), ["__key"], arrival_ts, tie_break, value, n, delay_s, chunk_rows)
-    return _unpacked(_pane_table(labelled, ["__key"]), df, own)
-
-
-def _split_labels(df: DataFrame, k, arrival_ts: str, tie_break: str, value: str, n: int, delay_s: float | None,
-                  chunk_rows: int) -> DataFrame:
-    delay_us = None if delay_s is None else int(delay_s * 1_000_000)
-    base = _pane_base(df, k, arrival_ts, tie_break, value)
-    if n is None or n > MAX_SPLIT_COUNT:
-        # each slice would need n entry candidates: take the exact sequential pass
-        return _sequential_labels(base, k, n, delay_us)
-    # slices: contiguous ranges of about chunk_rows rows in arrival order; keys that
-    # lie in one slice take the plain sorted pass (no per-group cost)
-    base = ordered.adaptive_bucket(base, k, ["__t", "__tb"], target_rows=chunk_rows, name="__chunk",
-                                   multi_flag="__multi")
-    single = _sequential_labels(base.filter(~F.col("__multi")), k, n, delay_us)
-    hot = base.filter(F.col("__multi")).drop("__multi")
-
-    key_fields = [base.schema[c] for c in k]
-    summary_schema = T.StructType(key_fields + [
-        T.StructField("__chunk", T.LongType()), T.StructField("e", T.LongType()),
-        T.StructField("panes", T.LongType()), T.StructField("exit_t", T.LongType()),
-        T.StructField("exit_rows", T.LongType()), T.StructField("size", T.LongType()),
-        T.StructField("head", T.ArrayType(T.LongType()))])
-    summary = hot.groupBy(*k, "__chunk").applyInPandas(
-        lambda pdf: _slice_summary(pdf, k, n, delay_us), summary_schema)
-    decision_schema = T.StructType(key_fields + [
-        T.StructField("__chunk", T.LongType()), T.StructField("entry", T.LongType()),
-        T.StructField("base", T.LongType()), T.StructField("carry_t", T.LongType())])
-    decisions = summary.groupBy(*k).applyInPandas(lambda pdf: _fix_up(pdf, k, n, delay_us), decision_schema)
-    labelled_schema = T.StructType(key_fields + [
-        T.StructField("__t", T.LongType()), T.StructField("__v", T.DoubleType()),
-        T.StructField("pane", T.LongType())])
-    split = (hot.join(decisions.drop("carry_t"), [*k, "__chunk"])
-             .groupBy(*k, "__chunk")
-             .applyInPandas(lambda pdf: _label_slice(pdf, k, n, delay_us), labelled_schema))
-    return single.unionByName(split)

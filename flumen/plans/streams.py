@@ -10,14 +10,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flumen import schemas
-from flumen.operators import sets
-from flumen.plans.registry import TS_MICROS, recipe, table, ts_text
+from flumen.operators import panes, sets
+from flumen.plans.registry import TS_MICROS, recipe, rnd, table, ts_text
 from flumen.session import ensure_utc, scratch_path
 from flumen.sources.tables import table_path
-from flumen.streaming import replay as rp
+from flumen.streaming import arrivals, fired, windowed
 from flumen.streaming import sinks as ss
 from flumen.streaming import sources as src
-from flumen.streaming import windowed
 
 HOUR_FMT = "yyyy-MM-dd HH:mm:ss"
 
@@ -73,29 +72,6 @@ def stream_raw_append(spark, sf):
                       F.col("processing_timestamp").isNotNull().alias("has_processing_time"))
 
 
-@recipe("stream_replay", """
-SELECT event_id, user_id, CAST(event_id // 1000 AS BIGINT) AS micro_batch FROM events
-""")
-def stream_replay(spark, sf):
-    """Rows replayed in event_id order, 1,000 per batch; each row is tagged
-    with the micro-batch that delivered it."""
-    ev = table(spark, sf, "events").select("event_id", "user_id")
-    batches = rp.arrival_batches(ev, "event_id", 1000)
-    out = scratch_path(spark, "replay-out")
-
-    def start(watch):
-        s = rp.watched(spark, watch, ev.schema)
-
-        def write(batch, batch_id):
-            batch.withColumn("micro_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
-                f"{out}/batch_id={batch_id}")
-        return (s.writeStream.option("checkpointLocation", ss.checkpoint_for(spark, "replay"))
-                .foreachBatch(write).start())
-
-    rp.replay(spark, batches, "arrival_batch", start, "replay")
-    return spark.read.parquet(out).select("event_id", "user_id", "micro_batch")
-
-
 def _window_oracle(where: str, keys: str, delay_ms: int, size: str = "hour") -> str:
     k = f", {keys}" if keys else ""
     return f"""
@@ -149,62 +125,100 @@ def stream_sql_tumble(spark, sf):
     return _drain(spark, agg, "stream-sql-tumble")
 
 
-# ---- late data: arrival batches with every 7th row delayed -------------------
+# ---- late data: arrivals in slices, every 7th row delayed ---------------------
 
-ROWS_PER_BATCH = 1000
 DELAY_ROWS = 2000
 
 
 def delayed_arrivals(spark, sf):
-    """events in arrival order: ``event_id``, except every 7th row, which
-    arrives 2,000 positions late; cut into batches of 1,000 arrivals."""
-    ev = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts", "value")
-    arrival = F.col("event_id") + F.when(F.col("event_id") % 7 == 0, DELAY_ROWS).otherwise(0)
-    return rp.arrival_batches(ev.withColumn("__arrival", arrival), "__arrival", ROWS_PER_BATCH).drop("__arrival")
+    """events with an arrival position: ``event_id``, but 2,000 later for every 7th row."""
+    ev = table(spark, sf, "events").select("event_id", "event_type", "ts", "value")
+    return ev.withColumn("arrival", F.col("event_id") + F.when(F.col("event_id") % 7 == 0, DELAY_ROWS).otherwise(0))
 
 
-def _late_oracle(where: str, keys: str, lateness_ms: int) -> str:
-    k = f", {keys}" if keys else ""
+def _arrivals_sql(size: str, lateness_ms: int) -> str:
+    """Rows with slice b and l, the highest event time of earlier slices; c: 0 on time, 1
+    late, 2 too late for the window of the row, which ends at ``e``."""
     return f"""
-WITH a AS (SELECT *, (event_id + CASE WHEN event_id % 7 = 0 THEN {DELAY_ROWS} ELSE 0 END) // {ROWS_PER_BATCH} AS b
-           FROM events),
-bm AS (SELECT b, max(epoch_ms(ts)) AS mx FROM a GROUP BY b),
-wm AS (SELECT b, (SELECT max(x.mx) FROM bm x WHERE x.b < bm.b) - {lateness_ms} AS wm FROM bm)
-SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start{k}, COUNT(*) AS count
-FROM a JOIN wm USING (b)
-WHERE ({where}) AND (wm.wm IS NULL OR epoch_ms(date_trunc('hour', ts) + INTERVAL 1 HOUR) > wm.wm)
-GROUP BY date_trunc('hour', ts){k}
-"""
-
-
-def _late_counts(spark, sf, label, lateness, keys, only=None):
-    arrivals = delayed_arrivals(spark, sf)
-    body_schema = arrivals.drop("arrival_batch").schema
-    out = scratch_path(spark, f"{label}-out")
-
-    def start(watch):
-        s = rp.watched(spark, watch, body_schema)
-        # watermark over every arriving row; only matching rows are counted
-        agg = windowed.windowed_count_where(s, "ts", "1 hour", lateness,
-                                            only if only is not None else F.lit(True), keys)
-        agg = agg.select(F.date_format("window.start", HOUR_FMT).alias("window_start"), *keys, "count")
-        return ss.start_batches(agg, out, ss.checkpoint_for(spark, label), mode="update", available_now=False)
-
-    rp.replay(spark, arrivals, "arrival_batch", start, label)
-    return ss.latest_per_key(ss.read_batches(spark, out), ["window_start", *keys])
-
-
-@recipe("stream_late_accumulating", _late_oracle("event_type = 'click'", "", 5 * 86_400_000))
+a AS (SELECT *, event_id + CASE WHEN event_id % 7 = 0 THEN {DELAY_ROWS} ELSE 0 END AS arrival FROM events),
+s AS (SELECT *, arrival * {arrivals.SLICES} // ((SELECT max(arrival) FROM a) + 1) AS b,
+             date_trunc('{size}', ts) AS w, epoch_ms(date_trunc('{size}', ts) + INTERVAL 1 {size.upper()}) AS e FROM a),
+m AS (SELECT b, max(epoch_ms(ts)) AS mx FROM s GROUP BY b),
+seen AS (SELECT b, (SELECT max(x.mx) FROM m x WHERE x.b < m.b) AS l FROM m),
+r AS (SELECT s.*, CASE WHEN l IS NULL OR l < e THEN 0 WHEN l - {lateness_ms} < e THEN 1 ELSE 2 END AS c
+      FROM s JOIN seen USING (b)),
+fin AS (SELECT max(mx) AS l FROM m)"""
+
+
+@recipe("stream_late_accumulating", f"""
+WITH {_arrivals_sql("hour", 5 * 86_400_000)},
+n AS (SELECT w, e, count(*) FILTER (c = 0) AS early, count(*) FILTER (c = 1) AS late
+      FROM r WHERE event_type = 'click' GROUP BY w, e),
+p AS (SELECT w, 0 AS pane, 'on_time' AS timing, early AS pane_rows FROM n, fin WHERE early > 0 AND e <= fin.l
+      UNION ALL
+      SELECT w, i - 1 + CASE WHEN early > 0 THEN 1 ELSE 0 END, 'late', early + i FROM n, unnest(range(1, late + 1)) AS t(i))
+SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, CAST(pane AS BIGINT) AS pane, timing, CAST(pane_rows AS BIGINT) AS count FROM p
+""")
 def stream_late_accumulating(spark, sf):
-    """Click counts per hour; late rows re-fire the window with the grown
-    (accumulated) count while within 5 days of lateness; final value kept."""
-    return _late_counts(spark, sf, "late-acc", "5 days", [], F.col("event_type") == "click")
-
-
-@recipe("stream_drop_too_late", _late_oracle("TRUE", "event_type", 86_400_000))
+    """Clicks per hour: one pane when the watermark passes the hour, then one per late row
+    with the grown count, up to 5 days late. Every pane is kept."""
+    s = arrivals.as_stream(delayed_arrivals(spark, sf), "arrival", label="late-acc")
+    p = fired.window_panes(s, "ts", "1 hour", 5 * 86_400, mode=panes.ACCUMULATING, only=F.col("event_type") == "click")
+    out = _drain(spark, p, "late-acc")
+    return out.select(F.date_format("window_start", HOUR_FMT).alias("window_start"), "pane", "timing", F.col("pane_rows").alias("count"))
+
+
+EARLY_ARRIVALS = 40
+LATE_ROWS = 5
+
+
+@recipe("stream_early_late", f"""
+WITH RECURSIVE {_arrivals_sql("day", 6 * 86_400_000)},
+o AS (SELECT event_type, w, e, arrival, value, row_number() OVER (PARTITION BY event_type, w ORDER BY arrival, event_id) AS i FROM r WHERE c = 0),
+early AS (SELECT event_type, w, e, i, arrival AS start, value, 0 AS pane FROM o WHERE i = 1
+      UNION ALL
+      SELECT o.event_type, o.w, o.e, o.i, CASE WHEN o.arrival >= early.start + {EARLY_ARRIVALS} THEN o.arrival ELSE early.start END, o.value,
+             early.pane + CASE WHEN o.arrival >= early.start + {EARLY_ARRIVALS} THEN 1 ELSE 0 END
+      FROM early JOIN o ON o.event_type = early.event_type AND o.w = early.w AND o.i = early.i + 1),
+last AS (SELECT event_type, w, max(pane) AS top FROM early GROUP BY event_type, w),
+ahead AS (SELECT event_type, w, pane, CASE WHEN pane < top THEN 'early' ELSE 'on_time' END AS timing, count(*) AS n, sum(value) AS v
+      FROM early JOIN last USING (event_type, w), fin WHERE pane < top OR e <= fin.l GROUP BY event_type, w, pane, top),
+g AS (SELECT event_type, w, e, value, (row_number() OVER (PARTITION BY event_type, w ORDER BY arrival, event_id) - 1) // {LATE_ROWS} AS k FROM r WHERE c = 1),
+behind AS (SELECT g.event_type, g.w, k + coalesce(max(last.top) + 1, 0) AS pane, 'late' AS timing, count(*) AS n, sum(g.value) AS v
+      FROM fin, g LEFT JOIN last ON last.event_type = g.event_type AND last.w = g.w
+      GROUP BY g.event_type, g.w, k HAVING count(*) = {LATE_ROWS} OR max(e) <= max(fin.l) - {6 * 86_400_000})
+SELECT event_type, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, CAST(pane AS BIGINT) AS pane, timing, CAST(n AS BIGINT) AS pane_rows, round(v, 4) + 0.0 AS pane_value
+FROM (SELECT * FROM ahead UNION ALL SELECT * FROM behind)
+""")
+def stream_early_late(spark, sf):
+    """Daily windows per type, DISCARDING: early panes 40 arrivals after one opens, the
+    rest on time, late panes of five rows, up to 6 days late."""
+    s = arrivals.as_stream(delayed_arrivals(spark, sf), "arrival", label="early-late")
+    # the arrival position serves as the clock, a second per arrival
+    s = s.withColumn("at", F.timestamp_seconds("arrival"))
+    p = fired.window_panes(s, "ts", "1 day", 6 * 86_400, "event_type", "value", late_rows=LATE_ROWS, early_s=EARLY_ARRIVALS, arrival="at")
+    out = _drain(spark, p, "early-late")
+    return out.select("event_type", F.date_format("window_start", HOUR_FMT).alias("window_start"), "pane", "timing", "pane_rows",
+                      rnd("pane_value").alias("pane_value"))
+
+
+@recipe("stream_drop_too_late", f"""
+WITH {_arrivals_sql("hour", 86_400_000)},
+-- the engine checks a row against the watermark that the micro-batch before had
+behind AS (SELECT r.*, (SELECT max(x.mx) FROM m x WHERE x.b < r.b - 1) AS l2 FROM r)
+SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, event_type, COUNT(*) AS count
+FROM behind WHERE l2 IS NULL OR e > l2 - 86400000
+GROUP BY w, event_type
+""")
 def stream_drop_too_late(spark, sf):
-    """Allowed lateness 1 day: rows later than that are dropped."""
-    return _late_counts(spark, sf, "late-drop", "1 day", ["event_type"])
+    """Allowed lateness 1 day: rows later than that are dropped; the last count of every
+    window and type."""
+    s = arrivals.as_stream(delayed_arrivals(spark, sf), "arrival", label="late-drop")
+    agg = windowed.windowed_count(s, "ts", "1 hour", "1 day", "event_type")
+    agg = agg.select(F.date_format("window.start", HOUR_FMT).alias("window_start"), "event_type", "count")
+    out = scratch_path(spark, "late-drop-out")
+    ss.run(ss.start_batches(agg, out, ss.checkpoint_for(spark, "late-drop"), mode="update"))
+    return ss.latest_per_key(ss.read_batches(spark, out), ["window_start", "event_type"])
 
 
 # ---- message and dead-letter sinks ---------------------------------------------

@@ -96,21 +96,23 @@ GROUP BY r.{keys_sql}{w_grp}, r.pane
 """
 
 
-@recipe("trigger_any", _recursive("user_id", "", 5, "6 HOUR"))
+@recipe("trigger_any", _recursive("user_id", "date_trunc('week', ts)", 5, "2 DAY"))
 def trigger_any(spark, sf):
-    """Repeatedly(AfterAny(AfterCount(5), AfterProcessingTime(6 h))), DISCARDING."""
-    # count-bounded, so slices of a key's sequence are labelled in parallel
-    p = panes.segment_panes_split(_events(spark, sf), "user_id", "ts", "event_id", "value", n=5,
-                                  delay_s=6 * 3600)
-    return _out(p.withColumn("pane_start", ts_text("pane_start", TS_MICROS)))
+    """Weekly windows per key, Repeatedly(AfterAny(AfterCount(5), AfterProcessingTime(2 d))),
+    DISCARDING."""
+    ev = _events(spark, sf).withColumn("window_start", F.date_trunc("week", "ts"))
+    return _windowed(panes.segment_panes(ev, ["user_id", "window_start"], "ts", "event_id", "value", n=5, delay_s=2 * 86400))
 
 
 @recipe("trigger_early_late", _recursive("user_id", "date_trunc('day', ts)", None, "6 HOUR"))
 def trigger_early_late(spark, sf):
-    """Daily windows per key; early panes every 6 h of arrival time after a
-    pane opens, the rest at the window's end (DISCARDING; no allowed
-    lateness, so no late panes)."""
+    """Daily windows per key; early panes every 6 h of arrival time after a pane opens, the
+    rest at the window's end (DISCARDING). Batch data is never late; for late panes see
+    ``stream_early_late``."""
     ev = _events(spark, sf).withColumn("window_start", F.date_trunc("day", "ts"))
-    p = panes.segment_panes(ev, ["user_id", "window_start"], "ts", "event_id", "value", delay_s=6 * 3600)
+    return _windowed(panes.segment_panes(ev, ["user_id", "window_start"], "ts", "event_id", "value", delay_s=6 * 3600))
+
+
+def _windowed(p):
     return _out(p.select("user_id", ts_text("window_start").alias("window_start"), "pane",
                          ts_text("pane_start", TS_MICROS).alias("pane_start"), "pane_rows", "pane_value"))

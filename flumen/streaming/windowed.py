@@ -34,19 +34,3 @@ def session_count(stream: DataFrame, ts: str, gap: str, lateness: str, keys=None
     aggs = aggs or [F.count(F.lit(1)).alias("count")]
     return (stream.withWatermark(ts, lateness)
             .groupBy(F.session_window(ts, gap).alias("window"), *_keys(keys)).agg(*aggs))
-
-
-def windowed_count_where(stream: DataFrame, ts: str, size: str, lateness: str, cond,
-                         keys=None, name: str = "count") -> DataFrame:
-    """Count rows matching ``cond`` per window, with the watermark taken over
-    *every* row (a source watermark).
-
-    A ``filter`` written after ``withWatermark`` is pushed below it by the
-    optimizer, so the watermark would only see matching rows. Counting
-    conditionally inside the aggregate keeps all rows flowing through the
-    watermark; windows with no match are dropped after the aggregate.
-    """
-    agg = (stream.withWatermark(ts, lateness)
-           .groupBy(F.window(ts, size).alias("window"), *_keys(keys))
-           .agg(F.count(F.when(cond, F.lit(1))).alias(name)))
-    return agg.filter(F.col(name) > 0)

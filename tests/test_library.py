@@ -97,7 +97,6 @@ def test_operators_on_empty_input(spark):
     assert windows.sessions(empty, "ts", 600, "k", "id").count() == 0
     assert panes.count_panes(empty, "k", "id", "v", 3).count() == 0
     assert panes.segment_panes(empty, "k", "ts", "id", "v", n=3, delay_s=60).count() == 0
-    assert panes.segment_panes_split(empty, "k", "ts", "id", "v", n=3, delay_s=60).count() == 0
     assert panes.first_pane(empty, "k", "ts", "v", 60).count() == 0
     assert udfs.combine_mean(empty, "k", "v").count() == 0
     assert skew.spread_by_key(empty, "k", by="id").count() == 0

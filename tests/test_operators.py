@@ -96,12 +96,29 @@ def test_exclude_is_null_safe(spark):
     assert sorted(r.id for r in joins.exclude(df, ids, "id").collect() if r.id is not None) == [1]
 
 
-@pytest.mark.parametrize("chunk", [7, 50, 100_000])
-def test_split_segment_panes_match_sequential(spark, skewed, chunk):
-    seq = panes.segment_panes(skewed, "k", "ts", "id", "v", n=5, delay_s=1800)
-    split = panes.segment_panes_split(skewed, "k", "ts", "id", "v", n=5, delay_s=1800, chunk_rows=chunk)
-    cols = ["k", "pane", "pane_start", "pane_rows", "pane_value"]
-    assert sorted(split.select(*cols).collect()) == sorted(seq.select(*cols).collect())
+def panes_by_hand(rows, n, delay_us):
+    """rows: (key, t, tie-break, value); one pass per key."""
+    out, by_key = [], {}
+    for r in sorted(rows, key=lambda r: (r[1], r[2])):
+        by_key.setdefault(r[0], []).append(r)
+    for k, mine in by_key.items():
+        found = []
+        for _, t, _, v in mine:
+            if not found or (n and found[-1][1] >= n) or (delay_us and t >= found[-1][0] + delay_us):
+                found.append([t, 0, 0.0])
+            found[-1][1] += 1
+            found[-1][2] += v
+        out += [(k, i, t, m, round(v, 6)) for i, (t, m, v) in enumerate(found)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("slices", [1, 7, 60])
+@pytest.mark.parametrize("n,delay", [(5, 1800), (None, 1800), (None, 100_000), (7, None), (1, 10), (5000, 40_000), (None, None)])
+def test_segment_panes_equal_one_pass(spark, skewed, slices, n, delay):
+    rows = [(r.k, r.t, r.id, r.v) for r in skewed.select("k", F.unix_micros("ts").alias("t"), "id", "v").collect()]
+    got = panes.segment_panes(skewed, "k", "ts", "id", "v", n=n, delay_s=delay, slices=slices)
+    got = got.select("k", "pane", F.unix_micros("pane_start").alias("t"), "pane_rows", "pane_value").collect()
+    assert sorted((r.k, r.pane, r.t, r.pane_rows, round(r.pane_value, 6)) for r in got) == panes_by_hand(rows, n, delay and delay * 1_000_000)
 
 
 def test_first_pane_matches_sequential(spark, skewed):
@@ -137,9 +154,8 @@ def test_null_and_long_keys_keep_their_panes(spark, null_keys):
     assert rows(panes.count_panes(null_keys, "k", "id", "v", 2, repeat=False)) == {(None, 0, 2, 3.0), (big + 1, 0, 2, 2.0)}
     assert rows(panes.first_pane(null_keys, "k", "ts", "v", 100)) == {(None, 0, 2, 3.0), (big, 0, 1, 1.0), (big + 1, 0, 2, 2.0)}
     want = {(None, 0, 2, 3.0), (None, 1, 1, 4.0), (big, 0, 1, 1.0), (big + 1, 0, 2, 2.0)}
-    assert rows(panes.segment_panes(null_keys, "k", "ts", "id", "v", n=5, delay_s=100)) == want
-    for chunk in (1, 100):
-        assert rows(panes.segment_panes_split(null_keys, "k", "ts", "id", "v", n=5, delay_s=100, chunk_rows=chunk)) == want
+    for slices in (None, 1, 6):
+        assert rows(panes.segment_panes(null_keys, "k", "ts", "id", "v", n=5, delay_s=100, slices=slices)) == want
 
 
 def test_null_keys_keep_their_mean(spark, null_keys):

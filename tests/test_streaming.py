@@ -6,60 +6,93 @@ from pyspark.sql import functions as F
 from flumen.domains import taxi
 from flumen.operators import panes
 from flumen.session import scratch_path
+from flumen.streaming import arrivals, fired
 from flumen.streaming import panes as spanes
-from flumen.streaming import replay as rp
 from flumen.streaming import sinks as ss
 
 SCHEMA = "ride_status string, s long, arrival_batch long"
+HOUR = 3600         # time 0 of these cases: a watermark at the epoch means none
 
 
 def _run_taxi(spark, rows, label):
     table = spark.createDataFrame(rows, SCHEMA)
+    path = arrivals.write_slices(table, F.col("arrival_batch"), label=label)
+    s = arrivals.read_slices(spark, path, table.drop("arrival_batch").schema)
+    s = s.withColumn("ts", F.timestamp_seconds(F.col("s") + HOUR))
+    counts = taxi.pickups_per_window(s, "ts")
+    counts = counts.select((F.col("window_start").cast("long") - HOUR).alias("start"), "pane", "timing", F.col("pane_rows").alias("count"))
     out = scratch_path(spark, f"{label}-out")
-
-    def start(watch):
-        s = rp.watched(spark, watch, table.drop("arrival_batch").schema)
-        s = s.withColumn("ts", F.timestamp_seconds("s"))
-        counts = taxi.pickups_per_window(s, "ts", "60 seconds", "60 seconds")
-        counts = counts.select(F.col("window.start").cast("long").alias("start"), "count")
-        return ss.start_batches(counts, out, ss.checkpoint_for(spark, label), available_now=False)
-
-    rp.replay(spark, table, "arrival_batch", start, label)
-    return ss.read_batches(spark, out)
+    ss.run(ss.start_files(counts, out, ss.checkpoint_for(spark, label)))
+    return spark.read.parquet(out)
 
 
 def test_taxi_windows(spark):
-    rows = [("pickup", 0, 0), ("pickup", 0, 0), ("pickup", 0, 0), ("pickup", 60, 0), ("pickup", 120, 1)]
-    final = ss.latest_per_key(_run_taxi(spark, rows, "taxi-win"), "start")
-    assert {r.start: r["count"] for r in final.collect()} == {0: 3, 60: 1, 120: 1}
+    rows = [("pickup", 0, 0), ("pickup", 0, 0), ("pickup", 0, 0), ("pickup", 60, 0), ("pickup", 120, 1), ("enroute", 500, 2)]
+    got = _run_taxi(spark, rows, "taxi-win").collect()
+    assert sorted((r.start, r.timing, r["count"]) for r in got) == [(0, "on_time", 3), (60, "on_time", 1), (120, "on_time", 1)]
 
 
 def test_taxi_late_data(spark):
-    # The original test advances the watermark explicitly (to 60 s, then 300 s)
-    # with 60 s of allowed lateness. Spark's watermark is max(event time) -
-    # lateness and drops rows whose window ended before it, so the same states
-    # are reached by non-pickup rows at 60 s (window 0 closed but still taking
-    # late rows) and at 300 s (window 0 expired).
+    # The original test moves the watermark to 60 s, then to 300 s, with 60 s of allowed
+    # lateness; rows that are no pickups do so here. The last row is too late.
     rows = [("pickup", 0, 0), ("pickup", 0, 0),
             ("enroute", 60, 1),
             ("pickup", 0, 2),
             ("enroute", 300, 3),
             ("pickup", 0, 4)]
-    updates = _run_taxi(spark, rows, "taxi-late").filter("start = 0").orderBy("batch_id")
-    assert [r["count"] for r in updates.collect()] == [2, 3]
+    got = _run_taxi(spark, rows, "taxi-late").filter("start = 0").orderBy("pane").collect()
+    assert [(r.timing, r["count"]) for r in got] == [("on_time", 2), ("late", 3)]
+
+
+def _fire(spark, rows, label, **kw):
+    """rows: (key, event time, arrival, value, slice); panes as (key, start, pane, timing, rows, value)."""
+    table = spark.createDataFrame(rows, "k string, s long, at long, v double, b long")
+    s = arrivals.read_slices(spark, arrivals.write_slices(table, F.col("b"), label=label), table.schema)
+    s = s.withColumn("ts", F.timestamp_seconds(F.col("s") + HOUR)).withColumn("at", F.timestamp_seconds("at"))
+    out = scratch_path(spark, f"{label}-out")
+    ss.run(ss.start_files(fired.window_panes(s, "ts", "20 seconds", 100, "k", **kw), out, ss.checkpoint_for(spark, label)))
+    got = spark.read.parquet(out).withColumn("start", F.col("window_start").cast("long") - HOUR)
+    return sorted((r.k or "", r.start, r.pane, r.timing, r.pane_rows, r.pane_value) for r in got.collect())
+
+
+def test_early_on_time_and_late_panes(spark):
+    """A key with all three kinds; late panes of two rows, the rest when the window is forgotten."""
+    early = [("a", 1, 0, 1.0, 0), ("a", 2, 3, 2.0, 0), ("a", 3, 5, 4.0, 0), ("a", 4, 11, 8.0, 1)]
+    late = [("a", 19, 30 + i, float(10 ** i), 3) for i in range(5)]
+    other = [(None, 25, 12, 1.0, 2), (None, 26, 13, 1.0, 2), ("z", 400, 90, 0.5, 4), ("z", 401, 91, 0.5, 5), ("a", 5, 99, 7.0, 5)]
+    kw = {"value": "v", "early_s": 5, "arrival": "at", "late_rows": 2}
+    want = [("a", 0, 0, "early", 2, 3.0), ("a", 0, 1, "early", 1, 4.0), ("a", 0, 2, "on_time", 1, 8.0),
+            ("a", 0, 3, "late", 2, 11.0), ("a", 0, 4, "late", 2, 1100.0), ("a", 0, 5, "late", 1, 10000.0)]
+    got = _fire(spark, early + late + other, "all-kinds", **kw)
+    assert got == [("", 20, 0, "on_time", 2, 2.0), *want]
+    total = [3.0, 7.0, 15.0, 26.0, 1126.0, 11126.0]
+    got = _fire(spark, early + late + other, "all-kinds-acc", mode=panes.ACCUMULATING, **kw)
+    assert [(r[2], r[3], r[5]) for r in got if r[0] == "a"] == [(w[2], w[3], t) for w, t in zip(want, total)]
+
+
+def test_late_counts_discarding(spark):
+    rows = [("a", 1, 0, 0.0, 0)] * 3 + [("b", 30, 1, 0.0, 1)] + [("a", 2, 2, 0.0, 2)] * 4 + [("b", 31, 1, 0.0, 3), ("b", 300, 1, 0.0, 4), ("b", 301, 1, 0.0, 5)]
+    got = _fire(spark, rows, "late-counts", late_rows=3)
+    assert got == [("a", 0, 0, "on_time", 3, 3.0), ("a", 0, 1, "late", 3, 3.0), ("a", 0, 2, "late", 1, 1.0), ("b", 20, 0, "on_time", 2, 2.0)]
+
+
+def test_slices_keep_their_order(spark):
+    df = spark.range(1000).withColumn("arrival", 999 - F.col("id"))
+    path = arrivals.write_slices(df, arrivals.slice_of(df, "arrival"))
+    out = scratch_path(spark, "order-out")
+    q = ss.start_batches(arrivals.read_slices(spark, path, df.schema), out, ss.checkpoint_for(spark, "order"), mode="append")
+    ss.run(q)
+    got = ss.read_batches(spark, out).groupBy("batch_id").agg(F.min("arrival").alias("a"), F.max("arrival").alias("z"), F.count("*").alias("n"))
+    got = sorted((r.batch_id, r.a, r.z, r.n) for r in got.collect())
+    assert [g[0] for g in got] == list(range(arrivals.SLICES)) and sum(g[3] for g in got) == 1000
+    assert all(x[2] < y[1] for x, y in zip(got, got[1:]))
 
 
 def test_count_panes_stream_equals_batch(spark):
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "user_id", "value")
-    batches = rp.arrival_batches(ev, "event_id", 250)
+    p = spanes.count_panes_stream(arrivals.as_stream(ev, "event_id"), "user_id", "event_id", "value", 3, accumulating=True)
     out = scratch_path(spark, "panes-out")
-
-    def start(watch):
-        s = rp.watched(spark, watch, ev.schema)
-        p = spanes.count_panes_stream(s, "user_id", "event_id", "value", 3, accumulating=True)
-        return ss.start_files(p, out, ss.checkpoint_for(spark, "panes"), available_now=False)
-
-    rp.replay(spark, batches, "arrival_batch", start, "panes")
+    ss.run(ss.start_files(p, out, ss.checkpoint_for(spark, "panes")))
     got = sorted((r.user_id, r.pane, r.pane_rows, round(r.pane_value, 6)) for r in spark.read.parquet(out).collect())
     want = panes.count_panes(ev, "user_id", "event_id", "value", 3, mode=panes.ACCUMULATING).collect()
     assert got == sorted((r.user_id, r.pane, r.pane_rows, round(r.pane_value, 6)) for r in want)
@@ -68,20 +101,15 @@ def test_count_panes_stream_equals_batch(spark):
 def test_any_trigger_stream_equals_batch(spark):
     ev = (spark.read.parquet("/root/testdata/sf0.001/events.parquet")
           .select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "value"))
-    # a sentinel row far in the future, for a key of its own, moves the
-    # watermark past every open pane at the end of the input
-    sentinel = spark.createDataFrame([(10**9, -1, None, 0.0)], ev.schema).withColumn(
+    # two rows far in the future, for a key of their own and in the last two slices, move
+    # the watermark past every open pane at the end of the input
+    sentinel = spark.createDataFrame([(10**9, -1, None, 0.0), (10**9 + 1, -1, None, 0.0)], ev.schema).withColumn(
         "ts", F.timestamp_seconds(F.lit(1_800_000_000)))
-    batches = rp.arrival_batches(ev.unionByName(sentinel).withColumn(
-        "__a", F.when(F.col("user_id") == -1, 10**6).otherwise(F.col("event_id"))), "__a", 250).drop("__a")
+    number = F.when(F.col("user_id") == -1, F.col("event_id") - 10**9 + 10).otherwise(F.expr("event_id div 100"))
+    path = arrivals.write_slices(ev.unionByName(sentinel), number)
+    p = spanes.segment_panes_stream(arrivals.read_slices(spark, path, ev.schema), "user_id", "ts", "event_id", "value", n=5, delay_s=6 * 3600)
     out = scratch_path(spark, "any-out")
-
-    def start(watch):
-        s = rp.watched(spark, watch, ev.schema)
-        p = spanes.segment_panes_stream(s, "user_id", "ts", "event_id", "value", n=5, delay_s=6 * 3600)
-        return ss.start_files(p, out, ss.checkpoint_for(spark, "any"), available_now=False)
-
-    rp.replay(spark, batches, "arrival_batch", start, "any")
+    ss.run(ss.start_files(p, out, ss.checkpoint_for(spark, "any")))
     got = sorted((r.user_id, r.pane, r.pane_start, r.pane_rows, round(r.pane_value, 6))
                  for r in spark.read.parquet(out).filter("user_id >= 0").collect())
     want = panes.segment_panes(ev, "user_id", "ts", "event_id", "value", n=5, delay_s=6 * 3600).collect()
