@@ -45,7 +45,7 @@ from flumen.sources.tables import load
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
-MEMO_WORDS = 200_000            # pre-tokens in each of the two generations that a worker remembers
+MEMO_WORDS = 400_000            # pre-tokens in each of the two generations that a worker remembers
 MEMO_CHARS = 64                 # longer ones are not remembered
 
 
