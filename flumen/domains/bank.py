@@ -8,7 +8,7 @@ a list, so a customer with any number of payments costs one row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flumen.functions import collections as coll
@@ -23,18 +23,21 @@ MAX_CONSECUTIVE_MISSED = 2
 MEDICAL, PERSONAL = "Medical Loan", "Personal Loan"
 
 
-def card_points(cards: DataFrame, key="customer_id") -> DataFrame:
-    """Points per statement, summed per customer, kept when > 0.
-
-    +1 paid < 70% of spent; +1 spent == limit and anything unpaid;
-    +1 more when spent == limit and paid < 70% of spent."""
+def statement_points() -> Column:
+    """Points of a statement. +1 paid < 70% of spent; +1 spent == limit and anything
+    unpaid; +1 more when spent == limit and paid < 70% of spent."""
     spent, limit, paid = F.col("spent"), F.col("max_limit"), F.col("payment_cleared")
     share = spent * F.lit(PAID_SHARE)
     at_limit = spent == limit
-    pts = (F.when(paid < share, 1).otherwise(0)
-           + F.when(at_limit & (paid < spent), 1).otherwise(0)
-           + F.when(at_limit & (paid < share), 1).otherwise(0))
-    out = cards.groupBy(key).agg(F.sum(pts).cast("bigint").alias("points"))
+    return (F.when(paid < share, 1).otherwise(0)
+            + F.when(at_limit & (paid < spent), 1).otherwise(0)
+            + F.when(at_limit & (paid < share), 1).otherwise(0))
+
+
+def card_points(cards: DataFrame, key="customer_id", points: Column | None = None) -> DataFrame:
+    """Points of the statements, summed per customer, kept when > 0. ``points``: those of a
+    row, if it is not a statement but a sum of some."""
+    out = cards.groupBy(key).agg(F.sum(statement_points() if points is None else points).cast("bigint").alias("points"))
     return out.filter(F.col("points") > 0)
 
 

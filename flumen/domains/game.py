@@ -26,10 +26,7 @@ def battle_points(battle_time: Column, my_rank: Column, opp_rank: Column,
             + F.when(my_place != opp_place, OTHER_PLACE_BONUS).otherwise(0))
 
 
-def mean_points_per_session(df: DataFrame, keys, ts: str, points: str, tie_break: str,
-                            gap_s: int = SESSION_GAP_S, bucket_s: int | None = None) -> DataFrame:
+def mean_points_per_session(df: DataFrame, keys, ts: str, points: str, gap_s: int = SESSION_GAP_S) -> DataFrame:
     """Average points per key and session window (mean = sum / count, the
-    combine function's accumulator). Buckets that spread one key over tasks
-    are sized per key unless ``bucket_s`` fixes them."""
-    return windows.sessions(df, ts, gap_s, keys, tie_break, bucket_s=bucket_s,
-                            aggs=[F.count(F.lit(1)).alias("battles"), F.avg(points).alias("mean_points")])
+    combine function's accumulator)."""
+    return windows.sessions(df, ts, gap_s, keys, {"battles": ("count", None), "mean_points": ("mean", points)})

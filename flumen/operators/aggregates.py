@@ -83,3 +83,18 @@ def composite(df: DataFrame, keys, value, min_total, fmt: str, name: str = "text
     return having(summed, F.col("total") > F.lit(min_total)).withColumn(
         name, F.format_string(fmt, *[F.col(k) for k in _keys(keys)], F.col("total"))
     )
+
+
+def of_sets(df: DataFrame, sets: dict, *aggs: Column, name: str = "branch", key: str = "key") -> DataFrame:
+    """Aggregates of one input by several columns in one scan and one shuffle (GROUPING
+    SETS): rows of ``name`` (a key of ``sets``), ``key`` (the value of that set's column, as
+    text) and ``aggs``. A NULL is a key like any other."""
+    columns = list(dict.fromkeys(sets.values()))
+    out = df.groupingSets([[c] for c in columns], *columns).agg(F.grouping_id().alias("__set"), *aggs)
+    # a column's bit is 0 where it is grouped by, the first column's being the highest
+    whole = (1 << len(columns)) - 1
+    number = {c: whole - (1 << (len(columns) - 1 - i)) for i, c in enumerate(columns)}
+    branch = F.filter(F.array(*[F.struct(F.lit(n).alias(name), F.lit(number[c]).cast("long").alias("set"), F.col(c).cast("string").alias(key))
+                                for n, c in sets.items()]), lambda x: x["set"] == F.col("__set"))
+    kept = [c for c in out.columns if c not in (*columns, "__set")]
+    return out.select(F.explode(branch).alias("__b"), *kept).select(f"__b.{name}", f"__b.{key}", *kept)

@@ -8,6 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flumen.operators.ordered import join_back
+from flumen.session import materialize
+
+
 def _keys(keys):
     return [keys] if isinstance(keys, str) else list(keys)
 
@@ -49,6 +53,16 @@ def cogroup_flat(sides: dict[str, DataFrame], key, value_cols: dict[str, list] |
     return out
 
 
+def cogroup_with_sizes(sides: dict[str, DataFrame], key) -> DataFrame:
+    """:func:`cogroup_flat` with the number of its key's elements on each side (``n_<tag>``).
+    The flat form is written once, so every input is read once; the sizes are a partial
+    aggregate of it. NULL is a key like any other."""
+    k = _keys(key)
+    flat = materialize(cogroup_flat(sides, k), "cogroup")
+    sizes = flat.groupBy(*k).agg(*[F.count_if(F.col("tag") == t).alias(f"n_{t}") for t in sides])
+    return join_back(flat, sizes, k)
+
+
 def cogroup_sizes(sides: dict[str, DataFrame], key) -> DataFrame:
     """Per key of the full outer key set: number of elements on each side
     (0 when absent). Partial aggregation per side, then one full outer join of

@@ -49,3 +49,10 @@ def split_parsed(df: DataFrame, text_col: str, schema: T.StructType,
     good = labelled.filter(F.col("__outcome") == "parsed").drop("__outcome")
     bad = labelled.filter(F.col("__outcome") == "dead_letter").drop("__outcome", parsed)
     return good, bad
+
+
+def flatten_branches(df: DataFrame, branches: dict, name: str = "branch") -> DataFrame:
+    """Filtered branches of one input, flattened in one scan: a row comes out once for
+    every branch whose condition holds, with the branch in column ``name``."""
+    taken = F.filter(F.array(*[F.when(cond, F.lit(n)) for n, cond in branches.items()]), lambda x: x.isNotNull())
+    return df.withColumn(name, F.explode(taken))

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +33,16 @@ def flat_map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
     return df.mapInPandas(run, schema)
 
 
+def table_function(df: DataFrame, fn, by, order_by=(), **arguments) -> DataFrame:
+    """1 -> 0..n rows by an Arrow table function (class with ``eval``, wrapped by
+    ``arrow_udtf`` with its declared schema): ``df`` is its table argument, ``PARTITION BY``
+    the columns ``by``, and ``arguments`` its keyword arguments, constants or columns."""
+    rows = df.asTable().partitionBy(*([by] if isinstance(by, str) else by))
+    if order_by:
+        rows = rows.orderBy(*([order_by] if isinstance(order_by, str) else order_by))
+    return fn(rows, **{k: v if isinstance(v, Column) else F.lit(v) for k, v in arguments.items()})
+
+
 def mean_udaf() -> Callable[..., Column]:
     """Mean as one grouped-aggregate ``pandas_udf`` (NaN on empty input).
     Spark hands each group to Python whole, so use it on bounded groups only;
@@ -81,3 +92,25 @@ def nonblank_lines(pdf: pd.DataFrame) -> pd.DataFrame:
     parts["line_no"] = parts.groupby(level=0).cumcount().astype("int64")
     parts = parts[parts["line"].str.strip(" ") != ""]
     return parts[["doc_id", "line_no", "line"]].reset_index(drop=True)
+
+
+class SplitNames:
+    """Example table function over rows (id, text), with two keyword arguments: every word
+    of a text goes to ``Short_Names`` or, longer than ``cutoff_length``, to ``Long_Names``,
+    and once more to ``Marked_Names`` if it starts with ``marker``."""
+
+    def eval(self, rows: pa.RecordBatch, cutoff_length: pa.Array, marker: pa.Array) -> Iterator[pa.Table]:
+        lists = pc.split_pattern(pc.fill_null(rows.column("text"), ""), " ")
+        ids, words = pc.take(rows.column("id"), pc.list_parent_indices(lists)), pc.list_flatten(lists)
+        some = pc.not_equal(words, "")
+        ids, words = ids.filter(some), words.filter(some)
+        short = pc.less_equal(pc.utf8_length(words), cutoff_length[0].as_py())
+        yield pa.table({"id": ids, "tag": pc.if_else(short, "Short_Names", "Long_Names"), "word": words})
+        marked = pc.starts_with(words, marker[0].as_py())
+        ids, words = ids.filter(marked), words.filter(marked)
+        yield pa.table({"id": ids, "tag": pa.repeat("Marked_Names", len(words)), "word": words})
+
+
+def split_names():
+    """:class:`SplitNames` as a table function."""
+    return F.arrow_udtf(SplitNames, returnType="id long, tag string, word string")

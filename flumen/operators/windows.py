@@ -7,11 +7,13 @@ other column.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flumen.functions import dates
-from flumen.operators import ordered
+from flumen.operators import ordered, partials
 
 
 def _keys(keys):
@@ -30,10 +32,26 @@ def fixed(df: DataFrame, ts: str, size_s: int, keys=None, aggs=None) -> DataFram
     return df.groupBy(F.window(ts, _dur(size_s)).alias("window"), *_keys(keys)).agg(*aggs)
 
 
-def sliding(df: DataFrame, ts: str, size_s: int, period_s: int, keys=None, aggs=None) -> DataFrame:
-    """Hopping windows: each row counts in ``ceil(size/period)`` windows."""
-    aggs = aggs or [F.count(F.lit(1)).alias("count")]
-    return df.groupBy(F.window(ts, _dur(size_s), _dur(period_s)).alias("window"), *_keys(keys)).agg(*aggs)
+def sliding(df: DataFrame, ts: str, size_s: int, period_s: int, keys=None, aggs: dict | None = None) -> DataFrame:
+    """Hopping windows: each row counts in the windows of ``size_s`` seconds, one every
+    ``period_s``, that hold it. ``aggs`` as in :mod:`flumen.operators.partials`.
+
+    Rows are aggregated once, per slice: the common divisor of size and period, so that a
+    window is a whole number of slices. Only slices are then copied into their windows
+    and merged: a row of the shuffle is a slice and task, however many windows overlap."""
+    aggs, k = aggs or partials.COUNT, _keys(keys)
+    width = math.gcd(size_s, period_s)
+    slices = (df.where(F.col(ts).isNotNull()).groupBy(F.unix_seconds(F.window(ts, _dur(width)).start).alias("__at"), *k)
+              .agg(*partials.of_rows(aggs)))
+    # the last window that holds a slice begins at the last multiple of the period before it
+    last = F.col("__at") - F.pmod("__at", F.lit(period_s))
+    first = F.col("__at") + F.lit(width - size_s)
+    first = first + F.pmod(-first, F.lit(period_s))
+    begins = F.when(first <= last, F.sequence(first, last, F.lit(period_s).cast("long")))
+    each = slices.select("*", F.explode(begins).alias("__start"))
+    window = F.struct(F.timestamp_seconds("__start").alias("start"), F.timestamp_seconds(F.col("__start") + F.lit(size_s)).alias("end"))
+    out = each.groupBy("__start", *k).agg(*partials.of_parts(aggs))
+    return out.select(window.alias("window"), *k, *aggs)
 
 
 def global_window(df: DataFrame, keys=None, aggs=None) -> DataFrame:
@@ -54,71 +72,42 @@ def sessions_builtin(df: DataFrame, ts: str, gap_s: int, keys=None, aggs=None) -
     return df.groupBy(*_keys(keys), F.session_window(ts, _dur(gap_s)).alias("window")).agg(*aggs)
 
 
-def session_ids(df: DataFrame, ts: str, gap_s: int, keys, tie_break: str,
-                bucket_s: int | None = None, name: str = "session",
-                target_rows: int = ordered.TARGET_BUCKET_ROWS) -> DataFrame:
-    """Label each row with its session number inside its key, skew-safe.
-
-    A new session starts when ``ts - previous_ts > gap`` (rows exactly one gap
-    apart stay together, as in ``session_window``). Rows are cut into
-    ``(key, time bucket)`` partitions so a hot key is spread over many tasks:
-
-    1. one window pass per ``(key, bucket)`` (one shuffle, one sort) gives the
-       in-bucket previous time, the in-bucket session starts and their running
-       count;
-    2. a per-bucket summary (first/last time, number of in-bucket starts) is
-       aggregated on the same partitioning;
-    3. a window over the summary -- one row per non-empty bucket -- decides
-       whether each bucket's first row opens a session (against the last time
-       of the previous bucket) and gives each bucket its session offset;
-    4. the offsets are joined back on ``(key, bucket)``.
-
-    Buckets hold about ``target_rows`` rows each (:func:`ordered.adaptive_bucket`)
-    unless a fixed ``bucket_s`` is given.
-    """
-    k = _keys(keys)
-    b = "__bucket"
-    gap = F.make_interval(secs=F.lit(gap_s))
-    if bucket_s is None:
-        x = ordered.adaptive_bucket(df, k, [ts, tie_break], target_rows, b)
-    else:
-        x = df.withColumn(b, ordered.time_bucket(ts, bucket_s))
-    w = Window.partitionBy(*k, b).orderBy(ts, tie_break)
-    prev = F.lag(ts).over(w)
-    # rows without a time come first and are one session
-    timed = F.col(ts).isNotNull() & F.lag(F.col(ts).isNull()).over(w)
-    starts = F.coalesce(F.col(ts) > prev + gap, F.lit(False)) | F.coalesce(timed, F.lit(False))
-    x = x.withColumn("__in_start", F.when(starts, 1).otherwise(0))
-    x = x.withColumn("__in_sid", F.sum("__in_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    summary = x.groupBy(*k, b).agg(F.min(ts).alias("__first"), F.max(ts).alias("__last"),
-                                   F.sum("__in_start").alias("__n_in"),
-                                   F.count(F.when(F.col(ts).isNull(), 1)).alias("__untimed"))
-    per_key = Window.partitionBy(*k).orderBy(b)
-    prev_last = F.lag("__last").over(per_key)
-    summary = summary.withColumn(
-        "__opens", F.when(F.lag(b).over(per_key).isNull(), 1).when(F.col("__untimed") > 0, 0)
-        .when(prev_last.isNull() | (F.col("__first") > prev_last + gap), 1).otherwise(0))
-    summary = summary.withColumn(
-        "__offset",
-        F.sum(F.col("__opens") + F.col("__n_in")).over(per_key.rowsBetween(Window.unboundedPreceding, 0))
-        - F.col("__n_in"))
-    out = ordered.join_back(x, summary.select(*k, b, "__offset"), [*k, b])
-    return out.withColumn(name, F.col("__offset") + F.col("__in_sid")).drop(
-        "__in_start", "__in_sid", "__offset", b)
-
-
-def sessions(df: DataFrame, ts: str, gap_s: int, keys, tie_break: str, aggs=None,
-             bucket_s: int | None = None, target_rows: int = ordered.TARGET_BUCKET_ROWS) -> DataFrame:
-    """Session windows per key with a ``window`` struct like ``session_window``:
-    start = first row, end = last row + gap. Aggregation per session is a
-    partial + final group-by, so even one huge session is combined map-side."""
-    aggs = aggs or [F.count(F.lit(1)).alias("count")]
+def _session_pieces(df: DataFrame, ts: str, gap_s: int, k: list, parts: list[Column]) -> DataFrame:
+    """Partial sessions of each key with their session's number: the rows of one stretch of
+    time as long as the gap. No two of these are further apart than the gap, so they
+    belong to one session whatever lies between; they are one hash aggregate, combined in
+    each task before the shuffle. A key has a piece per gap of its time at most, however
+    many rows: only pieces are put in order. Rows without a time are a piece of their own."""
+    pieces = df.withColumn("__piece", _stretch(ts, gap_s)).groupBy(*k, "__piece").agg(
+        F.min(ts).alias("__first"), F.max(ts).alias("__last"), *parts)
+    w = Window.partitionBy(*k).orderBy("__piece")
+    before = F.lag("__last").over(w)
+    opens = F.coalesce(F.col("__first") > before + F.make_interval(secs=F.lit(gap_s)), F.lit(True))
+    pieces = pieces.withColumn("__opens", opens.cast("int"))
+    return pieces.withColumn("session", F.sum("__opens").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__opens")
+
+
+def _stretch(ts: str, gap_s: int) -> Column:
+    us, gap = F.unix_micros(F.col(ts)), F.lit(max(1, int(gap_s * 1_000_000)))
+    return us - F.pmod(us, gap)
+
+
+def session_ids(df: DataFrame, ts: str, gap_s: int, keys, name: str = "session") -> DataFrame:
+    """Label each row with its session's number inside its key. A new session starts when
+    ``ts - previous_ts > gap`` (rows exactly one gap apart stay together, as in
+    ``session_window``); rows without a time are one session, the first. The pieces of
+    :func:`_session_pieces` are joined back to the rows."""
     k = _keys(keys)
-    labelled = session_ids(df, ts, gap_s, k, tie_break, bucket_s, target_rows=target_rows)
-    out = labelled.groupBy(*k, "session").agg(
-        F.min(ts).alias("__s"), F.max(ts).alias("__e"), *aggs)
-    return out.withColumn(
-        "window",
-        F.struct(F.col("__s").alias("start"),
-                 (F.col("__e") + F.make_interval(secs=F.lit(gap_s))).alias("end")),
-    ).drop("__s", "__e", "session")
+    pieces = _session_pieces(df, ts, gap_s, k, []).select(*k, "__piece", F.col("session").alias(name))
+    return ordered.join_back(df.withColumn("__piece", _stretch(ts, gap_s)), pieces, [*k, "__piece"]).drop("__piece")
+
+
+def sessions(df: DataFrame, ts: str, gap_s: int, keys, aggs: dict | None = None) -> DataFrame:
+    """Session windows per key with a ``window`` struct like ``session_window``: start =
+    first row, end = last row + gap. ``aggs`` as in :mod:`flumen.operators.partials`:
+    partial sessions carry accumulators, only these are merged per session."""
+    aggs, k = aggs or partials.COUNT, _keys(keys)
+    pieces = _session_pieces(df, ts, gap_s, k, partials.of_rows(aggs))
+    out = pieces.groupBy(*k, "session").agg(F.min("__first").alias("__s"), F.max("__last").alias("__e"), *partials.of_parts(aggs))
+    window = F.struct(F.col("__s").alias("start"), (F.col("__e") + F.make_interval(secs=F.lit(gap_s))).alias("end"))
+    return out.select(*k, *aggs, window.alias("window"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flumen.operators import aggregates as agg
-from flumen.operators import ordered, udfs, windows
+from flumen.operators import ordered, sets, udfs
 from flumen.plans.registry import big, recipe, rnd, table
 from flumen.sources import sql as sqlsrc
 
@@ -85,21 +85,30 @@ def agg_min_max_sum(spark, sf):
 
 
 @recipe("agg_count_no_default", """
-SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start, COUNT(*) AS count
-FROM events WHERE value > 1000 GROUP BY 1
+SELECT 'most' AS rows_of, COUNT(*) AS count FROM events WHERE value < 1000 HAVING COUNT(*) > 0
+UNION ALL SELECT 'none', COUNT(*) FROM events WHERE value > 1000000 HAVING COUNT(*) > 0
+UNION ALL SELECT 'hour ' || strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S'), COUNT(*) FROM events WHERE value > 50 GROUP BY 1
 """)
 def agg_count_no_default(spark, sf):
-    ev = table(spark, sf, "events").filter(F.col("value") > 1000)
-    out = windows.fixed(ev, "ts", 3600)
-    return out.select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "count")
+    """A count without a default: a row where there are rows, none (not 0) where there are
+    none; over everything, and per window."""
+    ev = table(spark, sf, "events")
+    hour = F.concat(F.lit("hour "), F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd HH:mm:ss"))
+    parts = [agg.global_count(ev.where("value < 1000")).select(F.lit("most").alias("rows_of"), "count"),
+             agg.global_count(ev.where("value > 1000000")).select(F.lit("none").alias("rows_of"), "count"),
+             agg.global_count(ev.where("value > 50").withColumn("rows_of", hour), by="rows_of")]
+    return sets.union_all(*parts)
 
 
 @recipe("agg_mean_nan", """
-SELECT coalesce(avg(value), 'NaN'::DOUBLE) AS mean FROM events WHERE value < 0
+SELECT 'all' AS rows_of, round(coalesce(avg(value), 'NaN'::DOUBLE), 4) + 0.0 AS mean FROM events
+UNION ALL SELECT 'none', coalesce(avg(value), 'NaN'::DOUBLE) FROM events WHERE value < -1000000
 """)
 def agg_mean_nan(spark, sf):
-    ev = table(spark, sf, "events").filter(F.col("value") < 0)
-    return agg.mean_or_nan(ev, "value")
+    """A mean with a default: NaN where there are no rows."""
+    ev = table(spark, sf, "events")
+    means = {"all": agg.mean_or_nan(ev, "value"), "none": agg.mean_or_nan(ev.where("value < -1000000"), "value")}
+    return sets.union_all(*[m.select(F.lit(n).alias("rows_of"), rnd("mean").alias("mean")) for n, m in means.items()])
 
 
 @recipe("agg_mean_per_key", """

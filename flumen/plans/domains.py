@@ -10,17 +10,23 @@
   largest line, cleared = price x (1 - 10 x discount)); orders are loans
   (priority 1/2 = medical, else personal; due 30 days after the order date,
   paid on the last ship date).
+* store -- line items are sales: supplier = store, return flag = city.
 * game -- line items are fights: supplier = player, return flag = weapon,
   quantity = battle time, tax/discount x 100 = ranks, line status = place.
 """
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from flumen.domains import bank, food, game, packages, weather
+from flumen import schemas
+from flumen.domains import bank, food, game, packages, store, weather
+from flumen.operators import panes, sets, windows
 from flumen.plans.registry import big, recipe, rnd, table
 from flumen.plans.scalars import PREFIXES_SQL, url_path
+from flumen.session import materialize, scratch_path
+from flumen.sources import files, sinks
 
 # ---- packages ---------------------------------------------------------------
 
@@ -49,7 +55,12 @@ def _popular(spark, sf):
 
 
 def _help(spark, sf):
-    return packages.needs_help(_pages(spark, sf), "html", F.col("path"), PAGE_MARKERS, "/")
+    """Sources whose last package line names them: the page's text behind a line for its
+    site and one for its path."""
+    line = F.concat(F.lit("package "), F.col("path"), F.lit(";"))
+    site = F.concat(F.lit("package "), F.substring_index("path", "/", 1), F.lit("; "))
+    pages = _pages(spark, sf).select(F.concat_ws("\n", site, line, "html").alias("source"))
+    return packages.needs_help(pages, "source", markers=PAGE_MARKERS, sep="/")
 
 
 @recipe("dom_popularity", _POP_SQL)
@@ -80,11 +91,19 @@ SELECT l_suppkey AS loc_id, round(MIN(l_discount * 100 * 1.8 + 32), 4) + 0.0 AS
 FROM lineitem GROUP BY l_suppkey
 """)
 def dom_weather(spark, sf):
+    """The whole case: a text file of CSV lines, parsed, converted, reduced per place,
+    written as JSON lines."""
     li = table(spark, sf, "lineitem")
-    records = li.select(F.col("l_suppkey").alias("loc_id"), (F.col("l_discount") * 100).alias("low_temp"),
-                        F.col("l_quantity").alias("high_temp"), F.col("l_tax").alias("precip"))
-    stats = weather.compute_statistics(weather.convert_units(records))
-    return stats.select("loc_id", *[rnd(c).alias(c) for c in ("record_low", "record_high", "total_precip")])
+    lines = li.select(F.concat_ws(",", F.col("l_suppkey").cast("string"), F.lit("0.0"), F.lit("0.0"),
+                                  F.date_format("l_shipdate", "yyyy-MM-dd"), (F.col("l_discount") * 100).cast("string"),
+                                  F.col("l_quantity").cast("string"), F.col("l_tax").cast("string")).alias("value"))
+    source, target = scratch_path(spark, "weather-in"), scratch_path(spark, "weather-out")
+    sinks.write_text(lines, source)
+    stats = weather.weather_stats(files.text_lines(spark, f"{source}/part-*"))
+    sinks.write_text(weather.as_json(stats), target)
+    out = files.json_lines(spark, f"{target}/part-*", schemas.struct(("loc_id", schemas.S), ("record_low", schemas.D),
+                                                                     ("record_high", schemas.D), ("total_precip", schemas.D)))
+    return out.select(big("loc_id").alias("loc_id"), *[rnd(c).alias(c) for c in ("record_low", "record_high", "total_precip")])
 
 
 # ---- food orders ------------------------------------------------------------
@@ -103,30 +122,34 @@ def dom_food_orders(spark, sf):
     lines = o.select(F.concat_ws(",", F.col("o_custkey").cast("string"), F.date_format("o_orderdate", "yyyy-MM-dd"),
                                  F.col("o_orderkey").cast("string"), "o_orderstatus", "o_orderpriority",
                                  F.format_string("%.2f", "o_totalprice")).alias("value"))
-    return food.clean(lines, FOOD_FIELDS, day_field="date")
+    path = scratch_path(spark, "food-by-day")
+    cleaned = food.clean(lines, FOOD_FIELDS, day_field="date")
+    sinks.write_day_partitioned(cleaned, path, F.to_date("ingest_date"))
+    return spark.read.schema(cleaned.schema).option("basePath", path).parquet(path)
 
 
 # ---- bank -------------------------------------------------------------------
 
-def cards(spark, sf):
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_extendedprice", "l_discount")
-    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
-                                          F.col("o_custkey").alias("customer_id"))
+def statements(spark, sf):
+    """Line items as card statements; the limit is the order's largest line (an order has a
+    few lines, so its window is small)."""
+    li = table(spark, sf, "lineitem")
     st = li.select(
-        "l_orderkey",
+        "l_orderkey", "l_shipdate",
         F.round("l_extendedprice").cast("bigint").alias("spent"),
         F.round(F.col("l_extendedprice") * (1 - 10 * F.col("l_discount"))).cast("bigint").alias("payment_cleared"))
-    # the limit is the order's largest line: a partial aggregate joined back
-    # (a skewed order is split by AQE's skew join, not held in one window task)
-    limits = st.groupBy("l_orderkey").agg(F.max("spent").alias("max_limit"))
-    return st.join(limits, "l_orderkey").join(o, "l_orderkey")
+    return st.withColumn("max_limit", F.max("spent").over(Window.partitionBy("l_orderkey")))
 
 
-def loans(spark, sf):
-    paid = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.max("l_shipdate").alias("paid_on"))
-    o = table(spark, sf, "orders")
-    return o.join(paid, "o_orderkey").select(
+def cards(spark, sf):
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
+                                          F.col("o_custkey").alias("customer_id"))
+    return statements(spark, sf).join(o, "l_orderkey")
+
+
+def _as_loans(o):
+    """Orders with the day they were paid on, as loan records."""
+    return o.select(
         F.col("o_custkey").alias("customer_id"),
         F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit(" Medical Loan "))
         .otherwise(F.lit("Personal Loan ")).alias("category"),
@@ -135,6 +158,12 @@ def loans(spark, sf):
         F.date_format("paid_on", "dd-MM-yyyy").alias("payment_date"))
 
 
+def loans(spark, sf):
+    paid = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.max("l_shipdate").alias("paid_on"))
+    return _as_loans(table(spark, sf, "orders").join(paid, "o_orderkey"))
+
+
 _CARD_SQL = """
 SELECT customer_id,
        CAST(SUM(CAST(paid < spent * CAST(0.7 AS DOUBLE) AS INT)
@@ -201,8 +230,14 @@ SELECT coalesce(card.customer_id, lg.customer_id) AS customer_id,
 FROM card FULL OUTER JOIN lg ON card.customer_id = lg.customer_id
 """)
 def join_defaulters(spark, sf):
-    ln = loans(spark, sf)
-    return bank.both_defaulters(bank.card_points(cards(spark, sf)), bank.loan_defaulters(ln))
+    # a row per order (points of its statements, the day it was paid on), written once:
+    # both sides of the co-group are made of it, and each source is read once
+    per_order = statements(spark, sf).groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.sum(bank.statement_points()).alias("points"), F.max("l_shipdate").alias("paid_on"))
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate", "o_totalprice")
+    per_order = materialize(o.join(per_order, "o_orderkey").drop("o_orderkey"), "per-order")
+    card = bank.card_points(per_order.withColumnRenamed("o_custkey", "customer_id"), points=F.col("points"))
+    return bank.both_defaulters(card, bank.loan_defaulters(_as_loans(per_order)))
 
 
 # ---- game -------------------------------------------------------------------
@@ -230,11 +265,81 @@ def dom_battle_points(spark, sf):
     li = table(spark, sf, "lineitem")
     fights = li.select(
         F.col("l_suppkey").alias("player"), F.col("l_returnflag").alias("weapon"), F.col("l_shipdate").alias("ts"),
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("tie"),
         game.battle_points(F.col("l_quantity"), F.round(F.col("l_tax") * 100).cast("bigint"),
                            F.round(F.col("l_discount") * 100).cast("bigint"),
                            F.col("l_linestatus"), F.lit("F")).alias("points"))
-    out = game.mean_points_per_session(fights, ["player", "weapon"], "ts", "points", "tie", BATTLE_GAP_S)
+    out = game.mean_points_per_session(fights, ["player", "weapon"], "ts", "points", BATTLE_GAP_S)
     return out.select("player", "weapon", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                       F.date_format("window.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
                       "battles", rnd("mean_points").alias("mean_points"))
+
+
+@recipe("dom_game_scores", """
+WITH b AS (SELECT 'player' AS board, CAST(user_id AS VARCHAR) AS name, event_id FROM events
+           UNION ALL SELECT 'team', event_type, event_id FROM events),
+n AS (SELECT board, name, row_number() OVER (PARTITION BY board, name ORDER BY event_id) AS score FROM b)
+SELECT board, name, CAST(score // 10 - 1 AS BIGINT) AS pane, score FROM n WHERE score % 10 = 0
+""")
+def dom_game_scores(spark, sf):
+    """Running scores of players and of their teams, a pane after every tenth event of each;
+    one scan feeds both boards."""
+    ev = table(spark, sf, "events").select("event_id", "user_id", "event_type", F.lit(1).cast("bigint").alias("point"))
+    both = sets.flatten_branches(ev, {"player": F.lit(True), "team": F.lit(True)}, "board")
+    both = both.withColumn("name", F.when(F.col("board") == "player", F.col("user_id").cast("string")).otherwise(F.col("event_type")))
+    out = panes.count_panes(both, ["board", "name"], "event_id", "point", 10, mode=panes.ACCUMULATING)
+    return out.select("board", "name", "pane", big("pane_value").alias("score"))
+
+
+# ---- store ------------------------------------------------------------------
+
+# Fixed values for the re-aimed data: ship modes stand in for cities.
+STORE_CITIES = ("A", "R")
+_SALES_SQL = """
+SELECT CAST(l_suppkey AS VARCHAR) AS store_id, CAST(epoch(l_shipdate) AS BIGINT) AS t,
+       (CAST(floor(l_extendedprice) AS BIGINT) - CAST(floor(l_extendedprice * 0.5) AS BIGINT)) * CAST(l_quantity AS BIGINT) AS profit
+FROM lineitem WHERE l_returnflag IN ('A', 'R')
+"""
+
+
+def _sales(spark, sf):
+    """Line items as the lines of a sales file, padded as its lines are."""
+    li = table(spark, sf, "lineitem")
+    lines = li.select(F.concat(F.lit("  "), F.concat_ws(",", *[c.cast("string") for c in (
+        F.col("l_suppkey"), F.col("l_returnflag"), F.col("l_partkey"), F.lit("x"), F.col("l_quantity").cast("long"),
+        F.floor(F.col("l_extendedprice") * 0.5), F.floor("l_extendedprice"), F.unix_seconds(F.col("l_shipdate").cast("timestamp")))]), F.lit(" ")).alias("value"))
+    path = scratch_path(spark, "store-sales")
+    sinks.write_text(lines, path)
+    return store.profits(files.text_lines(spark, f"{path}/part-*"), STORE_CITIES)
+
+
+def _profit_out(df):
+    return df.select("store_id", F.unix_seconds("window.start").alias("window_start"), F.unix_seconds("window.end").alias("window_end"), "profit")
+
+
+_WEEK = 7 * 86_400
+
+
+@recipe("dom_store_profit", f"""
+SELECT store_id, t - t % {_WEEK} AS window_start, t - t % {_WEEK} + {_WEEK} AS window_end, CAST(SUM(profit) AS BIGINT) AS profit
+FROM ({_SALES_SQL}) GROUP BY store_id, t - t % {_WEEK}
+""")
+def dom_store_profit(spark, sf):
+    """Profit per store and fixed window, from text lines on."""
+    return _profit_out(windows.fixed(_sales(spark, sf), "ts", _WEEK, "store_id", [F.sum("profit").alias("profit")]))
+
+
+@recipe("dom_store_profit_sliding", f"""
+SELECT store_id, s AS window_start, s + {2 * _WEEK} AS window_end, CAST(SUM(profit) AS BIGINT) AS profit
+FROM (SELECT *, t - t % {_WEEK} - {_WEEK} * k AS s FROM ({_SALES_SQL}), range(2) r(k)) GROUP BY store_id, s
+""")
+def dom_store_profit_sliding(spark, sf):
+    return _profit_out(windows.sliding(_sales(spark, sf), "ts", 2 * _WEEK, _WEEK, "store_id", {"profit": ("sum", "profit")}))
+
+
+@recipe("dom_store_profit_sessions", f"""
+WITH x AS (SELECT *, lag(t) OVER (PARTITION BY store_id ORDER BY t) AS prev FROM ({_SALES_SQL})),
+y AS (SELECT *, SUM(CASE WHEN prev IS NULL OR t > prev + {_WEEK} THEN 1 ELSE 0 END) OVER (PARTITION BY store_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS sid FROM x)
+SELECT store_id, min(t) AS window_start, max(t) + {_WEEK} AS window_end, CAST(SUM(profit) AS BIGINT) AS profit FROM y GROUP BY store_id, sid
+""")
+def dom_store_profit_sessions(spark, sf):
+    return _profit_out(windows.sessions(_sales(spark, sf), "ts", _WEEK, "store_id", {"profit": ("sum", "profit")}))

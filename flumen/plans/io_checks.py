@@ -3,6 +3,8 @@ folder (written by Spark, read back by Spark)."""
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,16 +33,20 @@ def src_text_lines(spark, sf):
 
 
 @recipe("sink_raw_archive", """
-SELECT unnest(string_split(text, chr(10))) AS value FROM documents
+WITH l AS (SELECT unnest(string_split(text, chr(10))) AS value FROM documents),
+b AS (SELECT 'archive' AS branch, value FROM l UNION ALL SELECT 'kept', value FROM l WHERE starts_with(value, 'The'))
+SELECT branch, value, count(*) OVER (PARTITION BY branch) AS observed FROM b
 """)
 def sink_raw_archive(spark, sf):
+    """An unchanged copy and a filtered one, written in one pass, with the rows that the
+    write itself counted."""
     src = scratch_path(spark, "raw-in")
     sinks.write_text(table(spark, sf, "documents"), src, "text")
-    raw = files.text_lines(spark, f"{src}/part-*")
-    archive, kept = scratch_path(spark, "raw-archive"), scratch_path(spark, "raw-kept")
-    sinks.write_text(raw, archive, "value")                     # branch 1: unchanged copy
-    sinks.write_text(rows.where_prefix(raw, "value", "The"), kept, "value")  # branch 2: filtered
-    return files.text_lines(spark, f"{archive}/part-*")
+    raw, out = files.text_lines(spark, f"{src}/part-*"), scratch_path(spark, "raw-branches")
+    observed = sinks.write_text_branches(raw, out, {"archive": F.lit(True), "kept": F.col("value").startswith("The")})
+    count = F.element_at(F.create_map(*[F.lit(x) for kv in observed.items() for x in kv]), F.col("branch"))
+    back = spark.read.schema("value string, branch string").option("lineSep", "\n").text(out)
+    return back.select("branch", "value", count.cast("long").alias("observed"))
 
 
 _NATION = schemas.struct(("n_nationkey", T.LongType()), ("n_name", T.StringType()),
@@ -77,10 +83,26 @@ def sink_json(spark, sf):
 
 @recipe("src_csv_typed", f"SELECT {_EVENT_COLS_ORACLE} FROM events")
 def src_csv_typed(spark, sf):
-    ev = table(spark, sf, "events")
-    # typed record -> CSV text line (props quoted) -> typed record again
-    lines = ev.select(F.to_csv(F.struct(*ev.columns), {"timestampFormat": sinks.TIMESTAMP_MICROS}).alias("line"))
-    return _events_out(files.csv_typed(lines, "line", _EVENT_JSON))
+    """A text file of CSV lines (props quoted) -> typed records."""
+    ev, path = table(spark, sf, "events"), scratch_path(spark, "events-csv")
+    sinks.write_text(ev, path, F.to_csv(F.struct(*ev.columns), {"timestampFormat": sinks.TIMESTAMP_MICROS}))
+    return _events_out(files.csv_typed(files.text_lines(spark, f"{path}/part-*"), "value", _EVENT_JSON))
+
+
+@recipe("src_text_header", """
+SELECT unnest(string_split(text, chr(10))) AS value FROM documents WHERE doc_id % 3 <> 0
+""")
+def src_text_header(spark, sf):
+    """Text files that begin with a header line, one per file, read without it: documents
+    as lines, dealt over as many files as a shuffle has partitions."""
+    path = scratch_path(spark, "headed")
+    docs = table(spark, sf, "documents").where("doc_id % 3 <> 0")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(n)).alias("file"), F.lit(1).alias("__place"), F.col("text").alias("value"))
+    head = spark.range(n).select(F.col("id").alias("file"), F.lit(0).alias("__place"), F.lit("value;of;file").alias("value"))
+    both = head.unionByName(rows).repartition(n, "file").sortWithinPartitions("file", "__place")
+    both.drop("__place").write.mode("overwrite").partitionBy("file").option("lineSep", "\n").text(path)
+    return files.text_skip_header(spark, path)
 
 
 # Fixed value: an in-memory look-up list (event type -> weight), joined to data.
@@ -130,11 +152,22 @@ _ORDERS_OUT = schemas.struct(("o_orderkey", T.LongType()), ("o_custkey", T.LongT
 SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 2) + 0.0 AS o_totalprice FROM orders
 """)
 def sink_table_overwrite(spark, sf):
-    path = scratch_path(spark, "table-ow")
-    o = table(spark, sf, "orders")
-    sinks.write_table(o.limit(0), path, "overwrite", _ORDERS_OUT)   # create
-    sinks.write_table(o, path, "overwrite", _ORDERS_OUT)            # truncate + write
-    return spark.read.parquet(path).withColumn("o_totalprice", rnd("o_totalprice", 2))
+    with _named(spark, "orders_replaced") as (name, path):
+        o = table(spark, sf, "orders")
+        sinks.save_named(o.where("o_orderstatus = 'P'"), name, _ORDERS_OUT, "overwrite", path)     # create
+        sinks.save_named(o, name, _ORDERS_OUT, "overwrite")                                        # replace
+        return spark.read.schema(_ORDERS_OUT).parquet(path).withColumn("o_totalprice", rnd("o_totalprice", 2))
+
+
+@contextlib.contextmanager
+def _named(spark, label: str):
+    """A name of its own in the session's catalog, over a folder that outlives it."""
+    path = scratch_path(spark, label)
+    name = f"{label}_{path.rsplit('-', 1)[-1]}"
+    try:
+        yield name, path
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 @recipe("sink_table_append", """
@@ -143,11 +176,11 @@ UNION ALL
 SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 2) + 0.0 AS o_totalprice FROM orders
 """)
 def sink_table_append(spark, sf):
-    path = scratch_path(spark, "table-app")
-    o = table(spark, sf, "orders")
-    sinks.write_table(o, path, "append", _ORDERS_OUT)
-    sinks.write_table(o, path, "append", _ORDERS_OUT)
-    return spark.read.parquet(path).withColumn("o_totalprice", rnd("o_totalprice", 2))
+    with _named(spark, "orders_appended") as (name, path):
+        o = table(spark, sf, "orders")
+        sinks.save_named(o, name, _ORDERS_OUT, path=path)       # create if missing
+        sinks.save_named(o.select(*reversed(o.columns)), name, _ORDERS_OUT)
+        return spark.read.schema(_ORDERS_OUT).parquet(path).withColumn("o_totalprice", rnd("o_totalprice", 2))
 
 
 @recipe("sink_day_partitioned", """

@@ -28,8 +28,7 @@ def join_cogroup(spark, sf):
         F.col("o_custkey").alias("custkey"),
         F.concat_ws("|", F.col("o_orderkey").cast("string"), "o_orderstatus").alias("o"))
     sides = {"customer": cust, "orders": orders}
-    flat = joins.cogroup_flat(sides, "custkey")
-    return flat.join(joins.cogroup_sizes(sides, "custkey"), "custkey")
+    return joins.cogroup_with_sizes(sides, "custkey")
 
 
 @recipe("join_broadcast_lookup", """
@@ -60,12 +59,8 @@ UNION ALL
 SELECT 'per_type' AS branch, event_type AS key, COUNT(*) AS count FROM events GROUP BY event_type
 """)
 def branch_two_aggs(spark, sf):
-    ev = table(spark, sf, "events").select("user_id", "event_type")  # one source, two branches
-    a = agg.count_per_key(ev, "user_id").select(F.lit("per_user").alias("branch"),
-                                                 F.col("user_id").cast("string").alias("key"), "count")
-    b = agg.count_per_key(ev, "event_type").select(F.lit("per_type").alias("branch"),
-                                                    F.col("event_type").alias("key"), "count")
-    return sets.union_all(a, b)
+    ev = table(spark, sf, "events")  # one source, one scan, two branches
+    return agg.of_sets(ev, {"per_user": "user_id", "per_type": "event_type"}, F.count(F.lit(1)).alias("count"))
 
 
 @recipe("union_all", """
@@ -74,8 +69,9 @@ UNION ALL
 SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'O'
 """)
 def union_all(spark, sf):
+    """Two branches of one source flattened: one scan, a row once per branch that takes it."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    return sets.union_all(o.filter(F.col("o_orderstatus") == "F"), o.filter(F.col("o_orderstatus") == "O"))
+    return sets.flatten_branches(o, {"final": F.col("o_orderstatus") == "F", "open": F.col("o_orderstatus") == "O"}).drop("branch")
 
 
 _UNION_LIMIT_SQL = """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from flumen.functions import strings
@@ -49,10 +51,19 @@ def map_profit(spark, sf):
     return out.select("l_orderkey", big("l_linenumber").alias("l_linenumber"), rnd("profit").alias("profit"))
 
 
-@recipe("map_processing_time", note="wall-clock column: rows-only check")
+@recipe("map_processing_time", """
+SELECT event_id, user_id, TRUE AS formatted, TRUE AS is_now FROM events
+""")
 def map_processing_time(spark, sf):
+    """The time of processing as text: in its format, and within an hour of the time at
+    which the query is made."""
     ev = table(spark, sf, "events").select("event_id", "user_id")
-    return rows.with_processing_time(ev)
+    out = rows.with_processing_time(ev)
+    made = out.columns[-1]
+    at = F.to_timestamp(made, "yyyy-MM-dd HH:mm:ss")
+    return out.select(
+        "event_id", "user_id", F.col(made).rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$").alias("formatted"),
+        F.abs(F.unix_seconds(at) - F.lit(int(time.time()))).between(0, 3600).alias("is_now"))
 
 
 @recipe("map_to_json", """

@@ -243,3 +243,14 @@ SELECT doc_id, line_no, line FROM ({_LINES_SQL}) WHERE trim(line) <> ''
 def udtf_flat_map(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "text")
     return udfs.flat_map_batches(d, udfs.nonblank_lines, "doc_id long, line_no long, line string")
+
+
+@recipe("udtf_keywords", """
+WITH w AS (SELECT p_partkey AS id, unnest(string_split(p_name, ' ')) AS word FROM part)
+SELECT id, CASE WHEN length(word) <= 5 THEN 'Short_Names' ELSE 'Long_Names' END AS tag, word FROM w WHERE word <> ''
+UNION ALL SELECT id, 'Marked_Names', word FROM w WHERE starts_with(word, 's')
+""")
+def udtf_keywords(spark, sf):
+    """A one-to-many function with keyword arguments over partitions of its table."""
+    parts = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("text"), "p_brand")
+    return udfs.table_function(parts, udfs.split_names(), "p_brand", cutoff_length=5, marker="s")

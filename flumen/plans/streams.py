@@ -47,15 +47,19 @@ def stream_source(spark, sf):
 
 
 @recipe("stream_event_time_attr", """
-SELECT event_id, user_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS event_time FROM events
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, user_id, COUNT(*) AS count
+FROM events GROUP BY date_trunc('day', ts), user_id
+HAVING epoch_ms(date_trunc('day', ts) + INTERVAL 1 DAY) <= (SELECT epoch_ms(max(ts)) FROM events) - 3600000
 """)
 def stream_event_time_attr(spark, sf):
     s = events_stream(spark, sf)
     msgs = src.as_messages(s, F.to_json(F.struct("event_id", "user_id")), ts="ts")
     parsed = src.parse_messages(msgs, schemas.struct(("event_id", schemas.L), ("user_id", schemas.L)))
     timed = src.with_event_time(parsed, "timestamp", "1 hour")
-    out = _drain(spark, timed.select("event_id", "user_id", "timestamp"), "event-time-attr")
-    return out.select("event_id", "user_id", ts_text("timestamp", TS_MICROS).alias("event_time"))
+    # the attribute is the event time: days per user close when it passes their end by an hour
+    daily = timed.groupBy(F.window("timestamp", "1 day").alias("window"), "user_id").agg(F.count(F.lit(1)).alias("count"))
+    out = _drain(spark, daily, "event-time-attr")
+    return out.select(F.date_format("window.start", HOUR_FMT).alias("window_start"), "user_id", "count")
 
 
 @recipe("stream_raw_append", """
@@ -72,6 +76,18 @@ def stream_raw_append(spark, sf):
                       F.col("processing_timestamp").isNotNull().alias("has_processing_time"))
 
 
+@recipe("stream_replay", f"""
+SELECT event_id, user_id, CAST(event_id * {arrivals.SLICES} // ((SELECT max(event_id) FROM events) + 1) AS BIGINT) AS micro_batch FROM events
+""")
+def stream_replay(spark, sf):
+    """Rows in event_id order, a slice per micro-batch, each tagged with the one that
+    delivered it."""
+    s = arrivals.as_stream(table(spark, sf, "events").select("event_id", "user_id"), "event_id", label="replay")
+    out = scratch_path(spark, "replay-out")
+    ss.run(ss.start_batches(s, out, ss.checkpoint_for(spark, "replay"), mode="append"))
+    return ss.read_batches(spark, out).select("event_id", "user_id", F.col("batch_id").cast("bigint").alias("micro_batch"))
+
+
 def _window_oracle(where: str, keys: str, delay_ms: int, size: str = "hour") -> str:
     k = f", {keys}" if keys else ""
     return f"""

@@ -98,9 +98,8 @@ FROM y GROUP BY user_id, sid
 
 @recipe("win_session", _SESSION_ORACLE)
 def win_session(spark, sf):
-    ev = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
-    out = windows.sessions(ev, "ts", 25 * 60, "user_id", tie_break="event_id",
-                           aggs=[F.count(F.lit(1)).alias("count"), F.sum("value").alias("total")])
+    ev = table(spark, sf, "events").select("user_id", "ts", "value")
+    out = windows.sessions(ev, "ts", 25 * 60, "user_id", {"count": ("count", None), "total": ("sum", "value")})
     return out.select("user_id", *_window_cols(fmt=TS_MICROS), "count", rnd("total").alias("total"))
 
 

@@ -3,6 +3,10 @@ in-memory rows. Schemas are always given -- nothing is inferred."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,14 +23,25 @@ def text_lines(spark: SparkSession, pattern: str, line_sep: str = "\n") -> DataF
 
 def text_skip_header(spark: SparkSession, pattern: str) -> DataFrame:
     """Text lines with the first line of *each file* skipped (a header), as ``value``;
-    all other lines come through unchanged, blank ones included. The header is the first
-    row of the split at the file's start; files are read in splits, in parallel, twice
-    (the first time for one row a file)."""
+    all other lines come through unchanged, blank ones included. Files are read in splits,
+    in parallel and once: a task gets a split's lines in order, so the header is the first
+    line that it gets of a split at a file's start."""
     rows = spark.read.option("lineSep", "\n").text(pattern).select(
-        "value", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"),
-        F.monotonically_increasing_id().alias("__row"))
-    header = rows.groupBy("__file").agg(F.min(F.struct("__start", "__row")).alias("h")).select("__file", "h.__row")
-    return rows.join(header, ["__file", "__row"], "left_anti").select("value")
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    return rows.mapInArrow(_without_headers, "value string")
+
+
+def _without_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        files, starts = b.column(1).dictionary_encode().indices.to_numpy(zero_copy_only=False), b.column(2).to_numpy()
+        first = np.ones(b.num_rows, dtype=bool)
+        first[1:] = (files[1:] != files[:-1]) | (starts[1:] != starts[:-1])
+        first[0] = last != (b.column(1)[0].as_py(), starts[0])
+        last = (b.column(1)[b.num_rows - 1].as_py(), starts[-1])
+        yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(~(first & (starts == 0))))], names=["value"])
 
 
 def csv_with_header(spark: SparkSession, pattern: str, schema: T.StructType) -> DataFrame:

@@ -7,10 +7,13 @@ one writing task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flumen.operators.sets import flatten_branches
+from flumen.schemas import SchemaMismatch
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select exactly the schema's columns, cast to its types (a table sink's
@@ -50,6 +53,32 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
+def write_text_branches(df: DataFrame, path: str, branches: dict, col: str = "value", name: str = "branch") -> dict[str, int]:
+    """Several filtered copies of one input as text, in one pass: a row goes to the folder
+    ``name=<branch>`` of every branch whose condition holds. Returns the rows that went to
+    each, counted on the way by an observation of the same job."""
+    seen = Observation("branches")
+    counts = [F.count_if(cond).alias(n) for n, cond in branches.items()]
+    out = flatten_branches(df.observe(seen, *counts), branches, name).select(F.col(col).cast("string").alias("value"), name)
+    out.write.mode("overwrite").partitionBy(name).option("lineSep", "\n").text(path)
+    return {n: int(seen.get[n]) for n in branches}
+
+
+def save_named(df: DataFrame, table: str, schema: T.StructType, mode: str = "append", path: str | None = None) -> None:
+    """A table of the session catalog with a declared schema. It is created if missing;
+    ``overwrite`` replaces its rows, ``append`` adds to them. Rows are matched to the table's
+    columns by name and cast to their types before anything is written; ``path`` is the place
+    of a new table (else the warehouse's)."""
+    spark = df.sparkSession
+    out = conform(df, schema)
+    if not spark.catalog.tableExists(table):
+        spark.catalog.createTable(table, path=path, source="parquet", schema=schema)
+    held = spark.table(table).schema
+    if [(f.name, f.dataType) for f in held] != [(f.name, f.dataType) for f in schema]:
+        raise SchemaMismatch(f"{table} has other columns: {held.simpleString()}")
+    out.write.insertInto(table, overwrite=mode == "overwrite")
+
+
 def write_day_partitioned(df: DataFrame, path: str, day: Column | None = None,
                           name: str = "ingest_date", mode: str = "append") -> None:
     """Append into day partitions (``name=yyyy-MM-dd`` folders). Without a day

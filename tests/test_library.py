@@ -94,7 +94,7 @@ def test_cogroup_flat_multi_column_items_are_json(spark):
 def test_operators_on_empty_input(spark):
     from flumen.operators import panes, udfs, windows
     empty = spark.createDataFrame([], "id long, k long, ts timestamp, v double")
-    assert windows.sessions(empty, "ts", 600, "k", "id").count() == 0
+    assert windows.sessions(empty, "ts", 600, "k").count() == 0
     assert panes.count_panes(empty, "k", "id", "v", 3).count() == 0
     assert panes.segment_panes(empty, "k", "ts", "id", "v", n=3, delay_s=60).count() == 0
     assert panes.first_pane(empty, "k", "ts", "v", 60).count() == 0
@@ -107,3 +107,21 @@ def test_operators_on_empty_input(spark):
 def test_nulls_in_keys_and_values(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 2.0), (1, None), (1, 3.0)], "k long, v double")
     assert {r.k: r.mean for r in agg.mean_per_key(df, "k", "v").collect()} == {None: 1.5, 1: 3.0}
+
+
+def test_entry_without_the_corpus_operators():
+    """A module that they need is absent: the other queries stay."""
+    import subprocess
+    import sys
+
+    from tests.conftest import ROOT
+    code = ("import sys\n"
+            "class Absent:\n"
+            "    def find_spec(self, name, path=None, target=None):\n"
+            "        if name in ('ahocorasick', 'corpus_pipeline'):\n"
+            "            raise ImportError(name)\n"
+            "sys.meta_path.insert(0, Absent())\n"
+            "import __spark_entry__ as E\n"
+            "assert len(E.queries()) > 100 and not any(k.startswith('op1_') for k in E.queries())\n"
+            "assert set(E.oracle_sql()) <= set(E.queries())\n")
+    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=120)

@@ -43,22 +43,29 @@ def test_previous_matches_lag(spark, skewed):
     assert sorted(got.collect(), key=lambda r: r.id) == sorted(want.collect(), key=lambda r: r.id)
 
 
-def test_sessions_match_session_window(spark, skewed):
-    mine = windows.sessions(skewed, "ts", 600, "k", "id", bucket_s=1800,
-                            aggs=[F.count(F.lit(1)).alias("n"), F.sum("v").alias("s")])
-    theirs = windows.sessions_builtin(skewed, "ts", 600, "k",
-                                      aggs=[F.count(F.lit(1)).alias("n"), F.sum("v").alias("s")])
-    cols = ["k", F.col("window.start").alias("a"), F.col("window.end").alias("z"), "n", "s"]
+@pytest.mark.parametrize("gap", [1, 60, 600, 86_400])
+def test_sessions_match_session_window(spark, skewed, gap):
+    mine = windows.sessions(skewed, "ts", gap, "k", {"n": ("count", None), "s": ("sum", "v"), "lo": ("min", "v"), "m": ("mean", "v")})
+    theirs = windows.sessions_builtin(skewed, "ts", gap, "k", aggs=[F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"),
+                                                                     F.min("v").alias("lo"), F.avg("v").alias("m")])
+    cols = ["k", F.col("window.start").alias("a"), F.col("window.end").alias("z"), "n", *[F.round(c, 6).alias(c) for c in ("s", "lo", "m")]]
     assert sorted(mine.select(*cols).collect()) == sorted(theirs.select(*cols).collect())
 
 
-@pytest.mark.parametrize("target", [40, 10_000])
-def test_adaptive_sessions_match_session_window(spark, skewed, target):
-    mine = windows.sessions(skewed, "ts", 600, "k", "id", target_rows=target,
-                            aggs=[F.count(F.lit(1)).alias("n"), F.sum("v").alias("s")])
-    theirs = windows.sessions_builtin(skewed, "ts", 600, "k",
-                                      aggs=[F.count(F.lit(1)).alias("n"), F.sum("v").alias("s")])
-    cols = ["k", F.col("window.start").alias("a"), F.col("window.end").alias("z"), "n", "s"]
+def test_rows_one_gap_apart_stay_together(spark):
+    """Also before 1970 and across the borders of partial sessions."""
+    s = [-1201, -600, 0, 600, 1200, 1801, 2400]
+    rows = spark.createDataFrame([(1, x) for x in s], "k long, s long").withColumn("ts", F.timestamp_seconds("s"))
+    got = [r.n for r in windows.sessions(rows, "ts", 600, "k", {"n": ("count", None)}).orderBy("window.start").collect()]
+    assert got == [1, 4, 2]
+
+
+@pytest.mark.parametrize("size,period", [(1800, 600), (3600, 3600), (1000, 300), (900, 600), (7, 5)])
+def test_sliding_windows_match_window(spark, skewed, size, period):
+    mine = windows.sliding(skewed, "ts", size, period, "k", {"n": ("count", None), "m": ("mean", "v")})
+    theirs = skewed.groupBy(F.window("ts", f"{size} seconds", f"{period} seconds").alias("window"), "k").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("v").alias("m"))
+    cols = ["k", F.col("window.start").alias("a"), F.col("window.end").alias("z"), "n", F.round("m", 6).alias("m")]
     assert sorted(mine.select(*cols).collect()) == sorted(theirs.select(*cols).collect())
 
 
@@ -138,13 +145,11 @@ def null_keys(spark):
 
 
 def test_null_and_long_keys_keep_their_sessions(spark, null_keys):
-    aggs = [F.count(F.lit(1)).alias("n")]
     cols = ["k", F.col("window.start").alias("a"), F.col("window.end").alias("z"), "n"]
     key = lambda r: str(r)
-    for target in (1, 10_000):
-        mine = windows.sessions(null_keys, "ts", 600, "k", "id", aggs=aggs, target_rows=target).select(*cols).collect()
-        theirs = windows.sessions_builtin(null_keys, "ts", 600, "k", aggs=aggs).select(*cols).collect()
-        assert sorted(mine, key=key) == sorted(theirs, key=key) and len(mine) == 4
+    mine = windows.sessions(null_keys, "ts", 600, "k", {"n": ("count", None)}).select(*cols).collect()
+    theirs = windows.sessions_builtin(null_keys, "ts", 600, "k", aggs=[F.count(F.lit(1)).alias("n")]).select(*cols).collect()
+    assert sorted(mine, key=key) == sorted(theirs, key=key) and len(mine) == 4
 
 
 def test_null_and_long_keys_keep_their_panes(spark, null_keys):
@@ -188,13 +193,45 @@ def test_buckets_stay_near_their_target(spark, shape):
 
 def test_sessions_without_a_time_are_one_session(spark):
     rows = spark.range(60).select(F.lit(1).alias("k"), "id", F.when(F.col("id") >= 30, F.timestamp_seconds(F.col("id") * 10)).alias("ts"))
-    for target in (1, 7, 1000):
-        out = windows.session_ids(rows, "ts", 600, "k", "id", target_rows=target)
-        got = out.groupBy("session").agg(F.count("ts").alias("timed"), F.count(F.lit(1)).alias("n")).collect()
-        assert sorted((r.timed, r.n) for r in got) == [(0, 30), (30, 30)]
+    out = windows.session_ids(rows, "ts", 600, "k")
+    got = out.groupBy("session").agg(F.count("ts").alias("timed"), F.count(F.lit(1)).alias("n")).collect()
+    assert sorted((r.timed, r.n) for r in got) == [(0, 30), (30, 30)]
 
 
 def test_combine_mean_ignores_nulls_and_keeps_keys(spark):
     rows = spark.sql("SELECT * FROM VALUES (1L, 2.0D), (1L, NULL), (1L, 4.0D), (2L, NULL), (NULL, 8.0D) AS t(k, v)")
     got = {r.k: r["mean"] for r in udfs.combine_mean(rows, "k", "v", target_rows=1).collect()}
     assert got[1] == 3.0 and got[None] == 8.0 and got[2] != got[2]
+
+
+def test_sliding_windows_with_gaps_between(spark):
+    """A period longer than the size: some rows are in no window."""
+    rows = spark.range(0, 3000, 50).select(F.timestamp_seconds("id").alias("ts"), "id")
+    got = windows.sliding(rows, "ts", 600, 900, None, {"n": ("count", None), "lo": ("min", "id")})
+    got = sorted((r.window.start.timestamp(), r.n, r.lo) for r in got.collect())
+    assert [(n, lo) for _, n, lo in got] == [(12, 0), (12, 900), (12, 1800), (6, 2700)]
+
+
+def test_aggregates_of_sets_keep_nulls_and_names(spark):
+    from flumen.operators import aggregates as agg
+    rows = spark.createDataFrame([(1, "x"), (1, None), (None, "x"), (None, None)], "a long, b string")
+    got = agg.of_sets(rows, {"per_a": "a", "per_b": "b", "again": "a"}, F.count(F.lit(1)).alias("n"))
+    assert sorted((r.branch, r.key or "", r.n) for r in got.collect()) == [
+        ("again", "", 2), ("again", "1", 2), ("per_a", "", 2), ("per_a", "1", 2), ("per_b", "", 2), ("per_b", "x", 2)]
+
+
+def test_table_function_takes_keywords(spark):
+    rows = spark.createDataFrame([(1, "ab  abcdef", "x"), (2, None, "x"), (3, "mm", None)], "id long, text string, k string")
+    out = udfs.table_function(rows, udfs.split_names(), "k", cutoff_length=3, marker="a")
+    assert sorted(map(tuple, out.collect())) == [(1, "Long_Names", "abcdef"), (1, "Marked_Names", "ab"), (1, "Marked_Names", "abcdef"),
+                                                 (1, "Short_Names", "ab"), (3, "Short_Names", "mm")]
+    wide = udfs.table_function(rows, udfs.split_names(), ["k", "id"], "id", cutoff_length=F.lit(9), marker="zz")
+    assert {r.tag for r in wide.collect()} == {"Short_Names"}
+
+
+def test_cogroup_with_sizes_counts_null_keys(spark):
+    a = spark.createDataFrame([(1, "p"), (1, "p"), (None, "q")], "k long, v string")
+    b = spark.createDataFrame([(None, "r"), (2, "s")], "k long, v string")
+    got = joins.cogroup_with_sizes({"a": a, "b": b}, "k").collect()
+    assert sorted((r.k or 0, r.tag, r.item, r.n_a, r.n_b) for r in got) == [
+        (0, "a", "q", 1, 1), (0, "b", "r", 1, 1), (1, "a", "p", 2, 0), (1, "a", "p", 2, 0), (2, "b", "s", 0, 1)]

@@ -2,10 +2,12 @@
 overwrite vs append, header checks."""
 
 import glob
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
+from flumen import schemas
 from flumen.session import scratch_path
 from flumen.sources import files, sinks
 
@@ -67,3 +69,40 @@ def test_text_skip_header_per_file(spark, tmp_path):
     (d / "b.txt").write_text("HEADER b\nthree\n")
     got = sorted(r.value for r in files.text_skip_header(spark, str(d)).collect())
     assert got == ['  one, "x"', "three", "two"]
+
+
+def test_named_table_is_created_replaced_appended(spark):
+    name, path = f"named_{uuid.uuid4().hex[:8]}", scratch_path(spark, "named")
+    schema = schemas.struct(("a", schemas.L), ("b", schemas.S))
+    rows = lambda: sorted(map(tuple, spark.table(name).collect()))
+    try:
+        sinks.save_named(spark.createDataFrame([("x", "1")], "b string, a string"), name, schema, path=path)
+        sinks.save_named(spark.createDataFrame([(2, "y", 0.5)], "a int, b string, c double"), name, schema)
+        assert rows() == [(1, "x"), (2, "y")]
+        sinks.save_named(spark.createDataFrame([(3, "z")], "a int, b string"), name, schema, "overwrite")
+        assert rows() == [(3, "z")]
+        with pytest.raises(schemas.SchemaMismatch):
+            sinks.save_named(spark.createDataFrame([(3, "z")], "a int, c string"), name, schemas.struct(("a", schemas.L), ("c", schemas.S)))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_branches_count_what_they_write(spark):
+    path = scratch_path(spark, "branches")
+    df = spark.range(100).select(F.col("id").cast("string").alias("value"))
+    seen = sinks.write_text_branches(df, path, {"all": F.lit(True), "few": F.col("value").startswith("9"), "none": F.lit(False)})
+    assert seen == {"all": 100, "few": 11, "none": 0}
+    back = spark.read.schema("value string, branch string").text(path).groupBy("branch").count().collect()
+    assert {r.branch: r["count"] for r in back} == {"all": 100, "few": 11}
+
+
+def test_header_line_of_each_file_is_skipped(spark, tmp_path):
+    for n, lines in enumerate((["h1", "a", "", "a"], ["h2"], ["h1", "h1"], [])):
+        (tmp_path / f"f{n}.txt").write_text("\n".join(lines) + ("\n" if lines else ""))
+    (tmp_path / "big.txt").write_text("head\n" + "row\n" * 50_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = files.text_skip_header(spark, f"{tmp_path}/*.txt").groupBy("value").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {r.value: r["count"] for r in got} == {"a": 2, "": 1, "h1": 1, "row": 50_000}

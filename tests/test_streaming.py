@@ -145,7 +145,7 @@ def test_stream_sessions_equal_batch_sessions(spark):
     ev = spark.read.parquet(f"{sf}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
     wm = ev.agg(F.max("ts")).first()[0]
     import datetime as dt
-    batch = windows.sessions(ev, "ts", 25 * 60, "user_id", "event_id").collect()
+    batch = windows.sessions(ev, "ts", 25 * 60, "user_id").collect()
     want = sorted((r.user_id, r.window.start, r.window.end, r["count"]) for r in batch
                   if r.window.end <= wm - dt.timedelta(hours=1))
     assert got == want and len(got) > 0
