@@ -139,33 +139,26 @@ def int_bucket(c, width: int) -> Column:
     return F.floor(col / F.lit(width)).cast("bigint")
 
 
-# Rows per bucket the adaptive buckets aim at: large enough that a cold key
-# is one bucket, small enough that one bucket of a hot key sorts in one task.
-TARGET_BUCKET_ROWS = 2_000_000
-
-
-def adaptive_bucket(df: DataFrame, keys, order, target_rows: int = TARGET_BUCKET_ROWS,
-                    name: str = "__bucket", multi_flag: str | None = None) -> DataFrame:
+def adaptive_bucket(df: DataFrame, keys, order, target_rows: int | None = None, name: str = "__bucket") -> DataFrame:
     """Add a bucket column monotone in ``order`` (a column or a list of them) inside
-    each key; buckets hold about ``target_rows`` rows or fewer.
+    each key.
 
     Rows are range-partitioned by (keys, order): Spark samples them and cuts the
     whole sequence in parts of about equal numbers of rows, whatever the spread of
     the values, and the part is the bucket. A cold key lies in one bucket, or in two
     if a cut falls into it; a key holding a third of all rows takes a third of them.
+    Parts are as many as ``spark.sql.shuffle.partitions`` (AQE joins small ones);
+    ``target_rows`` counts the rows first and makes parts of about that many.
     Rows that tie in ``order`` stay in one bucket, so end it with a unique column.
     The rows are written once, as the cuts are those of one sampling; every reader
     then sees the same buckets, a task that runs again too. NULL is a key like any
-    other, and as an order value it comes first. ``multi_flag`` names an optional
-    boolean column: whether the key lies in more than one bucket."""
+    other, and as an order value it comes first."""
     from flumen.session import materialize
 
-    k, o = _keys(keys), list(order) if isinstance(order, list | tuple) else [order]
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(least, -(-df.count() // target_rows))
-    cut = df.repartitionByRange(parts, *k, *o).withColumn(name, F.spark_partition_id().cast("bigint"))
-    out = materialize(cut, "buckets")
-    if multi_flag is None:
-        return out
-    spread = out.groupBy(*k).agg((F.min(name) != F.max(name)).alias(multi_flag))
-    return join_back(out, spread, k)
+    cols = [*_keys(keys), *(order if isinstance(order, list | tuple) else [order])]
+    if target_rows is None:
+        cut = df.repartitionByRange(*cols)
+    else:
+        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        cut = df.repartitionByRange(max(least, -(-df.count() // target_rows)), *cols)
+    return materialize(cut.withColumn(name, F.spark_partition_id().cast("bigint")), "buckets")

@@ -37,12 +37,12 @@ def _keys(keys):
 
 def count_panes(df: DataFrame, keys, arrival: str, value: str, n: int,
                 mode: str = DISCARDING, repeat: bool = True,
-                target_rows: int = ordered.TARGET_BUCKET_ROWS) -> DataFrame:
+                target_rows: int | None = None) -> DataFrame:
     """Panes of a repeated (or one-shot) count trigger in a global window.
 
     Output: keys, ``pane`` (0-based), ``pane_rows``, ``pane_value``.
     ``arrival`` is an integer arrival position (unique within the key);
-    each key's arrivals are cut into buckets of about ``target_rows`` rows.
+    each key's arrivals are cut into buckets (:func:`ordered.adaptive_bucket`).
     """
     k = _keys(keys)
     if not repeat:
