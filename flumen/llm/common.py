@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import ctypes
 import inspect
+import itertools
 from functools import lru_cache
 
 import numpy as np
@@ -140,6 +141,13 @@ def fold(doc_id="doc_id", parts: int = 5):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % F.lit(parts)
 
 
+def unused(df: DataFrame, n: int) -> list[str]:
+    """Names for n columns beside those of ``df``, whatever their names (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    free = (f"__own_{i}" for i in itertools.count())
+    return list(itertools.islice((c for c in free if c not in taken), n))
+
+
 def replaced(df: DataFrame, **columns) -> DataFrame:
     """``df`` with the given columns at its end; columns of ``df`` whose names clash
     with theirs (in any case) give way."""

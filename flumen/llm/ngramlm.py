@@ -23,7 +23,9 @@ name and renamed, so a task that runs again replaces it whole.
 
 Nulls: a null text is empty (one token, its end); a null id counts as empty text in
 the fold. Texts are handled in pieces of bounded size, cut at white space. Without any
-training text every probability is 1 / (V + 1) = 1. Repeated rows count repeatedly.
+training text every probability is 1 / (V + 1) = 1. Repeated rows count repeatedly. An
+empty table gives an empty result. Columns of ``docs`` are read by name; those that clash
+with the result's give way.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flumen.llm.common import LOWER, SPACE, arrow_udf, doc_of, fold, mix, prefix_hash, replaced, span_hash, text_buffer
+from flumen.llm.common import LOWER, SPACE, arrow_udf, doc_of, fold, mix, prefix_hash, replaced, span_hash, text_buffer, unused
 from flumen.llm.hasharrays import by_shard, dealt, find, held, mapped, mounted, planes, save, summed, unplaned
 from flumen.sources.tables import load
 
@@ -117,13 +119,15 @@ def pair_hash(prev: np.ndarray, token: np.ndarray) -> np.ndarray:
 
 def discounts(n: list[int]) -> np.ndarray:
     """D(0), D(1), D(2), D(3 and more) from how many counts are 1, 2, 3 and 4. Where
-    one of these is 0 (a tiny corpus), half of each count is taken instead."""
+    one of these is 0 (a tiny corpus), half of each count is taken instead; so it is for
+    a single discount that does not come out positive, as a context without discounted
+    mass would leave nothing for words that it was not seen with."""
     n1, n2, n3, n4 = (float(x) for x in n)
     if min(n1, n2, n3, n4) <= 0:
         return np.array([0.0, 0.5, 1.0, 1.5])
     y = n1 / (n1 + 2 * n2)
     d = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
-    return np.array([0.0, *(min(max(x, 0.0), float(k)) for k, x in enumerate(d, 1))])
+    return np.array([0.0, *(min(x, float(k)) if x > 0 else k / 2 for k, x in enumerate(d, 1))])
 
 
 @dataclass
@@ -272,9 +276,10 @@ def scores(text: str | Column, model: Model) -> Column:
 def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with n_tokens, n_known, base_score, score and perplexity; columns of
     these names give way."""
-    marked = docs.withColumn("__s", scores(F.col(text_col), model))
-    return replaced(marked, n_tokens=F.col("__s.n_tokens"), n_known=F.col("__s.n_known"), base_score=F.col("__s.base_score"),
-                    score=F.col("__s.score"), perplexity=F.pow(F.lit(10.0), -F.col("__s.score") / F.col("__s.n_tokens"))).drop("__s")
+    s, = unused(docs, 1)
+    marked = docs.withColumn(s, scores(F.col(text_col), model))
+    return replaced(marked, **{c: F.col(f"{s}.{c}") for c in ("n_tokens", "n_known", "base_score", "score")},
+                    perplexity=F.pow(F.lit(10.0), -F.col(f"{s}.score") / F.col(f"{s}.n_tokens"))).drop(s)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -118,7 +118,8 @@ def discounts_by_hand(counts):
     if not all(n):
         return [0, .5, 1, 1.5]
     y = n[0] / (n[0] + 2 * n[1])
-    return [0] + [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0), k) for k in (1, 2, 3)]
+    found = [k - (k + 1) * y * n[k] / n[k - 1] for k in (1, 2, 3)]
+    return [0] + [min(d, k) if d > 0 else k / 2 for k, d in zip((1, 2, 3), found)]
 
 
 class ByHand:
@@ -174,6 +175,21 @@ def test_scores_equal_brute_force(spark):
         assert sum(hand.p(h, w) for w in [*hand.words, b"unknown"]) == pytest.approx(1)
 
 
+def test_no_discount_is_zero(spark):
+    """Many pairs counted once and four times, few three times: a plain estimate takes
+    nothing from counts of three and more, and unseen words would have no probability."""
+    assert ngramlm.discounts([100, 50, 10, 60]).tolist()[3] == 1.5
+    texts = [f"a{i}" for i in range(100)]
+    for n, many in ((2, 50), (3, 10), (4, 60)):
+        texts += [f"{chr(96 + n)}x{i}" for i in range(many) for _ in range(n)]
+    texts += ["lone next"] * 9
+    df = spark.createDataFrame([(t,) for t in [*texts, "lone unseen"]], "text string")
+    model, hand = ngramlm.learn(df.where("text <> 'lone unseen'")), ByHand(texts)
+    assert (model.pair_cuts[1:] > 0).all() and (model.word_cuts[1:] > 0).all()
+    for r in ngramlm.scored(df, model).distinct().collect():
+        assert math.isfinite(r.score) and math.isfinite(r.perplexity) and r.score == pytest.approx(hand.score(r.text)[3], rel=1e-9)
+
+
 def test_untrained_model_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, "a b", 7.0), (2, None, 8.0)], "doc_id long, text string, Score double")
     model = ngramlm.learn(df.limit(0))
