@@ -18,16 +18,17 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round sends a node's larger neighbours to its smallest neighbour, then the
     smaller ones likewise, until every part is a star. Rounds grow with the
-    logarithm of a part's size. The minima combine before the shuffle; the joins
-    back are plain equi-joins, so a hot centre can be split. Every round is written
-    to the shared folder, which cuts the lineage."""
+    logarithm of a part's size. The minima combine before the shuffle and are written
+    before they are joined back, so that the join has an exchange on both sides and AQE
+    can split a hot centre. Every round is written to the shared folder, which cuts the
+    lineage."""
     e = written(edges.select(F.greatest("a", "b").alias("big"), F.least("a", "b").alias("small"))
                 .where("big <> small").distinct(), "star")
     before = None
     while (now := _signature(e)) != before:
         before = now
         both = e.select(F.col("big").alias("u"), F.col("small").alias("v")).union(e.select("small", "big"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = (both.join(least, "u").where("v > u")
                  .select(F.col("v").alias("big"), F.col("m").alias("small")).distinct())
         low = large.groupBy("big").agg(F.min("small").alias("m"))

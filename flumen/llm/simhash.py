@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flumen.llm.common import arrow_udf, written
+from flumen.llm.common import arrow_udf, unused, written
 from flumen.llm.graph import components
 from flumen.sources.tables import load
 
@@ -115,7 +115,9 @@ def _named(docs: DataFrame, id_col: str, text_col: str, words: int, distance: in
     parts = parts_of(light, distance, segments)
     least = light.groupBy("fp").agg(F.min("id").alias("id")).join(parts, "fp")
     # a part's smallest id goes to its fingerprints first, so the last join is on fp alone
-    ids = least.groupBy("part").agg(F.min("id").alias("component_id"))
+    # written first: joined without an exchange of its own, it would keep AQE from
+    # splitting the partition of a large part
+    ids = written(least.groupBy("part").agg(F.min("id").alias("component_id")), "component-ids")
     named = parts.join(ids, "part").select(F.col("fp").alias("f"), "part", "component_id")
     return light.join(named, light["fp"] == named["f"]).select(F.col("id"), "fp", "part", "component_id")
 
@@ -135,11 +137,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     fingerprints, so null or repeated ids join none."""
     found = _named(docs, id_col, text_col, words, distance, segments)
     first = found.groupBy("part").agg(F.min(F.struct(F.col("id").isNull().alias("n"), F.col("id"), F.col("fp"))).alias("k"))
-    kept = first.select(F.col("k.id").alias("__id"), F.col("k.fp").alias("__fp"))
-    marked = docs.withColumn("__f", fingerprint(F.col(text_col), words))
-    one = marked.join(kept, marked[id_col].eqNullSafe(kept["__id"]) & (marked["__f"] == kept["__fp"]))
-    order = Window.partitionBy("__id", "__fp").orderBy(F.col(text_col))
-    return one.withColumn("__n", F.row_number().over(order)).where("__n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    own_fp, kept_id, kept_fp, place = unused(docs, 4)
+    kept = first.select(F.col("k.id").alias(kept_id), F.col("k.fp").alias(kept_fp))
+    marked = docs.withColumn(own_fp, fingerprint(F.col(text_col), words))
+    one = marked.join(kept, marked[id_col].eqNullSafe(kept[kept_id]) & (marked[own_fp] == kept[kept_fp]))
+    order = Window.partitionBy(kept_id, kept_fp).orderBy(F.col(text_col))
+    return one.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

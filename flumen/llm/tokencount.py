@@ -60,8 +60,10 @@ def attribute(ends: np.ndarray, cuts: np.ndarray, rule: str) -> tuple[np.ndarray
     over = np.flatnonzero(high > low)
     # a crossing token is counted as such in every section that it touches
     np.add.at(crossing, low[over], 1)
-    for t in over:
-        crossing[low[t] + 1:high[t] + 1] += 1
+    step = np.zeros(n + 1, dtype=np.int64)
+    np.add.at(step, low[over] + 1, 1)
+    np.add.at(step, high[over] + 1, -1)
+    crossing += np.cumsum(step[:n])
     if rule in ("first", "last"):
         return np.bincount(low if rule == "first" else high, minlength=n).astype(float), crossing
     inside = np.ones(len(ends), dtype=bool)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flumen.llm.common import arrow_udf, replaced, text_buffer
+from flumen.llm.common import arrow_udf, replaced, text_buffer, unused
 from flumen.sources.tables import load
 
 ALLOW, BLOCK = "allow", "block"
@@ -173,17 +173,18 @@ def judge(pages: DataFrame, rules: list[Rule], blocked: list[str] = (), default:
     holds. Columns of ``pages`` with these names give way."""
     ranked = sorted(rules, key=lambda r: -len(r.text))          # stable: ties keep their order
     globs = [g for r in ranked for g in r.globs] + list(blocked)
-    sides = pages.withColumns({"__host": host_of(F.col(url_col)), "__path": path_of(F.col(url_col))})
-    found = sides.withColumn("__m", glob_matches(F.concat("__host", "__path"), globs))
+    host, path, hits = unused(pages, 3)
+    sides = pages.withColumns({host: host_of(F.col(url_col)), path: path_of(F.col(url_col))})
+    found = sides.withColumn(hits, glob_matches(F.concat(host, path), globs))
     # each rule has two globs; the first match belongs to the longest rule
-    first = F.try_element_at("__m", F.lit(1))
+    first = F.try_element_at(hits, F.lit(1))
     n = (first / F.lit(2)).cast("int")
     fits = first < F.lit(2 * len(ranked))
     pick = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), n + 1) if values else F.lit(None).cast("string")
-    out = replaced(found, host=F.col("__host"), path=F.col("__path"),
+    out = replaced(found, host=F.col(host), path=F.col(path),
                    rule=F.when(fits, pick([r.text for r in ranked])),
                    verdict=F.when(fits, pick([r.action for r in ranked])).when(first.isNotNull(), F.lit(BLOCK)).otherwise(F.lit(default)))
-    return out.drop("__host", "__path", "__m")
+    return out.drop(host, path, hits)
 
 
 RULES = [Rule(ALLOW, "com", "/"), Rule(BLOCK, "example.com", "/en/"), Rule(ALLOW, "www.example.com", "/en/"),

@@ -183,6 +183,8 @@ def test_keep_one_with_null_ids_ties_and_clashing_columns(spark):
     rows = [(3, "one two three four five", "p"), (3, "one two three four five", "p"), (1, "one two three four five", "q"),
             (None, "six seven eight nine ten", "r"), (None, "six seven eight nine ten", "r"), (9, "", "s"), (8, None, "t")]
     df = spark.createDataFrame(rows, "doc_id long, text string, component_id string")
+    odd = df.selectExpr("*", "1 AS __f", "2 AS __id", "3 AS __fp", "4 AS __n", "5 AS __own_0")
+    assert {tuple(r)[3:] for r in simhash.keep_one(odd).collect()} == {(1, 2, 3, 4, 5)}
     kept = [(r.doc_id, r.component_id) for r in simhash.keep_one(df).collect()]
     assert sorted(kept, key=str) == [(1, "q"), (8, "t"), (None, "r")]
     empty = spark.createDataFrame([], df.schema)

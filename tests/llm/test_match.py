@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+import regex
 
 from flumen.llm import ann, decontaminate, licences, urlfilter
 
@@ -13,21 +14,24 @@ from flumen.llm import ann, decontaminate, licences, urlfilter
 
 
 def words_by_hand(text):
-    return re.findall(r"[^\W_]+", (text or "").lower())
+    unparted = "".join(rf"\p{{{s}}}" for s in decontaminate.SCRIPTS)
+    return regex.findall(rf"[{unparted}&&[\p{{L}}\p{{N}}]]|[\p{{L}}\p{{N}}--[{unparted}]]+", (text or "").lower(), regex.V1)
 
 
-def shingles_by_hand(text, n=5):
-    w = words_by_hand(text)
-    return {" ".join(w[i:i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+def runs_by_hand(w, n):
+    return {" ".join(w[i:i + n]) for i in range(len(w) - n + 1)}
 
 
 def contained_by_hand(docs, items, threshold=0.8):
     out = set()
+    asked = [(i, words_by_hand(item)) for i, item in items]
+    asked = [(i, min(5, len(w)), runs_by_hand(w, min(5, len(w)))) for i, w in asked if w]
     for d, text in docs:
-        held = shingles_by_hand(text)
-        for i, item in items:
-            s = shingles_by_hand(item)
-            if s and len(s & held) >= threshold * len(s) - 1e-9:
+        w = words_by_hand(text)
+        runs = {n: runs_by_hand(w, n) for n in {n for _, n, _ in asked}}
+        for i, n, s in asked:
+            held = runs[n]
+            if len(s & held) >= threshold * len(s) - 1e-9:
                 out.add((d, i, len(s), len(s & held)))
     return out
 
@@ -60,6 +64,18 @@ def test_containment_equals_brute_force(spark, monkeypatch, limit):
     assert left == sorted((k or -1) for k, _ in docs if k not in leaking)
 
 
+def test_short_items_and_scripts_without_blanks(spark):
+    items = [(1, "the quick brown fox"), (2, "狐は茶色で速い"), (3, "fox"), (4, "สวัสดี"), (5, "one two three four five")]
+    docs = [(1, "There: The quick, brown FOX jumps over eleven words of a text"), (2, "この狐は茶色で速いです"), (3, "foxes 狐は茶色で"),
+            (4, "he said สวัสดีครับ twice"), (5, "one two three four"), (6, "quick brown " * 20_000 + "fox"), (7, None)]
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.n_shingles, r.n_found) for r in decontaminate.contained(d, i).collect()}
+    assert got == contained_by_hand(docs, items)
+    assert {x[:2] for x in got} == {(1, 1), (1, 3), (2, 2), (4, 4), (6, 3)}
+    kept = {r.doc_id for r in decontaminate.clean(d.withColumn("__own_0", d.doc_id), i).collect()}
+    assert kept == {3, 5, 7}
+
+
 def test_sketch_never_misses():
     """A document may miss a share of 1 - t; the sketch has one hash more than that."""
     for n in range(1, 2000):
@@ -71,6 +87,8 @@ def test_empty_sides_and_clashing_columns(spark):
     d = spark.createDataFrame([(1, "a b c d e f", "x")], "doc_id long, text string, item_id string")
     i = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert decontaminate.clean(d, i.limit(0)).collect() == d.collect()
+    odd = d.withColumn("__doc", d.doc_id).withColumn("__own_0", d.doc_id)
+    assert decontaminate.clean(odd, i.limit(0)).collect() == odd.collect()
     assert decontaminate.clean(d, i).count() == 0 and decontaminate.clean(d.limit(0), i).columns == d.columns
 
 
@@ -114,6 +132,8 @@ def test_url_parts_rules_and_clashing_columns(spark):
     got = [(r.host, r.path, r.rule, r.verdict) for r in urlfilter.judge(df, urlfilter.RULES, urlfilter.BLOCKED).orderBy("page_id").collect()]
     assert got == [*cases.values(), cases["nohost"]]
     assert urlfilter.judge(df.limit(0), urlfilter.RULES).count() == 0
+    odd = df.selectExpr("*", "1 AS __m", "2 AS __host", "3 AS __PATH", "4 AS __own_0")
+    assert {tuple(r)[-8:-4] for r in urlfilter.judge(odd, urlfilter.RULES).collect()} == {(1, 2, 3, 4)}
     tie = [urlfilter.Rule("block", "b.com", "/"), urlfilter.Rule("allow", "b.com", "/")]
     assert [r.verdict for r in urlfilter.judge(spark.createDataFrame([("http://b.com/",)], "url string"), tie).collect()] == ["block"]
 
