@@ -259,6 +259,32 @@ def test_wrapped_licences(spark):
     assert [(r.licences, r.sentence_ids) for r in rows] == want
 
 
+def test_every_rule_wrapped_and_as_its_oracle(spark, tmp_path):
+    """Each rule's sentences, one a paragraph, wrapped in comments; the SQL says the same,
+    also of shuffled lines and of sentences that begin inside others."""
+    import textwrap
+
+    import duckdb
+    s, rng = licences.SENTENCES, random.Random(7)
+    texts = ["\n\n".join("\n".join("## " + x for x in textwrap.wrap(s[i], 60)) for i in run) for _, run in licences.RULES]
+    rules = len(texts)
+    lines = [x for t in texts for x in t.split("\n")]
+    for _ in range(150):
+        some = [rng.choice([rng.choice(lines), s[rng.choice(list(s))], "prose", "", "a; b", "x. "]) for _ in range(rng.randrange(25))]
+        texts.append(rng.choice(["\n", "\r\n", " \n\t"]).join(some))
+    texts += [None, "", "\n", "Licensed under the Apache License,\nVersion 2.0 (the \"License\");"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = df.transform(licences.scan).orderBy("doc_id").collect()
+    for (name, _), r in zip(licences.RULES, got):
+        assert name in r.licences, (name, r)
+    assert rules == len(licences.RULES)
+    df.coalesce(1).write.parquet(str(tmp_path / "documents"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents/*.parquet')")
+    said = sorted(con.execute(licences.ORACLE).fetchall())
+    assert said == [(r.doc_id, len(r.sentence_ids), ",".join(map(str, r.sentence_ids)), ",".join(r.licences), r.n_unused) for r in got]
+
+
 def test_known_sentences_are_distinct():
     names = [max(licences.normalised(s), key=len) for s in licences.SENTENCES.values()]
     assert len(set(names)) == len(names) and all(len(n.split()) >= 3 for n in names)
