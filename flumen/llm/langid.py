@@ -5,7 +5,8 @@ language over all of them. An n-gram belongs to a language if its share of that
 language's n-grams is at least ``min_share`` and at least ``min_ratio`` times its
 share in the language where it is most usual; so a language has at most
 ``1 / min_share`` n-grams, however large the corpus, and a few foreign passages do
-not add any. Each n-gram sets its languages' bits in ``hashes`` slots of one filter:
+not add any. The n-grams that are kept are counted, and the filter has so many slots that
+no language fills more than half of them. Each n-gram sets its languages' bits in ``hashes`` slots of one filter:
 a row of the filter holds one slot's bits of all languages, so one look-up per hash,
 ANDed, returns all languages that contain an n-gram.
 
@@ -14,7 +15,8 @@ counted. A language's filter answers falsely with probability ``fill ** hashes``
 the count is corrected for that, and the largest wins (ties: the smaller name). The
 score is the winner's share of all corrected counts.
 
-Only the filter goes through the driver: ``slots`` rows at most, whatever the input.
+Only the filter goes through the driver: of ``1 / min_share`` n-grams a language it has
+2 ^ 23 slots at most, whatever the input.
 
 Nulls: a null text, or one without a letter, is ``und`` with score 0. A null label
 teaches nothing; a null id counts as empty text in the fold. Where nothing could be
@@ -25,7 +27,7 @@ language with the most training n-grams, score 0. Repeated rows are judged alike
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -33,17 +35,18 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flumen.llm.common import LOWER, arrow_udf, bounded_batches, doc_of, fold, mix, released, replaced, text_buffer, written
+from flumen.llm.common import LOWER, arrow_udf, bounded_batches, doc_of, fold, mix, released, replaced, text_buffer, unused, written
 from flumen.sources.tables import load
 
 UNKNOWN = "und"
+LEAST_LOG2 = 12                     # of a filter's slots
 PIECE = 1 << 18                     # bytes handled by one round of array operations
 
 
 @dataclass(frozen=True)
 class Settings:
     n: int = 4                      # bytes of an n-gram, 8 at most
-    slots_log2: int = 20
+    slots_log2: int | None = None   # of the filter; None: as its n-grams need
     hashes: int = 3
     min_share: float = 1e-6
     min_ratio: float = 0.25
@@ -138,23 +141,29 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", settings:
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(totals)
     width = max(1, -(-len(langs) // 8))
-    table = np.zeros((1 << s.slots_log2, width), dtype=np.uint8)
+    table = np.zeros((1 << (s.slots_log2 or LEAST_LOG2), width), dtype=np.uint8)
     if langs:
         spark = labelled.sparkSession
         sizes = spark.createDataFrame([(k, float(totals[k]), i) for i, k in enumerate(langs)], "lang string, total double, bit int")
         share = counts.join(sizes, "lang").select("gram", "bit", (F.col("n") / F.col("total")).alias("share"))
         usual = share.groupBy("gram").agg(F.max("share").alias("most"))
         kept = share.join(usual, "gram").where((F.col("share") >= s.min_share) & (F.col("share") >= F.col("most") * s.min_ratio))
+        kept = written(kept.select("gram", "bit"), "kept-grams")
+        if s.slots_log2 is None:
+            most = kept.groupBy("bit").count().agg(F.max("count")).first()[0] or 0
+            s = replace(s, slots_log2=max(LEAST_LOG2, int(2 * s.hashes * most - 1).bit_length()))
+            table = np.zeros((1 << s.slots_log2, width), dtype=np.uint8)
 
         def spread(batches):
             for b in batches:
                 grams, bit = b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy()
                 for slot in slots_of(grams, s):
                     yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array((bit >> 3).astype(np.int32)), pa.array(np.left_shift(1, bit & 7).astype(np.int32))], names=["slot", "byte", "bits"])
-        rows = (kept.select("gram", "bit").mapInArrow(spread, "slot int, byte int, bits int")
+        rows = (kept.mapInArrow(spread, "slot int, byte int, bits int")
                 .groupBy("slot", "byte").agg(F.expr("bit_or(bits)").alias("bits")).toArrow())
         slot, byte = rows["slot"].to_numpy(), rows["byte"].to_numpy()
         table[slot, byte] = rows["bits"].to_numpy().astype(np.uint8)
+    s = s if s.slots_log2 else replace(s, slots_log2=LEAST_LOG2)
     return Model(langs, langs.index(max(langs, key=totals.get)) if langs else 0, table, s)
 
 
@@ -177,8 +186,9 @@ def predict(text: str | Column, spark, model: Model) -> Column:
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score; columns of these names give way."""
-    marked = docs.withColumn("__p", predict(text_col, docs.sparkSession, model))
-    return replaced(marked, lang_pred=F.col("__p.lang_pred"), score=F.col("__p.score")).drop("__p")
+    p, = unused(docs, 1)
+    marked = docs.withColumn(p, predict(text_col, docs.sparkSession, model))
+    return replaced(marked, lang_pred=F.col(f"{p}.lang_pred"), score=F.col(f"{p}.score")).drop(p)
 
 
 def learn_fold(docs: DataFrame, parts: int = 5) -> Model:

@@ -227,6 +227,66 @@ def test_held_out_accuracy_and_undetermined(spark):
     assert got[1000].score == 0 and all(0 <= r.score <= 1 for r in got.values())
 
 
+def languages_by_hand(rows, s):
+    """Per language, the n-grams that count as its own; no filter."""
+    counts = defaultdict(Counter)
+    for _, text, lang in rows:
+        b = (text or "").encode()
+        b = bytes(c + 32 if 65 <= c <= 90 else c for c in b)
+        if lang is not None:
+            counts[lang].update(b[i:i + s.n] for i in range(len(b) - s.n + 1))
+    total = {k: sum(c.values()) for k, c in counts.items()}
+    share = {k: {g: n / total[k] for g, n in c.items()} for k, c in counts.items()}
+    most = Counter()
+    for c in share.values():
+        for g, x in c.items():
+            most[g] = max(most[g], x)
+    return {k: {g for g, x in c.items() if x >= s.min_share and x >= s.min_ratio * most[g]} for k, c in share.items()}
+
+
+def language_by_hand(own, text, n):
+    b = (text or "").encode()
+    b = bytes(c + 32 if 65 <= c <= 90 else c for c in b)
+    hits = {k: sum(b[i:i + n] in grams for i in range(len(b) - n + 1)) for k, grams in own.items()}
+    return hits, sum(hits.values())
+
+
+def test_op10_equals_exact_sets(spark):
+    """The query's predictions and scores against sets without false answers."""
+    from flumen.llm import queries
+    from tests.conftest import SF_SMALL
+    rows = [(d.doc_id, d.text, d.lang) for d in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    s = langid.Settings()
+    own = languages_by_hand([r for r in rows if zlib.crc32(str(r[0]).encode()) % 5], s)
+    got = {r.doc_id: r for r in queries.QUERIES["op10_language_id"](spark, SF_SMALL).collect()}
+    assert set(got) == {r[0] for r in rows}
+    sure = 0
+    for i, text, _ in rows:
+        assert got[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0)
+        if not any(c.isalpha() for c in text or ""):
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        hits, total = language_by_hand(own, text, s.n)
+        if total < 50:
+            continue
+        first, second = sorted(hits.values(), reverse=True)[:2]
+        assert got[i].score == pytest.approx(first / total, abs=.05)
+        if first - second > .1 * total:
+            sure += 1
+            assert hits[got[i].lang_pred] == first
+    assert sure > len(rows) // 2
+
+
+def test_filter_grows_with_its_content(spark):
+    rng = random.Random(3)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    for n in (100, 40_000):
+        df = spark.createDataFrame([(1, text(n), "a"), (2, text(n), "b")], "doc_id long, text string, lang string")
+        model = langid.learn(df)
+        fill = np.unpackbits(model.table, axis=1, bitorder="little")[:, :2].mean(axis=0)
+        assert fill.max() <= .5 and (n == 100 or fill.max() > .15)
+
+
 def test_filter_returns_all_languages_of_an_ngram(spark):
     df = spark.createDataFrame([(1, "samesame", "a"), (2, "samesame", "b"), (3, "only", "c")], "doc_id long, text string, lang string")
     s = langid.Settings(n=4, min_ratio=0.1)
