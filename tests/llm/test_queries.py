@@ -19,7 +19,7 @@ from check_oracle import TABLES, digest  # noqa: E402
 
 import __spark_entry__ as E  # noqa: E402
 import corpus_pipeline  # noqa: E402
-from flumen.llm import bpe, queries  # noqa: E402
+from flumen.llm import bpe, ngramlm, queries  # noqa: E402
 
 COLUMNS = {
     "op1_suffix_array_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
@@ -107,7 +107,7 @@ def test_op6_equals_brute_force(spark, documents):
 
 
 def test_op9_equals_brute_force(spark, documents):
-    hand = ByHand([d.text for d in documents if zlib.crc32(str(d.doc_id).encode()) % 5 != 1])
+    hand = ByHand([d.text for d in documents if zlib.crc32(str(d.doc_id).encode()) % 5 != 1], ngramlm.ORDER)
     for r in queries.QUERIES["op9_lm_scoring"](spark, SF_SMALL).collect():
         text = next(d.text for d in documents if d.doc_id == r.doc_id)
         n, known, base, score = hand.score(text)

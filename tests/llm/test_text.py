@@ -123,35 +123,45 @@ def discounts_by_hand(counts):
 
 
 class ByHand:
-    def __init__(self, texts):
-        self.pairs, self.words, self.seen = Counter(), Counter(), Counter()
+    """Modified Kneser-Ney of an order, by its definition."""
+
+    def __init__(self, texts, order=2):
+        self.order, self.raw, self.words = order, Counter(), Counter()
         for t in texts:
-            before = "begin"
-            for w in tokens_by_hand(t):
-                self.pairs[before, w] += 1
-                self.words[w] += 1
-                self.seen[before] += 1
-                before = w
-        self.contexts = Counter(w for _, w in self.pairs)
-        self.d2, self.d1 = discounts_by_hand(self.pairs.values()), discounts_by_hand(self.contexts.values())
-        self.mass = defaultdict(float)
-        for (h, _), c in self.pairs.items():
-            self.mass[h] += self.d2[min(c, 3)]
-        self.spare = sum(self.d1[min(a, 3)] for a in self.contexts.values()) / len(self.pairs) if self.pairs else 1.0
+            w = ["begin"] * (order - 1) + tokens_by_hand(t)
+            self.words.update(w[order - 1:])
+            self.raw.update(tuple(w[i:i + order]) for i in range(len(w) - order + 1))
+        # numbers of each order: occurrences, below that distinct contexts
+        self.n = {order: self.raw}
+        held = set(self.raw)
+        for k in range(order - 1, 0, -1):
+            self.n[k] = Counter(g[1:] for g in held)
+            held = {g[1:] for g in held}
+        self.d = {k: discounts_by_hand(c.values()) for k, c in self.n.items()}
+        self.total, self.mass = defaultdict(int), defaultdict(float)
+        for k, c in self.n.items():
+            for g, x in c.items():
+                self.total[k, g[:-1]] += x
+                self.mass[k, g[:-1]] += self.d[k][min(x, 3)]
+        self.pairs = self.total[1, ()]
 
     def p(self, h, w):
-        a = self.contexts.get(w, 0)
-        low = self.spare / (len(self.words) + 1) + (max(a - self.d1[min(a, 3)], 0) / len(self.pairs) if self.pairs else 0)
-        if not self.seen.get(h):
-            return low
-        c = self.pairs.get((h, w), 0)
-        return max(c - self.d2[min(c, 3)], 0) / self.seen[h] + self.mass[h] / self.seen[h] * low
+        """h: the word before, or all of them."""
+        h = h if isinstance(h, tuple) else (h,)
+        p = (self.mass[1, ()] / self.pairs if self.pairs else 1.0) / (len(self.words) + 1)
+        for k in range(1, self.order + 1):
+            g = (*h[len(h) - k + 1:], w)
+            x, total = self.n[k].get(g, 0), self.total.get((k, g[:-1]), 0)
+            high = max(x - self.d[k][min(x, 3)], 0) / total if total else 0
+            p = high + p if k == 1 else high + self.mass[k, g[:-1]] / total * p if total else p
+        return p
 
     def score(self, text):
         words = tokens_by_hand(text)
         n, v = sum(self.words.values()), len(self.words)
         base = sum(math.log10((self.words.get(w, 0) + .5) / (n + .5 * (v + 1))) for w in words)
-        return len(words), sum(w in self.words for w in words), base, sum(math.log10(self.p(h, w)) for h, w in zip(["begin", *words], words))
+        return len(words), sum(w in self.words for w in words), base, sum(
+            math.log10(self.p(tuple(line[i:i + self.order - 1]), w)) for line in [["begin"] * (self.order - 1) + words] for i, w in enumerate(words))
 
 
 def lm_texts(n, seed):
@@ -160,18 +170,20 @@ def lm_texts(n, seed):
     return [rng.choice([" ", "\n", " \t"]).join(rng.choice(vocabulary) for _ in range(rng.randrange(30))) for _ in range(n)]
 
 
-def test_scores_equal_brute_force(spark):
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_scores_equal_brute_force(spark, order):
     texts = lm_texts(120, 5) + ["", None, "W1 w1 É é", "zzz", "  "] + ["w1 w2"] * 20
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     train = [t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 5 != 1]
-    model, hand = ngramlm.learn(df.where(ngramlm.fold() != 1)), ByHand(train)
-    assert (model.train_tokens, model.vocabulary, model.pairs) == (sum(hand.words.values()), len(hand.words), len(hand.pairs))
+    model, hand = ngramlm.learn(df.where(ngramlm.fold() != 1), order=order), ByHand(train, order)
+    assert (model.train_tokens, model.vocabulary, model.pairs) == (sum(hand.words.values()), len(hand.words), hand.pairs)
+    assert all(model.cuts[k].tolist() == pytest.approx(d) for k, d in hand.d.items())
     for r in ngramlm.scored(df, model).collect():
         n, known, base, score = hand.score(r.text)
         assert (r.n_tokens, r.n_known) == (n, known)
         assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(score, rel=1e-9)
     # the probabilities of all words and of one unknown word sum to one in any context
-    for h in ["begin", b"w1", b"nowhere"]:
+    for h in [("begin",) * (order - 1), (b"w1",) * (order - 1), (b"w2",) * (order - 2) + (b"w1",), (b"nowhere",) * (order - 1)]:
         assert sum(hand.p(h, w) for w in [*hand.words, b"unknown"]) == pytest.approx(1)
 
 
@@ -185,7 +197,7 @@ def test_no_discount_is_zero(spark):
     texts += ["lone next"] * 9
     df = spark.createDataFrame([(t,) for t in [*texts, "lone unseen"]], "text string")
     model, hand = ngramlm.learn(df.where("text <> 'lone unseen'")), ByHand(texts)
-    assert (model.pair_cuts[1:] > 0).all() and (model.word_cuts[1:] > 0).all()
+    assert all((cuts[1:] > 0).all() for cuts in model.cuts.values())
     for r in ngramlm.scored(df, model).distinct().collect():
         assert math.isfinite(r.score) and math.isfinite(r.perplexity) and r.score == pytest.approx(hand.score(r.text)[3], rel=1e-9)
 
@@ -201,9 +213,9 @@ def test_untrained_model_and_clashing_columns(spark):
 def test_pieces_of_a_text_do_not_matter(monkeypatch):
     texts = lm_texts(30, 6) + ["", None, "x" * 500, " ".join("ab" for _ in range(400))]
     join = lambda parts: [np.concatenate(c).tolist() for c in zip(*parts)]
-    whole = join(ngramlm.tokens(pa.array(texts)))
+    whole = join(ngramlm.tokens(pa.array(texts), 3))
     monkeypatch.setattr(ngramlm, "PIECE", 37)
-    assert join(ngramlm.tokens(pa.array(texts))) == whole
+    assert join(ngramlm.tokens(pa.array(texts), 3)) == whole
     assert Counter(whole[0]) == Counter({i: len(tokens_by_hand(t)) for i, t in enumerate(texts)})
 
 
