@@ -8,19 +8,27 @@ entries may have with it: that of the centroids, and ``slack`` standard deviatio
 what the entries' distance from their centroid adds to it. So cells of long vectors, wide
 apart, come early, whatever their distance from the query. A heap holds the next pair of
 each started row of centroids, and the walk ends when the cells it has met hold a
-``share`` of all rows (and ``least``, and more than ``k``). It gives the query its reach,
+share of all rows (and ``least``, and more than ``k``). It gives the query its reach,
 the bound of its last cell. The entries of all cells within reach are reranked by their
 inner product in double precision.
 
+The share is measured unless it is given: ``probes`` rows, those with the smallest hash of
+their id, are compared with all rows, in blocks, and each of their true neighbours tells
+how many entries the walk meets up to its cell; the share is what ``recall`` of them need.
+So vectors in clusters have short walks, and random directions long ones.
+
 Entries are dealt in blocks of equal size, in the order of their cells; a cell with a
-third of all rows is spread over many blocks. Queries are dealt in chunks. A task holds
-one block and one chunk, computes inner products cell by cell for those queries that
-reach the cell, and gives each query's best ``k`` of the block.
+third of all rows is spread over many blocks. Queries are dealt in chunks, in the order of
+their cells, too, and a query goes only to the blocks that hold a cell within its reach,
+a block only to the chunks with such a query. A task holds one block and one chunk,
+computes inner products cell by cell for those queries that reach the cell, and gives
+each query's best ``k`` of the block.
 
 Vectors that are null, zero or hold a null or non-finite component take no part, nor do
 rows with a null id or with another dimension than most of the sample. Of rows with
 equal ids the smallest vector counts. Ties go to the smaller id. A query with fewer than
-``k`` candidates gets them all.
+``k`` candidates gets them all. An empty table gives an empty result. Extra columns are
+not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -42,7 +50,9 @@ class Settings:
     centroids: int = 64             # per half
     sample: int = 20_000            # rows that the codebooks are fitted on, at most
     rounds: int = 12
-    share: float = 0.5              # of all rows: the entries that a query reranks
+    share: float | None = None      # of all rows: the entries that a query reranks; None: measured
+    recall: float = 0.95            # of the probes' neighbours, for a measured share
+    probes: int = 256
     least: int = 2000               # entries that it reranks in any case
     slack: float = 2.0              # standard deviations that a cell's bound allows for
     block: int = 4096               # entries of a task
@@ -138,10 +148,52 @@ class Index:
         self.total = int(self.sizes.sum())
         self.blocks = max(s.least_blocks, -(-self.total // s.block))
 
-    def _block(self) -> Column:
-        """An entry's block: entries stand in the order of their cells, within a cell in
+    def share(self, k: int) -> float:
+        """The share of all entries that a walk must meet for the asked recall."""
+        s, width, half, books = self.settings, self.width, self.half, self.books
+        if s.share is not None:
+            return s.share
+        found = self.entries.select("vec_id", "vector").orderBy(F.xxhash64("vec_id"), "vec_id").limit(s.probes).toArrow()
+        if not found.num_rows:
+            return 1.0
+        ids, q = found["vec_id"].to_numpy(), matrix(found["vector"], width)
+
+        def near(batches):
+            for b in batches:
+                v, mine = matrix(b.column(1), width), b.column(0).to_numpy()
+                score = np.where(ids[:, None] == mine[None, :], -np.inf, q @ v.T)
+                top = np.argsort(-score, axis=1, kind="stable")[:, :k]
+                row = np.repeat(np.arange(len(q)), top.shape[1])
+                at = top.ravel()
+                good = score[row, at] > -np.inf
+                yield pa.RecordBatch.from_arrays([pa.array(row[good].astype(np.int32)), b.column(2).take(pa.array(at[good])), pa.array(score[row, at][good])],
+                                                 names=["probe", "cell", "score"])
+        best = Window.partitionBy("probe").orderBy(F.desc("score"))
+        rows = (self.entries.select("vec_id", "vector", "cell").mapInArrow(near, "probe int, cell int, score double")
+                .withColumn("place", F.row_number().over(best)).where(F.col("place") <= k).select("probe", "cell").toArrow())
+        probe, cell = rows["probe"].to_numpy(), rows["cell"].to_numpy()
+        one, two = bounds(q[:, :half], books[0], self.slack[0]), bounds(q[:, half:], books[1], self.slack[1])
+        need, sizes = [], self.sizes.ravel()
+        for i in range(len(q)):
+            bound = (one[i][:, None] + two[i][None, :]).ravel()
+            order = np.argsort(bound, kind="stable")
+            met = np.cumsum(sizes[order])
+            upto = np.searchsorted(bound[order], bound[cell[probe == i]], side="right") - 1
+            need.append(met[upto])
+        need = np.concatenate(need)
+        return float(np.quantile(need, s.recall, method="higher")) / self.total if len(need) else 1.0
+
+    def _places(self) -> tuple[np.ndarray, np.ndarray]:
+        """(first, last) block of each cell's entries."""
+        sizes, total = self.sizes.ravel(), max(1, self.total)
+        start = np.cumsum(sizes) - sizes
+        last = np.minimum((start + sizes) * self.blocks / total, self.blocks - 1).astype(np.int64)
+        return np.minimum(start * self.blocks / total, self.blocks - 1).astype(np.int64), last
+
+    def _part(self, parts: int) -> Column:
+        """The part of a row: rows stand in the order of their cells, within a cell in
         that of a hash of their id, and are cut in equal parts."""
-        sizes, start, total, blocks = self.sizes.ravel(), np.cumsum(self.sizes.ravel()) - self.sizes.ravel(), max(1, self.total), self.blocks
+        sizes, start, total, blocks = self.sizes.ravel(), np.cumsum(self.sizes.ravel()) - self.sizes.ravel(), max(1, self.total), parts
 
         @arrow_udf("int")
         def run(cell: pa.Array, mixed: pa.Array) -> pa.Array:
@@ -154,20 +206,29 @@ class Index:
         """(query_id, rank, vec_id, score): the k best of each query's candidates but
         itself. queries: rows of ``entries``."""
         s, width, half, books, sizes = self.settings, self.width, self.half, self.books, self.sizes
-        need = max(int(np.ceil(self.total * s.share)), s.least, k + 1)
-        count, slack = len(books[1]), self.slack
+        need = max(int(np.ceil(self.total * self.share(k))), s.least, k + 1)
+        count, slack, blocks = len(books[1]), self.slack, self.blocks
+        (low, high), filled = self._places(), np.flatnonzero(sizes.ravel())
 
-        @arrow_udf("double")
+        @arrow_udf("struct<reach:double,blocks:array<int>>")
         def far(column: pa.Array) -> pa.Array:
             v = matrix(column, width)
             one, two = bounds(v[:, :half], books[0], slack[0]), bounds(v[:, half:], books[1], slack[1])
-            return pa.array([reach(a, b, sizes, need) for a, b in zip(one, two)], type=pa.float64())
+            limit, found = [], []
+            for a, b in zip(one, two):
+                limit.append(reach(a, b, sizes, need))
+                cells = filled[(a[:, None] + b[None, :]).ravel()[filled] <= limit[-1]]
+                step = np.bincount(low[cells], minlength=blocks + 1) - np.bincount(high[cells] + 1, minlength=blocks + 1)
+                found.append(np.flatnonzero(np.cumsum(step)[:blocks]))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32)),
+                                             pa.array(np.concatenate(found).astype(np.int32) if found else np.zeros(0, dtype=np.int32)))
+            return pa.StructArray.from_arrays([pa.array(limit, type=pa.float64()), lists], names=["reach", "blocks"])
 
         chunks = max(1, -(-queries.count() // s.chunk))
-        asked = (queries.select("vec_id", "vector", far("vector").alias("reach"), F.pmod(F.xxhash64("vec_id"), F.lit(chunks)).cast("int").alias("chunk"))
-                 .select("*", F.explode(F.sequence(F.lit(0), F.lit(self.blocks - 1))).alias("block")))
-        held = (self.entries.select("vec_id", "vector", "cell", self._block().alias("block"))
-                .select("*", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk")))
+        asked = written(queries.select("vec_id", "vector", far("vector").alias("f"), self._part(chunks).alias("chunk"))
+                        .select("vec_id", "vector", F.col("f.reach").alias("reach"), "chunk", F.explode("f.blocks").alias("block")), "asked")
+        wanted = asked.select(F.col("block").alias("block"), F.col("chunk").alias("chunk")).distinct()
+        held = self.entries.select("vec_id", "vector", "cell", self._part(blocks).alias("block")).join(wanted, "block")
 
         def best(entries: pa.Table, chunk: pa.Table) -> pa.Table:
             out_q, out_v, out_s = [], [], []

@@ -167,7 +167,7 @@ def test_recall_and_blocks(spark):
     df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
     s = ann.Settings(centroids=8, least=0, block=200, chunk=30)
     index = ann.Index(df, "vec_id", "embedding", s)
-    sizes = [r["count"] for r in index.entries.select(index._block().alias("b")).groupBy("b").count().collect()]
+    sizes = [r["count"] for r in index.entries.select(index._part(index.blocks).alias("b")).groupBy("b").count().collect()]
     assert sum(sizes) == 1500 and max(sizes) <= 1.5 * 1500 / index.blocks
     hit = total = 0
     for q, rows in _by_query(index.search(index.entries.where("vec_id % 20 = 0"), 20)):
@@ -194,6 +194,25 @@ def test_recall_with_norms_that_differ(spark, sigma):
     assert total == 4000 and hit >= .9 * total
 
 
+def test_clustered_vectors_have_short_walks(spark):
+    """The measured share follows the data, and blocks out of a query's reach do not see it."""
+    rng = np.random.default_rng(9)
+    centre = rng.normal(size=(40, 16))
+    v = centre[rng.integers(0, 40, 4000)] + .1 * rng.normal(size=(4000, 16))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    s = ann.Settings(least=0, block=250, least_blocks=1, chunk=20)
+    index = ann.Index(df, "vec_id", "embedding", s)
+    assert index.share(20) < .2
+    hit = 0
+    found = _by_query(index.search(index.entries.where("vec_id % 20 = 0"), 20))
+    for q, rows in found:
+        score = v @ v[q]
+        score[q] = -np.inf
+        hit += len(set(np.argsort(-score)[:20]) & set(rows))
+    assert len(found) == 200 and hit >= .9 * 4000
+
+
 def _by_query(df):
     found = {}
     for r in df.collect():
