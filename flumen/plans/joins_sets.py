@@ -98,9 +98,9 @@ def split_tagged(spark, sf):
     return tagged.select("event_id", "tag")  # each output is sets.output(tagged, name)
 
 
-def corrupted_props(spark, sf):
-    """events.props with every tenth row damaged: extra key, missing key, junk."""
-    ev = table(spark, sf, "events").select("event_id", "props")
+def corrupted(ev):
+    """events with the props of every tenth row damaged: extra key, missing key, junk.
+    For tables and streams."""
     r = F.col("event_id") % 30
     bad = (F.when(r == 0, F.concat(F.lit('{"k": 1, "x": '), F.col("event_id").cast("string"), F.lit("}")))
            .when(r == 10, F.lit('{"j": 2}'))
@@ -125,5 +125,5 @@ SELECT event_id, CASE WHEN ok THEN 'parsed' ELSE 'dead_letter' END AS outcome,
 FROM p
 """)
 def split_parse_dead_letter(spark, sf):
-    labelled = sets.parse_outcome(corrupted_props(spark, sf), "props", schemas.PROPS)
+    labelled = sets.parse_outcome(corrupted(table(spark, sf, "events").select("event_id", "props")), "props", schemas.PROPS)
     return labelled.select("event_id", "outcome", F.col("parsed.k").alias("k"), F.col("props").alias("raw"))

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from flumen import schemas
 from flumen.operators import panes, sets
+from flumen.plans.joins_sets import corrupted
 from flumen.plans.registry import TS_MICROS, recipe, rnd, table, ts_text
+from flumen.plans.windows import TUMBLE_SQL
 from flumen.session import ensure_utc, scratch_path
 from flumen.sources.tables import table_path
 from flumen.streaming import arrivals, fired, windowed
@@ -123,11 +125,34 @@ def stream_fixed_append(spark, sf):
     return out.select(F.date_format("window.start", HOUR_FMT).alias("window_start"), "event_type", "count")
 
 
-STREAM_TUMBLE_SQL = """
-SELECT COUNT(*) AS page_views, CAST(window.start AS STRING) AS start_time
-FROM {events}
-GROUP BY window(ts, '1 minute')
-"""
+@recipe("stream_sliding", """
+SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, event_type, COUNT(*) AS count
+FROM (SELECT event_type, ts, time_bucket(INTERVAL 10 MINUTE, ts) - INTERVAL 10 MINUTE * k AS s FROM events, range(3) t(k))
+GROUP BY s, event_type
+HAVING epoch_ms(s + INTERVAL 30 MINUTE) <= (SELECT epoch_ms(max(ts)) FROM events) - 600000
+""")
+def stream_sliding(spark, sf):
+    """Half-hour windows every ten minutes, one pane each when the watermark passes the end."""
+    agg = windowed.windowed_count(events_stream(spark, sf), "ts", "30 minutes", "10 minutes", keys="event_type", slide="10 minutes")
+    out = _drain(spark, agg, "stream-sliding")
+    return out.select(F.date_format("window.start", HOUR_FMT).alias("window_start"), "event_type", "count")
+
+
+@recipe("stream_session", """
+WITH x AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events),
+y AS (SELECT *, SUM(CASE WHEN prev IS NULL OR ts > prev + INTERVAL 6 HOUR THEN 1 ELSE 0 END)
+                OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM x)
+SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS window_start,
+       strftime(max(ts) + INTERVAL 6 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS window_end, COUNT(*) AS count
+FROM y GROUP BY user_id, sid
+HAVING epoch_ms(max(ts) + INTERVAL 6 HOUR) <= (SELECT epoch_ms(max(ts)) FROM events) - 3600000
+""")
+def stream_session(spark, sf):
+    """Sessions per user, a gap of six hours, each emitted when the watermark passes its end."""
+    agg = windowed.session_count(events_stream(spark, sf), "ts", "6 hours", "1 hour", keys="user_id")
+    out = _drain(spark, agg, "stream-session")
+    return out.select("user_id", ts_text("window.start", TS_MICROS).alias("window_start"),
+                      ts_text("window.end", TS_MICROS).alias("window_end"), "count")
 
 
 @recipe("stream_sql_tumble", """
@@ -137,7 +162,7 @@ HAVING epoch_ms(date_trunc('minute', ts) + INTERVAL 1 MINUTE) <= (SELECT epoch_m
 """)
 def stream_sql_tumble(spark, sf):
     s = events_stream(spark, sf).withWatermark("ts", "1 minute")
-    agg = spark.sql(STREAM_TUMBLE_SQL, events=s)
+    agg = spark.sql(TUMBLE_SQL, events=s)
     return _drain(spark, agg, "stream-sql-tumble")
 
 
@@ -260,21 +285,12 @@ SELECT value FROM c
 WHERE NOT coalesce(json_valid(value) AND json_keys(CASE WHEN json_valid(value) THEN value END) = ['k'], FALSE)
 """)
 def stream_dead_letter(spark, sf):
-    """Rows that fail the strict parse go, unchanged, to one text file per
-    trigger interval (120 s in production; drained at once here)."""
+    """Rows that fail the strict parse go, unchanged, to text files, a folder per trigger
+    interval (120 s in production; drained at once here)."""
     s = events_stream(spark, sf).select("event_id", "props")
-    damaged = corrupted_props_stream(s)
+    damaged = corrupted(s)
     _good, bad = sets.split_parsed(damaged, "props", schemas.PROPS)
     out = scratch_path(spark, "dead-letter")
     ss.run(ss.start_text_per_batch(bad.select(F.col("props").alias("value")), out,
                                    ss.checkpoint_for(spark, "dead-letter")))
     return spark.read.text(out).select("value")
-
-
-def corrupted_props_stream(s):
-    """Same damage as :func:`flumen.plans.joins_sets.corrupted_props`, on a stream."""
-    r = F.col("event_id") % 30
-    bad = (F.when(r == 0, F.concat(F.lit('{"k": 1, "x": '), F.col("event_id").cast("string"), F.lit("}")))
-           .when(r == 10, F.lit('{"j": 2}'))
-           .otherwise(F.lit("not json")))
-    return s.withColumn("props", F.when(F.col("event_id") % 10 == 0, bad).otherwise(F.col("props")))
