@@ -4,7 +4,8 @@
 A window of a key fires
 
 * early (optional): a pane opens with its first row and closes as soon as a row arrives
-  ``early_s`` or more after that, by an arrival clock that is a column of the rows;
+  ``early_s`` or more after that, by an arrival clock that is a column of the rows, or
+  else by the time at which a micro-batch is processed;
 * on time: once, when the watermark passes the window's end, if rows are left to fire;
 * late: after every ``late_rows`` rows that come behind the on-time firing, and once more
   for the rest when the allowed lateness is over and the window is forgotten.
@@ -70,8 +71,9 @@ class _Window:
 class _Panes(StatefulProcessor):
     """``alike``: rows carry counts and no order."""
 
-    def __init__(self, lateness_ms: int, accumulating: bool, late_rows: int, early_us: int | None, alike: bool):
+    def __init__(self, lateness_ms: int, accumulating: bool, late_rows: int, early_us: int | None, alike: bool, clocked: bool):
         self.lateness, self.accumulating, self.late_rows, self.early, self.alike = lateness_ms, accumulating, late_rows, early_us, alike
+        self.clocked = clocked          # rows bring the time of their arrival
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -92,7 +94,7 @@ class _Panes(StatefulProcessor):
         if self.alike:
             self._counts(w, rows, late)
         else:
-            self._values(w, rows, late)
+            self._values(w, rows, late, timerValues.getCurrentProcessingTimeInMs() * 1000)
         self.held.update(w.state())
         yield from self._shown(key, w)
 
@@ -106,11 +108,11 @@ class _Panes(StatefulProcessor):
         if n:
             w.add(n, float(n))
 
-    def _values(self, w: _Window, rows, late: bool) -> None:
+    def _values(self, w: _Window, rows, late: bool, now: int) -> None:
         at, v = zip(*[(r.iloc[:, AT].to_numpy(), r.iloc[:, VALUE].to_numpy()) for r in rows])
         at, v = np.concatenate(at), np.concatenate(v)
         order = np.argsort(at, kind="stable")
-        at, v = at[order], v[order]
+        at, v = at[order] if self.clocked else np.full(len(at), now), v[order]
         i = 0
         while i < len(at):
             if late:
@@ -164,12 +166,12 @@ def window_panes(stream: DataFrame, ts: str, size: str, lateness_s: int, keys=()
                  arrival: str | None = None, only: Column | None = None) -> DataFrame:
     """Panes of fixed windows of ``size``: keys, ``window_start``, ``pane`` (from 0),
     ``timing`` (early, on_time, late), ``pane_rows``, ``pane_value`` (the sum of ``value``,
-    or the count). ``arrival``: a timestamp or whole number of microseconds, needed for
-    early panes and for the order of late sums. ``only`` picks the rows that count; the
-    watermark follows all of them."""
+    or the count). ``arrival``: a timestamp or whole number of microseconds; without it
+    rows arrive when they are processed, those of a micro-batch at once and in any order.
+    ``only`` picks the rows that count; the watermark follows all of them."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    if (early_s is not None or value is not None) and arrival is None:
-        raise ValueError("early panes and sums need an arrival column")
+    if early_s is not None and early_s <= 0:
+        raise ValueError("early panes need a time above 0")
     kinds = dict(stream.dtypes)
     timed = stream.withWatermark(ts, f"{lateness_s} seconds")
     if only is not None:
@@ -184,7 +186,7 @@ def window_panes(stream: DataFrame, ts: str, size: str, lateness_s: int, keys=()
     alike = value is None and early_s is None
     if alike:
         rows = rows.mapInArrow(_combined, rows.schema)
-    processor = _Panes(lateness_s * 1000, mode != DISCARDING, late_rows, None if early_s is None else int(early_s * 1_000_000), alike)
+    processor = _Panes(lateness_s * 1000, mode != DISCARDING, late_rows, None if early_s is None else max(1, int(early_s * 1_000_000)), alike, arrival is not None)
     fired = rows.groupBy("__key", "__end").transformWithStateInPandas(processor, f"__key string, __end long, {PANE}", "Append", "EventTime")
     start = F.timestamp_millis(F.col("__end") - F.lit(int(pd.Timedelta(size).total_seconds() * 1000)))
     pane = ["pane", "timing", "pane_rows", "pane_value"]

@@ -70,6 +70,14 @@ def test_early_on_time_and_late_panes(spark):
     assert [(r[2], r[3], r[5]) for r in got if r[0] == "a"] == [(w[2], w[3], t) for w, t in zip(want, total)]
 
 
+def test_early_panes_by_processing_time(spark):
+    """Without an arrival column the rows of a micro-batch arrive at once: with the shortest
+    delay each micro-batch is a pane, closed by the key's next row or on time."""
+    rows = [("a", 1, 0, 1.0, 0), ("a", 2, 0, 2.0, 0), ("b", 3, 0, 64.0, 0), ("a", 3, 0, 4.0, 1), ("a", 4, 0, 8.0, 2), ("z", 300, 0, 0.5, 3), ("z", 301, 0, 0.5, 4)]
+    got = _fire(spark, rows, "by-clock", value="v", early_s=1e-6)
+    assert got == [("a", 0, 0, "early", 2, 3.0), ("a", 0, 1, "early", 1, 4.0), ("a", 0, 2, "on_time", 1, 8.0), ("b", 0, 0, "on_time", 1, 64.0), ("z", 300, 0, "early", 1, 0.5)]
+
+
 def test_late_counts_discarding(spark):
     rows = [("a", 1, 0, 0.0, 0)] * 3 + [("b", 30, 1, 0.0, 1)] + [("a", 2, 2, 0.0, 2)] * 4 + [("b", 31, 1, 0.0, 3), ("b", 300, 1, 0.0, 4), ("b", 301, 1, 0.0, 5)]
     got = _fire(spark, rows, "late-counts", late_rows=3)
