@@ -39,7 +39,10 @@ _UNPARTED = "[" + "".join(rf"\p{{Is{s}}}" for s in SCRIPTS) + "]"
 
 
 def words_of(text: Column) -> Column:
-    parts = F.split(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), f"({_UNPARTED})", " $1 "), r"[^\p{L}\p{N}]+")
+    low = F.lower(F.coalesce(text, F.lit("")))
+    # these scripts lie behind U+0DFF; other texts are spared the dearer pattern
+    low = F.when(low.rlike(r"[^\x00-\u0DFF]"), F.regexp_replace(low, f"({_UNPARTED})", " $1 ")).otherwise(low)
+    parts = F.split(low, r"[^\p{L}\p{N}]+")
     return F.filter(parts, lambda w: w != "")
 
 
