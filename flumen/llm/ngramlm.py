@@ -48,7 +48,7 @@ BEGIN, END = np.uint64(1), np.uint64(2)     # word hashes are mixed; these two a
 PIECE = 1 << 20
 BLOCK = 2_000_000                           # entries that a task gathers before it sends them
 _FACTOR = np.uint64(0x9FB21C651E98DF25)
-ORDER = 3
+ORDER = 2
 #: Of an n-gram below the highest order: its occurrences and distinct contexts; as a
 #: context: the numbers of its followers in all, and their discounts.
 ROW = np.dtype([("key", "<u8"), ("count", "<i8"), ("contexts", "<i8"), ("total", "<i8"), ("mass", "<f8")])
