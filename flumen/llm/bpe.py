@@ -14,7 +14,8 @@ The vocabulary is fixed-size and read by each worker from ``path``, the place of
 ``tokenizer.json`` (byte-level BPE) on the worker.
 
 Nulls and empty texts have no tokens. Texts of any length are encoded word by word;
-a word without a break may be long, too. Repeated rows are encoded alike.
+a word without a break may be long, too. Repeated rows are encoded alike. An empty table
+gives an empty result; a column that clashes with the result's gives way.
 """
 
 from __future__ import annotations

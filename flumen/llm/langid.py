@@ -21,7 +21,9 @@ Only the filter goes through the driver: of ``1 / min_share`` n-grams a language
 Nulls: a null text, or one without a letter, is ``und`` with score 0. A null label
 teaches nothing; a null id counts as empty text in the fold. Where nothing could be
 learned every text is ``und``. A text with letters but no known n-gram gets the
-language with the most training n-grams, score 0. Repeated rows are judged alike.
+language with the most training n-grams, score 0. Repeated rows are judged alike. Texts
+of any length are read whole. An empty table gives an empty result; columns that clash
+with the result's give way.
 """
 
 from __future__ import annotations

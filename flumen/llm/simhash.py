@@ -10,7 +10,8 @@ distance, so a large group of near copies gives few links rather than all pairs.
 
 Nulls: a null or blank text has fingerprint zero and links like any other. A null
 id stays a row; it is never a component's id unless its whole component has none.
-Repeated rows give repeated result rows.
+Repeated rows give repeated result rows. Texts of any length are counted whole. An empty
+table gives an empty result. ``keep_one`` keeps all columns, whatever their names.
 """
 
 from __future__ import annotations

@@ -38,7 +38,9 @@ from the first byte of a run's first word to the last byte of its last.
 
 Nulls: a null text is empty; a null id takes part like any other. Texts shorter than
 ``length`` stay whole. Texts are handled in pieces of bounded size. Repeated rows are
-documents like any other: each repeats the other.
+documents like any other: each repeats the other. An empty table has no matches and gives
+an empty result. Only the id and the text are read; ``deduplicated`` keeps other columns,
+whatever their names.
 """
 
 from __future__ import annotations

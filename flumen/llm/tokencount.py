@@ -14,7 +14,8 @@ Sections end after each match of a pattern (a newline by default), so they cover
 text; an empty or null text is one empty section without tokens. Spans are reported
 in characters. The vocabulary (a rank file) is read by each worker from ``path``;
 special tokens' names are ordinary text here. A document is handled whole in one
-task, whatever its length; nothing is shuffled. Repeated rows are counted alike.
+task, whatever its length; nothing is shuffled. Repeated rows are counted alike. An empty
+table gives an empty result; a column that clashes with the result's gives way.
 """
 
 from __future__ import annotations

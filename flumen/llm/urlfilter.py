@@ -12,7 +12,8 @@ The rules are a small list in the job's code; the URLs are never shuffled.
 
 Nulls: a null url, or one without ``://``, has empty host and path. Urls may be of
 any length: a batch is cut so that its bytes stay bounded. Ties of equally long
-rules go to the rule that stands first. Repeated rows are judged alike.
+rules go to the rule that stands first. Repeated rows are judged alike. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations

@@ -1,5 +1,7 @@
 """The registered corpus queries: oracles, contract columns, and the pipeline's stages."""
 
+import base64
+import hashlib
 import os
 import re
 import sys
@@ -7,7 +9,11 @@ import zlib
 from collections import Counter
 
 import duckdb
+import numpy as np
+import public_tokenizers
 import pytest
+import tiktoken
+from tokenizers import Tokenizer
 
 from tests.conftest import ROOT, SF_SMALL
 from tests.llm.test_dedup import fingerprint_by_hand, parts_by_hand, removed_by_hand
@@ -99,6 +105,65 @@ def test_op1_equals_brute_force(spark, documents):
     assert any(p[0] for p in passages)
 
 
+def test_op4_equals_public_library(spark, documents):
+    """Tokens by the character that their first byte belongs to, line by line."""
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    got = {}
+    for r in queries.QUERIES["op4_token_counts"](spark, SF_SMALL).collect():
+        got.setdefault(r.doc_id, []).append((r.section, r.start_char, r.end_char, r.n_tokens, r.n_crossing))
+    for d in documents:
+        raw = (d.text or "").encode()
+        ends = [m.end() for m in re.finditer(b"\n", raw)]
+        ends += [len(raw)] if not ends or ends[-1] != len(raw) else []
+        spans, at = [], 0
+        for t in enc.encode_ordinary(d.text or ""):
+            size = len(enc.decode_single_token_bytes(t))
+            spans.append((at, at + size))
+            at += size
+        want, start = [], 0
+        for i, end in enumerate(ends):
+            inside = [s for s in spans if s[0] < end and s[1] > start]
+            want.append((i, len(raw[:start].decode()), len(raw[:end].decode()), sum(s[0] >= start for s in inside),
+                         sum(s[0] < start or s[1] > end for s in inside)))
+            start = end
+        assert sorted(got[d.doc_id]) == want
+    assert set(got) == {d.doc_id for d in documents}
+
+
+def test_op5_against_brute_force(spark):
+    """Exact ranks and scores of what is found, and a recall of 0.9."""
+    rows = [r for r in spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").collect() if r.embedding is not None]
+    ids, v = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], dtype=np.float64)
+    got = {}
+    for r in queries.QUERIES["op5_nearest_neighbours"](spark, SF_SMALL).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert set(got) == {i for i in ids.tolist() if i % 20 == 0}
+    hit = 0
+    for q, found in got.items():
+        score = v @ v[ids.tolist().index(q)]
+        found.sort()
+        assert [f[0] for f in found] == list(range(1, 21)) and q not in {f[1] for f in found}
+        assert [f[2] for f in found] == pytest.approx([score[ids.tolist().index(f[1])] for f in found])
+        assert [(-f[2], f[1]) for f in found] == sorted((-f[2], f[1]) for f in found)
+        score[ids == q] = -np.inf
+        hit += len({f[1] for f in found} & set(ids[np.argsort(-score)[:20]].tolist()))
+    assert hit >= .9 * 20 * len(got)
+
+
+def test_op8_equals_public_library(spark, documents):
+    library = Tokenizer.from_file(bpe.TOKENIZER)
+    library.no_truncation()
+    library.no_padding()
+    got = {r.doc_id: tuple(r)[1:] for r in queries.QUERIES["op8_bpe_encode_decode"](spark, SF_SMALL).collect()}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    for d in documents:
+        ids = library.encode(d.text or "", add_special_tokens=False).ids
+        assert got[d.doc_id] == (len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False)))
+    assert len(got) == len(documents)
+
+
 def test_op6_equals_brute_force(spark, documents):
     fps = [fingerprint_by_hand(d.text) for d in documents]
     parts = parts_by_hand(fps, 4)

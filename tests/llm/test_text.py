@@ -90,6 +90,13 @@ def test_first_character_rule_equals_library_offsets(spark, library):
         assert [s.start_char for s in got[i]] == [0, *cuts[:-1]]
 
 
+def test_sections_of_a_very_long_text(spark):
+    text = "word é " * 60_000 + "\n" + "x" * 30_000 + "\n\nend"
+    got = spark.createDataFrame([(text,)], "text string").select(tokencount.section_tokens("text").alias("s")).first().s
+    assert [s.end_char for s in got] == cuts_by_hand(text) and len(got) == 4
+    assert sum(s.n_tokens for s in got) == len(tokencount.encoder(tokencount.RANKS)[0].encode_ordinary(text))
+
+
 def test_crossing_rules():
     ends, cuts = np.array([2, 6, 9]), np.array([3, 5, 9])       # the second token spans bytes 2 to 6
     run = lambda rule: [v.tolist() for v in tokencount.attribute(ends, cuts, rule)]
