@@ -122,7 +122,7 @@ def segment_panes(df: DataFrame, keys, arrival_ts: str, tie_break: str, value: s
     slices = (cut.sortWithinPartitions(*order)
               .withColumn("__slice", F.spark_partition_id().cast("bigint"))
               .mapInPandas(lambda it: _slice(it, n, delay_us), _OUT))
-    out = materialize(slices, "pane-slices")
+    out = materialize(slices, "pane-slices", "kind")
     panes, pieces, heads = (out.where(F.col("kind") == kind) for kind in ("pane", "piece", "row"))
     # small tables, a row or a few per slice: the key that each slice ends with, and the
     # slices that begin with a key which an earlier one ends with

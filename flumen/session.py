@@ -82,12 +82,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df, label: str):
+def materialize(df, label: str, partition_by: str | None = None):
     """Write ``df`` once to the shared scratch folder and read it back.
 
     For tables that are used more than once and must be the same each time (rows
     with the bucket that one sampling gave them): their input is scanned once, and
     the lineage is cut at a reliable, shared copy."""
     path = scratch_path(df.sparkSession, label)
-    df.write.mode("overwrite").parquet(path)
+    out = df.write.mode("overwrite")
+    (out.partitionBy(partition_by) if partition_by else out).parquet(path)
     return df.sparkSession.read.parquet(path)
