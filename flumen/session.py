@@ -91,4 +91,4 @@ def materialize(df, label: str, partition_by: str | None = None):
     path = scratch_path(df.sparkSession, label)
     out = df.write.mode("overwrite")
     (out.partitionBy(partition_by) if partition_by else out).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)     # also of a table without rows
