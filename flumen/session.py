@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -52,6 +53,19 @@ def build_session(
     return spark
 
 
+@contextlib.contextmanager
+def state_store(spark: SparkSession):
+    """The library's state store for queries that are started within: a query takes over
+    the session's setting as it starts. The session's own setting comes back."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    own = spark.conf.get(key)
+    spark.conf.set(key, ROCKSDB_PROVIDER)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, own)
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """All time arithmetic in the library is UTC (the reference prints UTC)."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":

@@ -16,6 +16,9 @@ here is the highest event time of earlier micro-batches. The engine's own waterm
 one that forgets the window at its end. Rows of a window that ends at or before the
 engine's watermark are dropped.
 
+Start such a query by :mod:`flumen.streaming.sinks`, or with RocksDB as the session's state
+store, which ``transformWithState`` needs.
+
 Scale. State per key and window is one small value, evicted by its timer. Counts
 (``value=None``) are combined per window in each task, an Arrow batch at a time, before
 the shuffle, as rows are alike there: a window with a third of all rows sends a row per

@@ -2,7 +2,8 @@
 
 Every query gets its own checkpoint folder under the shared scratch root, so a
 restarted driver (or a lost executor) resumes from the last committed batch.
-Update/complete outputs go through ``foreachBatch`` into folders named by
+Queries keep their state in RocksDB, whatever the session's default is: panes of
+:mod:`flumen.streaming.fired` need it. Update/complete outputs go through ``foreachBatch`` into folders named by
 batch id, written with ``overwrite``: a batch that is re-run after a failure
 replaces its own output instead of duplicating it.
 """
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from flumen.session import scratch_path
+from flumen.session import scratch_path, state_store
 
 
 def _writer(df: DataFrame, checkpoint: str, mode: str, available_now: bool, processing_time: str | None):
@@ -32,7 +33,8 @@ def start_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
     w = _writer(df, checkpoint, "append", available_now, processing_time).format(fmt)
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
-    return w.start(path)
+    with state_store(df.sparkSession):
+        return w.start(path)
 
 
 def start_batches(df: DataFrame, path: str, checkpoint: str, mode: str = "update",
@@ -40,7 +42,8 @@ def start_batches(df: DataFrame, path: str, checkpoint: str, mode: str = "update
     """Each micro-batch's output lands in ``path/batch_id=N`` (idempotent)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-    return _writer(df, checkpoint, mode, available_now, processing_time).foreachBatch(write).start()
+    with state_store(df.sparkSession):
+        return _writer(df, checkpoint, mode, available_now, processing_time).foreachBatch(write).start()
 
 
 def start_text_per_batch(df: DataFrame, path: str, checkpoint: str, col: str = "value",
@@ -50,7 +53,8 @@ def start_text_per_batch(df: DataFrame, path: str, checkpoint: str, col: str = "
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.select(F.col(col).cast("string")).write.mode("overwrite").text(
             f"{path}/batch_id={batch_id}")
-    return _writer(df, checkpoint, "append", available_now, processing_time).foreachBatch(write).start()
+    with state_store(df.sparkSession):
+        return _writer(df, checkpoint, "append", available_now, processing_time).foreachBatch(write).start()
 
 
 def start_fan_out(df: DataFrame, root: str, checkpoint: str, branches: dict,
@@ -66,7 +70,8 @@ def start_fan_out(df: DataFrame, root: str, checkpoint: str, branches: dict,
                 fn(batch).write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
         finally:
             batch.unpersist()
-    return _writer(df, checkpoint, "append", available_now, processing_time).foreachBatch(write).start()
+    with state_store(df.sparkSession):
+        return _writer(df, checkpoint, "append", available_now, processing_time).foreachBatch(write).start()
 
 
 def start_kafka(messages: DataFrame, servers: str, topic: str, checkpoint: str,
@@ -77,7 +82,8 @@ def start_kafka(messages: DataFrame, servers: str, topic: str, checkpoint: str,
     w = w.option("topic", topic).option("checkpointLocation", checkpoint)
     if processing_time:
         w = w.trigger(processingTime=processing_time)
-    return w.start()
+    with state_store(messages.sparkSession):
+        return w.start()
 
 
 def run(query: StreamingQuery) -> None:

@@ -177,3 +177,16 @@ def test_stream_sliding_windows_equal_batch(spark):
     want = sorted((r.window.start, r["count"]) for r in windows.sliding(ev, "ts", 1800, 600).collect()
                   if r.window.end <= wm)
     assert got == want and len(got) > 0
+
+
+def test_panes_on_a_session_with_another_state_store(spark):
+    """The runners start queries with the store that they need, and put the setting back."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    own, other = spark.conf.get(key), "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(key, other)
+    try:
+        rows = [("pickup", 0, 0), ("enroute", 60, 1), ("pickup", 0, 2), ("enroute", 300, 3), ("enroute", 301, 4)]
+        got = _run_taxi(spark, rows, "taxi-store").filter("start = 0").orderBy("pane").collect()
+        assert [r["count"] for r in got] == [1, 2] and spark.conf.get(key) == other
+    finally:
+        spark.conf.set(key, own)
