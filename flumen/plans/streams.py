@@ -33,6 +33,8 @@ def events_stream(spark, sf, max_files=None):
 
 def _drain(spark, df, label, **kw):
     out = scratch_path(spark, f"{label}-out")
+    # as many state partitions as cores: each costs a task in every micro-batch
+    kw.setdefault("state_partitions", spark.sparkContext.defaultParallelism)
     ss.run(ss.start_files(df, out, ss.checkpoint_for(spark, label), **kw))
     return spark.read.parquet(out)
 
@@ -258,7 +260,8 @@ def stream_drop_too_late(spark, sf):
     agg = windowed.windowed_count(s, "ts", "1 hour", "1 day", "event_type")
     agg = agg.select(F.date_format("window.start", HOUR_FMT).alias("window_start"), "event_type", "count")
     out = scratch_path(spark, "late-drop-out")
-    ss.run(ss.start_batches(agg, out, ss.checkpoint_for(spark, "late-drop"), mode="update"))
+    ss.run(ss.start_batches(agg, out, ss.checkpoint_for(spark, "late-drop"), mode="update",
+                            state_partitions=spark.sparkContext.defaultParallelism))
     return ss.latest_per_key(ss.read_batches(spark, out), ["window_start", "event_type"])
 
 

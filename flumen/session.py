@@ -54,16 +54,21 @@ def build_session(
 
 
 @contextlib.contextmanager
-def state_store(spark: SparkSession):
-    """The library's state store for queries that are started within: a query takes over
-    the session's setting as it starts. The session's own setting comes back."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    own = spark.conf.get(key)
-    spark.conf.set(key, ROCKSDB_PROVIDER)
+def state_store(spark: SparkSession, partitions: int | None = None):
+    """The library's state store for queries that are started within, and the number of
+    their state partitions, if given: a query takes over the session's settings as it
+    starts. The session's own settings come back."""
+    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER}
+    if partitions is not None:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
+    own = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, own)
+        for k, v in own.items():
+            spark.conf.set(k, v)
 
 
 def ensure_utc(spark: SparkSession) -> None:

@@ -28,21 +28,24 @@ def _writer(df: DataFrame, checkpoint: str, mode: str, available_now: bool, proc
 
 def start_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
                 available_now: bool = True, processing_time: str | None = None,
-                partition_by=None) -> StreamingQuery:
-    """Append-mode file sink (exactly-once through the sink's commit log)."""
+                partition_by=None, state_partitions: int | None = None) -> StreamingQuery:
+    """Append-mode file sink (exactly-once through the sink's commit log).
+    ``state_partitions``: of a stateful query, for good, in place of the session's
+    ``spark.sql.shuffle.partitions``; every micro-batch has a task for each."""
     w = _writer(df, checkpoint, "append", available_now, processing_time).format(fmt)
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
-    with state_store(df.sparkSession):
+    with state_store(df.sparkSession, state_partitions):
         return w.start(path)
 
 
 def start_batches(df: DataFrame, path: str, checkpoint: str, mode: str = "update",
-                  available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+                  available_now: bool = True, processing_time: str | None = None,
+                  state_partitions: int | None = None) -> StreamingQuery:
     """Each micro-batch's output lands in ``path/batch_id=N`` (idempotent)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-    with state_store(df.sparkSession):
+    with state_store(df.sparkSession, state_partitions):
         return _writer(df, checkpoint, mode, available_now, processing_time).foreachBatch(write).start()
 
 
