@@ -85,8 +85,13 @@ def _unpacked(panes: DataFrame, df: DataFrame, k) -> DataFrame:
     return panes.withColumn("__key", keys).select("__key.*", *[c for c in panes.columns if c != "__key"])
 
 
+#: Rows of a slice that its task holds at once.
+HELD_ROWS = 50_000
+
+
 def segment_panes(df: DataFrame, keys, arrival_ts: str, tie_break: str, value: str,
-                  n: int | None = None, delay_s: float | None = None, slices: int | None = None) -> DataFrame:
+                  n: int | None = None, delay_s: float | None = None, slices: int | None = None,
+                  held_rows: int = HELD_ROWS) -> DataFrame:
     """Panes of ``Repeatedly(AfterAny(AfterCount(n), AfterProcessingTime(delay)))``
     (either part may be None). Every pane fires: when full, when its delay has
     passed, or at the end of the input / window. Output: keys, ``pane``,
@@ -108,9 +113,11 @@ def segment_panes(df: DataFrame, keys, arrival_ts: str, tie_break: str, value: s
     3. slices that continue a key are labelled from their entries. Panes leave the
        slices as partial sums; only those that cross a border have several.
 
-    A slice is held in memory by its task; they are as many as ``slices``, else as
-    ``spark.sql.shuffle.partitions`` (AQE joins small ones). Rows without an arrival time
-    belong to no pane. NULL is a key like any other.
+    Slices are as many as ``slices``, else as ``spark.sql.shuffle.partitions`` (AQE joins
+    small ones). A task reads its slice in order and holds ``held_rows`` of it (and an Arrow
+    batch) at once, whatever the slice's size: the pane that is open where it cuts goes on
+    as known, and the head's pieces are led through the rows that follow. Rows without an
+    arrival time belong to no pane. NULL is a key like any other.
     """
     k = _keys(keys)
     delay_us = None if delay_s is None else int(delay_s * 1_000_000)
@@ -121,12 +128,12 @@ def segment_panes(df: DataFrame, keys, arrival_ts: str, tie_break: str, value: s
     cut = rows.repartitionByRange(slices, *order) if slices else rows.repartitionByRange(*order)
     slices = (cut.sortWithinPartitions(*order)
               .withColumn("__slice", F.spark_partition_id().cast("bigint"))
-              .mapInPandas(lambda it: _slice(it, n, delay_us), _OUT))
+              .mapInPandas(lambda it: _slice(it, n, delay_us, held_rows), _OUT))
     out = materialize(slices, "pane-slices", "kind")
-    panes, pieces, heads = (out.where(F.col("kind") == kind) for kind in ("pane", "piece", "row"))
+    panes, ended, pieces, heads = (out.where(F.col("kind") == kind) for kind in ("pane", "tail", "piece", "row"))
     # small tables, a row or a few per slice: the key that each slice ends with, and the
     # slices that begin with a key which an earlier one ends with
-    tails = panes.where("open").selectExpr("__key", "__slice", *_AS_PIECE)
+    tails = ended.selectExpr("__key", "__slice", *_AS_PIECE)
     began = tails.groupBy("__key").agg(F.min("__slice").alias("__began"))
     tails = tails.join(began, "__key").where("__slice = __began").drop("__began")
     goes_on = (pieces.select("__key", "__slice").distinct().join(began, "__key").where("__slice > __began")
@@ -144,10 +151,10 @@ def segment_panes(df: DataFrame, keys, arrival_ts: str, tie_break: str, value: s
 
 
 _PARTIAL = "__key string, pane long, t long, rows long, value double"
-#: What a slice gives: partial panes (open: of the key that it ends with; head: of the key
-#: that it begins with), the pieces of its head, and the rows of its head (pane: the row's
-#: place), in case that key began earlier.
-_OUT = ("kind string, __key string, __slice long, pane long, t long, rows long, value double, open boolean, head boolean, "
+#: What a slice gives: partial panes (head: of the key that it begins with), its tail (the
+#: pane that is open at its end), the pieces of its head, and the rows of its head (pane:
+#: the row's place), in case that key began earlier.
+_OUT = ("kind string, __key string, __slice long, pane long, t long, rows long, value double, head boolean, "
         "last_row long, last_t long, panes long, exit_t long, exit_rows long, size long")
 _PIECE = ["last_row", "last_t", "panes", "exit_t", "exit_rows", "size"]
 #: The open pane at the end of a key's first slice, as a piece that any entry leads to.
@@ -195,33 +202,77 @@ def _sums(t: np.ndarray, v: np.ndarray, starts: np.ndarray, number: np.ndarray)
             "value": np.add.reduceat(v, starts) if len(starts) else v[:0]}
 
 
-def _slice(batches, n, delay_us):
+def _held(batches, rows: int):
+    """The batches joined, about so many rows at a time."""
+    held = []
+    for pdf in batches:
+        if len(pdf):
+            held.append(pdf)
+        if sum(map(len, held)) >= rows:
+            yield pd.concat(held, ignore_index=True)
+            held = []
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _carried(t, v, nxt, state: tuple, n, delay_us) -> tuple[dict, tuple]:
+    """Rows of one key that follow an open pane (start, rows, number): their partial panes,
+    and the pane that is open after them."""
+    start, rows, pane = state
+    first = len(t) if n is None else min(len(t), n - rows)
+    if delay_us is not None:
+        first = min(first, int(np.searchsorted(t, start + delay_us, side="left")))
+    starts = _followed(nxt, first)
+    if first:                                           # rows of the pane that is open
+        starts = np.concatenate(([0], starts))
+    out = _sums(t, v, starts, pane + np.arange(len(starts)) + (0 if first else 1))
+    if first:
+        out["t"][0] = start
+    last = int(out["rows"][-1]) + (rows if first and len(starts) == 1 else 0)
+    return out, (int(out["t"][-1]), last, int(out["pane"][-1]))
+
+
+def _slice(batches, n, delay_us, held_rows):
     """One slice: panes of its keys as if all began in it, and its head as a function."""
-    held = [pdf for pdf in batches if len(pdf)]
-    if not held:
-        return
-    pdf = pd.concat(held, ignore_index=True)
-    keys, t, v = pdf["__key"].to_numpy(), pdf["__t"].to_numpy(), np.nan_to_num(pdf["__v"].to_numpy(dtype=np.float64))
-    ends = _key_ends(keys)
-    nxt = _next(t, ends, n, delay_us)
-    starts = _followed(nxt, 0)
-    key = ends[starts]
-    begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    number = np.arange(len(starts)) - np.repeat(begin, np.diff(np.append(begin, len(starts))))
-    size, where = int(ends[0]), {"__slice": int(pdf["__slice"].iat[0])}
+    key = state = pieces = None
+    in_head, place, where = True, 0, {}
 
     def given(kind: str, columns: dict) -> pd.DataFrame:
         return pd.DataFrame({"kind": kind, **where, **columns}).reindex(columns=[c.split()[0] for c in _OUT.split(", ")])
 
-    yield given("pane", {"__key": keys[starts], **_sums(t, v, starts, number),
-                         "open": np.arange(len(starts)) == len(starts) - 1, "head": key == size})
-    yield given("row", {"__key": keys[:size], "pane": np.arange(size), "t": t[:size], "value": v[:size]})
-    yield given("piece", {"__key": keys[0], **_head_pieces(t[:size], nxt[:size])})
-
-
-def _head_pieces(t: np.ndarray, nxt: np.ndarray) -> dict:
-    """The first key's rows as a function of the row that opens its first pane there, by
-    pointer doubling: panes that open up to the end, and the last one's start and rows."""
+    for pdf in _held(batches, held_rows):
+        keys, t, v = pdf["__key"].to_numpy(), pdf["__t"].to_numpy(), np.nan_to_num(pdf["__v"].to_numpy(dtype=np.float64))
+        ends = _key_ends(keys)
+        nxt = _next(t, ends, n, delay_us)
+        where, size, begun = {"__slice": int(pdf["__slice"].iat[0])}, int(ends[0]), 0
+        in_head = in_head and key in (None, keys[0])
+        if in_head:
+            pieces = _led(pieces, t[:size], nxt[:size], n, delay_us)
+            yield given("row", {"__key": keys[:size], "pane": place + np.arange(size), "t": t[:size], "value": v[:size]})
+            place += size
+            head = keys[0]
+        if key == keys[0]:
+            begun = size
+            out, state = _carried(t[:size], v[:size], nxt[:size], state, n, delay_us)
+            yield given("pane", {"__key": key, **out, "head": in_head})
+        if begun < len(t):
+            starts = _followed(nxt, begun)
+            of = ends[starts]
+            begin = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+            number = np.arange(len(starts)) - np.repeat(begin, np.diff(np.append(begin, len(starts))))
+            out = _sums(t, v, starts, number)
+            yield given("pane", {"__key": keys[starts], **out, "head": in_head & (of == size)})
+            state = int(out["t"][-1]), int(out["rows"][-1]), int(number[-1])
+        key, in_head = keys[-1], in_head and size == len(t)
+    if key is not None:
+        yield given("tail", {"__key": [key], "t": state[0], "rows": state[1], "pane": state[2]})
+        yield given("piece", {"__key": head, "size": place, **{c: pieces[c] for c in _PIECE[:-1]}})
+
+
+def _led(pieces: dict | None, t: np.ndarray, nxt: np.ndarray, n, delay_us) -> dict:
+    """The first key's rows so far as a function of the row that opens its first pane there:
+    panes that open up to the end, and the last one's start and rows. The pieces of the rows
+    before are led through these, where pointer doubling gives every row's outcome."""
     size = len(t)
     row = np.arange(size)
     step = nxt < size
@@ -229,13 +280,33 @@ def _head_pieces(t: np.ndarray, nxt: np.ndarray) -> dict:
     while step.any():
         panes += np.where(step, panes[pointer], 0)
         step, pointer = step & step[pointer], pointer[pointer]
-    exit_rows = size - pointer
-    # any pane that is open at the border began before it, so it is over by nxt[0]
-    row = row[:min(int(nxt[0]) + 1, size)]
-    cut = np.ones(len(row), dtype=bool)
-    cut[:-1] = (panes[row[1:]] != panes[row[:-1]]) | (exit_rows[row[1:]] != exit_rows[row[:-1]])
-    row = row[cut]
-    return {"last_row": row, "last_t": t[row], "panes": panes[row], "exit_t": t[pointer[row]], "exit_rows": exit_rows[row], "size": size}
+    exit_t, exit_rows = t[pointer], size - pointer
+    if pieces is None:
+        none = row[:0]
+        pieces = {c: none for c in _PIECE[:-1]} | {"first_t": int(t[0]), "seen": 0, "over": False}
+    else:
+        at = np.full(len(pieces["exit_t"]), size)
+        if n is not None:
+            at = np.minimum(at, n - pieces["exit_rows"])
+        if delay_us is not None:
+            at = np.minimum(at, np.searchsorted(t, pieces["exit_t"] + delay_us, side="left"))
+        on, to = at < size, np.minimum(at, size - 1)
+        pieces = pieces | {"panes": pieces["panes"] + np.where(on, panes[to], 0), "exit_t": np.where(on, exit_t[to], pieces["exit_t"]),
+                           "exit_rows": np.where(on, exit_rows[to], pieces["exit_rows"] + size)}
+    if not pieces["over"]:
+        # any pane that is open at the border began before it, so it is over at the latest
+        # where one that opens with the first row is; without a bound it is never
+        last = 0 if n is None and delay_us is None else size
+        if n is not None:
+            last = min(last, n - pieces["seen"])
+        if delay_us is not None:
+            last = min(last, int(np.searchsorted(t, pieces["first_t"] + delay_us, side="left")))
+        row = row[:last + 1]
+        more = {"last_row": pieces["seen"] + row, "last_t": t[row], "panes": panes[row], "exit_t": exit_t[row], "exit_rows": exit_rows[row]}
+        pieces = pieces | {c: np.concatenate((pieces[c], x)) for c, x in more.items()} | {"over": last < size}
+    cut = np.ones(len(pieces["panes"]), dtype=bool)
+    cut[:-1] = np.logical_or.reduce([pieces[c][1:] != pieces[c][:-1] for c in ("panes", "exit_t", "exit_rows")])
+    return pieces | {c: pieces[c][cut] for c in _PIECE[:-1]} | {"seen": pieces["seen"] + size}
 
 
 def _composed(pdf: pd.DataFrame, n, delay_us) -> pd.DataFrame:
@@ -260,36 +331,16 @@ def _composed(pdf: pd.DataFrame, n, delay_us) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["__key", "__slice", "entry_t", "entry_rows", "entry_pane"])
 
 
-def _whole_heads(batches):
-    """The rows of one slice's head at a time; batches cut them anywhere."""
-    held = []
-    for pdf in batches:
-        while len(pdf):
-            same = pdf["__slice"].to_numpy() == pdf["__slice"].iat[0]
-            upto = len(pdf) if same.all() else int(np.argmin(same))
-            if held and held[0]["__slice"].iat[0] != pdf["__slice"].iat[0]:
-                yield pd.concat(held, ignore_index=True)
-                held = []
-            held.append(pdf.iloc[:upto])
-            pdf = pdf.iloc[upto:]
-    if held:
-        yield pd.concat(held, ignore_index=True)
-
-
 def _rest_panes(batches, n, delay_us):
-    for pdf in _whole_heads(batches):
-        t, v, size = pdf["__t"].to_numpy(), pdf["__v"].to_numpy(), len(pdf)
-        entry_t, entry_rows, entry_pane = (int(pdf[c].iat[0]) for c in _STATE)
-        first = size if n is None else min(size, n - entry_rows)
-        if delay_us is not None:
-            first = min(first, int(np.searchsorted(t, entry_t + delay_us, side="left")))
-        starts = _followed(_next(t, np.full(size, size), n, delay_us), first)
-        if first:                                       # rows of the pane that is open at the entry
-            starts = np.concatenate(([0], starts))
-        out = _sums(t, v, starts, entry_pane + np.arange(len(starts)) + (0 if first else 1))
-        if first:
-            out["t"][0] = entry_t
-        yield pd.DataFrame({"__key": pdf["__key"].iat[0], **out})
+    """Heads that continue a key, from their entries; batches cut them anywhere."""
+    slot = state = None
+    for pdf in batches:
+        for at, rows in pdf.groupby("__slice", sort=False):
+            if at != slot:
+                slot, state = at, tuple(int(rows[c].iat[0]) for c in _STATE)
+            t, v, size = rows["__t"].to_numpy(), rows["__v"].to_numpy(), len(rows)
+            out, state = _carried(t, v, _next(t, np.full(size, size), n, delay_us), state, n, delay_us)
+            yield pd.DataFrame({"__key": rows["__key"].iat[0], **out})
 
 
 def first_pane(df: DataFrame, keys, arrival_ts: str, value: str, delay_s: float) -> DataFrame:

@@ -3,6 +3,8 @@ forms, on data where one key holds a third of the rows."""
 
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -128,6 +130,36 @@ def test_segment_panes_equal_one_pass(spark, skewed, slices, n, delay):
     assert sorted((r.k, r.pane, r.t, r.pane_rows, round(r.pane_value, 6)) for r in got) == panes_by_hand(rows, n, delay and delay * 1_000_000)
 
 
+@pytest.mark.parametrize("held,n,delay", [(40, 5, 1800), (700, None, 1800), (40, None, 100_000), (700, 5000, 40_000), (40, None, None)])
+def test_segment_panes_with_few_rows_held(spark, skewed, held, n, delay):
+    """A task cuts its slice anywhere; keys go on over the cuts, and over slices."""
+    rows = [(r.k, r.t, r.id, r.v) for r in skewed.select("k", F.unix_micros("ts").alias("t"), "id", "v").collect()]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 40)
+    try:
+        got = panes.segment_panes(skewed, "k", "ts", "id", "v", n=n, delay_s=delay, slices=3, held_rows=held)
+        got = got.select("k", "pane", F.unix_micros("pane_start").alias("t"), "pane_rows", "pane_value").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((r.k, r.pane, r.t, r.pane_rows, round(r.pane_value, 6)) for r in got) == panes_by_hand(rows, n, delay and delay * 1_000_000)
+
+
+def test_a_slice_is_never_held_whole():
+    """Panes leave while the slice is read: no more than the rows to hold and a batch wait."""
+    read = [0]
+
+    def batches():
+        for i in range(200):
+            read[0] += 100
+            at = 100 * i + np.arange(100)
+            yield pd.DataFrame({"__key": [f"k{a // 30:06}" for a in at], "__t": at, "__tb": at, "__v": 1.0, "__slice": 0})
+
+    given = 0
+    for out in panes._slice(batches(), 4, None, 1000):
+        given += out.loc[out["kind"] == "pane", "rows"].sum()
+        assert read[0] - given <= 1000 + 100
+    assert given == 20_000
+
+
 def test_first_pane_matches_sequential(spark, skewed):
     seq = panes.segment_panes(skewed, "k", "ts", "id", "v", delay_s=1800).filter("pane = 0")
     first = panes.first_pane(skewed, "k", "ts", "v", 1800)
