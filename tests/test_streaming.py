@@ -84,6 +84,39 @@ def test_late_counts_discarding(spark):
     assert got == [("a", 0, 0, "on_time", 3, 3.0), ("a", 0, 1, "late", 3, 3.0), ("a", 0, 2, "late", 1, 1.0), ("b", 20, 0, "on_time", 2, 2.0)]
 
 
+def test_too_late_is_judged_every_thousand_arrivals(spark, tmp_path):
+    """24 days of 1,000 events each: a row that is 2,000 arrivals late is a day too late,
+    unless lateness is judged less often than the events come. Some rows have no time."""
+    import datetime as dt
+
+    import duckdb
+
+    import __spark_entry__ as E
+
+    rows = spark.range(24_000).select(
+        F.col("id").alias("event_id"), (F.col("id") % 9).alias("user_id"), F.concat(F.lit("t"), F.col("id") % 3).alias("event_type"),
+        F.when(F.col("id") % 101 != 5, F.timestamp_micros(F.lit(1_704_067_200_000_000) + F.col("id") * 86_400_000)).cast("timestamp_ntz").alias("ts"),
+        F.lit(1.0).alias("value"), F.lit("{}").alias("props"))
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+
+    want, seen, top, slices = {}, None, None, {}
+    for r in rows.collect():
+        slices.setdefault((r.event_id + (2000 if r.event_id % 7 == 0 else 0)) // 1000, []).append(r)
+    for b in sorted(slices):
+        for r in slices[b]:
+            start = r.ts and r.ts.replace(minute=0, second=0, microsecond=0)
+            if start and (seen is None or start + dt.timedelta(hours=1) > seen - dt.timedelta(days=1)):
+                want[str(start), r.event_type] = want.get((str(start), r.event_type), 0) + 1
+            top = max(filter(None, (top, r.ts)))
+        seen = top
+    got = E.queries()["stream_drop_too_late"](spark, str(tmp_path)).collect()
+    assert {(r.window_start, r.event_type): r["count"] for r in got} == want and len(got) == len(want)
+    assert 0.8 * 24_000 < sum(want.values()) < 0.9 * 24_000
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW events AS FROM read_parquet('{tmp_path}/events.parquet/*.parquet') WHERE ts IS NOT NULL")
+    assert {r[:2]: r[2] for r in db.execute(E.oracle_sql()["stream_drop_too_late"]).fetchall()} == want
+
+
 def test_slices_keep_their_order(spark):
     df = spark.range(1000).withColumn("arrival", 999 - F.col("id"))
     path = arrivals.write_slices(df, arrivals.slice_of(df, "arrival"))
