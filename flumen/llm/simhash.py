@@ -77,7 +77,11 @@ def _signed(x: int) -> int:
 def links(nodes: DataFrame, distance: int, segments: int) -> DataFrame:
     """Pairs (a, b) of fingerprints of different parts within ``distance`` bits.
     nodes: (fp, part). Each slice holds ``distance // segments`` errors at most in
-    the slice that has fewest."""
+    the slice that has fewest.
+
+    Both sides hold a row of ``nodes`` several times, which Spark's estimate leaves out:
+    where the file of ``nodes`` is under the broadcast threshold it would send one of
+    them, all probes even, through the driver. So the join is asked to shuffle."""
     radius = distance // segments
     table, probes = [], []
     for i, (mask, bits) in enumerate(_slices(segments)):
@@ -89,7 +93,7 @@ def links(nodes: DataFrame, distance: int, segments: int) -> DataFrame:
     asked = (nodes.select(F.col("fp").alias("a"), F.col("part").alias("pa"), F.inline(F.array(*probes)))
              .select("a", "pa", "slice", F.col("a").bitwiseXOR(F.col("flip")).bitwiseAND(F.col("mask")).alias("key")))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-    return asked.join(held, (asked["slice"] == held["slice"]) & (asked["key"] == held["key"])
+    return asked.hint("merge").join(held, (asked["slice"] == held["slice"]) & (asked["key"] == held["key"])
                       & (F.col("a") < F.col("b")) & (F.col("pa") != F.col("pb")) & near).select("a", "b")
 
 

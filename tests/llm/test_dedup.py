@@ -10,6 +10,7 @@ import pytest
 import xxhash
 
 from flumen.llm import simhash, suffixdedup
+from flumen.llm.common import written
 from flumen.llm.graph import components
 
 
@@ -173,6 +174,19 @@ def test_components_equal_brute_force(spark, distance, segments):
     assert [got[i][1] for i in range(len(texts))] == parts_by_hand(fps, distance)
 
 
+def test_links_broadcast_no_enumerated_side(spark):
+    # both sides are many times the table that Spark sizes them by: here 67 and 3 rows for each of its rows
+    rng = random.Random(5)
+    base = [rng.getrandbits(64) for _ in range(40)]
+    fps = sorted({b ^ sum(1 << i for i in rng.sample(range(64), rng.randrange(7))) for b in base for _ in range(4)})
+    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
+    nodes = written(spark.createDataFrame([(x, i) for i, x in enumerate(signed)], "fp long, part long"), "few")
+    found = simhash.links(nodes, 4, 3)
+    near = {tuple(sorted((signed[i], signed[j]))) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 4}
+    assert near and {(r.a, r.b) for r in found.collect()} == near
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_long_text_is_counted_whole():
     rng = random.Random(1)
     text = " ".join(rng.choice(["a", "bb", "ccc", "dddd", "é"]) for _ in range(40_000))
