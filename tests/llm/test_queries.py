@@ -25,7 +25,7 @@ from check_oracle import TABLES, digest  # noqa: E402
 
 import __spark_entry__ as E  # noqa: E402
 import corpus_pipeline  # noqa: E402
-from flumen.llm import bpe, ngramlm, queries  # noqa: E402
+from flumen.llm import bpe, ngramlm, queries, simhash  # noqa: E402
 
 COLUMNS = {
     "op1_suffix_array_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
@@ -227,3 +227,15 @@ def test_stages_keep_the_columns_of_documents(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs.limit(0), SF_SMALL).columns == docs.columns
+
+
+def test_near_dedup_stage_sends_no_probes_through_the_driver(spark, monkeypatch):
+    texts = [f"one two three four five six seven eight nine ten {i // 2}" for i in range(20)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    asked, links = [], simhash.links
+    monkeypatch.setattr(simhash, "links", lambda *a: asked.append(links(*a)) or asked[-1])
+    kept = [r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()]
+    assert sorted(kept) == sorted(set(parts_by_hand([fingerprint_by_hand(t) for t in texts], 4)))
+    plans = [d._jdf.queryExecution().executedPlan().toString() for d in asked]
+    assert len(plans) == 2 and not any("Broadcast" in p for p in plans)
